@@ -188,3 +188,134 @@ def q_airport_hour_wide(spark, sf_dir):
     cube = ap.airport_cube(trips(spark, sf_dir), airport_zones(spark, sf_dir), ZONES)
     rep = ap.cube_report(cube, "all", "hour_of_day", ordered=False)
     return series_wide(rep, "hour_of_day", "airport", "trip_count", list(fx.FIXTURE_ZONES))
+
+
+# --- OP-16, 19, 26, 47, 32, 23, 56, 57, 24: market share ----------------------
+SQL_REQUESTS = """
+req AS (
+  SELECT event_id, user_id, ts AS request_datetime,
+         CASE event_type WHEN 'click' THEN 'HV0003' WHEN 'view' THEN 'HV0005'
+                         WHEN 'purchase' THEN 'HV0002' WHEN 'signup' THEN 'HV0004' END
+           AS hvfhs_license_num
+  FROM events
+),
+svc_all AS (
+  SELECT event_id, request_datetime, CAST(request_datetime AS DATE) AS trip_date,
+         CASE WHEN hvfhs_license_num = 'HV0003' THEN 'Uber'
+              WHEN hvfhs_license_num = 'HV0005' THEN 'Lyft'
+              ELSE hvfhs_license_num END AS service
+  FROM req
+),
+svc AS (
+  SELECT trip_date, service FROM svc_all
+  WHERE request_datetime >= TIMESTAMP '2024-01-03 00:00:00'
+    AND request_datetime < TIMESTAMP '2024-01-29 00:00:00'
+),
+share AS (
+  SELECT trip_date, service, count(*) AS trip_count,
+         CAST(sum(count(*)) OVER (PARTITION BY trip_date) AS BIGINT) AS total_trip_count
+  FROM svc GROUP BY trip_date, service
+),
+share_pct AS (
+  SELECT *, ((trip_count * 20000 + total_trip_count) // (2 * total_trip_count)) / 1e2
+              AS trip_percentage
+  FROM share
+)"""
+
+
+def _share(spark, sf_dir, form="window"):
+    from trip_engine.operators.share import market_share
+    return market_share(fx.ride_requests(spark, sf_dir), first=fx.SHARE_FIRST_DAY,
+                        last=fx.SHARE_LAST_DAY, form=form)
+
+
+def _day_text(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in cols})
+
+
+@register("service_mapping", "WITH " + SQL_REQUESTS + """
+SELECT event_id, service FROM svc_all""")
+def q_service_mapping(spark, sf_dir):
+    from trip_engine.functions.exprs import map_codes
+    from trip_engine.specs import SERVICE_NAMES
+    r = fx.ride_requests(spark, sf_dir)
+    return r.select("event_id", map_codes("hvfhs_license_num", SERVICE_NAMES).alias("service"))
+
+
+@register("day_range", "WITH " + SQL_REQUESTS + """
+SELECT event_id, strftime(trip_date, '%Y-%m-%d') AS trip_date FROM svc_all
+WHERE request_datetime >= TIMESTAMP '2024-01-03 00:00:00'
+  AND request_datetime < TIMESTAMP '2024-01-29 00:00:00'""")
+def q_day_range(spark, sf_dir):
+    from trip_engine.functions.exprs import trip_day
+    from trip_engine.operators.filters import between_days
+    r = between_days(fx.ride_requests(spark, sf_dir), "request_datetime",
+                     fx.SHARE_FIRST_DAY, fx.SHARE_LAST_DAY)
+    return _day_text(r.select("event_id", trip_day("request_datetime").alias("trip_date")),
+                     "trip_date")
+
+
+_SHARE_SELECT = """
+SELECT strftime(trip_date, '%Y-%m-%d') AS trip_date, service, trip_count, total_trip_count,
+       trip_percentage FROM share_pct"""
+
+
+@register("market_share", "WITH " + SQL_REQUESTS + _SHARE_SELECT)
+def q_market_share(spark, sf_dir):
+    return _day_text(_share(spark, sf_dir), "trip_date")
+
+
+@register("market_share_join", "WITH " + SQL_REQUESTS + _SHARE_SELECT)
+def q_market_share_join(spark, sf_dir):
+    return _day_text(_share(spark, sf_dir, form="join"), "trip_date")
+
+
+# Dense calendar: a range wider than the data (2024-01-01..30), so days at
+# both ends have no requests and are zero-filled.
+DENSE_FIRST, DENSE_LAST = "2023-12-29", "2024-02-02"
+SQL_DENSE = """,
+services AS (SELECT DISTINCT service FROM share_pct),
+calendar AS (
+  SELECT s.service, CAST(d AS DATE) AS trip_date
+  FROM services s, generate_series(DATE '2023-12-29', DATE '2024-02-02', INTERVAL 1 DAY) g(d)
+),
+totals AS (SELECT trip_date, max(total_trip_count) AS day_total FROM share_pct GROUP BY trip_date),
+dense AS (
+  SELECT c.trip_date, c.service,
+         coalesce(p.trip_count, 0) AS trip_count,
+         coalesce(t.day_total, 0) AS total_trip_count,
+         coalesce(p.trip_percentage, 0.0) AS trip_percentage
+  FROM calendar c
+  LEFT JOIN share_pct p ON p.trip_date = c.trip_date AND p.service IS NOT DISTINCT FROM c.service
+  LEFT JOIN totals t ON t.trip_date = c.trip_date
+)"""
+
+
+def _dense(spark, sf_dir):
+    from trip_engine.operators.share import densify_days, market_share
+    share = market_share(fx.ride_requests(spark, sf_dir), first=DENSE_FIRST, last=DENSE_LAST)
+    return densify_days(share, DENSE_FIRST, DENSE_LAST)
+
+
+# The dense twin filters the same wider range, so its share CTE is rebuilt.
+SQL_REQUESTS_DENSE = SQL_REQUESTS.replace("2024-01-03 00:00:00", "2023-12-29 00:00:00").replace(
+    "2024-01-29 00:00:00", "2024-02-03 00:00:00")
+
+
+@register("market_share_dense", "WITH " + SQL_REQUESTS_DENSE + SQL_DENSE + """
+SELECT strftime(trip_date, '%Y-%m-%d') AS trip_date, service, trip_count, total_trip_count,
+       trip_percentage FROM dense""")
+def q_market_share_dense(spark, sf_dir):
+    return _day_text(_dense(spark, sf_dir), "trip_date")
+
+
+@register("market_share_wide", "WITH " + SQL_REQUESTS_DENSE + SQL_DENSE + """
+SELECT strftime(trip_date, '%Y-%m-%d') AS trip_date,
+       max(CASE WHEN service = 'Uber' THEN trip_percentage END) AS "Uber",
+       max(CASE WHEN service = 'Lyft' THEN trip_percentage END) AS "Lyft",
+       least(max(CASE WHEN service = 'Uber' THEN trip_percentage END)
+             + max(CASE WHEN service = 'Lyft' THEN trip_percentage END), 1e2) AS stacked_total
+FROM dense GROUP BY trip_date""")
+def q_market_share_wide(spark, sf_dir):
+    from trip_engine.operators.share import share_wide
+    return _day_text(share_wide(_dense(spark, sf_dir)), "trip_date")
