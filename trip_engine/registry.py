@@ -319,3 +319,189 @@ FROM dense GROUP BY trip_date""")
 def q_market_share_wide(spark, sf_dir):
     from trip_engine.operators.share import share_wide
     return _day_text(share_wide(_dense(spark, sf_dir)), "trip_date")
+
+
+# --- OP-14, 15, 17, 20..22, 29, 48, 49, 70: features ---------------------------
+SQL_KAGGLE = """
+kt AS (
+  SELECT 'id' || CAST(o_orderkey AS VARCHAR) AS id,
+         CAST(1 + o_orderkey % 2 AS INTEGER) AS vendor_id,
+         o_orderdate + to_minutes(CAST(o_custkey % 1440 AS INTEGER)) AS pickup_datetime,
+         CAST(1 + o_custkey % 6 AS INTEGER) AS passenger_count,
+         CASE WHEN o_orderkey % 50 <> 0 THEN 4.06e1 + (o_custkey % 100) / 4e2 END
+           AS pickup_latitude,
+         -7.405e1 + (o_orderkey % 97) / 4e2 AS pickup_longitude,
+         4.06013e1 + (o_orderkey % 89) / 4e2 AS dropoff_latitude,
+         -7.405e1 + (o_custkey % 83) / 4e2 AS dropoff_longitude,
+         CASE o_orderstatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END AS store_and_fwd_flag,
+         CAST(floor(1.2e2 + 1e4 * (abs((4.06013e1 + (o_orderkey % 89) / 4e2)
+                                       - (4.06e1 + (o_custkey % 100) / 4e2))
+                                  + abs((-7.405e1 + (o_custkey % 83) / 4e2)
+                                       - (-7.405e1 + (o_orderkey % 97) / 4e2)))) AS INTEGER)
+           AS trip_duration
+  FROM orders
+)"""
+
+
+def _sql_guard() -> str:
+    return " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in
+                        ("pickup_latitude", "pickup_longitude", "dropoff_latitude",
+                         "dropoff_longitude"))
+
+
+def _sql_distance(radius: str, clamp: bool = True, scale: int | None = None,
+                  method: str = "cosines") -> str:
+    a1, o1, a2, o2 = "pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude"
+    if method == "cosines":
+        arg = (f"sin(radians({a1})) * sin(radians({a2})) + cos(radians({a1})) * cos(radians({a2}))"
+               f" * cos(radians({o2}) - radians({o1}))")
+        if clamp:
+            arg = f"greatest(-1e0, least(1e0, {arg}))"
+        d = f"acos({arg}) * {radius}"
+    else:
+        h = (f"pow(sin((radians({a2}) - radians({a1})) / 2), 2) + cos(radians({a1}))"
+             f" * cos(radians({a2})) * pow(sin((radians({o2}) - radians({o1})) / 2), 2)")
+        if clamp:
+            h = f"least(1e0, {h})"
+        d = f"2e0 * {radius} * asin(sqrt({h}))"
+    if scale is not None:
+        d = f"round({d}, {scale})"
+    return f"CASE WHEN {_sql_guard()} THEN {d} END"
+
+
+SQL_FEATURES = """,
+base AS (
+  SELECT *, """ + _sql_distance("6.371e3", True, 4) + """ AS distance,
+         CAST(hour(pickup_datetime) AS INTEGER) AS hour,
+         CAST(day(pickup_datetime) AS INTEGER) AS day,
+         CAST(month(pickup_datetime) AS INTEGER) AS month,
+         CASE WHEN store_and_fwd_flag = 'Y' THEN 1 WHEN store_and_fwd_flag = 'N' THEN 0 END
+           AS flag_code
+  FROM kt
+),
+mean AS (SELECT avg(distance) AS m FROM base WHERE distance IS NOT NULL AND NOT isnan(distance)),
+feat AS (
+  SELECT id, vendor_id, passenger_count, flag_code AS store_and_fwd_flag, day, hour, month,
+         coalesce(CASE WHEN isnan(distance) THEN NULL ELSE distance END, (SELECT m FROM mean))
+           AS distance, trip_duration
+  FROM base
+)"""
+
+
+def _kt(spark, sf_dir, with_label=True):
+    return fx.kaggle_trips(spark, sf_dir, with_label)
+
+
+def _round6(df: DataFrame, *cols: str) -> DataFrame:
+    """Test views only: compare 6 decimals, not the last bits of libm."""
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+for _name, _radius, _unit, _clamp, _scale, _method, _rnd in (
+        ("distance_km", "6.371e3", "km", True, 4, "cosines", False),
+        ("distance_miles_clamped", "3.959e3", "mi", True, None, "cosines", True),
+        ("distance_haversine", "6.371e3", "km", True, None, "haversine", True)):
+    def _q(spark, sf_dir, _unit=_unit, _clamp=_clamp, _scale=_scale, _method=_method, _rnd=_rnd):
+        from trip_engine.functions.exprs import great_circle
+        out = _kt(spark, sf_dir).select("id", great_circle(
+            "pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude",
+            unit=_unit, clamp=_clamp, scale=_scale, method=_method).alias("distance"))
+        return _round6(out, "distance") if _rnd else out
+    _d = _sql_distance(_radius, _clamp, _scale, _method)
+    register(_name, "WITH " + SQL_KAGGLE + f"""
+SELECT id, {f'round({_d}, 6)' if _rnd else _d} AS distance FROM kt""")(_q)
+
+
+for _name, _unknown in (("flag_encode_null", None), ("flag_encode_one", 1)):
+    def _q(spark, sf_dir, _unknown=_unknown):
+        from trip_engine.functions.exprs import encode_flag
+        return _kt(spark, sf_dir).select(
+            "id", encode_flag("store_and_fwd_flag", _unknown).alias("store_and_fwd_flag"))
+    _else = "NULL" if _unknown is None else str(_unknown)
+    register(_name, "WITH " + SQL_KAGGLE + f"""
+SELECT id, CAST(CASE WHEN store_and_fwd_flag = 'Y' THEN 1 WHEN store_and_fwd_flag = 'N' THEN 0
+                     ELSE {_else} END AS INTEGER) AS store_and_fwd_flag FROM kt""")(_q)
+
+
+@register("calendar_parts", "WITH " + SQL_KAGGLE + """
+SELECT id, CAST(hour(pickup_datetime) AS INTEGER) AS hour,
+       CAST(day(pickup_datetime) AS INTEGER) AS day,
+       CAST(month(pickup_datetime) AS INTEGER) AS month FROM kt""")
+def q_calendar_parts(spark, sf_dir):
+    from trip_engine.functions.exprs import calendar_parts
+    return _kt(spark, sf_dir).select("id", *[c.alias(n) for n, c in
+                                             calendar_parts("pickup_datetime").items()])
+
+
+@register("apply_schema", "WITH " + SQL_KAGGLE + """
+SELECT id, vendor_id, passenger_count, trip_duration, pickup_latitude,
+       CAST(NULL AS INTEGER) AS bad_number FROM kt""")
+def q_apply_schema(spark, sf_dir):
+    """Text columns (as a CSV read without inference gives them) typed again;
+    one column of non-numbers shows the lenient (try_cast) mode."""
+    from trip_engine.functions.exprs import apply_schema
+    text = _kt(spark, sf_dir).select(
+        "id", *[F.col(c).cast("string").alias(c) for c in
+                ("vendor_id", "passenger_count", "trip_duration", "pickup_latitude")],
+        F.col("store_and_fwd_flag").alias("bad_number"))
+    return apply_schema(text, {"vendor_id": "int", "passenger_count": "int",
+                               "trip_duration": "int", "pickup_latitude": "double",
+                               "bad_number": "int"}, strict=False)
+
+
+@register("drop_missing", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+SELECT id, distance FROM base WHERE distance IS NOT NULL AND NOT isnan(distance)""")
+def q_drop_missing(spark, sf_dir):
+    from trip_engine.operators.features import base_features
+    from trip_engine.operators.filters import drop_missing
+    return drop_missing(base_features(_kt(spark, sf_dir)), ["distance"]).select("id", "distance")
+
+
+@register("impute_mean", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+SELECT id, round(distance, 6) AS distance FROM feat""")
+def q_impute_mean(spark, sf_dir):
+    from trip_engine.operators.features import base_features, impute_mean
+    out = impute_mean(base_features(_kt(spark, sf_dir)), "distance")
+    return _round6(out.select("id", "distance"), "distance")
+
+
+@register("impute_mean_train", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+SELECT id, round(distance, 6) AS distance FROM feat""")
+def q_impute_mean_train(spark, sf_dir):
+    """Test trips filled with the training trips' mean (both from orders)."""
+    from trip_engine.operators.features import base_features, impute_mean
+    test = base_features(_kt(spark, sf_dir, with_label=False))
+    train = base_features(_kt(spark, sf_dir))
+    out = impute_mean(test, "distance", fit_on=train)
+    return _round6(out.select("id", "distance"), "distance")
+
+
+@register("train_features", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+SELECT id, vendor_id, passenger_count, store_and_fwd_flag, day, hour, month,
+       round(distance, 6) AS distance, trip_duration FROM feat""")
+def q_train_features(spark, sf_dir):
+    from trip_engine.operators.features import trip_features
+    return _round6(trip_features(_kt(spark, sf_dir)), "distance")
+
+
+@register("test_features", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+SELECT id, vendor_id, passenger_count, store_and_fwd_flag, day, hour, month,
+       round(distance, 6) AS distance FROM feat""")
+def q_test_features(spark, sf_dir):
+    from trip_engine.operators.features import trip_features
+    return _round6(trip_features(_kt(spark, sf_dir, with_label=False),
+                                 mean_from=_kt(spark, sf_dir)), "distance")
+
+
+# OP-22 on a deterministic stand-in prediction (order price / 7).
+for _name, _shape, _sql in (("duration_trunc", "trunc", "CAST(trunc(o_totalprice / 7e0) AS INTEGER)"),
+                            ("duration_round", "round", "round(o_totalprice / 7e0)"),
+                            ("duration_raw", "raw", "o_totalprice / 7e0")):
+    def _q(spark, sf_dir, _shape=_shape):
+        from trip_engine.functions.exprs import shape_duration
+        o = fx.table(spark, sf_dir, "orders")
+        return o.select(F.concat(F.lit("id"), F.col("o_orderkey").cast("string")).alias("id"),
+                        shape_duration(F.col("o_totalprice") / F.lit(7.0), _shape)
+                        .alias("trip_duration"))
+    register(_name, f"""
+SELECT 'id' || CAST(o_orderkey AS VARCHAR) AS id, {_sql} AS trip_duration FROM orders""")(_q)
