@@ -95,3 +95,20 @@ def kaggle_trips(spark: SparkSession, sf_dir: str, with_label: bool = True) -> D
         cols.append(F.floor(F.lit(1.2e2) + F.lit(1e4) * (F.abs(dlat - lat_raw) + F.abs(dlon - lon)))
                     .cast("int").alias("trip_duration"))
     return o.select(*cols)
+
+
+def scoring_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests (B5): the test trips' features (flag in the batch
+    job's reading, so it is always set), with ``distance`` dropped for every
+    7th order key and ``vendor_id`` for every 11th - records with one or two
+    missing fields. All orders are kept."""
+    from trip_engine.operators.features import trip_features
+    from trip_engine.specs import FeatureConfig
+    test = kaggle_trips(spark, sf_dir, with_label=False)
+    feats = trip_features(test, FeatureConfig(flag_unknown=1))
+    key = F.substring("id", 3, 40).cast("long")
+    return feats.select(
+        "id",
+        F.when(key % 11 != 0, F.col("vendor_id")).alias("vendor_id"),
+        "passenger_count", "store_and_fwd_flag", "hour", "day", "month",
+        F.when(key % 7 != 0, F.col("distance")).alias("distance"))

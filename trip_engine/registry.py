@@ -505,3 +505,169 @@ for _name, _shape, _sql in (("duration_trunc", "trunc", "CAST(trunc(o_totalprice
                         .alias("trip_duration"))
     register(_name, f"""
 SELECT 'id' || CAST(o_orderkey AS VARCHAR) AS id, {_sql} AS trip_duration FROM orders""")(_q)
+
+
+# --- OP-53, 54: row ids --------------------------------------------------------
+@register("row_id_sparse_check", "WITH " + SQL_TRIPS + """
+SELECT source, count(*) AS trip_count, count(*) AS distinct_ids FROM trips GROUP BY source""")
+def q_row_id_sparse_check(spark, sf_dir):
+    from trip_engine.operators.ids import add_row_id
+    t = add_row_id(trips(spark, sf_dir), "sparse")
+    return t.groupBy("source").agg(F.count(F.lit(1)).alias("trip_count"),
+                                   F.countDistinct("id").alias("distinct_ids"))
+
+
+@register("row_id_dense", """
+SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS min_id, count(*) AS max_id,
+       count(*) AS distinct_ids FROM events""")
+def q_row_id_dense(spark, sf_dir):
+    from trip_engine.operators.ids import add_row_id
+    ids = add_row_id(fx.table(spark, sf_dir, "events").select("event_id"), "dense", col="row_id")
+    return ids.agg(F.count(F.lit(1)).alias("row_count"), F.min("row_id").alias("min_id"),
+                   F.max("row_id").alias("max_id"), F.countDistinct("row_id").alias("distinct_ids"))
+
+
+@register("row_id_dense_ordered", """
+SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS row_id FROM events""")
+def q_row_id_dense_ordered(spark, sf_dir):
+    from trip_engine.operators.ids import add_row_id
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "ts")
+    return add_row_id(ev, "dense", order_by=["ts", "event_id"], col="row_id").select(
+        "event_id", "row_id")
+
+
+# --- OP-55, 58: sample, map layers, density -------------------------------------
+# The original map draws 50,000 of 1.4 M trips; the fixture's orders table is
+# smaller (1,500 rows at sf0.001), so the registered sample takes 1,000.
+SAMPLE_N, SAMPLE_SEED = 1000, 42
+_COORDS = "pickup_latitude, pickup_longitude, dropoff_latitude, dropoff_longitude"
+SQL_SAMPLE = f""",
+sample AS (SELECT id, {_COORDS} FROM kt ORDER BY md5('{SAMPLE_SEED}' || id), id LIMIT {SAMPLE_N})"""
+
+
+def _sample(spark, sf_dir):
+    from trip_engine.operators.frames import sample_exact
+    kt = _kt(spark, sf_dir).select("id", *[c.strip() for c in _COORDS.split(",")])
+    return sample_exact(kt, SAMPLE_N, SAMPLE_SEED, "id")
+
+
+@register("sample_exact", "WITH " + SQL_KAGGLE + SQL_SAMPLE + " SELECT * FROM sample")
+def q_sample_exact(spark, sf_dir):
+    return _sample(spark, sf_dir)
+
+
+@register("point_layer", "WITH " + SQL_KAGGLE + SQL_SAMPLE + """
+SELECT 'pickups' AS layer, id, pickup_latitude AS latitude, pickup_longitude AS longitude
+FROM sample
+UNION ALL
+SELECT 'dropoffs', id, dropoff_latitude, dropoff_longitude FROM sample""")
+def q_point_layer(spark, sf_dir):
+    from trip_engine.operators.frames import point_layers
+    return point_layers(_sample(spark, sf_dir))
+
+
+@register("grid_density", "WITH " + SQL_KAGGLE + """
+SELECT CAST(floor(pickup_latitude / 1e-2) AS BIGINT) AS lat_cell,
+       CAST(floor(pickup_longitude / 1e-2) AS BIGINT) AS lon_cell, count(*) AS trip_count
+FROM kt WHERE pickup_latitude IS NOT NULL AND NOT isnan(pickup_latitude)
+          AND pickup_longitude IS NOT NULL AND NOT isnan(pickup_longitude)
+GROUP BY 1, 2""")
+def q_grid_density(spark, sf_dir):
+    from trip_engine.operators.frames import grid_density
+    return grid_density(_kt(spark, sf_dir), "pickup_latitude", "pickup_longitude", 1e-2)
+
+
+# --- OP-60..63: quality --------------------------------------------------------
+@register("check_unique", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_check_unique(spark, sf_dir):
+    from trip_engine.operators.quality import check_unique
+    return check_unique(fx.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def _sql_contract(table: str, source: str, contract) -> str:
+    parts = []
+    for key, test in contract:
+        cols = [key] if isinstance(key, str) else list(key)
+        name = ",".join(cols)
+        if test == "not_null":
+            fail = f"(SELECT count(*) FROM {source} WHERE {cols[0]} IS NULL)"
+        else:
+            k = ", ".join(cols)
+            nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+            fail = (f"(SELECT count(*) FROM (SELECT {k} FROM {source} WHERE {nn} "
+                    f"GROUP BY {k} HAVING count(*) > 1))")
+        parts.append(f"SELECT '{table}' AS table_name, '{name}' AS column_name, "
+                     f"'{test}' AS test, {fail} AS failures")
+    return "SELECT *, failures = 0 AS passed FROM (" + "\nUNION ALL ".join(parts) + ")"
+
+
+def _contracts():
+    from trip_engine.operators import quality as qa
+    return qa
+
+
+@register("check_unique_composite", SQL_IMPRESSIONS + """,
+report AS (SELECT airport, hour_of_day, count(*) AS trip_count FROM pickups
+           GROUP BY airport, hour_of_day)
+""" + _sql_contract("pickups_by_hour", "report", _contracts().REPORT_BY_HOUR_CONTRACT))
+def q_check_unique_composite(spark, sf_dir):
+    qa = _contracts()
+    cube = ap.airport_cube(trips(spark, sf_dir), airport_zones(spark, sf_dir), ZONES)
+    report = ap.cube_report(cube, "pickup", "hour_of_day", ordered=False)
+    return qa.run_contract(report, qa.REPORT_BY_HOUR_CONTRACT, "pickups_by_hour")
+
+
+@register("check_not_null", "WITH " + SQL_KAGGLE + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS failures FROM kt"
+    for c in ("id", "vendor_id", "pickup_datetime", "passenger_count", "pickup_latitude",
+              "pickup_longitude", "dropoff_latitude", "dropoff_longitude",
+              "store_and_fwd_flag", "trip_duration")))
+def q_check_not_null(spark, sf_dir):
+    from trip_engine.operators.quality import check_not_null
+    return check_not_null(_kt(spark, sf_dir))
+
+
+@register("run_contract", "WITH " + SQL_TRIPS + "," + SQL_ZONES + " "
+          + _sql_contract("trips", "trips", _contracts().TRIPS_CONTRACT) + " UNION ALL "
+          + _sql_contract("zone_lookup", "zones", _contracts().ZONE_LOOKUP_CONTRACT)
+          + " UNION ALL " + _sql_contract("training_trips", "kt_ids",
+                                          _contracts().KAGGLE_TRIPS_CONTRACT).replace(
+              "kt_ids", "(SELECT 'id' || CAST(o_orderkey AS VARCHAR) AS id FROM orders)"))
+def q_run_contract(spark, sf_dir):
+    qa = _contracts()
+    return (qa.run_contract(trips(spark, sf_dir), qa.TRIPS_CONTRACT, "trips")
+            .unionByName(qa.run_contract(fx.zone_lookup(spark, sf_dir),
+                                         qa.ZONE_LOOKUP_CONTRACT, "zone_lookup"))
+            .unionByName(qa.run_contract(_kt(spark, sf_dir).select("id"),
+                                         qa.KAGGLE_TRIPS_CONTRACT, "training_trips")))
+
+
+# --- OP-28: request validation ---------------------------------------------------
+_REQ_KEYS = ("id", "vendor_id", "passenger_count", "store_and_fwd_flag", "day", "hour",
+             "month", "distance")
+@register("validate_requests", "WITH " + SQL_KAGGLE + SQL_FEATURES + """,
+reqs AS (
+  SELECT id,
+         CASE WHEN CAST(substr(id, 3) AS BIGINT) % 11 <> 0 THEN vendor_id END AS vendor_id,
+         passenger_count, coalesce(store_and_fwd_flag, 1) AS store_and_fwd_flag,
+         hour, day, month,
+         CASE WHEN CAST(substr(id, 3) AS BIGINT) % 7 <> 0 THEN distance END AS distance
+  FROM feat
+),
+why AS (
+  SELECT id, concat_ws('; ', """ + ", ".join(
+    f"CASE WHEN {k} IS NULL THEN 'Missing feature or id: {k}' END" for k in _REQ_KEYS) + """)
+    AS reasons
+  FROM reqs
+)
+SELECT id, CASE WHEN reasons = '' THEN 'accepted' ELSE 'rejected' END AS status,
+       NULLIF(reasons, '') AS reject_reason FROM why""")
+def q_validate_requests(spark, sf_dir):
+    from trip_engine.streaming.scoring import validate_requests
+    ok, bad = validate_requests(fx.scoring_requests(spark, sf_dir))
+    return (ok.select("id", F.lit("accepted").alias("status"),
+                      F.lit(None).cast("string").alias("reject_reason"))
+            .unionByName(bad.select("id", F.lit("rejected").alias("status"), "reject_reason")))
