@@ -671,3 +671,50 @@ def q_validate_requests(spark, sf_dir):
     return (ok.select("id", F.lit("accepted").alias("status"),
                       F.lit(None).cast("string").alias("reject_reason"))
             .unionByName(bad.select("id", F.lit("rejected").alias("status"), "reject_reason")))
+
+
+# --- OP-33, 71..75: model (rows-only checks) --------------------------------------
+_MODELS: dict[tuple[str, str], object] = {}
+
+
+def duration_model(spark: SparkSession, sf_dir: str):
+    """Pipeline fitted on the training trips (cached per session and input)."""
+    from trip_engine.operators.features import trip_features
+    from trip_engine.operators.model import train_duration_model
+    from trip_engine.specs import FeatureConfig
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        train = trip_features(_kt(spark, sf_dir), FeatureConfig(impute=False))
+        _MODELS[key] = train_duration_model(train)
+    return _MODELS[key]
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    """OP-73: (id, trip_duration) for every test trip, rounded (SQL model)."""
+    from trip_engine.operators.features import trip_features
+    from trip_engine.operators.model import predict_durations
+    from trip_engine.specs import FeatureConfig
+    test = trip_features(_kt(spark, sf_dir, with_label=False), FeatureConfig(impute=False))
+    return predict_durations(duration_model(spark, sf_dir), test, shape="round")
+
+
+@register("score_stream")
+def q_score_stream(spark, sf_dir):
+    """OP-06 + OP-28 + OP-74: requests written as JSON lines, scored by a
+    file-stream query (availableNow), predictions and rejects read back."""
+    import os
+    from trip_engine.session import scratch_path
+    from trip_engine.sources.requests import read_requests
+    from trip_engine.streaming.scoring import read_scored, score_stream
+    base = scratch_path(spark, "score-stream")
+    inbox = os.path.join(base, "requests")
+    fx.scoring_requests(spark, sf_dir).write.mode("overwrite").json(inbox)
+    model = duration_model(spark, sf_dir)
+    q = score_stream(read_requests(spark, inbox, streaming=True), model,
+                     os.path.join(base, "predictions"), os.path.join(base, "rejects"),
+                     os.path.join(base, "checkpoint"), available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"scoring stream failed: {q.exception()}")
+    return read_scored(spark, os.path.join(base, "predictions"), os.path.join(base, "rejects"))
