@@ -116,19 +116,19 @@ def airport_cube(trips: DataFrame, zones: DataFrame, spec: ZoneSpec = ZoneSpec()
                         hour_of_day("ts").alias("hour_of_day"),
                         day_of_week("ts").alias("day_of_week"))
                .agg(F.count(F.lit(1)).alias("trip_count")))
-    # Lookup rows no impression of a kind reached: derived from the aggregate
-    # (a few hundred rows), not from a second pass over the trips.
-    kinds = z.select("_zone_key", "airport",
-                     F.explode(F.array(F.lit("pickup"), F.lit("dropoff"))).alias("kind"))
-    missing = (kinds.join(matched.select("kind", "_zone_key").distinct(),
-                          ["kind", "_zone_key"], "left_anti")
-               .select("kind", "airport",
-                       F.lit(None).cast("int").alias("hour_of_day"),
-                       F.lit(None).cast("int").alias("day_of_week"),
-                       F.lit(1 if unmatched == "keep" else 0).cast("long").alias("trip_count")))
     if unmatched not in ("keep", "zero"):
         raise ValueError(f"unmatched must be 'keep' or 'zero', got {unmatched!r}")
-    return (matched.drop("_zone_key").unionByName(missing)
+    # Lookup rows no impression of a kind reached come from joining the
+    # lookup (x2 kinds) to the aggregate - a few hundred rows on both sides -
+    # so the trips are scanned once. n_rows keeps duplicate lookup rows exact.
+    kinds = (z.select("_zone_key", "airport",
+                      F.explode(F.array(F.lit("pickup"), F.lit("dropoff"))).alias("kind"))
+             .groupBy("kind", "_zone_key", "airport").agg(F.count(F.lit(1)).alias("_n_rows")))
+    joined = kinds.join(matched, ["kind", "_zone_key", "airport"], "left")
+    unmatched_count = F.col("_n_rows") if unmatched == "keep" else F.lit(0).cast("long")
+    return (joined
+            .select("kind", "airport", "hour_of_day", "day_of_week",
+                    F.coalesce("trip_count", unmatched_count).alias("trip_count"))
             .groupBy("kind", "airport", "hour_of_day", "day_of_week")
             .agg(F.sum("trip_count").alias("trip_count")))
 
