@@ -13,7 +13,7 @@ Z = reg.ZONES
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def _literal_right_join_report(trips, zones, kind, by):

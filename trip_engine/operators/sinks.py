@@ -39,10 +39,13 @@ def publish_table(df: DataFrame, name: str, mode: str = "overwrite",
                   comment: str | None = None,
                   column_comments: Mapping[str, str] | None = None,
                   properties: Mapping[str, str] | None = None,
+                  labels: Mapping[str, str] | None = None,
                   partition_by: Sequence[str] | None = None,
                   fmt: str = "parquet") -> None:
     """OP-83 / OP-84: table materialisation (full refresh) with table and
-    column comments and table properties (labels)."""
+    column comments and table properties. ``labels`` (owner, env, ...) are
+    stored as ``label.<name>`` properties, since some names such as
+    ``owner`` are reserved by Spark."""
     if column_comments:
         df = df.withColumns({c: F.col(c).alias(c, metadata={"comment": text})
                              for c, text in column_comments.items() if c in df.columns})
@@ -53,6 +56,7 @@ def publish_table(df: DataFrame, name: str, mode: str = "overwrite",
     spark = df.sparkSession
     if comment is not None:
         spark.sql(f"COMMENT ON TABLE {name} IS '{_quote(comment)}'")
+    properties = {**(properties or {}), **{f"label.{k}": v for k, v in (labels or {}).items()}}
     if properties:
         props = ", ".join(f"'{_quote(k)}' = '{_quote(v)}'" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
