@@ -48,3 +48,17 @@ def test_sparse_rejects_order(spark):
     ev = fx.table(spark, SF_SMALL, "events")
     with pytest.raises(ValueError):
         add_row_id(ev, "sparse", order_by=["ts"])
+
+
+def test_dense_ordered_hot_key_is_split(spark):
+    # a third of the rows share one order value: still spread over partitions
+    from pyspark.sql import functions as F
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"), "id")
+    out = add_row_id(df, "dense", order_by=["k"], col="rid", num_partitions=6)
+    per_part = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in per_part) < 1000
+    ids = sorted(r.rid for r in out.collect())
+    assert ids == list(range(1, 3001))
+    ks = [r.k for r in out.orderBy("rid").collect()]
+    assert ks == sorted(ks)

@@ -43,7 +43,12 @@ def add_row_id(df: DataFrame, mode: str = "sparse", order_by: Sequence[str] | No
     ensure_checkpoint_dir(spark)
     if order_by:
         n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+        # The input position breaks ties, so a value shared by a large part of
+        # the rows is still split over several range partitions (and equal
+        # keys keep their input order).
+        keys = [*order_by, "_tie"]
+        df = (df.withColumn("_tie", F.monotonically_increasing_id())
+              .repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_tie"))
     pinned = df.checkpoint(eager=True)
     part = F.spark_partition_id()
     tagged = pinned.withColumns({
