@@ -4,7 +4,8 @@
 from _common import parser, session
 
 
-def main(argv=None):
+def main(argv=None, spark=None):
+    """Run the job; a passed-in session is used and left running."""
     p = parser("Airport pickups/dropoffs reports")
     p.add_argument("--ride-hailing", required=True)
     p.add_argument("--green", required=True)
@@ -17,10 +18,12 @@ def main(argv=None):
     from trip_engine.plans import airport_insights
     from trip_engine.specs import ZoneSpec
     spec = ZoneSpec(names=tuple(a.zones)) if a.zones else ZoneSpec()
-    spark = session("airport-insights", a.master)
+    own = spark is None
+    spark = spark or session("airport-insights", a.master)
     airport_insights.run(spark, a.ride_hailing, a.green, a.yellow, a.zone_lookup, a.output,
                          spec, a.unmatched)
-    spark.stop()
+    if own:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -4,7 +4,8 @@
 from _common import parser, session
 
 
-def main(argv=None):
+def main(argv=None, spark=None):
+    """Run the job; a passed-in session is used and left running."""
     p = parser("Continuous trip-duration scoring of JSON requests")
     p.add_argument("--requests", required=True)
     p.add_argument("--model", required=True)
@@ -18,12 +19,14 @@ def main(argv=None):
     from trip_engine.operators.model import load_model
     from trip_engine.sources.requests import read_requests
     from trip_engine.streaming.scoring import score_stream
-    spark = session("score-stream", a.master)
+    own = spark is None
+    spark = spark or session("score-stream", a.master)
     q = score_stream(read_requests(spark, a.requests, streaming=True), load_model(a.model),
                      a.output, a.rejects, a.checkpoint, a.shape, a.available_now,
                      None if a.available_now else a.every)
     q.awaitTermination()
-    spark.stop()
+    if own:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -3,7 +3,8 @@
 from _common import parser, session
 
 
-def main(argv=None):
+def main(argv=None, spark=None):
+    """Run the job; a passed-in session is used and left running."""
     p = parser("Train the duration model and predict the test trips")
     p.add_argument("--train", required=True)
     p.add_argument("--test", required=True)
@@ -14,10 +15,12 @@ def main(argv=None):
     a = p.parse_args(argv)
     from trip_engine.plans import trip_duration
     from trip_engine.specs import FeatureConfig
-    spark = session("trip-duration", a.master)
+    own = spark is None
+    spark = spark or session("trip-duration", a.master)
     trip_duration.run(spark, a.train, a.test, a.output, FeatureConfig(unit=a.unit, impute=False),
                       a.shape, a.audit_table)
-    spark.stop()
+    if own:
+        spark.stop()
 
 
 if __name__ == "__main__":

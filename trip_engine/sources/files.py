@@ -18,12 +18,25 @@ def read_trips(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              header: bool = True) -> DataFrame:
-    """OP-02: CSV with a header. A declared schema avoids the extra inference
-    pass over the files; without one the types are inferred."""
+    """OP-02: CSV with a header.
+
+    Without ``schema`` the types are inferred (an extra pass over the files).
+    With a declared schema the columns are bound *by header name* (Spark's
+    CSV reader would bind a schema by position) and typed with ``try_cast``;
+    declared columns absent from the file come back as NULL, so a test file
+    without the label reads with the training schema's other fields."""
     reader = spark.read.option("header", header)
-    if schema is not None:
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if not header:
         return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", True).csv(path)
+    text = reader.csv(path)
+    return text.select(*[
+        (F.col(f.name).try_cast(f.dataType) if f.name in text.columns
+         else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields])
 
 
 ZONE_LOOKUP_COLUMNS = ("LocationID", "Borough", "Zone", "service_zone")
