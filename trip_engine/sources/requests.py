@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 # Declared request schema: fields bind by name, and an integer JSON value for
@@ -19,6 +20,15 @@ REQUEST_SCHEMA = StructType([
 ])
 
 
+def parse_requests(df: DataFrame, value_col: str = "value",
+                   schema: StructType = REQUEST_SCHEMA) -> DataFrame:
+    """Requests carried as JSON text in one column (e.g. a Kafka ``value``
+    cast to string), parsed by name with the declared schema. A record that
+    is not JSON becomes all-NULL fields and is rejected downstream."""
+    parsed = F.from_json(F.col(value_col).cast("string"), schema)
+    return df.select(parsed.alias("_r")).select("_r.*")
+
+
 def read_requests(spark: SparkSession, path: str, streaming: bool = False,
                   schema: StructType = REQUEST_SCHEMA,
                   max_files_per_trigger: int | None = None) -> DataFrame:
