@@ -53,12 +53,19 @@ def train_duration_model(train: DataFrame, features=MODEL_FEATURES, label: str =
                          seed: int = DEFAULT_SEED, **params) -> PipelineModel:
     """OP-72: fit the pipeline on the training feature frame.
 
-    The frame is persisted around ``fit`` (boosting reads it once per tree
-    level) and released afterwards; rows without a label cannot train."""
+    The frame is spread over at least all task slots and persisted around
+    ``fit`` (boosting reads it once per tree level), then released; rows
+    without a label cannot train."""
     missing = [c for c in [*features, label] if c not in train.columns]
     if missing:
         raise ValueError(f"training frame lacks columns {missing}")
-    data = train.filter(F.col(label).isNotNull()).persist()
+    data = train.filter(F.col(label).isNotNull())
+    # Boosting makes many passes; fewer input partitions than task slots
+    # (a handful of large files) would leave cores idle on every pass.
+    slots = train.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < slots:
+        data = data.repartition(slots)
+    data = data.persist()
     try:
         return build_pipeline(features, label, seed, **params).fit(data)
     finally:
