@@ -718,3 +718,25 @@ def q_score_stream(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(f"scoring stream failed: {q.exception()}")
     return read_scored(spark, os.path.join(base, "predictions"), os.path.join(base, "rejects"))
+
+
+# --- OP-27 equality slice, OP-48 column mean ------------------------------------
+@register("airport_slice", SQL_IMPRESSIONS + """
+SELECT airport, day_of_week, count(*) AS trip_count FROM alls
+WHERE airport = 'NATION_7' GROUP BY airport, day_of_week""")
+def q_airport_slice(spark, sf_dir):
+    """One airport's series of the combined weekday report (a chart input)."""
+    from trip_engine.operators.filters import slice_equal
+    cube = ap.airport_cube(trips(spark, sf_dir), airport_zones(spark, sf_dir), ZONES)
+    return slice_equal(ap.cube_report(cube, "all", "day_of_week", ordered=False),
+                       "airport", "NATION_7")
+
+
+@register("distance_mean", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+SELECT round(m, 6) AS mean_distance, (SELECT count(*) FROM base WHERE distance IS NULL)
+       AS missing FROM mean""")
+def q_distance_mean(spark, sf_dir):
+    from trip_engine.operators.features import base_features, column_mean
+    b = base_features(_kt(spark, sf_dir))
+    return b.agg(F.count_if(F.col("distance").isNull()).alias("missing")).select(
+        F.round(column_mean(b, "distance"), 6).alias("mean_distance"), "missing")
