@@ -58,3 +58,12 @@ def test_query_matches_oracle(spark, con, name):
     ours = ent.queries()[name](spark, SF_SMOKE).toPandas()
     theirs = con.execute(ent.oracle_sql()[name]).df()
     assert _rows(ours) == _rows(theirs)
+
+
+@pytest.mark.parametrize("name", sorted(set(ent.queries()) - {"score_stream", "score_batch"}))
+def test_no_python_evaluation_in_plans(spark, name):
+    from trip_engine.plans.inspect import plan_text
+    plan = plan_text(ent.queries()[name](spark, SF_SMOKE), "extended")
+    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas",
+                 "FlatMapGroupsInPandas"):
+        assert node not in plan, (name, node)

@@ -43,8 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (local tests) a scratch folder is
-    created and registered.
+    used as is (a cluster without it is an error: a machine-local folder
+    would not survive an executor loss). Only a local-mode session without
+    it (tests) gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="trip-engine-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
