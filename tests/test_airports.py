@@ -58,9 +58,10 @@ def test_cube_rollups_equal_six_reports(spark):
 
 def test_broadcast_fallback_same_answer(spark):
     t, z = reg.trips(spark, SF_SMOKE), reg.airport_zones(spark, SF_SMOKE)
-    a = ap.airport_report(ap.zone_impressions(t, z, "dropoff", Z, broadcast=True), "hour_of_day")
-    b = ap.airport_report(ap.zone_impressions(t, z, "dropoff", Z, broadcast=False), "hour_of_day")
-    assert _rows(a) == _rows(b)
+    for kind in ("dropoff", "all"):
+        a = ap.airport_report(ap.zone_impressions(t, z, kind, Z, broadcast=True), "hour_of_day")
+        b = ap.airport_report(ap.zone_impressions(t, z, kind, Z, broadcast=False), "hour_of_day")
+        assert _rows(a) == _rows(b)
     c1 = ap.airport_cube(t, z, Z, broadcast=True)
     c2 = ap.airport_cube(t, z, Z, broadcast=False)
     assert _rows(c1) == _rows(c2)
@@ -92,6 +93,18 @@ def test_cube_plan_single_scan_no_trip_shuffle(spark):
             assert "HashAggregate" in lines[i + 1], plan
 
 
+def test_all_impressions_single_scan(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = physical_plan(reg.impressions(spark, SF_SMALL, "all"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # one full scan per source for the rows, one narrow key scan for the
+    # zones without trips - not one pass per kind
+    assert plan.count("lineitem.parquet") == 6, plan
+    assert "SortMergeJoin" not in plan
+
+
 def test_lookup_filter_pushed_to_scan(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

@@ -32,39 +32,70 @@ def _broadcastable(zones: DataFrame, spec: ZoneSpec) -> bool:
     return fits_broadcast(zones, spec.max_broadcast_rows)
 
 
+def _kinds(kind: str) -> list[str]:
+    if kind == "all":
+        return list(KINDS)
+    if kind not in KINDS:
+        raise ValueError(f"kind must be 'pickup', 'dropoff' or 'all', got {kind!r}")
+    return [kind]
+
+
+def _as_impressions(trips: DataFrame, kinds: list[str], keep: list[str],
+                    with_payload: bool = True) -> DataFrame:
+    """(_kind, _loc[, impression_datetime, kept columns, source]) per trip and
+    kind; several kinds come from one generator, i.e. one scan."""
+    def cols(k):
+        ts, loc = KINDS[k]
+        out = [F.lit(k).alias("_kind"), F.col(loc).alias("_loc")]
+        if with_payload:
+            out += [F.col(ts).alias("impression_datetime"), *[F.col(c) for c in keep],
+                    F.col("source")]
+        return out
+    if len(kinds) == 1:
+        return trips.select(*cols(kinds[0]))
+    return trips.select(F.inline(F.array(*[F.struct(*cols(k)) for k in kinds])))
+
+
 def zone_impressions(trips: DataFrame, zones: DataFrame, kind: str = "pickup",
                      spec: ZoneSpec = ZoneSpec(), broadcast: bool | None = None) -> DataFrame:
-    """OP-30 / OP-31: one row per trip touching a selected zone, plus one
-    all-NULL row (airport set) per zone without trips.
+    """OP-30 / OP-31 / OP-51: one row per trip starting ('pickup') or ending
+    ('dropoff') in a selected zone - or both kinds, 'all' - plus one row with
+    NULL trip fields per zone (and kind) without trips.
 
     Output: [id,] impression_datetime, source, airport, hour_of_day, day_of_week.
-    ``zones`` should already be filtered to the zones of interest (OP-25)."""
-    ts_col, loc_col = KINDS[kind]
+    ``zones`` should already be filtered to the zones of interest (OP-25).
+    'all' reads the trips once for both kinds (a generator, not a union of
+    two scans)."""
+    kinds = _kinds(kind)
     z = _zones(zones, spec)
     keep = (["id"] if "id" in trips.columns else [])
+    imp = _as_impressions(trips, kinds, keep)
     if broadcast is None:
         broadcast = _broadcastable(zones, spec)
     if not broadcast:
-        # Lookup too large to ship: the literal right join (both sides shuffle).
-        joined = trips.join(z, trips[loc_col] == z["_zone_key"], "right")
-        return _impression_columns(joined, keep, ts_col)
-    zb = F.broadcast(z)
-    matched = trips.join(zb, trips[loc_col] == zb["_zone_key"], "inner")
-    seen = (trips.select(F.col(loc_col).alias("_zone_key"))
-            .join(F.broadcast(z.select("_zone_key")), "_zone_key", "left_semi")
-            .distinct())
-    unmatched = z.join(seen, "_zone_key", "left_anti")
-    for c in keep + [ts_col, "source"]:
-        unmatched = unmatched.withColumn(c, F.lit(None).cast(trips.schema[c].dataType))
-    rows = _impression_columns(matched, keep, ts_col).unionByName(
-        _impression_columns(unmatched, keep, ts_col))
-    return rows
-
-
-def _impression_columns(df: DataFrame, keep: list[str], ts_col: str) -> DataFrame:
-    return df.select(*keep, F.col(ts_col).alias("impression_datetime"), "source", "airport",
-                     hour_of_day(ts_col).alias("hour_of_day"),
-                     day_of_week(ts_col).alias("day_of_week"))
+        # Lookup too large to ship: the literal right join per kind (shuffles).
+        parts = [_as_impressions(trips, [k], keep).join(z, F.col("_loc") == z["_zone_key"], "right")
+                 for k in kinds]
+        joined = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return _impression_columns(joined, keep)
+    matched = imp.join(F.broadcast(z), F.col("_loc") == F.col("_zone_key"), "inner")
+    # (kind, zone) pairs some trip reached: one narrow pass over the key columns
+    seen = (_as_impressions(trips, kinds, keep, with_payload=False)
+            .join(F.broadcast(z.select(F.col("_zone_key").alias("_loc"))), "_loc", "left_semi")
+            .select("_kind", F.col("_loc").alias("_zone_key")).distinct())
+    wanted = z.select("_zone_key", "airport",
+                      F.explode(F.array(*[F.lit(k) for k in kinds])).alias("_kind"))
+    unmatched = wanted.join(seen, ["_kind", "_zone_key"], "left_anti")
+    types = dict(imp.dtypes)
+    for c in ["impression_datetime", *keep, "source"]:
+        unmatched = unmatched.withColumn(c, F.lit(None).cast(types[c]))
+    return _impression_columns(matched, keep).unionByName(_impression_columns(unmatched, keep))
+
+
+def _impression_columns(df: DataFrame, keep: list[str]) -> DataFrame:
+    ts = F.col("impression_datetime")
+    return df.select(*keep, ts, "source", "airport", hour_of_day(ts).alias("hour_of_day"),
+                     day_of_week(ts).alias("day_of_week"))
 
 
 def airport_trips(pickups: DataFrame, dropoffs: DataFrame) -> DataFrame:

@@ -54,9 +54,6 @@ def airport_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impressions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     t, z = trips(spark, sf_dir), airport_zones(spark, sf_dir)
-    if kind == "all":
-        return ap.airport_trips(ap.zone_impressions(t, z, "pickup", ZONES),
-                                ap.zone_impressions(t, z, "dropoff", ZONES))
     return ap.zone_impressions(t, z, kind, ZONES)
 
 
