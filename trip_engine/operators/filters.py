@@ -18,6 +18,18 @@ def select_zones(lookup: DataFrame, names: Iterable[str] | None = None,
     return lookup.filter(F.col(spec.name).isin(wanted))
 
 
+def trips_in_zones(trips: DataFrame, zones: DataFrame, loc_col: str = "PULocationID",
+                   spec: ZoneSpec = ZoneSpec()) -> DataFrame:
+    """OP-25 applied to trips: keep trips whose ``loc_col`` is a key of the
+    (already selected) zones. A semi join against the size-checked lookup
+    keys, broadcast, so trips are filtered where they are read."""
+    from trip_engine.plans.broadcast import fits_broadcast
+    keys = zones.select(F.col(spec.key).alias("_zone_key")).distinct()
+    if fits_broadcast(keys, spec.max_broadcast_rows):
+        keys = F.broadcast(keys)
+    return trips.join(keys, trips[loc_col] == keys["_zone_key"], "left_semi")
+
+
 def _as_date(d: str | dt.date) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(d)
 

@@ -123,9 +123,14 @@ def q_consolidated_trips(spark, sf_dir):
 
 
 # --- OP-25, 27 ---------------------------------------------------------------
-@register("zone_filter", "WITH " + SQL_ZONES + " SELECT * FROM airports")
+@register("zone_filter", "WITH " + SQL_TRIPS + "," + SQL_ZONES + """
+SELECT strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') AS pickup_datetime, PULocationID, source
+FROM trips WHERE PULocationID IN (SELECT LocationID FROM airports)""")
 def q_zone_filter(spark, sf_dir):
-    return airport_zones(spark, sf_dir)
+    """Lookup rows selected by zone name, then the trips starting there."""
+    from trip_engine.operators.filters import trips_in_zones
+    t = trips_in_zones(trips(spark, sf_dir), airport_zones(spark, sf_dir), "PULocationID", ZONES)
+    return _ts_text(t.select("pickup_datetime", "PULocationID", "source"), "pickup_datetime")
 
 
 # --- OP-13, 18, 30, 31, 51 ---------------------------------------------------
