@@ -72,3 +72,22 @@ def test_training_frame_missing_columns(spark):
     df = spark.createDataFrame([(1, 2.0)], "vendor_id int, trip_duration double")
     with pytest.raises(ValueError):
         train_duration_model(df)
+
+
+def test_assembler_invalid_modes(spark):
+    """OP-71: with imputers every row is scored; without them 'skip' drops
+    rows with a NULL feature and 'error' refuses them (boosted trees reject
+    NaN, so 'keep' is only safe behind the imputers)."""
+    rows = [(f"id{i}", i % 3, float(i % 7), float(10 + i % 5)) for i in range(60)]
+    rows.append(("idnull", 1, None, 12.0))
+    df = spark.createDataFrame(rows, "id string, a int, b double, trip_duration double")
+    kept = build_pipeline(features=("a", "b"), impute=("b",), mode_impute=("a",),
+                          max_iter=2, max_depth=2).fit(df)
+    assert kept.transform(df).count() == 61
+    skip = build_pipeline(features=("a", "b"), impute=(), mode_impute=(), handle_invalid="skip",
+                          max_iter=2, max_depth=2).fit(df)
+    assert skip.transform(df).count() == 60
+    err = build_pipeline(features=("a", "b"), impute=(), mode_impute=(), handle_invalid="error",
+                         max_iter=2, max_depth=2)
+    with pytest.raises(Exception):
+        err.fit(df).transform(df).collect()

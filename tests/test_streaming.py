@@ -65,3 +65,19 @@ def test_fields_bind_by_name_and_int_distance(spark, model, tmp_dir):
     assert out["a"].status == "accepted" and out["a"].predicted_trip_duration > 0
     assert out["b"].status == "rejected"
     assert out["b"].reject_reason == "Missing feature or id: distance"
+
+
+def test_score_stream_cli(spark, model, tmp_dir):
+    import sys
+    from conftest import ROOT
+    from trip_engine.operators.model import save_model
+    sys.path.insert(0, os.path.join(ROOT, "jobs"))
+    import score_stream as job
+    save_model(model, os.path.join(tmp_dir, "model"))
+    reqs = fx.scoring_requests(spark, SF_SMOKE)
+    reqs.write.json(os.path.join(tmp_dir, "in"))
+    job.main(["--requests", os.path.join(tmp_dir, "in"), "--model", os.path.join(tmp_dir, "model"),
+              "--output", os.path.join(tmp_dir, "out"), "--rejects", os.path.join(tmp_dir, "rej"),
+              "--checkpoint", os.path.join(tmp_dir, "ck"), "--available-now"], spark=spark)
+    out = read_scored(spark, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "rej"))
+    assert out.count() == reqs.count()

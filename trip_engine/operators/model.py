@@ -27,20 +27,28 @@ DEFAULT_SEED = 42
 
 def build_pipeline(features=MODEL_FEATURES, label: str = LABEL, seed: int = DEFAULT_SEED,
                    max_iter: int = 20, max_depth: int = 5, handle_invalid: str = "keep",
-                   impute=("distance",), mode_impute=("store_and_fwd_flag",)) -> Pipeline:
+                   impute=("distance",),
+                   mode_impute=("vendor_id", "passenger_count", "store_and_fwd_flag",
+                                "day", "hour", "month")) -> Pipeline:
     """Imputer(s) -> VectorAssembler -> GBTRegressor (library defaults: 20
     trees of depth 5, as the original model; the seed is fixed because
-    PySpark's default seed depends on the class name hash)."""
+    PySpark's default seed depends on the class name hash).
+
+    Missing distances take the training mean, other missing features the
+    training mode, so no row reaches the trees with a NaN (which boosted
+    trees reject) and every request gets a prediction."""
     check_features(FeatureConfig(features=tuple(features), label=label))
     stages = []
     cols = list(features)
+    mode_impute = [c for c in (mode_impute or ()) if c in cols]
+    impute = [c for c in (impute or ()) if c in cols]
     if impute:
         stages.append(Imputer(strategy="mean", inputCols=list(impute),
                               outputCols=[f"{c}_filled" for c in impute]))
     if mode_impute:
         stages.append(Imputer(strategy="mode", inputCols=list(mode_impute),
                               outputCols=[f"{c}_filled" for c in mode_impute]))
-    filled = set(impute or ()) | set(mode_impute or ())
+    filled = set(impute) | set(mode_impute)
     cols = [f"{c}_filled" if c in filled else c for c in cols]
     stages.append(VectorAssembler(inputCols=cols, outputCol="features",
                                   handleInvalid=handle_invalid))
