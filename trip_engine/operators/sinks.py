@@ -22,8 +22,10 @@ def write_report(df: DataFrame, path: str, order_by: Sequence[str], header: bool
 def write_predictions(df: DataFrame, path: str, single_file: bool = False,
                       header: bool = True, mode: str = "overwrite") -> None:
     """OP-81: prediction CSV with a header. Row-level output stays split in
-    parallel files unless one file is explicitly asked for."""
-    out = df.coalesce(1) if single_file else df
+    parallel files unless one file is explicitly asked for; then only the
+    write runs in one task (``repartition(1)``: scoring upstream stays
+    parallel, which ``coalesce(1)`` would collapse into the same task)."""
+    out = df.repartition(1) if single_file else df
     out.write.mode(mode).option("header", header).csv(path)
 
 
