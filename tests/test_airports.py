@@ -127,3 +127,32 @@ def test_consolidate_by_name(spark):
     assert [(r.PULocationID, r.source) for r in rows] == [(1, "green"), (3, "yellow")]
     with pytest.raises(ValueError):
         conform(g, YELLOW)
+
+
+def test_empty_trips_keep_every_zone(spark):
+    t = reg.trips(spark, SF_SMOKE).limit(0)
+    z = reg.airport_zones(spark, SF_SMOKE)
+    cube = ap.airport_cube(t, z, Z).collect()
+    assert sorted((r.kind, r.airport, r.trip_count) for r in cube) == sorted(
+        (k, a, 1) for k in ("pickup", "dropoff") for a in fx_zones())
+    zero = ap.airport_cube(t, z, Z, unmatched="zero").collect()
+    assert all(r.trip_count == 0 and r.hour_of_day is None for r in zero)
+    imp = ap.zone_impressions(t, z, "all", Z).collect()
+    assert len(imp) == 6 and all(r.source is None for r in imp)
+
+
+def fx_zones():
+    from trip_engine import fixtures as fx
+    return fx.FIXTURE_ZONES
+
+
+def test_duplicate_lookup_rows_count_like_right_join(spark):
+    t = reg.trips(spark, SF_SMOKE)
+    z = reg.airport_zones(spark, SF_SMOKE)
+    dup = z.unionByName(z.filter(F.col("Zone") == "NATION_22"))  # an unmatched zone twice
+    cube = {(r.kind, r.airport, r.hour_of_day): r.trip_count
+            for r in ap.airport_cube(t, dup, Z).collect()}
+    assert cube[("pickup", "NATION_22", None)] == 2
+    lit = {(r.airport, r.hour_of_day): r.trip_count
+           for r in _literal_right_join_report(t, dup, "pickup", "hour_of_day").collect()}
+    assert lit[("NATION_22", None)] == 2
