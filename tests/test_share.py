@@ -61,3 +61,12 @@ def test_day_range_pushed_to_scan(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     scan = [ln for ln in plan.splitlines() if "events.parquet" in ln][0]
     assert "GreaterThanOrEqual(ts,2024-01-03" in scan and "LessThan(ts,2024-01-29" in scan
+
+
+def test_display_names(spark):
+    from trip_engine.operators.share import with_display_names
+    r = fx.ride_requests(spark, SF_SMALL)
+    s = with_display_names(market_share(r, first="2024-01-03", last="2024-01-04"))
+    assert s.columns == ["Trip Date", "Ride Hailing Service", "Trip Count", "Total Trip Count",
+                         "Trip percentage for the day"]
+    assert {x["Trip Date"] for x in s.collect()} == {"2024-01-03", "2024-01-04"}

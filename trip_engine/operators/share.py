@@ -15,6 +15,19 @@ from trip_engine.specs import SERVICE_NAMES
 
 SHARE_COLUMNS = ("trip_date", "service", "trip_count", "total_trip_count", "trip_percentage")
 
+# --- fixed values: the display names of the original chart frame -------------
+DISPLAY_NAMES = {"trip_date": "Trip Date", "service": "Ride Hailing Service",
+                 "trip_count": "Trip Count", "total_trip_count": "Total Trip Count",
+                 "trip_percentage": "Trip percentage for the day"}
+# ---------------------------------------------------------------------------
+
+
+def with_display_names(share: DataFrame) -> DataFrame:
+    """The share frame under the original display column names, the day as
+    'yyyy-MM-dd' text (for chart code written against those names)."""
+    out = share.withColumn("trip_date", F.date_format("trip_date", "yyyy-MM-dd"))
+    return out.withColumnsRenamed({k: v for k, v in DISPLAY_NAMES.items() if k in out.columns})
+
 
 def service_days(df: DataFrame, ts: str = "request_datetime", code: str = "hvfhs_license_num",
                  mapping: Mapping[str, str] = SERVICE_NAMES, first=None, last=None) -> DataFrame:
