@@ -15,6 +15,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # coalesce small shuffle partitions to the advisory size (64 MB) instead
+    # of keeping one per core: aggregated shuffles here are tiny
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
