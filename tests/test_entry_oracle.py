@@ -67,3 +67,22 @@ def test_no_python_evaluation_in_plans(spark, name):
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas",
                  "FlatMapGroupsInPandas"):
         assert node not in plan, (name, node)
+
+
+@pytest.mark.parametrize("name", ["market_share", "grid_density", "check_unique",
+                                  "consolidated_trips", "airport_cube", "check_not_null",
+                                  "run_contract", "airport_trips_by_weekday"])
+def test_aggregates_shuffle_only_partial_results(spark, name):
+    """Plan shape: every hash exchange sits directly on an aggregate, i.e.
+    raw rows are never shuffled before map-side combining."""
+    from trip_engine.plans.inspect import physical_plan
+    spark.catalog.clearCache()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = physical_plan(ent.queries()[name](spark, SF_SMOKE))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            assert "HashAggregate" in lines[i + 1], (name, plan)
