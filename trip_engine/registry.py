@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from trip_engine import fixtures as fx
 from trip_engine.operators import airports as ap
+from trip_engine.operators import quality as qa
 from trip_engine.operators.filters import select_zones
 from trip_engine.sources.adapters import conform, consolidate
 from trip_engine.specs import GREEN, RIDE_HAILING, YELLOW, ZoneSpec
@@ -606,17 +607,11 @@ def _sql_contract(table: str, source: str, contract) -> str:
     return "SELECT *, failures = 0 AS passed FROM (" + "\nUNION ALL ".join(parts) + ")"
 
 
-def _contracts():
-    from trip_engine.operators import quality as qa
-    return qa
-
-
 @register("check_unique_composite", SQL_IMPRESSIONS + """,
 report AS (SELECT airport, hour_of_day, count(*) AS trip_count FROM pickups
            GROUP BY airport, hour_of_day)
-""" + _sql_contract("pickups_by_hour", "report", _contracts().REPORT_BY_HOUR_CONTRACT))
+""" + _sql_contract("pickups_by_hour", "report", qa.REPORT_BY_HOUR_CONTRACT))
 def q_check_unique_composite(spark, sf_dir):
-    qa = _contracts()
     cube = ap.airport_cube(trips(spark, sf_dir), airport_zones(spark, sf_dir), ZONES)
     report = ap.cube_report(cube, "pickup", "hour_of_day", ordered=False)
     return qa.run_contract(report, qa.REPORT_BY_HOUR_CONTRACT, "pickups_by_hour")
@@ -633,13 +628,12 @@ def q_check_not_null(spark, sf_dir):
 
 
 @register("run_contract", "WITH " + SQL_TRIPS + "," + SQL_ZONES + " "
-          + _sql_contract("trips", "trips", _contracts().TRIPS_CONTRACT) + " UNION ALL "
-          + _sql_contract("zone_lookup", "zones", _contracts().ZONE_LOOKUP_CONTRACT)
+          + _sql_contract("trips", "trips", qa.TRIPS_CONTRACT) + " UNION ALL "
+          + _sql_contract("zone_lookup", "zones", qa.ZONE_LOOKUP_CONTRACT)
           + " UNION ALL " + _sql_contract("training_trips", "kt_ids",
-                                          _contracts().KAGGLE_TRIPS_CONTRACT).replace(
+                                          qa.KAGGLE_TRIPS_CONTRACT).replace(
               "kt_ids", "(SELECT 'id' || CAST(o_orderkey AS VARCHAR) AS id FROM orders)"))
 def q_run_contract(spark, sf_dir):
-    qa = _contracts()
     return (qa.run_contract(trips(spark, sf_dir), qa.TRIPS_CONTRACT, "trips")
             .unionByName(qa.run_contract(fx.zone_lookup(spark, sf_dir),
                                          qa.ZONE_LOOKUP_CONTRACT, "zone_lookup"))
