@@ -31,9 +31,10 @@ def test_beats_mean_predictor(spark, fitted):
     base = train.agg(F.sqrt(F.avg(F.pow(F.col("trip_duration") - F.lit(mean), 2)))).first()[0]
     err = rmse(preds, train)
     assert err < 0.5 * base
-    logs = preds.join(train.select("id", F.col("trip_duration").alias("t")), "id").agg(
-        F.sqrt(F.avg(F.pow(F.log1p("trip_duration") - F.log1p("t"), 2)))).first()[0]
-    assert math.isfinite(logs)
+    joined = preds.join(train.select("id", F.col("trip_duration").alias("t")), "id")
+    rmsle = joined.agg(F.sqrt(F.avg(F.pow(F.log1p("trip_duration") - F.log1p("t"), 2)))).first()[0]
+    base_rmsle = joined.agg(F.sqrt(F.avg(F.pow(F.log1p(F.lit(mean)) - F.log1p("t"), 2)))).first()[0]
+    assert math.isfinite(rmsle) and rmsle < base_rmsle
 
 
 def test_every_test_row_gets_prediction(spark, fitted):
