@@ -83,13 +83,13 @@ def main():
         _noop(densify_days(s, "2023-12-29", "2024-02-02"))
 
     def features():
-        _noop(trip_features(fx.kaggle_trips(spark, sf)))
+        _noop(trip_features(fx.duration_trips(spark, sf)))
 
     def sample():
-        _noop(sample_exact(fx.kaggle_trips(spark, sf), 1000, 42, "id"))
+        _noop(sample_exact(fx.duration_trips(spark, sf), 1000, 42, "id"))
 
     def density():
-        _noop(grid_density(fx.kaggle_trips(spark, sf), "pickup_latitude", "pickup_longitude"))
+        _noop(grid_density(fx.duration_trips(spark, sf), "pickup_latitude", "pickup_longitude"))
 
     def contract():
         _noop(run_contract(reg.trips(spark, sf), TRIPS_CONTRACT, "trips"))
@@ -121,11 +121,11 @@ def main():
         results[name] = round(statistics.median(times), 3)
 
     cfg = FeatureConfig(impute=False)
-    train = trip_features(fx.kaggle_trips(spark, sf), cfg)
+    train = trip_features(fx.duration_trips(spark, sf), cfg)
     t0 = time.perf_counter()
     model = train_duration_model(train)
     results["gbt_fit"] = round(time.perf_counter() - t0, 3)
-    test = trip_features(fx.kaggle_trips(spark, sf, with_label=False), cfg)
+    test = trip_features(fx.duration_trips(spark, sf, with_label=False), cfg)
     _noop(predict_durations(model, test))  # warm-up
     times = []
     for _ in range(RUNS):

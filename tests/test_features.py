@@ -10,7 +10,7 @@ from trip_engine.specs import FeatureConfig
 
 
 def test_label_in_features_refused(spark):
-    kt = fx.kaggle_trips(spark, SF_SMALL)
+    kt = fx.duration_trips(spark, SF_SMALL)
     with pytest.raises(ValueError):
         trip_features(kt, FeatureConfig(features=("vendor_id", "trip_duration")))
     with pytest.raises(ValueError):
@@ -18,8 +18,8 @@ def test_label_in_features_refused(spark):
 
 
 def test_train_and_test_frames(spark):
-    train = trip_features(fx.kaggle_trips(spark, SF_SMALL))
-    test = trip_features(fx.kaggle_trips(spark, SF_SMALL, with_label=False))
+    train = trip_features(fx.duration_trips(spark, SF_SMALL))
+    test = trip_features(fx.duration_trips(spark, SF_SMALL, with_label=False))
     assert train.columns == ["id", "vendor_id", "passenger_count", "store_and_fwd_flag", "day",
                              "hour", "month", "distance", "trip_duration"]
     assert test.columns == train.columns[:-1]
@@ -43,7 +43,7 @@ def test_impute_all_missing_stays_null(spark):
 
 
 def test_flag_batch_mode(spark):
-    kt = fx.kaggle_trips(spark, SF_SMALL)
+    kt = fx.duration_trips(spark, SF_SMALL)
     f = trip_features(kt, FeatureConfig(flag_unknown=1))
     assert f.filter(F.col("store_and_fwd_flag").isNull()).count() == 0
     g = trip_features(kt)

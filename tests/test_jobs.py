@@ -17,8 +17,8 @@ sys.path.insert(0, os.path.join(ROOT, "jobs"))
 def test_trip_duration_job(spark, tmp_dir):
     train = os.path.join(tmp_dir, "train")
     test = os.path.join(tmp_dir, "test")
-    fx.kaggle_trips(spark, SF_SMOKE).write.option("header", True).csv(train)
-    fx.kaggle_trips(spark, SF_SMOKE, with_label=False).write.option("header", True).csv(test)
+    fx.duration_trips(spark, SF_SMOKE).write.option("header", True).csv(train)
+    fx.duration_trips(spark, SF_SMOKE, with_label=False).write.option("header", True).csv(test)
     out = os.path.join(tmp_dir, "out")
     preds = trip_duration.run(spark, train, test, out, max_iter=4, max_depth=3,
                               audit_table="job_audit")
@@ -41,7 +41,7 @@ def test_market_share_job(spark, tmp_dir):
 
 def test_map_layers_job(spark, tmp_dir):
     src = os.path.join(tmp_dir, "train")
-    fx.kaggle_trips(spark, SF_SMOKE).write.option("header", True).csv(src)
+    fx.duration_trips(spark, SF_SMOKE).write.option("header", True).csv(src)
     out = map_layers.run(spark, src, os.path.join(tmp_dir, "out"), n=200, seed=42)
     assert out["points"].count() == 400
     dens = spark.read.parquet(os.path.join(tmp_dir, "out", "pickup_density"))

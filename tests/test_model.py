@@ -19,7 +19,7 @@ CFG = FeatureConfig(impute=False)
 
 @pytest.fixture(scope="module")
 def fitted(spark):
-    train = trip_features(fx.kaggle_trips(spark, SF_SMOKE), CFG)
+    train = trip_features(fx.duration_trips(spark, SF_SMOKE), CFG)
     model = train_duration_model(train, max_iter=8, max_depth=4)
     return train, model
 
@@ -39,7 +39,7 @@ def test_beats_mean_predictor(spark, fitted):
 
 def test_every_test_row_gets_prediction(spark, fitted):
     _, model = fitted
-    test = trip_features(fx.kaggle_trips(spark, SF_SMOKE, with_label=False), CFG)
+    test = trip_features(fx.duration_trips(spark, SF_SMOKE, with_label=False), CFG)
     preds = predict_durations(model, test)
     assert preds.count() == test.count()
     assert preds.filter(F.col("trip_duration").isNull()).count() == 0

@@ -20,7 +20,7 @@ def test_unique_fails_with_surplus(spark):
 
 def test_not_null_counts(spark):
     got = {r.column_name: r.failures for r in qa.check_not_null(
-        fx.kaggle_trips(spark, SF_SMALL), ["pickup_latitude", "store_and_fwd_flag", "id"]).collect()}
+        fx.duration_trips(spark, SF_SMALL), ["pickup_latitude", "store_and_fwd_flag", "id"]).collect()}
     assert got == {"pickup_latitude": 300, "store_and_fwd_flag": 5088, "id": 0}
 
 

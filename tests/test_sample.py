@@ -10,7 +10,7 @@ from trip_engine.operators.frames import grid_density, point_layers, sample_exac
 
 
 def test_sample_matches_brute_force(spark):
-    kt = fx.kaggle_trips(spark, SF_SMOKE).select("id", "pickup_latitude")
+    kt = fx.duration_trips(spark, SF_SMOKE).select("id", "pickup_latitude")
     got = sorted(r.id for r in sample_exact(kt, 137, 42, "id").collect())
     ids = [r.id for r in kt.select("id").collect()]
     brute = sorted(sorted(ids, key=lambda i: (hashlib.md5(f"42{i}".encode()).hexdigest(), i))[:137])
@@ -19,25 +19,25 @@ def test_sample_matches_brute_force(spark):
 
 @pytest.mark.parametrize("n", [0, 1, 999, 15000])
 def test_sample_size_exact(spark, n):
-    kt = fx.kaggle_trips(spark, SF_SMALL).select("id")
+    kt = fx.duration_trips(spark, SF_SMALL).select("id")
     assert sample_exact(kt, n, 7, "id").count() == n
 
 
 def test_sample_seed_changes_rows(spark):
-    kt = fx.kaggle_trips(spark, SF_SMALL).select("id")
+    kt = fx.duration_trips(spark, SF_SMALL).select("id")
     a = {r.id for r in sample_exact(kt, 500, 1, "id").collect()}
     b = {r.id for r in sample_exact(kt, 500, 2, "id").collect()}
     assert a != b and len(a) == len(b) == 500
 
 
 def test_sample_too_large_raises(spark):
-    kt = fx.kaggle_trips(spark, SF_SMOKE).select("id")
+    kt = fx.duration_trips(spark, SF_SMOKE).select("id")
     with pytest.raises(ValueError):
         sample_exact(kt, 10**6, 42, "id")
 
 
 def test_layers_and_density(spark):
-    kt = fx.kaggle_trips(spark, SF_SMALL)
+    kt = fx.duration_trips(spark, SF_SMALL)
     layers = point_layers(sample_exact(kt, 100, 42, "id"))
     assert layers.groupBy("layer").count().count() == 2
     dens = grid_density(kt, "pickup_latitude", "pickup_longitude")

@@ -24,7 +24,7 @@ def test_zone_lookup_csv_with_bad_key(spark, tmp_dir):
 
 
 def test_read_csv_inferred_and_declared(spark, tmp_dir):
-    kt = fx.kaggle_trips(spark, SF_SMOKE)
+    kt = fx.duration_trips(spark, SF_SMOKE)
     path = os.path.join(tmp_dir, "train")
     kt.write.option("header", True).csv(path)
     inferred = read_csv(spark, path)

@@ -27,8 +27,8 @@ def test_airport_views_answer_sql(spark):
 
 def test_prediction_tables(spark):
     cfg = FeatureConfig(impute=False)
-    train_raw = fx.kaggle_trips(spark, SF_SMOKE)
-    test_raw = fx.kaggle_trips(spark, SF_SMOKE, with_label=False)
+    train_raw = fx.duration_trips(spark, SF_SMOKE)
+    test_raw = fx.duration_trips(spark, SF_SMOKE, with_label=False)
     model = train_duration_model(trip_features(train_raw, cfg), max_iter=3, max_depth=3)
     materialise_predictions(train_raw, test_raw, model, cfg, prefix="t_")
     assert spark.table("t_trip_duration_prediction").count() == 1500

@@ -16,7 +16,7 @@ from trip_engine.streaming.scoring import read_scored, score_stream
 
 @pytest.fixture(scope="module")
 def model(spark):
-    train = trip_features(fx.kaggle_trips(spark, SF_SMOKE), FeatureConfig(impute=False))
+    train = trip_features(fx.duration_trips(spark, SF_SMOKE), FeatureConfig(impute=False))
     return train_duration_model(train, max_iter=5, max_depth=3)
 
 

@@ -71,7 +71,7 @@ def ride_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                      code.alias("hvfhs_license_num"))
 
 
-def kaggle_trips(spark: SparkSession, sf_dir: str, with_label: bool = True) -> DataFrame:
+def duration_trips(spark: SparkSession, sf_dir: str, with_label: bool = True) -> DataFrame:
     """Training (with label) / testing (without) trips (B4) from orders."""
     o = table(spark, sf_dir, "orders")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -104,7 +104,7 @@ def scoring_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing fields. All orders are kept."""
     from trip_engine.operators.features import trip_features
     from trip_engine.specs import FeatureConfig
-    test = kaggle_trips(spark, sf_dir, with_label=False)
+    test = duration_trips(spark, sf_dir, with_label=False)
     feats = trip_features(test, FeatureConfig(flag_unknown=1))
     key = F.substring("id", 3, 40).cast("long")
     return feats.select(

@@ -87,4 +87,4 @@ REPORT_BY_HOUR_CONTRACT = (("hour_of_day", "unique"), ("hour_of_day", "not_null"
                            ("airport", "not_null"), ("trip_count", "not_null"),
                            # repair: the report's real key
                            (("airport", "hour_of_day"), "unique"))
-KAGGLE_TRIPS_CONTRACT = (("id", "unique"),)
+DURATION_TRIPS_CONTRACT = (("id", "unique"),)

@@ -325,7 +325,7 @@ def q_market_share_wide(spark, sf_dir):
 
 
 # --- OP-14, 15, 17, 20..22, 29, 48, 49, 70: features ---------------------------
-SQL_KAGGLE = """
+SQL_DURATION_TRIPS = """
 kt AS (
   SELECT 'id' || CAST(o_orderkey AS VARCHAR) AS id,
          CAST(1 + o_orderkey % 2 AS INTEGER) AS vendor_id,
@@ -392,7 +392,7 @@ feat AS (
 
 
 def _kt(spark, sf_dir, with_label=True):
-    return fx.kaggle_trips(spark, sf_dir, with_label)
+    return fx.duration_trips(spark, sf_dir, with_label)
 
 
 def _round6(df: DataFrame, *cols: str) -> DataFrame:
@@ -411,7 +411,7 @@ for _name, _radius, _unit, _clamp, _scale, _method, _rnd in (
             unit=_unit, clamp=_clamp, scale=_scale, method=_method).alias("distance"))
         return _round6(out, "distance") if _rnd else out
     _d = _sql_distance(_radius, _clamp, _scale, _method)
-    register(_name, "WITH " + SQL_KAGGLE + f"""
+    register(_name, "WITH " + SQL_DURATION_TRIPS + f"""
 SELECT id, {f'round({_d}, 6)' if _rnd else _d} AS distance FROM kt""")(_q)
 
 
@@ -421,12 +421,12 @@ for _name, _unknown in (("flag_encode_null", None), ("flag_encode_one", 1)):
         return _kt(spark, sf_dir).select(
             "id", encode_flag("store_and_fwd_flag", _unknown).alias("store_and_fwd_flag"))
     _else = "NULL" if _unknown is None else str(_unknown)
-    register(_name, "WITH " + SQL_KAGGLE + f"""
+    register(_name, "WITH " + SQL_DURATION_TRIPS + f"""
 SELECT id, CAST(CASE WHEN store_and_fwd_flag = 'Y' THEN 1 WHEN store_and_fwd_flag = 'N' THEN 0
                      ELSE {_else} END AS INTEGER) AS store_and_fwd_flag FROM kt""")(_q)
 
 
-@register("calendar_parts", "WITH " + SQL_KAGGLE + """
+@register("calendar_parts", "WITH " + SQL_DURATION_TRIPS + """
 SELECT id, CAST(hour(pickup_datetime) AS INTEGER) AS hour,
        CAST(day(pickup_datetime) AS INTEGER) AS day,
        CAST(month(pickup_datetime) AS INTEGER) AS month FROM kt""")
@@ -436,7 +436,7 @@ def q_calendar_parts(spark, sf_dir):
                                              calendar_parts("pickup_datetime").items()])
 
 
-@register("apply_schema", "WITH " + SQL_KAGGLE + """
+@register("apply_schema", "WITH " + SQL_DURATION_TRIPS + """
 SELECT id, vendor_id, passenger_count, trip_duration, pickup_latitude,
        CAST(NULL AS INTEGER) AS bad_number FROM kt""")
 def q_apply_schema(spark, sf_dir):
@@ -452,7 +452,7 @@ def q_apply_schema(spark, sf_dir):
                                "bad_number": "int"}, strict=False)
 
 
-@register("drop_missing", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+@register("drop_missing", "WITH " + SQL_DURATION_TRIPS + SQL_FEATURES + """
 SELECT id, distance FROM base WHERE distance IS NOT NULL AND NOT isnan(distance)""")
 def q_drop_missing(spark, sf_dir):
     from trip_engine.operators.features import base_features
@@ -460,7 +460,7 @@ def q_drop_missing(spark, sf_dir):
     return drop_missing(base_features(_kt(spark, sf_dir)), ["distance"]).select("id", "distance")
 
 
-@register("impute_mean", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+@register("impute_mean", "WITH " + SQL_DURATION_TRIPS + SQL_FEATURES + """
 SELECT id, round(distance, 6) AS distance FROM feat""")
 def q_impute_mean(spark, sf_dir):
     from trip_engine.operators.features import base_features, impute_mean
@@ -468,7 +468,7 @@ def q_impute_mean(spark, sf_dir):
     return _round6(out.select("id", "distance"), "distance")
 
 
-@register("impute_mean_train", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+@register("impute_mean_train", "WITH " + SQL_DURATION_TRIPS + SQL_FEATURES + """
 SELECT id, round(distance, 6) AS distance FROM feat""")
 def q_impute_mean_train(spark, sf_dir):
     """Test trips filled with the training trips' mean (both from orders)."""
@@ -479,7 +479,7 @@ def q_impute_mean_train(spark, sf_dir):
     return _round6(out.select("id", "distance"), "distance")
 
 
-@register("train_features", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+@register("train_features", "WITH " + SQL_DURATION_TRIPS + SQL_FEATURES + """
 SELECT id, vendor_id, passenger_count, store_and_fwd_flag, day, hour, month,
        round(distance, 6) AS distance, trip_duration FROM feat""")
 def q_train_features(spark, sf_dir):
@@ -487,7 +487,7 @@ def q_train_features(spark, sf_dir):
     return _round6(trip_features(_kt(spark, sf_dir)), "distance")
 
 
-@register("test_features", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+@register("test_features", "WITH " + SQL_DURATION_TRIPS + SQL_FEATURES + """
 SELECT id, vendor_id, passenger_count, store_and_fwd_flag, day, hour, month,
        round(distance, 6) AS distance FROM feat""")
 def q_test_features(spark, sf_dir):
@@ -554,12 +554,12 @@ def _sample(spark, sf_dir):
     return sample_exact(kt, SAMPLE_N, SAMPLE_SEED, "id")
 
 
-@register("sample_exact", "WITH " + SQL_KAGGLE + SQL_SAMPLE + " SELECT * FROM sample")
+@register("sample_exact", "WITH " + SQL_DURATION_TRIPS + SQL_SAMPLE + " SELECT * FROM sample")
 def q_sample_exact(spark, sf_dir):
     return _sample(spark, sf_dir)
 
 
-@register("point_layer", "WITH " + SQL_KAGGLE + SQL_SAMPLE + """
+@register("point_layer", "WITH " + SQL_DURATION_TRIPS + SQL_SAMPLE + """
 SELECT 'pickups' AS layer, id, pickup_latitude AS latitude, pickup_longitude AS longitude
 FROM sample
 UNION ALL
@@ -569,7 +569,7 @@ def q_point_layer(spark, sf_dir):
     return point_layers(_sample(spark, sf_dir))
 
 
-@register("grid_density", "WITH " + SQL_KAGGLE + """
+@register("grid_density", "WITH " + SQL_DURATION_TRIPS + """
 SELECT CAST(floor(pickup_latitude / 1e-2) AS BIGINT) AS lat_cell,
        CAST(floor(pickup_longitude / 1e-2) AS BIGINT) AS lon_cell, count(*) AS trip_count
 FROM kt WHERE pickup_latitude IS NOT NULL AND NOT isnan(pickup_latitude)
@@ -617,7 +617,7 @@ def q_check_unique_composite(spark, sf_dir):
     return qa.run_contract(report, qa.REPORT_BY_HOUR_CONTRACT, "pickups_by_hour")
 
 
-@register("check_not_null", "WITH " + SQL_KAGGLE + " " + " UNION ALL ".join(
+@register("check_not_null", "WITH " + SQL_DURATION_TRIPS + " " + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS failures FROM kt"
     for c in ("id", "vendor_id", "pickup_datetime", "passenger_count", "pickup_latitude",
               "pickup_longitude", "dropoff_latitude", "dropoff_longitude",
@@ -631,20 +631,20 @@ def q_check_not_null(spark, sf_dir):
           + _sql_contract("trips", "trips", qa.TRIPS_CONTRACT) + " UNION ALL "
           + _sql_contract("zone_lookup", "zones", qa.ZONE_LOOKUP_CONTRACT)
           + " UNION ALL " + _sql_contract("training_trips", "kt_ids",
-                                          qa.KAGGLE_TRIPS_CONTRACT).replace(
+                                          qa.DURATION_TRIPS_CONTRACT).replace(
               "kt_ids", "(SELECT 'id' || CAST(o_orderkey AS VARCHAR) AS id FROM orders)"))
 def q_run_contract(spark, sf_dir):
     return (qa.run_contract(trips(spark, sf_dir), qa.TRIPS_CONTRACT, "trips")
             .unionByName(qa.run_contract(fx.zone_lookup(spark, sf_dir),
                                          qa.ZONE_LOOKUP_CONTRACT, "zone_lookup"))
             .unionByName(qa.run_contract(_kt(spark, sf_dir).select("id"),
-                                         qa.KAGGLE_TRIPS_CONTRACT, "training_trips")))
+                                         qa.DURATION_TRIPS_CONTRACT, "training_trips")))
 
 
 # --- OP-28: request validation ---------------------------------------------------
 _REQ_KEYS = ("id", "vendor_id", "passenger_count", "store_and_fwd_flag", "day", "hour",
              "month", "distance")
-@register("validate_requests", "WITH " + SQL_KAGGLE + SQL_FEATURES + """,
+@register("validate_requests", "WITH " + SQL_DURATION_TRIPS + SQL_FEATURES + """,
 reqs AS (
   SELECT id,
          CASE WHEN CAST(substr(id, 3) AS BIGINT) % 11 <> 0 THEN vendor_id END AS vendor_id,
@@ -728,7 +728,7 @@ def q_airport_slice(spark, sf_dir):
                        "airport", "NATION_7")
 
 
-@register("distance_mean", "WITH " + SQL_KAGGLE + SQL_FEATURES + """
+@register("distance_mean", "WITH " + SQL_DURATION_TRIPS + SQL_FEATURES + """
 SELECT round(m, 6) AS mean_distance, (SELECT count(*) FROM base WHERE distance IS NULL)
        AS missing FROM mean""")
 def q_distance_mean(spark, sf_dir):
