@@ -70,3 +70,14 @@ def test_display_names(spark):
     assert s.columns == ["Trip Date", "Ride Hailing Service", "Trip Count", "Total Trip Count",
                          "Trip percentage for the day"]
     assert {x["Trip Date"] for x in s.collect()} == {"2024-01-03", "2024-01-04"}
+
+
+def test_between_days_on_session_timestamps_and_dates(spark):
+    from trip_engine.operators.filters import between_days
+    df = spark.createDataFrame(
+        [("2024-01-02 23:59:59",), ("2024-01-03 00:00:00",), ("2024-01-04 23:59:59",),
+         ("2024-01-05 00:00:00",)], "t string")
+    ltz = df.select(F.to_timestamp("t").alias("ts"))
+    assert between_days(ltz, "ts", "2024-01-03", "2024-01-04").count() == 2
+    days = df.select(F.to_date(F.to_timestamp("t")).alias("d"))
+    assert between_days(days, "d", "2024-01-03", "2024-01-04").count() == 2
