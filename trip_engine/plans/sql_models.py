@@ -16,6 +16,7 @@ from trip_engine.operators.features import trip_features
 from trip_engine.operators.filters import select_zones
 from trip_engine.operators.model import predict_durations
 from trip_engine.operators.sinks import publish_table, publish_view
+from trip_engine.plans.broadcast import fits_broadcast
 from trip_engine.specs import FeatureConfig, ZoneSpec
 
 AIRPORT_VIEWS = ("trips", "airport_pickups", "airport_dropoffs", "airport_trips",
@@ -29,9 +30,10 @@ def register_airport_views(trips: DataFrame, lookup: DataFrame,
     """Views of the airport chain: trips, impressions and the six reports
     (the reports are rolled up from one cube, not from the impressions)."""
     zones = select_zones(lookup, spec=spec)
-    pickups = ap.zone_impressions(trips, zones, "pickup", spec)
-    dropoffs = ap.zone_impressions(trips, zones, "dropoff", spec)
-    cube = ap.airport_cube(trips, zones, spec)
+    small = fits_broadcast(zones, spec.max_broadcast_rows)  # checked once for all views
+    pickups = ap.zone_impressions(trips, zones, "pickup", spec, broadcast=small)
+    dropoffs = ap.zone_impressions(trips, zones, "dropoff", spec, broadcast=small)
+    cube = ap.airport_cube(trips, zones, spec, broadcast=small)
     frames = {"trips": trips, "airport_pickups": pickups, "airport_dropoffs": dropoffs,
               "airport_trips": ap.airport_trips(pickups, dropoffs)}
     for kind, name in (("pickup", "pickup"), ("dropoff", "dropoff"), ("all", "trip")):
