@@ -156,3 +156,14 @@ def test_duplicate_lookup_rows_count_like_right_join(spark):
     lit = {(r.airport, r.hour_of_day): r.trip_count
            for r in _literal_right_join_report(t, dup, "pickup", "hour_of_day").collect()}
     assert lit[("NATION_22", None)] == 2
+
+
+def test_trips_in_zones_without_broadcast_same_rows(spark):
+    from trip_engine.operators.filters import trips_in_zones
+    from trip_engine.specs import ZoneSpec
+    t, z = reg.trips(spark, SF_SMOKE), reg.airport_zones(spark, SF_SMOKE)
+    small = trips_in_zones(t, z, "DOLocationID", Z)
+    big = trips_in_zones(t, z, "DOLocationID", ZoneSpec(names=Z.names, max_broadcast_rows=1))
+    assert _rows(small) == _rows(big)
+    assert small.count() == ap.zone_impressions(t, z, "dropoff", Z).filter(
+        F.col("source").isNotNull()).count()
