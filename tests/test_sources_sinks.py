@@ -97,3 +97,24 @@ def test_predictions_and_tables(spark, tmp_dir):
     assert any(r.col_name == "Comment" and r.data_type == "predicted durations" for r in ext)
     publish_table(df.limit(1), "pred_table")  # full refresh
     assert spark.table("pred_table").count() == 1
+
+
+def test_declared_schema_binds_by_name_and_fills_missing(spark, tmp_dir):
+    from trip_engine.plans.trip_duration import TRAIN_SCHEMA
+    test = fx.duration_trips(spark, SF_SMOKE, with_label=False)
+    path = os.path.join(tmp_dir, "test")
+    # columns in a different order than the declared schema, label absent
+    test.select(*reversed(test.columns)).write.option("header", True).csv(path)
+    back = read_csv(spark, path, TRAIN_SCHEMA)
+    assert back.columns == [f.name for f in TRAIN_SCHEMA.fields]
+    assert back.filter(F.col("trip_duration").isNotNull()).count() == 0
+    a = back.orderBy("id").select("id", "pickup_latitude", "vendor_id").collect()
+    b = test.orderBy("id").select("id", "pickup_latitude", "vendor_id").collect()
+    assert a == b
+
+
+def test_register_external_csv(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "zones_csv")
+    fx.zone_lookup(spark, SF_SMOKE).write.option("header", True).csv(path)
+    register_external(spark, "ext_zones", path, "csv", header="true")
+    assert spark.sql("SELECT count(*) FROM ext_zones WHERE Zone = 'NATION_22'").first()[0] == 1
