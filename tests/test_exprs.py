@@ -102,3 +102,19 @@ def test_apply_schema_strict_and_lenient(spark):
     assert lenient["a"] == 1 and lenient["b"] is None
     with pytest.raises(Exception):
         apply_schema(df, {"b": "int"}, strict=True).collect()
+
+
+def test_percent_matches_exact_fraction(spark):
+    import random
+    from fractions import Fraction
+    rnd = random.Random(7)
+    rows = []
+    for _ in range(300):
+        t = rnd.randint(1, 10**9)
+        rows.append((rnd.randint(0, t), t))
+    df = spark.createDataFrame(rows, "n long, t long")
+    got = [r[0] for r in df.select(percent("n", "t")).collect()]
+    for (n, t), g in zip(rows, got):
+        x = Fraction(n * 100, t) * 100          # value in hundredths
+        want = int(x + Fraction(1, 2))          # half up (x >= 0)
+        assert g == want / 100.0, (n, t, g, want)
