@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as ent
 from conftest import SF_SMOKE
+from trip_engine.registry import ORACLE, QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -53,14 +54,14 @@ def test_every_oracle_key_is_a_query():
     assert set(ent.oracle_sql()) <= set(ent.queries())
 
 
-@pytest.mark.parametrize("name", sorted(ent.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     ours = ent.queries()[name](spark, SF_SMOKE).toPandas()
     theirs = con.execute(ent.oracle_sql()[name]).df()
     assert _rows(ours) == _rows(theirs)
 
 
-@pytest.mark.parametrize("name", sorted(set(ent.queries()) - {"score_stream", "score_batch"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"score_stream", "score_batch"}))
 def test_no_python_evaluation_in_plans(spark, name):
     from trip_engine.plans.inspect import plan_text
     plan = plan_text(ent.queries()[name](spark, SF_SMOKE), "extended")
