@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from trip_engine.llm import exact_dedup, mixing, packing, quality_rules, simhash
+from trip_engine.llm import (
+    cotraining,
+    exact_dedup,
+    html_tree,
+    langid,
+    mixing,
+    packing,
+    quality_rules,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from trip_engine.llm.common import read_table
 
 _W = r"'[^\x20\x09-\x0D]+'"
@@ -67,12 +78,38 @@ def op9_packing(spark, sf_dir):
     return packing.op9_packing(read_table(spark, sf_dir, "documents"))
 
 
+def op1_html_extraction(spark, sf_dir):
+    return html_tree.op1_html_extraction(read_table(spark, sf_dir, "pages"))
+
+
+def op2_toxicity(spark, sf_dir):
+    return toxicity.op2_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op3_language_id(spark, sf_dir):
+    return langid.op3_language_id(read_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_cotraining(spark, sf_dir):
+    return cotraining.op5_quality_cotraining(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op8_token_counts(spark, sf_dir):
+    return token_counts.op8_token_counts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
+    "op2_toxicity": op2_toxicity,
+    "op3_language_id": op3_language_id,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality_cotraining": op5_quality_cotraining,
     "op6_mix_sources": op6_mix_sources,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
-    "op4_exact_dedup": op4_exact_dedup,
-    "op7_quality_rules": op7_quality_rules,
 }
 
 ORACLE = {
