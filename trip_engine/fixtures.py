@@ -71,9 +71,12 @@ def ride_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                      code.alias("hvfhs_license_num"))
 
 
-def duration_trips(spark: SparkSession, sf_dir: str, with_label: bool = True) -> DataFrame:
-    """Training (with label) / testing (without) trips (B4) from orders."""
+def duration_trips(spark: SparkSession, sf_dir: str, with_label: bool = True,
+                   part: str | None = None) -> DataFrame:
+    """Duration trips (B4) from orders: all of them, or the 'train' or 'test' part."""
     o = table(spark, sf_dir, "orders")
+    if part is not None:
+        o = o.where(F.col("o_orderkey") % 10 < 8 if part == "train" else F.col("o_orderkey") % 10 >= 8)
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     lat_raw = F.lit(4.06e1) + (cust % 100) / F.lit(4e2)
     lon = F.lit(-7.405e1) + (key % 97) / F.lit(4e2)

@@ -132,8 +132,11 @@ def shape_duration(pred: str | Column, shape: str = "round") -> Column:
 # OP-23 ----------------------------------------------------------------------
 def percent(part: str | Column, total: str | Column, decimals: int = 2) -> Column:
     """round(part / total * 100, decimals), rounded half up on the exact
-    ratio with integer arithmetic (no binary-fraction ties)."""
-    p, t = _col(part).cast("long"), _col(total).cast("long")
+    ratio with integer arithmetic (no binary-fraction ties). NULL if the
+    total is 0. A tie such as 1/800 (0.125 %) goes up to 0.13, where rounding the
+    binary fraction may fall either way."""
+    p = _col(part).cast("long")
+    t = F.when(_col(total) != 0, _col(total).cast("long"))
     unit = 10 ** decimals
     num = p * (200 * unit) + t
     den = t * 2

@@ -11,6 +11,8 @@ from the few matched keys.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,17 +74,16 @@ def zone_impressions(trips: DataFrame, zones: DataFrame, kind: str = "pickup",
     imp = _as_impressions(trips, kinds, keep)
     if broadcast is None:
         broadcast = _broadcastable(zones, spec)
-    if not broadcast:
-        # Lookup too large to ship: the literal right join per kind (shuffles).
-        parts = [_as_impressions(trips, [k], keep).join(z, F.col("_loc") == z["_zone_key"], "right")
-                 for k in kinds]
-        joined = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return _impression_columns(joined, keep)
-    matched = imp.join(F.broadcast(z), F.col("_loc") == F.col("_zone_key"), "inner")
+    # Inner join plus the zones nobody reached, instead of the literal right
+    # join: AQE can split a hot zone of an inner join, not of an outer one.
+    def side(lookup: DataFrame) -> DataFrame:
+        return F.broadcast(lookup) if broadcast else lookup
+    matched = imp.join(side(z), F.col("_loc") == F.col("_zone_key"), "inner")
     # (kind, zone) pairs some trip reached: one narrow pass over the key columns
     seen = (_as_impressions(trips, kinds, keep, with_payload=False)
-            .join(F.broadcast(z.select(F.col("_zone_key").alias("_loc"))), "_loc", "left_semi")
-            .select("_kind", F.col("_loc").alias("_zone_key")).distinct())
+            .distinct()  # a row per kind and location before any join
+            .join(side(z.select(F.col("_zone_key").alias("_loc"))), "_loc", "left_semi")
+            .select("_kind", F.col("_loc").alias("_zone_key")))
     wanted = z.select("_zone_key", "airport",
                       F.explode(F.array(*[F.lit(k) for k in kinds])).alias("_kind"))
     unmatched = wanted.join(seen, ["_kind", "_zone_key"], "left_anti")
@@ -114,59 +115,59 @@ def _count(unmatched: str):
     raise ValueError(f"unmatched must be 'keep' or 'zero', got {unmatched!r}")
 
 
-def _ordered_small(df: DataFrame, *cols: str) -> DataFrame:
-    """Order a report. Reports are bounded (zones x 24 or x 7 rows), so one
-    partition sorted after the exchange replaces a global range sort (which
-    costs an extra sampling job per report)."""
-    return df.repartition(1).sortWithinPartitions(*cols)
-
-
 def airport_report(impressions: DataFrame, by: str = "hour_of_day", unmatched: str = "keep",
                    ordered: bool = True) -> DataFrame:
     """OP-40..45 (+ OP-52): trip count per airport and hour of day or day of week."""
     if by not in BUCKETS:
         raise ValueError(f"by must be one of {BUCKETS}, got {by!r}")
     out = impressions.groupBy("airport", by).agg(_count(unmatched).alias("trip_count"))
-    return _ordered_small(out, "airport", by) if ordered else out
+    return out.orderBy("airport", by) if ordered else out
+
+
+def zone_report(trips: DataFrame, zones: DataFrame, kind: str = "pickup", by: str = "hour_of_day",
+                spec: ZoneSpec = ZoneSpec(), unmatched: str = "keep", ordered: bool = True) -> DataFrame:
+    """One report straight from the trips (OP-40..45 + OP-52): the cube of the
+    kinds it needs, rolled up. The trips are scanned once and meet the lookup
+    as aggregates."""
+    return cube_report(airport_cube(trips, zones, spec, unmatched, kinds=_kinds(kind)), kind, by, ordered)
 
 
 def airport_cube(trips: DataFrame, zones: DataFrame, spec: ZoneSpec = ZoneSpec(),
-                 unmatched: str = "keep", broadcast: bool | None = None) -> DataFrame:
+                 unmatched: str = "keep", broadcast: bool | None = None,
+                 kinds: Sequence[str] = tuple(KINDS)) -> DataFrame:
     """OP-46: all six reports' counts from one scan of the trips.
 
     Each trip yields its pickup and its dropoff impression (a generator, no
-    second scan), impressions meet the broadcast lookup in an inner join and
-    are partially aggregated before the only shuffle. Output:
+    second scan). Impressions are aggregated per zone key before anything is
+    shuffled; a lookup small enough to broadcast drops the others before
+    that. Zone names join the aggregate by key alone, so a NULL name or a
+    duplicate lookup row counts as the literal right join counts it. Output:
     kind, airport, hour_of_day, day_of_week, trip_count - at most
     2 x zones x 24 x 7 rows, cheap to cache and roll up."""
     z = _zones(zones, spec)
-    imp = trips.select(
-        F.inline(F.array(
-            F.struct(F.lit("pickup").alias("kind"), F.col("pickup_datetime").alias("ts"),
-                     F.col("PULocationID").alias("_loc")),
-            F.struct(F.lit("dropoff").alias("kind"), F.col("dropoff_datetime").alias("ts"),
-                     F.col("DOLocationID").alias("_loc")))))
+    imp = trips.select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(KINDS[k][0]).alias("ts"), F.col(KINDS[k][1]).alias("_zone_key"))
+        for k in kinds])))
     if broadcast is None:
         broadcast = _broadcastable(zones, spec)
-    zj = F.broadcast(z) if broadcast else z
-    matched = (imp.join(zj, imp["_loc"] == zj["_zone_key"], "inner")
-               .groupBy("kind", "_zone_key", "airport",
-                        hour_of_day("ts").alias("hour_of_day"),
-                        day_of_week("ts").alias("day_of_week"))
+    if broadcast:
+        imp = imp.join(F.broadcast(z.select("_zone_key")), "_zone_key", "left_semi")
+    matched = (imp.groupBy("kind", "_zone_key", hour_of_day("ts").alias("hour_of_day"),
+                           day_of_week("ts").alias("day_of_week"))
                .agg(F.count(F.lit(1)).alias("trip_count")))
     if unmatched not in ("keep", "zero"):
         raise ValueError(f"unmatched must be 'keep' or 'zero', got {unmatched!r}")
     # Lookup rows no impression of a kind reached come from joining the
     # lookup (x2 kinds) to the aggregate - a few hundred rows on both sides -
     # so the trips are scanned once. n_rows keeps duplicate lookup rows exact.
-    kinds = (z.select("_zone_key", "airport",
-                      F.explode(F.array(F.lit("pickup"), F.lit("dropoff"))).alias("kind"))
-             .groupBy("kind", "_zone_key", "airport").agg(F.count(F.lit(1)).alias("_n_rows")))
-    joined = kinds.join(matched, ["kind", "_zone_key", "airport"], "left")
+    wanted = (z.select("_zone_key", "airport", F.explode(F.array(*[F.lit(k) for k in kinds])).alias("kind"))
+              .groupBy("kind", "_zone_key", "airport").agg(F.count(F.lit(1)).alias("_n_rows")))
+    joined = wanted.join(matched, ["kind", "_zone_key"], "left")
     unmatched_count = F.col("_n_rows") if unmatched == "keep" else F.lit(0).cast("long")
     return (joined
             .select("kind", "airport", "hour_of_day", "day_of_week",
-                    F.coalesce("trip_count", unmatched_count).alias("trip_count"))
+                    F.coalesce(F.col("trip_count") * F.col("_n_rows"), unmatched_count)
+                    .alias("trip_count"))
             .groupBy("kind", "airport", "hour_of_day", "day_of_week")
             .agg(F.sum("trip_count").alias("trip_count")))
 
@@ -178,19 +179,26 @@ def cube_report(cube: DataFrame, kind: str = "pickup", by: str = "hour_of_day",
     if by not in BUCKETS:
         raise ValueError(f"by must be one of {BUCKETS}, got {by!r}")
     src = cube if kind == "all" else cube.filter(F.col("kind") == kind)
-    if ordered:
-        # the cube is bounded (2 x zones x 168 rows): one task rolls it up and
-        # sorts it, no exchange at all
-        src = src.coalesce(1)
     out = src.groupBy("airport", by).agg(F.sum("trip_count").cast("long").alias("trip_count"))
-    return out.sortWithinPartitions("airport", by) if ordered else out
+    return out.orderBy("airport", by) if ordered else out
 
 
 def airport_reports(trips: DataFrame, zones: DataFrame, spec: ZoneSpec = ZoneSpec(),
                     unmatched: str = "keep") -> dict[str, DataFrame]:
-    """The six reports of the airport job, all from one cached cube."""
+    """The six reports of the airport job, all from one cached cube. Release
+    it with ``release_reports`` once the reports are written."""
     cube = airport_cube(trips, zones, spec, unmatched).cache()
+    _cubes.append(cube)
     return {f"{prefix}_by_{'hour' if by == 'hour_of_day' else 'weekday'}":
             cube_report(cube, kind, by)
             for prefix, kind in (("pickups", "pickup"), ("dropoffs", "dropoff"), ("trips", "all"))
             for by in BUCKETS}
+
+
+_cubes: list[DataFrame] = []
+
+
+def release_reports() -> None:
+    """Unpersist the cubes behind the reports handed out so far."""
+    while _cubes:
+        _cubes.pop().unpersist()

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, AtomicType, BooleanType, DataType, NumericType,
+                               StructType, VariantType)
 
 from trip_engine.specs import MAP_SAMPLE_SEED, MAP_SAMPLE_SIZE
 
@@ -29,15 +31,18 @@ def sample_hash(key: str | Column, seed: int) -> Column:
 
 
 def sample_exact(df: DataFrame, n: int = MAP_SAMPLE_SIZE, seed: int = MAP_SAMPLE_SEED,
-                 key: str = "id") -> DataFrame:
+                 key: str = "id", ties: Sequence[str] | None = None) -> DataFrame:
     """OP-55: exactly ``n`` rows drawn without replacement, reproducibly: the
-    ``n`` rows with the smallest md5(seed ‖ key), ties broken by ``key``.
+    ``n`` rows with the smallest md5(seed ‖ key), ties broken by ``key`` and
+    then by the other columns (``ties``; by default all that have an order),
+    so that only rows equal in all of them are interchangeable.
 
     Distributed in two passes and no global sort of the data: (1) a histogram
     of the hash's leading-zero count (at most 61 rows) fixes a power-of-two
     threshold that keeps at least ``n`` and on average under ``2n`` rows;
     (2) rows under the threshold are filtered in place and only they are
-    ordered to pick the exact ``n``. Raises if ``n`` exceeds the row count."""
+    ordered to pick the exact ``n``. Raises if ``n`` exceeds the row count,
+    or - whatever ``n`` is - if a key is NULL (a NULL has no place in the order)."""
     if n < 0:
         raise ValueError("n must be >= 0")
     h = sample_hash(key, seed)
@@ -46,6 +51,8 @@ def sample_exact(df: DataFrame, n: int = MAP_SAMPLE_SIZE, seed: int = MAP_SAMPLE
         F.lit(_PREFIX_BITS) - F.length(F.bin(prefix)))
     hist = {r["z"]: r["n"] for r in
             df.select(zeros.alias("z")).groupBy("z").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if hist.get(None):
+        raise ValueError(f"{hist[None]} rows have no {key}; drop or fill them before sampling")
     total = sum(hist.values())
     if n > total:
         raise ValueError(f"sample of {n} rows requested from {total} rows")
@@ -58,7 +65,17 @@ def sample_exact(df: DataFrame, n: int = MAP_SAMPLE_SIZE, seed: int = MAP_SAMPLE
             break
     threshold = 1 << (_PREFIX_BITS - level)
     survivors = df.filter(prefix < F.lit(threshold)) if level > 0 else df
-    return (survivors.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h"))
+    if ties is None:
+        ties = [f.name for f in df.schema.fields if f.name != key and _has_order(f.dataType)]
+    return (survivors.withColumn("_h", h).orderBy("_h", key, *ties).limit(n).drop("_h"))
+
+
+def _has_order(t: DataType) -> bool:
+    if isinstance(t, ArrayType):
+        return _has_order(t.elementType)
+    if isinstance(t, StructType):
+        return all(_has_order(f.dataType) for f in t.fields)
+    return isinstance(t, AtomicType | NumericType | BooleanType) and not isinstance(t, VariantType)
 
 
 def point_layer(df: DataFrame, lat: str, lon: str, layer: str,
@@ -68,18 +85,36 @@ def point_layer(df: DataFrame, lat: str, lon: str, layer: str,
                      F.col(lat).alias("latitude"), F.col(lon).alias("longitude"))
 
 
+# layer name -> (latitude, longitude)
+LAYERS = {"pickups": ("pickup_latitude", "pickup_longitude"),
+          "dropoffs": ("dropoff_latitude", "dropoff_longitude")}
+
+
+def _both_layers(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """A row per trip and layer, from one generator: the input is read once."""
+    return df.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("layer"), *[F.col(c) for c in keep],
+                 F.col(lat).alias("latitude"), F.col(lon).alias("longitude"))
+        for name, (lat, lon) in LAYERS.items()])))
+
+
 def point_layers(df: DataFrame, keep: Sequence[str] = ("id",)) -> DataFrame:
     """Pickup and dropoff layers of a (sampled) trip frame."""
-    return point_layer(df, "pickup_latitude", "pickup_longitude", "pickups", keep).unionByName(
-        point_layer(df, "dropoff_latitude", "dropoff_longitude", "dropoffs", keep))
+    return _both_layers(df, keep)
 
 
-def grid_density(df: DataFrame, lat: str, lon: str, cell_deg: float = 1e-2) -> DataFrame:
+def grid_density(df: DataFrame, lat: str, lon: str, cell_deg: float = 1e-2,
+                 by: Sequence[str] = ()) -> DataFrame:
     """OP-58: trip count per lat/lon grid cell over *all* trips (a density map
     needs no sample). Rows without a usable coordinate are skipped."""
     ok = (F.col(lat).isNotNull() & ~F.isnan(lat) & F.col(lon).isNotNull() & ~F.isnan(lon))
     cell = F.lit(float(cell_deg))
     return (df.filter(ok)
-            .groupBy(F.floor(F.col(lat) / cell).cast("long").alias("lat_cell"),
+            .groupBy(*by, F.floor(F.col(lat) / cell).cast("long").alias("lat_cell"),
                      F.floor(F.col(lon) / cell).cast("long").alias("lon_cell"))
             .agg(F.count(F.lit(1)).alias("trip_count")))
+
+
+def layer_density(df: DataFrame, cell_deg: float = 1e-2) -> DataFrame:
+    """Both layers' densities (layer, lat_cell, lon_cell, trip_count) in one pass."""
+    return grid_density(_both_layers(df), "latitude", "longitude", cell_deg, by=("layer",))

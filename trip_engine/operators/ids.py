@@ -29,6 +29,8 @@ def add_row_id(df: DataFrame, mode: str = "sparse", order_by: Sequence[str] | No
     * ``sparse``: unique, increasing within a partition, not contiguous
       (no extra job; the batch airport job's id).
     * ``dense``: exactly 1..N in partition order.
+    * ``key``: the md5 of the columns ``order_by`` (all columns by default):
+      unique where they are, and the same after any recomputation.
     * ``dense`` with ``order_by``: 1..N following the given order, equal to
       ``row_number() OVER (ORDER BY ...)`` for a unique order key; the data
       is range-partitioned on the key (sampled bounds), never gathered.
@@ -37,8 +39,11 @@ def add_row_id(df: DataFrame, mode: str = "sparse", order_by: Sequence[str] | No
         if order_by:
             raise ValueError("order_by needs mode='dense'")
         return df.withColumn(col, F.monotonically_increasing_id())
+    if mode == "key":
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in (order_by or df.columns)]
+        return df.withColumn(col, F.md5(F.concat_ws("|", *parts)))
     if mode != "dense":
-        raise ValueError(f"mode must be 'sparse' or 'dense', got {mode!r}")
+        raise ValueError(f"mode must be 'sparse', 'key' or 'dense', got {mode!r}")
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if order_by:

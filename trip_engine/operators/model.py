@@ -20,9 +20,12 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
 
 from trip_engine.functions.exprs import shape_duration
 from trip_engine.operators.features import check_features
+from trip_engine.session import ensure_checkpoint_dir
 from trip_engine.specs import LABEL, MODEL_FEATURES, FeatureConfig
 
 DEFAULT_SEED = 42
+# Partitions of the training rows; part of what defines a fit.
+FIT_PARTITIONS = 16
 
 
 def build_pipeline(features=MODEL_FEATURES, label: str = LABEL, seed: int = DEFAULT_SEED,
@@ -58,26 +61,30 @@ def build_pipeline(features=MODEL_FEATURES, label: str = LABEL, seed: int = DEFA
 
 
 def train_duration_model(train: DataFrame, features=MODEL_FEATURES, label: str = LABEL,
-                         seed: int = DEFAULT_SEED, **params) -> PipelineModel:
+                         seed: int = DEFAULT_SEED, num_partitions: int = FIT_PARTITIONS,
+                         key: str = "id", **params) -> PipelineModel:
     """OP-72: fit the pipeline on the training feature frame.
 
-    The frame is spread over at least all task slots and persisted around
-    ``fit`` (boosting reads it once per tree level), then released; rows
-    without a label cannot train."""
+    Boosting samples its split candidates per partition, so the fit depends on how
+    the rows are dealt out. They are dealt by hash of ``key`` to ``num_partitions``
+    partitions and ordered there: the same rows give the same model on a cluster of
+    any size. Choose more partitions for larger data (the audit row records it).
+    Imputation and assembly run once; only (features, label) is persisted around
+    the fit, which reads it once per tree level. Rows without a label cannot train."""
     missing = [c for c in [*features, label] if c not in train.columns]
     if missing:
         raise ValueError(f"training frame lacks columns {missing}")
+    ensure_checkpoint_dir(train.sparkSession)  # boosting cuts its lineage there
     data = train.filter(F.col(label).isNotNull())
-    # Boosting makes many passes; fewer input partitions than task slots
-    # (a handful of large files) would leave cores idle on every pass.
-    slots = train.sparkSession.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() < slots:
-        data = data.repartition(slots)
-    data = data.persist()
+    order = [key] if key in data.columns else [*features, label]
+    data = data.repartition(num_partitions, *order).sortWithinPartitions(*order)
+    *prepare, trees = build_pipeline(features, label, seed, **params).getStages()
+    stages = Pipeline(stages=prepare).fit(data.select(*features)).stages if prepare else []
+    ready = PipelineModel(stages).transform(data).select(trees.getFeaturesCol(), label).persist()
     try:
-        return build_pipeline(features, label, seed, **params).fit(data)
+        return PipelineModel([*stages, trees.fit(ready)])
     finally:
-        data.unpersist()
+        ready.unpersist()
 
 
 def predict_durations(model: PipelineModel, df: DataFrame, shape: str = "round",
@@ -104,20 +111,24 @@ AUDIT_SCHEMA = StructType([
     StructField("params", StringType(), True),
     StructField("training_rows", LongType(), True),
     StructField("training_rmse", DoubleType(), True),
+    StructField("held_out_rmse", DoubleType(), True),
+    StructField("num_partitions", LongType(), True),
     StructField("trained_at", TimestampType(), False),
 ])
 
 
 def audit_model(spark: SparkSession, model: PipelineModel, name: str, table: str,
                 training_rows: int | None = None, training_rmse: float | None = None,
-                label: str = LABEL) -> DataFrame:
+                label: str = LABEL, held_out_rmse: float | None = None,
+                num_partitions: int | None = None) -> DataFrame:
     """OP-76: append one audit row per fit to ``table`` (created on first use)."""
     gbt = model.stages[-1]
     assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
     params = {p.name: v for p, v in gbt.extractParamMap().items()
               if isinstance(v, (int, float, str, bool))}
     row = (name, type(gbt).__name__, label, json.dumps(assembler.getInputCols()),
-           json.dumps(params, sort_keys=True), training_rows, training_rmse,
+           json.dumps(params, sort_keys=True), training_rows, training_rmse, held_out_rmse,
+           num_partitions,
            dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     rec = spark.createDataFrame([row], AUDIT_SCHEMA)
     rec.write.mode("append").saveAsTable(table)

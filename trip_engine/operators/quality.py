@@ -51,25 +51,38 @@ def run_contract(df: DataFrame, contract: Sequence[tuple[Key, str]], table: str)
     """OP-62: every test of a table as one result frame:
     table_name, column_name, test, failures, passed.
 
-    All not_null tests share one scan; each unique test is one aggregation."""
-    parts = []
-    nn = [c for k, t in contract if t == "not_null" for c in _cols(k)]
-    if nn:
-        parts.append(check_not_null(df, list(dict.fromkeys(nn)))
-                     .select(F.lit(table).alias("table_name"), "column_name",
-                             F.lit("not_null").alias("test"), "failures"))
-    for key, test in contract:
-        if test == "not_null":
-            continue
-        if test != "unique":
-            raise ValueError(f"unknown test {test!r}")
-        parts.append(unique_summary(df, key).select(
-            F.lit(table).alias("table_name"), F.lit(",".join(_cols(key))).alias("column_name"),
-            F.lit("unique").alias("test"), "failures"))
-    if not parts:
+    The table is read once for all tests. Each record yields one (test, key)
+    pair per unique test whose key is complete, and one per not_null test
+    it violates; the pairs are counted before the shuffle (a hot key collapses
+    there), then each test's pairs are summed up."""
+    if not contract:
         raise ValueError("empty contract")
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    return out.withColumn("passed", F.col("failures") == 0)
+    for _, test in contract:
+        if test not in ("unique", "not_null"):
+            raise ValueError(f"unknown test {test!r}")
+    expanded = [(c, t) for key, t in contract for c in (_cols(key) if t == "not_null" else [key])]
+    expanded = list(dict.fromkeys((c if isinstance(c, str) else tuple(c), t) for c, t in expanded))
+    pairs = []
+    for number, (key, test) in enumerate(expanded):
+        cols = _cols(key)
+        # typed JSON text: equal exactly if all parts are equal
+        text = F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]))
+        present = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in cols])
+        pair = F.struct(F.lit(number).alias("test_no"), (text if test == "unique" else F.lit("")).alias("key"))
+        pairs.append(F.when(present if test == "unique" else ~present, pair))
+    counted = (df.select(F.explode(F.array_compact(F.array(*pairs))).alias("p"))
+               .groupBy("p.test_no", "p.key").agg(F.count(F.lit(1)).alias("n")))
+    unique = F.array(*[F.lit(t == "unique") for _, t in expanded])
+    failures = (counted.groupBy("test_no").agg(
+        F.sum(F.when(F.get(unique, F.col("test_no")), (F.col("n") > 1).cast("long")).otherwise(F.col("n")))
+        .alias("failures")))
+    tests = df.sparkSession.createDataFrame(
+        [(i, table, ",".join(_cols(k)), t) for i, (k, t) in enumerate(expanded)],
+        "test_no int, table_name string, column_name string, test string")
+    return (tests.join(failures, "test_no", "left")
+            .select("table_name", "column_name", "test",
+                    F.coalesce("failures", F.lit(0).cast("long")).alias("failures"))
+            .withColumn("passed", F.col("failures") == 0))
 
 
 # --- the original column tests, as contracts (fixed values) --------------------

@@ -67,28 +67,34 @@ def densify_days(share: DataFrame, first: str | dt.date, last: str | dt.date,
     """OP-56: one row per service per day in [first, last]; days without
     trips get count 0, the day's total (0 if none) and 0 %.
 
-    The calendar is generated per service row (a generator over the few
-    services, no join of unbounded sides) and left-joined to the share."""
+    The share is read once. Its rows are gathered per service (one row per day at
+    most), each service is laid over the calendar, and the day's total is the
+    largest any service knows: a window over days x services rows."""
     f = F.to_date(F.lit(str(first)))
     la = F.to_date(F.lit(str(last)))
+    days = F.map_from_entries(F.collect_list(F.struct(
+        "trip_date", F.struct("trip_count", "total_trip_count", "trip_percentage"))))
     if services is None:
-        svc = share.select("service").distinct()
+        per_service = share.groupBy("service").agg(days.alias("_days"))
     else:
-        svc = share.sparkSession.createDataFrame([(s,) for s in services], "service string")
-    calendar = svc.select("service", F.explode(F.sequence(f, la)).alias("trip_date"))
-    totals = share.groupBy(F.col("trip_date").alias("_t_day")).agg(
-        F.max("total_trip_count").alias("_day_total"))
-    s = share.select(F.col("trip_date").alias("_s_day"), F.col("service").alias("_svc"),
-                     "trip_count", "trip_percentage")
-    joined = (calendar
-              .join(s, (F.col("trip_date") == F.col("_s_day"))
-                    & F.col("service").eqNullSafe(F.col("_svc")), "left")
-              .join(totals, F.col("trip_date") == F.col("_t_day"), "left"))
-    return joined.select(
+        per_service = share.groupBy("service").agg(days.alias("_days"))
+        missing = share.sparkSession.createDataFrame([(s,) for s in services], "service string")
+        per_service = per_service.unionByName(missing, allowMissingColumns=True) \
+            .groupBy("service").agg(F.max_by("_days", F.col("_days").isNotNull()).alias("_days"))
+    found = per_service.select("service", F.explode(F.sequence(f, la)).alias("trip_date"), "_days") \
+        .withColumn("_day", F.try_element_at("_days", F.col("trip_date")))
+    total = F.max("_day.total_trip_count").over(Window.partitionBy("trip_date"))
+    dense = found.withColumn("_day_total", total).select(
         "trip_date", "service",
-        F.coalesce("trip_count", F.lit(0).cast("long")).alias("trip_count"),
+        F.coalesce("_day.trip_count", F.lit(0).cast("long")).alias("trip_count"),
         F.coalesce("_day_total", F.lit(0).cast("long")).alias("total_trip_count"),
-        F.coalesce("trip_percentage", F.lit(0.0)).alias("trip_percentage"))
+        F.coalesce("_day.trip_percentage", F.lit(0.0)).alias("trip_percentage"))
+    if services is None:
+        return dense
+    keep = F.lit(False)
+    for s in services:
+        keep = keep | F.col("service").eqNullSafe(F.lit(s))
+    return dense.where(keep)
 
 
 def share_wide(share: DataFrame, services: Sequence[str] = ("Uber", "Lyft"),

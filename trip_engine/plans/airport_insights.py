@@ -7,14 +7,14 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trip_engine.operators.airports import airport_reports
+from trip_engine.operators.airports import airport_reports, release_reports
 from trip_engine.operators.filters import select_zones
 from trip_engine.operators.sinks import write_report
 from trip_engine.sources.adapters import consolidate
 from trip_engine.sources.files import read_trips, read_zone_lookup
 from trip_engine.specs import GREEN, RIDE_HAILING, YELLOW, ZoneSpec
 
-# report name -> (output sub-folder, order)
+# report name -> (output sub-folder, order); the sub-folders are fixed values
 REPORT_PATHS = {
     "pickups_by_hour": ("pickups/by_hour_of_day", ("airport", "hour_of_day")),
     "pickups_by_weekday": ("pickups/by_day_of_week", ("airport", "day_of_week")),
@@ -48,6 +48,9 @@ def run(spark: SparkSession, ride_hailing_path: str, green_path: str, yellow_pat
 
     first, *rest = reports
     write(first)  # fills the cube cache once
-    with ThreadPoolExecutor(max_workers=len(rest)) as pool:
-        list(pool.map(write, rest))
+    try:
+        with ThreadPoolExecutor(max_workers=len(rest)) as pool:
+            list(pool.map(write, rest))
+    finally:
+        release_reports()  # later reads of the frames recompute the cube
     return reports

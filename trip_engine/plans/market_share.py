@@ -21,8 +21,13 @@ def series(requests: DataFrame, first: str, last: str,
 def run(spark: SparkSession, requests_path: str, output_path: str, first: str, last: str,
         services=("Uber", "Lyft")) -> dict[str, DataFrame]:
     out = series(spark.read.parquet(requests_path), first, last, services)
-    for name in ("dense", "wide"):
-        df = out[name].withColumn("trip_date", F.date_format("trip_date", "yyyy-MM-dd"))
-        order = ["trip_date", "service"] if name == "dense" else ["trip_date"]
-        write_report(df, os.path.join(output_path, name), order)
+    out["dense"].persist()  # days x services rows: both reports come from one read
+    out["wide"] = share_wide(out["dense"], services)
+    try:
+        for name in ("dense", "wide"):
+            df = out[name].withColumn("trip_date", F.date_format("trip_date", "yyyy-MM-dd"))
+            order = ["trip_date", "service"] if name == "dense" else ["trip_date"]
+            write_report(df, os.path.join(output_path, name), order)
+    finally:
+        out["dense"].unpersist()
     return out

@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame
 from trip_engine.operators import airports as ap
 from trip_engine.operators.features import trip_features
 from trip_engine.operators.filters import select_zones
+from trip_engine.operators.ids import add_row_id
 from trip_engine.operators.model import predict_durations
 from trip_engine.operators.sinks import publish_table, publish_view
 from trip_engine.plans.broadcast import fits_broadcast
 from trip_engine.specs import FeatureConfig, ZoneSpec
 
+# fixed values: the names of the original relations
 AIRPORT_VIEWS = ("trips", "airport_pickups", "airport_dropoffs", "airport_trips",
                  "aggregated_pickup_insights_by_hod", "aggregated_pickup_insights_by_dow",
                  "aggregated_dropoff_insights_by_hod", "aggregated_dropoff_insights_by_dow",
@@ -26,9 +28,13 @@ AIRPORT_VIEWS = ("trips", "airport_pickups", "airport_dropoffs", "airport_trips"
 
 
 def register_airport_views(trips: DataFrame, lookup: DataFrame,
-                           spec: ZoneSpec = ZoneSpec()) -> dict[str, DataFrame]:
+                           spec: ZoneSpec = ZoneSpec(), id_mode: str = "key") -> dict[str, DataFrame]:
     """Views of the airport chain: trips, impressions and the six reports
-    (the reports are rolled up from one cube, not from the impressions)."""
+    (the reports are rolled up from one cube, not from the impressions). Trips
+    without an ``id`` get one (``id_mode`` of ``add_row_id``), which the impressions
+    carry on."""
+    if "id" not in trips.columns:
+        trips = add_row_id(trips, id_mode)
     zones = select_zones(lookup, spec=spec)
     small = fits_broadcast(zones, spec.max_broadcast_rows)  # checked once for all views
     pickups = ap.zone_impressions(trips, zones, "pickup", spec, broadcast=small)

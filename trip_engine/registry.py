@@ -143,12 +143,12 @@ for _kind, _key in (("pickup", "airport_pickups"), ("dropoff", "airport_dropoffs
 SELECT strftime(impression_datetime, '%Y-%m-%d %H:%M:%S') AS impression_datetime,
        source, airport, hour_of_day, day_of_week FROM {_kind}s""")(_q)
 
-# --- OP-40..45, 52: the six reports, literal form -----------------------------
+# --- OP-40..45, 52: the six reports -----------------------------
 for _kind, _prefix in (("pickup", "airport_pickups"), ("dropoff", "airport_dropoffs"),
                        ("all", "airport_trips")):
     for _by, _suffix in (("hour_of_day", "by_hour"), ("day_of_week", "by_weekday")):
         def _q(spark, sf_dir, _kind=_kind, _by=_by):
-            return ap.airport_report(impressions(spark, sf_dir, _kind), _by)
+            return ap.zone_report(trips(spark, sf_dir), airport_zones(spark, sf_dir), _kind, _by, ZONES)
         register(f"{_prefix}_{_suffix}", SQL_IMPRESSIONS + f"""
 SELECT airport, {_by}, count(*) AS trip_count FROM {_kind}s
 GROUP BY airport, {_by} ORDER BY airport, {_by}""")(_q)
@@ -159,8 +159,34 @@ GROUP BY airport, {_by} ORDER BY airport, {_by}""")(_q)
 SELECT airport, hour_of_day, count(source) AS trip_count FROM pickups
 GROUP BY airport, hour_of_day""")
 def q_zero_filled_report(spark, sf_dir):
-    return ap.airport_report(impressions(spark, sf_dir, "pickup"), "hour_of_day",
-                             unmatched="zero", ordered=False)
+    return ap.zone_report(trips(spark, sf_dir), airport_zones(spark, sf_dir), "pickup", "hour_of_day",
+                          ZONES, unmatched="zero", ordered=False)
+
+
+def _nameless_zones(spark, sf_dir):
+    """The whole, unfiltered lookup with one zone's name missing (zone 7 has trips)."""
+    z = fx.zone_lookup(spark, sf_dir)
+    return z.withColumn("Zone", F.when(F.col("LocationID") != 7, F.col("Zone")))
+
+
+SQL_ALL_ZONES = "WITH " + SQL_TRIPS + "," + SQL_ZONES + """,
+named AS (SELECT LocationID, CASE WHEN LocationID <> 7 THEN Zone END AS Zone FROM zones),
+tagged AS (
+  SELECT 'pickup' AS kind, a.Zone AS airport, CAST(hour(t.pickup_datetime) AS INTEGER) AS hour_of_day,
+         CAST(dayofweek(t.pickup_datetime) + 1 AS INTEGER) AS day_of_week
+  FROM trips t RIGHT JOIN named a ON t.PULocationID = a.LocationID
+  UNION ALL
+  SELECT 'dropoff', a.Zone, CAST(hour(t.dropoff_datetime) AS INTEGER),
+         CAST(dayofweek(t.dropoff_datetime) + 1 AS INTEGER)
+  FROM trips t RIGHT JOIN named a ON t.DOLocationID = a.LocationID
+)
+SELECT kind, airport, hour_of_day, day_of_week, count(*) AS trip_count FROM tagged
+GROUP BY kind, airport, hour_of_day, day_of_week"""
+
+for _name, _small in (("airport_cube_all_zones", True), ("airport_cube_all_zones_shuffled", False)):
+    def _q(spark, sf_dir, _small=_small):
+        return ap.airport_cube(trips(spark, sf_dir), _nameless_zones(spark, sf_dir), ZONES, broadcast=_small)
+    register(_name, SQL_ALL_ZONES)(_q)
 
 
 # --- OP-46: cube and its roll-ups ---------------------------------------------
@@ -391,8 +417,22 @@ feat AS (
 )"""
 
 
-def _kt(spark, sf_dir, with_label=True):
-    return fx.duration_trips(spark, sf_dir, with_label)
+def _kt(spark, sf_dir, with_label=True, part=None):
+    return fx.duration_trips(spark, sf_dir, with_label, part)
+
+
+# The training part's mean fills both parts; every order is read.
+SQL_PARTS = SQL_FEATURES + """,
+parts AS (SELECT *, CASE WHEN CAST(substr(id, 3) AS BIGINT) % 10 < 8 THEN 'train' ELSE 'test' END
+            AS part FROM base),
+train_mean AS (SELECT avg(distance) AS m FROM parts
+               WHERE part = 'train' AND distance IS NOT NULL AND NOT isnan(distance)),
+filled AS (
+  SELECT id, part, vendor_id, passenger_count, flag_code AS store_and_fwd_flag, day, hour, month,
+         round(coalesce(CASE WHEN isnan(distance) THEN NULL ELSE distance END,
+                        (SELECT m FROM train_mean)), 6) AS distance
+  FROM parts
+)"""
 
 
 def _round6(df: DataFrame, *cols: str) -> DataFrame:
@@ -468,15 +508,15 @@ def q_impute_mean(spark, sf_dir):
     return _round6(out.select("id", "distance"), "distance")
 
 
-@register("impute_mean_train", "WITH " + SQL_DURATION_TRIPS + SQL_FEATURES + """
-SELECT id, round(distance, 6) AS distance FROM feat""")
+@register("impute_mean_train", "WITH " + SQL_DURATION_TRIPS + SQL_PARTS + """
+SELECT id, part, distance FROM filled""")
 def q_impute_mean_train(spark, sf_dir):
-    """Test trips filled with the training trips' mean (both from orders)."""
+    """Training and test trips, both filled with the training trips' mean."""
     from trip_engine.operators.features import base_features, impute_mean
-    test = base_features(_kt(spark, sf_dir, with_label=False))
-    train = base_features(_kt(spark, sf_dir))
-    out = impute_mean(test, "distance", fit_on=train)
-    return _round6(out.select("id", "distance"), "distance")
+    train = base_features(_kt(spark, sf_dir, part="train"))
+    parts = [impute_mean(base_features(_kt(spark, sf_dir, False, part)), "distance", fit_on=train)
+             .select("id", F.lit(part).alias("part"), "distance") for part in ("train", "test")]
+    return _round6(parts[0].unionByName(parts[1]), "distance")
 
 
 @register("train_features", "WITH " + SQL_DURATION_TRIPS + SQL_FEATURES + """
@@ -487,13 +527,14 @@ def q_train_features(spark, sf_dir):
     return _round6(trip_features(_kt(spark, sf_dir)), "distance")
 
 
-@register("test_features", "WITH " + SQL_DURATION_TRIPS + SQL_FEATURES + """
-SELECT id, vendor_id, passenger_count, store_and_fwd_flag, day, hour, month,
-       round(distance, 6) AS distance FROM feat""")
+@register("test_features", "WITH " + SQL_DURATION_TRIPS + SQL_PARTS + """
+SELECT id, part, vendor_id, passenger_count, store_and_fwd_flag, day, hour, month, distance FROM filled""")
 def q_test_features(spark, sf_dir):
     from trip_engine.operators.features import trip_features
-    return _round6(trip_features(_kt(spark, sf_dir, with_label=False),
-                                 mean_from=_kt(spark, sf_dir)), "distance")
+    train = _kt(spark, sf_dir, part="train")
+    parts = [trip_features(_kt(spark, sf_dir, False, part), mean_from=train).withColumn("part", F.lit(part))
+             for part in ("train", "test")]
+    return _round6(parts[0].unionByName(parts[1]), "distance")
 
 
 # OP-22 on a deterministic stand-in prediction (order price / 7).
@@ -627,18 +668,49 @@ def q_check_not_null(spark, sf_dir):
     return check_not_null(_kt(spark, sf_dir))
 
 
+_SQL_TEST_IDS = "(SELECT 'id' || CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderkey % 10 >= 8)"
+_SQL_KT_IDS = "(SELECT 'id' || CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderkey % 10 < 8)"
+
+
 @register("run_contract", "WITH " + SQL_TRIPS + "," + SQL_ZONES + " "
           + _sql_contract("trips", "trips", qa.TRIPS_CONTRACT) + " UNION ALL "
           + _sql_contract("zone_lookup", "zones", qa.ZONE_LOOKUP_CONTRACT)
-          + " UNION ALL " + _sql_contract("training_trips", "kt_ids",
-                                          qa.DURATION_TRIPS_CONTRACT).replace(
-              "kt_ids", "(SELECT 'id' || CAST(o_orderkey AS VARCHAR) AS id FROM orders)"))
+          + " UNION ALL " + _sql_contract("training_trips", _SQL_KT_IDS, qa.DURATION_TRIPS_CONTRACT)
+          + " UNION ALL " + _sql_contract("testing_trips", _SQL_TEST_IDS, qa.DURATION_TRIPS_CONTRACT))
 def q_run_contract(spark, sf_dir):
-    return (qa.run_contract(trips(spark, sf_dir), qa.TRIPS_CONTRACT, "trips")
-            .unionByName(qa.run_contract(fx.zone_lookup(spark, sf_dir),
-                                         qa.ZONE_LOOKUP_CONTRACT, "zone_lookup"))
-            .unionByName(qa.run_contract(_kt(spark, sf_dir).select("id"),
-                                         qa.DURATION_TRIPS_CONTRACT, "training_trips")))
+    found = [qa.run_contract(trips(spark, sf_dir), qa.TRIPS_CONTRACT, "trips"),
+             qa.run_contract(fx.zone_lookup(spark, sf_dir), qa.ZONE_LOOKUP_CONTRACT, "zone_lookup")]
+    found += [qa.run_contract(_kt(spark, sf_dir, part=p).select("id"), qa.DURATION_TRIPS_CONTRACT, f"{p}ing_trips")
+              for p in ("train", "test")]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("airport_trips_contract", SQL_IMPRESSIONS + """,
+ids AS (SELECT row_number() OVER () AS rid, * FROM alls)
+SELECT 'airport_trips' AS table_name, c AS column_name, test, failures, failures = 0 AS passed FROM (
+  SELECT 'id' AS c, 'not_null' AS test, count(*) FILTER (WHERE source IS NULL) AS failures FROM ids
+  UNION ALL SELECT 'impression_datetime', 'not_null', count(*) FILTER (WHERE impression_datetime IS NULL) FROM ids
+  UNION ALL SELECT 'source', 'not_null', count(*) FILTER (WHERE source IS NULL) FROM ids
+  UNION ALL SELECT 'airport', 'not_null', count(*) FILTER (WHERE airport IS NULL) FROM ids
+  UNION ALL SELECT 'id', 'unique', (SELECT count(*) FROM (
+    SELECT t.k FROM (SELECT pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, source,
+        md5(concat_ws('|', strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'),
+            strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S'), CAST(PULocationID AS VARCHAR),
+            CAST(DOLocationID AS VARCHAR), source)) AS k FROM trips) t
+    JOIN (SELECT LocationID AS l, 1 AS pu FROM airports UNION ALL SELECT LocationID, 0 FROM airports) a
+      ON (a.pu = 1 AND t.PULocationID = a.l) OR (a.pu = 0 AND t.DOLocationID = a.l)
+    GROUP BY t.k HAVING count(*) > 1))
+)""")
+def q_airport_trips_contract(spark, sf_dir):
+    """The contract of the impressions; a trip between two airports shows its id twice."""
+    from trip_engine.operators.ids import add_row_id
+    t = add_row_id(trips(spark, sf_dir), "key", ["pickup_datetime", "dropoff_datetime", "PULocationID",
+                                                 "DOLocationID", "source"])
+    imp = ap.zone_impressions(t, airport_zones(spark, sf_dir), "all", ZONES)
+    return qa.run_contract(imp, qa.AIRPORT_TRIPS_CONTRACT, "airport_trips")
 
 
 # --- OP-28: request validation ---------------------------------------------------
@@ -662,40 +734,98 @@ why AS (
 SELECT id, CASE WHEN reasons = '' THEN 'accepted' ELSE 'rejected' END AS status,
        NULLIF(reasons, '') AS reject_reason FROM why""")
 def q_validate_requests(spark, sf_dir):
-    from trip_engine.streaming.scoring import validate_requests
-    ok, bad = validate_requests(fx.scoring_requests(spark, sf_dir))
-    return (ok.select("id", F.lit("accepted").alias("status"),
-                      F.lit(None).cast("string").alias("reject_reason"))
-            .unionByName(bad.select("id", F.lit("rejected").alias("status"), "reject_reason")))
-
-
-# --- OP-33, 71..75: model (rows-only checks) --------------------------------------
+    from trip_engine.streaming.scoring import tag_requests
+    return _status(tag_requests(fx.scoring_requests(spark, sf_dir)))
+
+
+def _status(tagged: DataFrame) -> DataFrame:
+    return tagged.select("id", F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
+                         .alias("status"), "reject_reason")
+
+
+SQL_REQUESTS_WHY = ORACLE["validate_requests"].split("SELECT id, CASE WHEN reasons")[0]
+
+
+def broken_requests(spark, sf_dir) -> DataFrame:
+    """The scoring requests as JSON text, every 13th order's record garbled and
+    every 17th order's vendor no number."""
+    reqs = fx.scoring_requests(spark, sf_dir)
+    key = F.substring("id", 3, 40).cast("long")
+    text = F.to_json(F.struct(*reqs.columns))
+    odd = F.to_json(F.struct("id", F.lit("abc").alias("vendor_id"), *[c for c in reqs.columns
+                                                                     if c not in ("id", "vendor_id")]))
+    return reqs.select(F.when(key % 13 == 0, F.concat(F.lit("not json at all "), "id"))
+                       .when(key % 17 == 0, odd).otherwise(text).alias("value"))
+
+
+@register("dead_letter", SQL_REQUESTS_WHY + """,
+k AS (SELECT *, CAST(substr(id, 3) AS BIGINT) AS key FROM why)
+SELECT CASE WHEN key % 13 <> 0 THEN id END AS id,
+       CASE WHEN key % 13 = 0 OR key % 17 = 0 OR reasons <> '' THEN 'rejected' ELSE 'accepted' END AS status,
+       CASE WHEN key % 13 = 0 THEN 'Malformed record'
+            WHEN key % 17 = 0 THEN concat_ws('; ', 'Wrong type: vendor_id', NULLIF(replace(replace(
+              reasons, 'Missing feature or id: vendor_id; ', ''), 'Missing feature or id: vendor_id', ''), ''))
+            ELSE NULLIF(reasons, '') END AS reject_reason,
+       CASE WHEN key % 13 = 0 THEN 'not json at all ' || id END AS malformed_text
+FROM k""")
+def q_dead_letter(spark, sf_dir):
+    """OP-06 + OP-28: records that do not parse keep their text, and malformed, wrong
+    and missing are told apart; accepted and rejected make up the input."""
+    from trip_engine.sources.requests import MALFORMED, RAW, parse_requests
+    from trip_engine.streaming.scoring import tag_requests
+    tagged = tag_requests(parse_requests(broken_requests(spark, sf_dir)))
+    return tagged.select("id", F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
+                         .alias("status"), "reject_reason", F.when(F.col(MALFORMED), F.col(RAW)).alias("malformed_text"))
+
+
+# --- OP-33, 71..75: model --------------------------------------
 _MODELS: dict[tuple[str, str], object] = {}
 
 
 def duration_model(spark: SparkSession, sf_dir: str):
-    """Pipeline fitted on the training trips (cached per session and input)."""
+    """Pipeline fitted on the training part (cached per session and input)."""
     from trip_engine.operators.features import trip_features
     from trip_engine.operators.model import train_duration_model
     from trip_engine.specs import FeatureConfig
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        train = trip_features(_kt(spark, sf_dir), FeatureConfig(impute=False))
+        train = trip_features(_kt(spark, sf_dir, part="train"), FeatureConfig(impute=False))
         _MODELS[key] = train_duration_model(train)
     return _MODELS[key]
 
 
-@register("score_batch")
+@register("score_batch", "WITH " + SQL_DURATION_TRIPS + """
+SELECT count(*) FILTER (WHERE CAST(substr(id, 3) AS BIGINT) % 10 < 8) AS training_rows,
+       count(*) FILTER (WHERE CAST(substr(id, 3) AS BIGINT) % 10 >= 8) AS scored_rows,
+       count(*) FILTER (WHERE CAST(substr(id, 3) AS BIGINT) % 10 >= 8) AS scored_ids,
+       CAST(0 AS BIGINT) AS without_prediction, true AS better_than_mean
+FROM kt""")
 def q_score_batch(spark, sf_dir):
-    """OP-73: (id, trip_duration) for every test trip, rounded (SQL model)."""
+    """OP-33, 71..73: a model fitted on the training part scores the test part: every
+    row once, none without a prediction, and with a smaller error than the
+    training mean has."""
     from trip_engine.operators.features import trip_features
     from trip_engine.operators.model import predict_durations
     from trip_engine.specs import FeatureConfig
-    test = trip_features(_kt(spark, sf_dir, with_label=False), FeatureConfig(impute=False))
-    return predict_durations(duration_model(spark, sf_dir), test, shape="round")
-
-
-@register("score_stream")
+    train, truth = (_kt(spark, sf_dir, part=p) for p in ("train", "test"))
+    test = trip_features(truth.drop("trip_duration"), FeatureConfig(impute=False))
+    preds = predict_durations(duration_model(spark, sf_dir), test, shape="round")
+    both = preds.withColumnRenamed("trip_duration", "p").join(truth.select("id", "trip_duration"), "id", "left")
+    base = train.agg(F.count(F.lit(1)).alias("training_rows"), F.avg("trip_duration").alias("mean"))
+    error = F.sum(F.pow(F.col("p") - F.col("trip_duration"), 2))
+    # sum of (t - mean)^2 from sums, so that the mean need not be known in the pass
+    t = F.col("trip_duration").cast("double")
+    sums = both.agg(F.count(F.lit(1)).alias("scored_rows"), F.countDistinct("id").alias("scored_ids"),
+                    F.count_if(F.col("p").isNull()).alias("without_prediction"), error.alias("e"),
+                    F.sum(t).alias("t1"), F.sum(t * t).alias("t2"))
+    spread = F.col("t2") - 2 * F.col("mean") * F.col("t1") + F.col("scored_rows") * F.col("mean") * F.col("mean")
+    return sums.join(F.broadcast(base)).select(  # two rows of sums
+        "training_rows", "scored_rows", "scored_ids", "without_prediction", (F.col("e") < spread).alias("better_than_mean"))
+
+
+@register("score_stream", SQL_REQUESTS_WHY + """
+SELECT id, CASE WHEN reasons = '' THEN 'accepted' ELSE 'rejected' END AS status,
+       NULLIF(reasons, '') AS reject_reason, reasons = '' AS scored FROM why""")
 def q_score_stream(spark, sf_dir):
     """OP-06 + OP-28 + OP-74: requests written as JSON lines, scored by a
     file-stream query (availableNow), predictions and rejects read back."""
@@ -713,7 +843,89 @@ def q_score_stream(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"scoring stream failed: {q.exception()}")
-    return read_scored(spark, os.path.join(base, "predictions"), os.path.join(base, "rejects"))
+    return read_scored(spark, os.path.join(base, "predictions"), os.path.join(base, "rejects")).select(
+        "id", "status", "reject_reason", F.col("predicted_trip_duration").isNotNull().alias("scored"))
+
+
+# --- OP-01..04: files, through the session's shared scratch folder ----------------
+def _round_trip(df: DataFrame, name: str, fmt: str) -> str:
+    from trip_engine.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.format(fmt).option("header", True).save(path)
+    return path
+
+
+@register("parquet_trips", ORACLE["conform_sources"])
+def q_parquet_trips(spark, sf_dir):
+    """OP-01: each source written in its own layout, read back and conformed."""
+    from trip_engine.sources.files import read_trips
+    parts = [read_trips(spark, _round_trip(fx.raw_trips(spark, sf_dir, s), f"trips-{s.label}", "parquet"), s)
+             for s in (RIDE_HAILING, GREEN, YELLOW)]
+    return _ts_text(consolidate(*parts), "pickup_datetime", "dropoff_datetime")
+
+
+@register("csv_trips", "WITH " + SQL_DURATION_TRIPS + """
+SELECT id, vendor_id, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') AS pickup_datetime,
+       CAST(NULL AS VARCHAR) AS dropoff_datetime, passenger_count, round(pickup_longitude, 6) AS pickup_longitude,
+       round(pickup_latitude, 6) AS pickup_latitude, store_and_fwd_flag, trip_duration FROM kt""")
+def q_csv_trips(spark, sf_dir):
+    """OP-02: duration trips through CSV, bound by header name to the declared
+    layout (the file has no dropoff time, and its columns are in another order)."""
+    from trip_engine.plans.trip_duration import TRAIN_SCHEMA
+    from trip_engine.sources.files import read_csv
+    kt = _kt(spark, sf_dir)
+    path = _round_trip(_ts_text(kt, "pickup_datetime").select(*reversed(kt.columns)), "trips-csv", "csv")
+    out = read_csv(spark, path, TRAIN_SCHEMA).select(
+        "id", "vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "pickup_longitude",
+        "pickup_latitude", "store_and_fwd_flag", "trip_duration")
+    return _round6(_ts_text(out, "pickup_datetime", "dropoff_datetime"), "pickup_longitude", "pickup_latitude")
+
+
+@register("zone_lookup_csv", "WITH " + SQL_ZONES + " SELECT LocationID, Borough, Zone, service_zone FROM zones")
+def q_zone_lookup_csv(spark, sf_dir):
+    """OP-03: the zone lookup through CSV, its columns in another order."""
+    from trip_engine.sources.files import read_zone_lookup
+    z = fx.zone_lookup(spark, sf_dir).select("Zone", "LocationID", "service_zone", "Borough")
+    return read_zone_lookup(spark, _round_trip(z, "zones-csv", "csv"))
+
+
+@register("external_table", "SELECT event_id, user_id, event_type FROM events")
+def q_external_table(spark, sf_dir):
+    """OP-04: files under a table name, read by SQL."""
+    from trip_engine.sources.files import register_external
+    path = _round_trip(fx.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"),
+                       "events-external", "parquet")
+    name = f"trip_events_{path.rsplit('-', 1)[1]}"
+    register_external(spark, name, path)
+    return spark.sql(f"SELECT event_id, user_id, event_type FROM {name}")
+
+
+# --- OP-16 by a lookup table, OP-53 by key -----------------------------------------
+@register("service_mapping_join", "WITH " + SQL_REQUESTS + """
+SELECT event_id, service FROM svc_all""")
+def q_service_mapping_join(spark, sf_dir):
+    from trip_engine.operators.codes import map_codes_join
+    from trip_engine.specs import SERVICE_NAMES
+    names = spark.createDataFrame([*SERVICE_NAMES.items()], "code string, name string")
+    return map_codes_join(fx.ride_requests(spark, sf_dir), "hvfhs_license_num", names, "code", "name",
+                          "service").select("event_id", "service")
+
+
+@register("airport_trips_with_id", "WITH " + SQL_TRIPS.replace("AS source\n", """AS source,
+         md5(concat_ws('|', strftime(l_shipdate + to_minutes(CAST(l_partkey % 1440 AS INTEGER)), '%Y-%m-%d %H:%M:%S'),
+                       strftime(l_shipdate + to_minutes(CAST(l_partkey % 1440 AS INTEGER))
+                         + to_minutes(CAST(trunc(5 + l_quantity) AS INTEGER)), '%Y-%m-%d %H:%M:%S'),
+                       CAST(l_suppkey % 20 AS VARCHAR), CAST(l_partkey % 20 AS VARCHAR),
+                       CASE l_returnflag WHEN 'N' THEN 'ride_hailing' WHEN 'A' THEN 'green' ELSE 'yellow' END)) AS id
+""") + "," + SQL_ZONES + """
+SELECT t.id, a.Zone AS airport, t.source FROM trips t RIGHT JOIN airports a ON t.PULocationID = a.LocationID
+UNION ALL SELECT t.id, a.Zone, t.source FROM trips t RIGHT JOIN airports a ON t.DOLocationID = a.LocationID""")
+def q_airport_trips_with_id(spark, sf_dir):
+    """Impressions carry the trips' id (here one that any engine computes alike)."""
+    from trip_engine.operators.ids import add_row_id
+    t = add_row_id(trips(spark, sf_dir), "key", ["pickup_datetime", "dropoff_datetime", "PULocationID",
+                                                 "DOLocationID", "source"])
+    return ap.zone_impressions(t, airport_zones(spark, sf_dir), "all", ZONES).select("id", "airport", "source")
 
 
 # --- OP-27 equality slice, OP-48 column mean ------------------------------------

@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files go when the frame they belong to is garbage
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -70,4 +72,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (never machine-local
     on a cluster, since the checkpoint folder is the cluster's shared one)."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_scratch: dict[str, list[str]] = {}
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders handed out in this application. Call it once the
+    results that read them are consumed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)

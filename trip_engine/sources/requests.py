@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
+# The request's field names and types (the wire format).
 # Declared request schema: fields bind by name, and an integer JSON value for
 # ``distance`` parses as a double.
 REQUEST_SCHEMA = StructType([
@@ -20,23 +21,44 @@ REQUEST_SCHEMA = StructType([
 ])
 
 
+# The record as it came, and the fields whose value does not fit the schema.
+RAW = "raw_record"
+MALFORMED = "malformed"
+WRONG_TYPE = "wrong_type"
+
+
 def parse_requests(df: DataFrame, value_col: str = "value",
                    schema: StructType = REQUEST_SCHEMA) -> DataFrame:
     """Requests carried as JSON text in one column (e.g. a Kafka ``value``
-    cast to string), parsed by name with the declared schema. A record that
-    is not JSON becomes all-NULL fields and is rejected downstream."""
-    parsed = F.from_json(F.col(value_col).cast("string"), schema)
-    return df.select(parsed.alias("_r")).select("_r.*")
+    cast to string), parsed by name with the declared schema.
+
+    Beside the fields: ``raw_record`` (the text as it came), ``malformed``
+    (the text is not a JSON object) and ``wrong_type`` (names of fields that are
+    there, but with a value that does not fit the type; they read as NULL)."""
+    raw = F.col(value_col).cast("string")
+    # every field as text first: what is there can be told from what fits
+    text = F.from_json(raw, StructType([StructField(f.name, StringType()) for f in schema.fields]
+                                       + [StructField("_bad", StringType())]),
+                       {"columnNameOfCorruptRecord": "_bad"})
+    is_object = F.try_parse_json(raw).cast("string").startswith("{")
+    rows = df.select(raw.alias(RAW), text.alias("_r"), F.coalesce(is_object, F.lit(False)).alias("_ok"))
+    value = {f.name: F.when(F.col("_ok") & F.col("_r._bad").isNull(),
+                            F.col(f"_r.{f.name}").try_cast(f.dataType)) for f in schema.fields}
+    wrong = F.array_compact(F.array(*[
+        F.when(F.col(f"_r.{f.name}").isNotNull() & value[f.name].isNull(), F.lit(f.name)) for f in schema.fields]))
+    bad = ~F.col("_ok") | F.col("_r._bad").isNotNull()
+    return rows.select(*[value[f.name].alias(f.name) for f in schema.fields], RAW, bad.alias(MALFORMED),
+                       F.when(bad, F.array().cast("array<string>")).otherwise(wrong).alias(WRONG_TYPE))
 
 
 def read_requests(spark: SparkSession, path: str, streaming: bool = False,
                   schema: StructType = REQUEST_SCHEMA,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """JSON-lines requests, batch or as a file stream (a Kafka source is the
-    production equivalent: parse its value with ``from_json`` and this schema)."""
-    if streaming:
-        reader = spark.readStream.schema(schema)
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.json(path)
-    return spark.read.schema(schema).json(path)
+    production equivalent: give its value to ``parse_requests``). Lines are read
+    as text, so a record that does not parse is kept as it came."""
+    reader = spark.readStream if streaming else spark.read
+    if streaming and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    lines = reader.text(path).where(F.trim("value") != "")
+    return parse_requests(lines, "value", schema)

@@ -18,21 +18,44 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trip_engine.functions.exprs import shape_duration
-from trip_engine.operators.filters import validate_required
+from trip_engine.operators.filters import tag_required
+from trip_engine.sources.requests import MALFORMED, RAW, WRONG_TYPE
 from trip_engine.specs import LABEL, MISSING_KEY_MESSAGE, MODEL_FEATURES, REQUEST_ID
 
 REQUIRED_KEYS = (REQUEST_ID, *MODEL_FEATURES)
 
 
+MALFORMED_MESSAGE = "Malformed record"
+WRONG_TYPE_MESSAGE = "Wrong type: "
+REASON = "reject_reason"
+
+
+def tag_requests(requests: DataFrame, keys=REQUIRED_KEYS, message: str = MISSING_KEY_MESSAGE) -> DataFrame:
+    """OP-28: every request with its ``reject_reason`` (NULL: accepted), in one
+    pass. A record that is not a JSON object is malformed; a field of the wrong type is
+    told from a missing one where the requests come from ``parse_requests``."""
+    if MALFORMED not in requests.columns:
+        return tag_required(requests, list(keys), message, REASON)
+    each = F.concat_ws("; ", F.array_compact(F.array(*[
+        F.when(F.array_contains(WRONG_TYPE, k), F.lit(f"{WRONG_TYPE_MESSAGE}{k}"))
+         .when(F.col(k).isNull(), F.lit(message.format(key=k))) for k in keys])))
+    return requests.withColumn(REASON, F.when(F.col(MALFORMED), F.lit(MALFORMED_MESSAGE))
+                               .when(each != "", each))
+
+
 def validate_requests(requests: DataFrame, keys=REQUIRED_KEYS,
                       message: str = MISSING_KEY_MESSAGE) -> tuple[DataFrame, DataFrame]:
     """OP-28: (accepted, rejected-with-reason)."""
-    return validate_required(requests, list(keys), message)
+    tagged = tag_requests(requests, keys, message)
+    extra = [c for c in (MALFORMED, WRONG_TYPE) if c in tagged.columns]
+    return (tagged.filter(F.col(REASON).isNull()).drop(REASON, RAW, *extra),
+            tagged.filter(F.col(REASON).isNotNull()).drop(*extra))
 
 
 def score_batch(batch: DataFrame, model: PipelineModel, shape: str = "raw",
                 keys=REQUIRED_KEYS) -> tuple[DataFrame, DataFrame]:
-    """Score one batch of requests: (predictions, rejects)."""
+    """Score one batch of requests: (predictions, rejects). Rejects carry the
+    record as it came, where it is known."""
     accepted, rejected = validate_requests(batch, keys)
     preds = model.transform(accepted).select(
         REQUEST_ID, shape_duration("prediction", shape).alias(f"predicted_{LABEL}"))
