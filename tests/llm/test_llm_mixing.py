@@ -1,0 +1,107 @@
+"""Targets and rounding against brute force."""
+
+import random
+import re
+from collections import defaultdict
+
+import pytest
+
+from conftest import SF_SMALL
+from trip_engine.llm import mixing
+
+
+def _targets(sizes):
+    """source -> target: share by weight, cut at three times the size, share the rest again."""
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, left, free = dict.fromkeys(order, 0.0), float(sum(sizes.values())), set(order)
+    while left > 1e-9 and free:
+        total = sum(weight[s] for s in free)
+        for s in free:
+            target[s] += left * weight[s] / total
+        left = 0.0
+        for s in [*free]:
+            if target[s] >= 3 * sizes[s]:
+                left += target[s] - 3 * sizes[s]
+                target[s] = 3.0 * sizes[s]
+                free.remove(s)
+    return target
+
+
+def _check(docs, rows, near):
+    size_of = {}
+    sizes = defaultdict(int)
+    for r in docs:
+        size_of[r["doc_id"]] = len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+        sizes[r["source"]] += size_of[r["doc_id"]]
+    target, taken = _targets(sizes), defaultdict(int)
+    source_of = {r["doc_id"]: r["source"] for r in docs}
+    for r in rows:
+        s = source_of[r["doc_id"]]
+        assert r["size"] == size_of[r["doc_id"]] and r["source_size"] == sizes[s]
+        assert r["target"] == pytest.approx(target[s], rel=1e-9, abs=1e-6)
+        rate = target[s] / sizes[s] if sizes[s] else 0
+        if r["size"]:
+            copies = r["taken"] / r["size"]
+            assert copies in (int(rate + 1e-9), int(rate + 1e-9) + 1, int(rate)) and copies <= 3
+        else:
+            assert r["taken"] == 0
+        taken[s] += r["taken"]
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= near(s, sizes, size_of, source_of), s
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = mixing.op6_mix_sources(docs).collect()
+    assert len(rows) == docs.count()
+    # the last open document of a source is rounded: at most half of a document, and a small one
+    _check(docs.collect(), rows, lambda s, sizes, *_: 0.02 * sizes[s])
+
+
+def _random_docs(spark, seed, n, sources):
+    rnd = random.Random(seed)
+    rows = [(i, " ".join("w" for _ in range(int(rnd.paretovariate(0.8)) % 700)), rnd.choice(sources)) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_tables(spark, seed):
+    sources = ["hot"] * 20 + ["a", "B", "é", None, "zz", ""] * (1 + seed)
+    docs = _random_docs(spark, seed, 900, sources)
+
+    def largest(s, sizes, size_of, source_of):
+        return max((size_of[d] for d in size_of if source_of[d] == s), default=0) / 2 + 1e-6
+    _check(docs.collect(), mixing.op6_mix_sources(docs).collect(), largest)
+
+
+def test_reruns_agree(spark):
+    docs = _random_docs(spark, 9, 500, ["a", "b", "c"])
+    one = sorted(map(tuple, mixing.op6_mix_sources(docs.repartition(1)).collect()))
+    many = sorted(map(tuple, mixing.op6_mix_sources(docs.repartition(7)).collect()))
+    assert one == many
+
+
+def test_no_python_in_the_plan(spark):
+    from trip_engine.plans.inspect import plan_text
+    docs = _random_docs(spark, 1, 50, ["a", "b"])
+    plan = plan_text(mixing.op6_mix_sources(docs), "extended")
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_expectation_is_kept(spark):
+    """Over many documents of equal size the share with one copy more is the fraction."""
+    rows = [(i, "w " * 10, "a" if i % 2 else "b") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.op6_mix_sources(docs).groupBy("source_size", "target").sum("taken").collect()
+    for r in got:
+        assert abs(r["sum(taken)"] - r["target"]) <= 5
+
+
+def test_stage_repeats_documents(spark):
+    docs = _random_docs(spark, 2, 300, ["a", "b", "c", "d"])
+    want = {r["doc_id"]: r["taken"] // r["size"] for r in mixing.op6_mix_sources(docs).collect() if r["taken"]}
+    got = defaultdict(int)
+    for r in mixing.stage(spark, docs, "").collect():
+        got[r["doc_id"]] += 1
+    assert got == want

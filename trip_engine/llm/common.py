@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import trip_engine
 from trip_engine.session import scratch_path
 
 # Largest Arrow batch handed to a Python worker: rows, bytes of one batch.
@@ -18,9 +23,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, so that a run of very long texts
-    cannot fill a Python worker. Affects only the batching, not the rows."""
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application: they may
+    run on machines, and in folders, that do not have it."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    root = Path(trip_engine.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="ship-")) / "trip_engine.zip"  # the driver serves it
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(spark.sparkContext.applicationId)
+
+
+_shipped: set[str] = set()
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Ship the package, and bound what one Arrow batch holds, so that a run of very
+    long texts cannot fill a Python worker (the batching changes, not the rows)."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trip_engine.llm.common import bound_batches, is_held_out, materialize, utf8
+from trip_engine.llm.common import prepare_workers, is_held_out, materialize, utf8
 from trip_engine.llm.quality_rules import measure
 from trip_engine.llm.toxicity import fit_logistic
 
@@ -169,7 +169,7 @@ def _views(b: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, labels: DataFrame) -> CoTrained:
     spark = docs.sparkSession
-    bound_batches(spark)
+    prepare_workers(spark)
     known = materialize(labels.where(F.col("quality").isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("l_id")).agg(F.max(F.col("quality").cast("int")).alias("quality"))
         .where(~is_held_out("l_id")), "quality-labels")
@@ -209,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame) -> CoTrained:
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:
     """doc_id, score (joint), text_score, meta_score: one row per document."""
     spark = docs.sparkSession
-    bound_batches(spark)
+    prepare_workers(spark)
     shared = spark.sparkContext.broadcast(model)  # a few hundred weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

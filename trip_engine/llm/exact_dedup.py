@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trip_engine.llm.common import bound_batches, materialize, utf8
+from trip_engine.llm.common import prepare_workers, materialize, utf8
 
 CHUNK = 1 << 16            # bytes of one chunk
 PRIMES = (2147483647, 2147483629)
@@ -79,7 +79,7 @@ def _key(fp: tuple[int, ...]) -> int:
 def fingerprints(docs: DataFrame, poly: Polynomial | None = None) -> DataFrame:
     """doc_id, row_hash (of the text as it is), fp, n_bytes, text_sha256: one row
     per document, in one narrow pass."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     poly = poly or Polynomial()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +105,7 @@ def fingerprint_chunks(chunks: DataFrame, poly: Polynomial | None = None) -> Dat
     """Fingerprints of documents whose text lies in many rows (``doc_id``,
     ``chunk_no``, ``data`` binary, already normalised): every row is hashed where it is,
     and per document only (number, length, hash) triples are combined."""
-    bound_batches(chunks.sparkSession)
+    prepare_workers(chunks.sparkSession)
     poly = poly or Polynomial()
 
     def hashed(batches):

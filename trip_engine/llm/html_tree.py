@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trip_engine.llm.common import bound_batches, materialize
+from trip_engine.llm.common import prepare_workers, materialize
 
 THRESHOLD = 0.3            # branches below this importance go
 DAMPING = 0.9
@@ -250,7 +250,7 @@ def _importance(rows: pd.DataFrame) -> dict[str, float]:
 
 def style_trees(pages: DataFrame) -> DataFrame:
     """host and the paths of its style tree whose importance is below the threshold."""
-    bound_batches(pages.sparkSession)
+    prepare_workers(pages.sparkSession)
     counts = pages.select("url", "html").mapInArrow(
         _features, "host string, path string, kind int, feature bigint, n bigint, n_log_n double")
     feature = counts.groupBy("host", "path", "kind", "feature").agg(
@@ -302,7 +302,7 @@ _KEPT = PLAIN | MAIN | {"html", "body", "header", "section"}
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: one row per page."""
-    bound_batches(pages.sparkSession)
+    prepare_workers(pages.sparkSession)
     trees = materialize(style_trees(pages).where("size(low) > 0").withColumnRenamed("host", "t_host"), "style-trees")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

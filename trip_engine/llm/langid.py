@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trip_engine.llm.common import bound_batches, is_held_out, utf8
+from trip_engine.llm.common import prepare_workers, is_held_out, utf8
 
 MAX_FIT_ROWS = 50_000
 BUCKETS = 1 << 16
@@ -135,7 +135,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, most: int = MAX_FIT_ROWS) -> LanguageModel:
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     share = min(1.0, most / max(1, docs.count()))
     rows = _rows(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     # one row per language and bucket comes back
@@ -179,7 +179,7 @@ def _bit_weights(rows: DataFrame, model: LanguageModel) -> np.ndarray:
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred, score, ambiguous: one row per document, one narrow pass."""
     spark = docs.sparkSession
-    bound_batches(spark)
+    prepare_workers(spark)
     shared = spark.sparkContext.broadcast(model)  # buckets times bits, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

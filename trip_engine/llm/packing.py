@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trip_engine.llm.common import bound_batches, utf8
+from trip_engine.llm.common import prepare_workers, utf8
 from trip_engine.llm.tokenizing import WordTokenizer
 
 MAX_TOKENS = 4096
@@ -167,7 +167,7 @@ def pack(rows: DataFrame, read: Callable[[pa.RecordBatch], Iterator[Example]],
          limits=(MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS), cut: bool = True) -> DataFrame:
     """The pieces of all examples that ``read`` makes of the rows, with their
     ids (see ``PIECES``). ``sequence_id`` holds the partition in its upper bits."""
-    bound_batches(rows.sparkSession)
+    prepare_workers(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(limits, cut)

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trip_engine.llm.common import bound_batches, materialize, utf8
+from trip_engine.llm.common import prepare_workers, materialize, utf8
 from trip_engine.llm.components import connected_components
 
 SHINGLE = 4
@@ -77,7 +77,7 @@ def _majority(hashes: list[int]) -> int:
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """doc_id and fp (the 64 bits as a signed long), in one narrow pass."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -215,6 +215,7 @@ def find_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK)
     all fingerprints connected by links of at most ``max_bits`` bits."""
     if max_bits > MAX_BITS:
         raise ValueError(f"the keys cover up to {MAX_BITS} differing bits")
+    prepare_workers(prints.sparkSession)
     nodes = materialize(prints.select("fp").distinct(), "simhash-nodes")
     keyed = nodes.mapInArrow(_emit_keys, "fp bigint, key bigint")
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trip_engine.llm.common import bound_batches, utf8
+from trip_engine.llm.common import prepare_workers, utf8
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
@@ -119,11 +119,11 @@ class TokenCounter:
     def _learn(self, pieces: set[str]) -> None:
         if len(self.pieces) + len(pieces) > CACHE:
             self.pieces.clear()
-        new = {p: self.split(p) for p in pieces - self.pieces.keys()}
+        new = {p: self.split(p) for p in pieces.difference(self.pieces)}
         seen = set().union(*new.values())
         if len(self.tokens) + len(seen) > CACHE:
             self.tokens.clear()
-        fresh = [*(seen - self.tokens.keys())]
+        fresh = [*(seen.difference(self.tokens))]
         for lo in range(0, len(fresh), AT_ONCE):
             part = fresh[lo:lo + AT_ONCE]
             counted = self.merger.counts([x.encode("utf-8") for x in part]).tolist()
@@ -152,7 +152,7 @@ class TokenCounter:
 
 def count_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit: one row per document, one narrow pass."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TokenCounter.of(tokenizer)

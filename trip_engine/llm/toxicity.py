@@ -1,60 +1,69 @@
 """Operator 2: toxicity by maximum-scoring segments.
 
-Lexicon: every unit (a word, and its prefixes of four to six letters) gets the log-odds of its
-document frequency in toxic against other labelled documents, with an
-informative Dirichlet prior from both together, and the z-score of that
-log-odds. A word scores by its unit of the highest z if that is significant; any other word costs a
-small penalty. Units live in a fixed number of hash buckets, so what is broadcast does
-not grow with the data.
+Lexicon: every unit (a word, and its prefixes of four to six letters) gets the
+log-odds of its document frequency in toxic against other labelled texts, with
+an informative Dirichlet prior (the unit's share of all texts, worth a fixed part
+of them), and the z-score of that log-odds. A word scores by its unit of the
+highest z, by the lower bound of its log-odds, if that is significant and
+large (common words with a slight lean are not evidence, however often they
+repeat); any other word costs a small penalty. Units
+are counted in toxic texts first; the most frequent ones there, at most
+``MAX_UNITS``, are then counted in the others, so what is broadcast is bounded.
 
 Scan: all maximal scoring segments of a document are found in one linear pass
 over its words (runs of penalty words are taken in one step). Calibration: the
 best segment of a clean document of n words follows an extreme-value law,
 P(S >= s) = 1 - exp(-K n exp(-lambda s)), with lambda from the score
 distribution of clean words and K from the clean documents' best segments. The
-p-values of the best segment and of all significant segments together, as -log10, enter a
-logistic curve fitted on the training rows.
+p-values of the best segment and of all significant segments together, as
+-log10, enter a logistic curve fitted on the training rows.
 
-Learning reads at most ``MAX_FIT_ROWS`` labelled rows (chosen by a hash of the id, evenly
-over all sources), never held-out ones; scoring reads every text whole.
+Learning reads at most ``MAX_FIT_ROWS`` labelled rows (chosen by a hash of the
+id, evenly over all sources; equal texts count once), never held-out ones;
+scoring reads every text whole.
 
 Defined cases: null and empty texts have no segment and get the score of a
 text without any; labelled rows without a text or a label teach nothing; a
-repeated label counts once; without toxic or without clean training rows every score is the
-share of toxic ones among them (0 if none); an empty table gives an empty
-result; other columns are ignored, whatever their names.
+repeated label counts once; without toxic or without clean training rows every
+score is the share of toxic ones among them (0 if none); an empty table gives an
+empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trip_engine.llm.common import bound_batches, is_held_out, materialize, utf8
+from trip_engine.llm.common import is_held_out, materialize, prepare_workers, utf8
 
 MAX_FIT_ROWS = 50_000
-BUCKETS = 1 << 18
+MAX_UNITS = 100_000
+MIN_TOXIC = 5              # toxic texts a unit must occur in
 PREFIXES = (4, 5, 6)
-MIN_Z = 4.0
+MIN_Z = 3.0
+SURE = 1.64                # a word scores its log-odds less so many standard deviations,
+MIN_SCORE = 2.5            # and nothing if that is below
 PENALTY = 0.25
 TOP = 12.0                 # largest score of one word
 SIGNIFICANT = 0.01         # p-value of a passage that is reported
 CACHE = 500_000
-PRIOR = 50.0               # total weight of the Dirichlet prior, in documents' units per class
+PRIOR = 0.005              # weight of the Dirichlet prior, as a part of all training texts
+COUNTED_AT_ONCE = 500_000  # units a task counts before it hands the counts on
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def units(word: str) -> list[int]:
-    """Buckets of a lower-cased word and its prefixes."""
+    """Names (64 bits) of a lower-cased word and its prefixes."""
     data = [f"={word}", *(f"{n}{word[:n]}" for n in PREFIXES if len(word) >= n)]
-    return [crc32(x.encode("utf-8", "replace")) % BUCKETS for x in data]
+    return [xxhash.xxh64_intdigest(x.encode("utf-8", "replace")) - (1 << 63) for x in data]
 
 
 def words_of(data: bytes) -> list[str]:
@@ -62,71 +71,91 @@ def words_of(data: bytes) -> list[str]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT_ROWS) -> DataFrame:
-    """(doc_id, toxic, data): at most about ``most`` labelled rows that are not held out."""
+    """(toxic, data): about ``most`` labelled rows at most that are not held out, equal
+    texts of the same label once. Written, as the fit reads them several times."""
     known = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("l_id")) \
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where(~is_held_out("l_id"))
     known = materialize(known, "tox-labels")
     share = min(1.0, most / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("l_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    # bounded by ``most`` rows of two numbers
-    return docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("data")) \
-        .join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "toxic", "data")
-
-
-def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Document frequency of each bucket by label, summed over a task."""
-    counts = np.zeros((2, BUCKETS), np.int64)
-    cache: dict[str, list[int]] = {}
-    for b in batches:
-        for toxic, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-            found: set[int] = set()
-            for w in set(words_of(data)):
-                u = cache.get(w)
-                if u is None:
-                    if len(cache) > CACHE:
-                        cache.clear()
-                    u = cache[w] = units(w)
-                found.update(u)
-            counts[int(toxic > 0), np.fromiter(found, np.int64, len(found))] += 1
-    for label in (0, 1):
-        at = np.flatnonzero(counts[label])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(at), label, np.int32)), pa.array(at), pa.array(counts[label, at])],
-            ["label", "bucket", "n"])
-
-
-def log_odds(toxic: np.ndarray, clean: np.ndarray, prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds ratio per bucket with an informative Dirichlet prior, and its z-score."""
-    both = toxic + clean
-    total = max(1, both.sum())
-    alpha = prior * both / total + 1e-9
+    # the broadcast is bounded by ``most`` rows of two numbers, the rest by their texts
+    rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("data")) \
+        .join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
+    once = rows.withColumn("h", F.xxhash64("data")).dropDuplicates(["h", "toxic"])
+    return materialize(once.select((F.col("toxic") > 0).cast("int").alias("toxic"), "data"), "tox-training")
+
+
+def _count_units(wanted: frozenset[int] | None):
+    """(unit, n): in how many texts each of the wanted units (all: None) occurs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        names: dict[str, list[int]] = {}
+
+        def batch():
+            keys = [*counts]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array([counts[k] for k in keys], pa.int64())], ["unit", "n"])
+
+        for b in batches:
+            for data in b.column(0).to_pylist():
+                found: set[int] = set()
+                for w in set(words_of(data)):
+                    u = names.get(w)
+                    if u is None:
+                        if len(names) > CACHE:
+                            names.clear()
+                        u = [x for x in units(w) if wanted is None or x in wanted]
+                        names[w] = u
+                    found.update(u)
+                counts.update(found)
+            if len(counts) > COUNTED_AT_ONCE:
+                yield batch()
+                counts.clear()
+        yield batch()
+    return run
+
+
+def _unit_counts(rows: DataFrame, wanted: frozenset[int] | None = None) -> DataFrame:
+    return rows.select("data").mapInArrow(_count_units(wanted), "unit bigint, n bigint") \
+        .groupBy("unit").agg(F.sum("n").alias("n"))
+
+
+def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int,
+             prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds ratio of the units' document frequencies with an informative
+    Dirichlet prior, and its z-score."""
+    weight = prior * (n_toxic + n_clean)
+    alpha = weight * (toxic + clean) / max(1, n_toxic + n_clean) + 0.01
     y, x = toxic + alpha, clean + alpha
-    ny, nx = toxic.sum() + prior, clean.sum() + prior
-    delta = np.log(y / np.maximum(ny - y, 1e-9)) - np.log(x / np.maximum(nx - x, 1e-9))
+    delta = np.log(y / np.maximum(n_toxic + weight - y, 0.5)) - np.log(x / np.maximum(n_clean + weight - x, 0.5))
     return delta, delta / np.sqrt(1 / y + 1 / x)
 
 
 class Lexicon:
-    def __init__(self, toxic: np.ndarray, clean: np.ndarray):
-        delta, z = log_odds(toxic.astype(float), clean.astype(float))
-        self.score = np.where((z >= MIN_Z) & (delta > 0), np.minimum(delta, TOP), 0).astype(np.float32)
-        self.z = z.astype(np.float32)
+    """Significant toxic units with their scores and z-scores."""
+
+    def __init__(self, names: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int):
+        delta, z = log_odds(toxic.astype(float), clean.astype(float), n_toxic, n_clean)
+        low = delta - SURE * delta / np.maximum(z, 1e-9)  # lower bound: delta / z is its deviation
+        good = (z >= MIN_Z) & (low >= MIN_SCORE)
+        self.units = {int(u): (float(q), float(min(d, TOP))) for u, q, d in zip(names[good], z[good], low[good])}
         self.cache: dict[bytes, float] = {}
 
     def __getstate__(self):
-        return {"score": self.score, "z": self.z, "cache": {}}
+        return {"units": self.units, "cache": {}}
 
     def _chunk(self, chunk: bytes) -> float:
         """The best word of a chunk between white space."""
         best = 0.0
         for w in words_of(chunk):
-            at = units(w)
-            best = max(best, float(self.score[max(at, key=self.z.__getitem__)]))
+            known = [self.units[u] for u in units(w) if u in self.units]
+            if known:
+                best = max(best, max(known)[1])
         return best if best > 0 else -PENALTY
 
     def scores(self, data: bytes) -> np.ndarray:
         chunks = data.split()
-        new = set(chunks) - self.cache.keys()
+        new = set(chunks).difference(self.cache)
         if new:
             if len(self.cache) + len(new) > CACHE:
                 self.cache.clear()
@@ -246,26 +275,28 @@ class ToxicityModel:
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT_ROWS) -> ToxicityModel:
     spark = docs.sparkSession
-    bound_batches(spark)
+    prepare_workers(spark)
     rows = training_rows(docs, labels, most)
-    # at most two rows per bucket come back
-    counted = rows.mapInArrow(_count_units, "label int, bucket bigint, n bigint") \
-        .groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros((2, BUCKETS), np.int64)
-    counts[counted["label"].to_numpy(), counted["bucket"].to_numpy()] = counted["n"].to_numpy()
-    lexicon = Lexicon(counts[1], counts[0])
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bad, good = rows.where("toxic = 1"), rows.where("toxic = 0")
+    # at most MAX_UNITS rows come back, and the same units again from the other texts
+    found = _unit_counts(bad).where(F.col("n") >= MIN_TOXIC).orderBy(F.desc("n"), "unit").limit(MAX_UNITS).toArrow()
+    names = found["unit"].to_numpy()
+    others = dict(zip(*_unit_counts(good, frozenset(names.tolist())).toArrow().to_pydict().values()))
+    clean = np.array([others.get(u, 0) for u in names.tolist()], np.int64)
+    lexicon = Lexicon(names, found["n"].to_numpy(), clean, sizes.get(1, 0), sizes.get(0, 0))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for data in b.column(2).to_pylist():
+            for data in b.column(1).to_pylist():
                 scores = lexicon.scores(data)
                 found = maximal_segments(scores)
                 out.append((len(scores), max((s for *_, s in found), default=0.0),
                             [float(s) for *_, s in found], scores[scores > 0].tolist()))
             cols = list(zip(*out)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [b.column(1), *(pa.array(c, t) for c, t in zip(cols, (
+                [b.column(0), *(pa.array(c, t) for c, t in zip(cols, (
                     pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64()))))],
                 ["toxic", "words", "best", "segments", "positive"])
 
@@ -295,8 +326,8 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     p-value) and the significant passages (first word, word after the last, score,
     -log10 p): one row per document, in one narrow pass."""
     spark = docs.sparkSession
-    bound_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # the lexicon: a fixed number of buckets
+    prepare_workers(spark)
+    shared = spark.sparkContext.broadcast(model)  # the lexicon: at most MAX_UNITS units
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
