@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from trip_engine.llm.common import bound_batches
+from trip_engine.llm.common import prepare_workers
 
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
@@ -39,8 +39,8 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_r
 RULES = {
     "few_words": "n_words < 10",
     "repeated_windows": "100 * n_repeat_words > 20 * n_words",
-    "symbols": "10 * n_symbols > word_chars",
-    "duplicate_lines": "10 * n_dup_lines > 3 * n_lines",
+    "symbols": "20 * n_symbols > word_chars",
+    "duplicate_lines": "2 * n_dup_lines > n_lines",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 20 * n_words",
     "upper_case": "n_upper > n_lower",
@@ -106,7 +106,7 @@ def _measured(at: int, names: list[str]):
 def with_measures(docs: DataFrame, prefix: str = "") -> DataFrame:
     """All columns of ``docs`` and the measurements of ``text``, named with a
     prefix that keeps them apart from columns of the same names."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     names = [prefix + m for m in MEASURES]
     schema = StructType([*docs.schema.fields, *(StructField(n, LongType()) for n in names)])
     return docs.mapInArrow(_measured(docs.columns.index("text"), names), schema)
