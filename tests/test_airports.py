@@ -167,3 +167,59 @@ def test_trips_in_zones_without_broadcast_same_rows(spark):
     assert _rows(small) == _rows(big)
     assert small.count() == ap.zone_impressions(t, z, "dropoff", Z).filter(
         F.col("source").isNotNull()).count()
+
+
+def _nameless(spark, sf):
+    from trip_engine import fixtures as fx
+    return fx.zone_lookup(spark, sf).withColumn("Zone", F.when(F.col("LocationID") != 7, F.col("Zone")))
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_cube_counts_zones_without_a_name(spark, broadcast):
+    t, z = reg.trips(spark, SF_SMOKE), _nameless(spark, SF_SMOKE)
+    twice = z.unionByName(z.where("LocationID = 7"))
+    cube = ap.airport_cube(t, twice, Z, broadcast=broadcast)
+    assert _rows(ap.cube_report(cube, "pickup", "hour_of_day", ordered=False)) == _rows(
+        _literal_right_join_report(t, twice, "pickup", "hour_of_day"))
+
+
+def test_reports_scan_the_trips_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("airport_pickups_by_hour", "airport_trips_by_weekday", "zero_filled_report"):
+            plan = physical_plan(reg.QUERIES[name](spark, SF_SMOKE))
+            assert plan.count("lineitem.parquet") == 3, plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_fallback_joins_no_raw_trips_in_the_cube(spark):
+    """Without the broadcast the trips meet the lookup as aggregates, and the
+    row-level impressions use an inner join, whose hot zone AQE can split."""
+    t, z = reg.trips(spark, SF_SMOKE), reg.airport_zones(spark, SF_SMOKE)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = physical_plan(ap.airport_cube(t, z, Z, broadcast=False))
+        rows = physical_plan(ap.zone_impressions(t, z, "pickup", Z, broadcast=False))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            assert "HashAggregate" in lines[i + 1], plan
+    assert "RightOuter" not in rows
+
+
+def test_impressions_carry_ids_and_leave_nothing_cached(spark):
+    from trip_engine import fixtures as fx
+    from trip_engine.plans.sql_models import register_airport_views
+    register_airport_views(reg.trips(spark, SF_SMOKE), fx.zone_lookup(spark, SF_SMOKE), Z)
+    ids = spark.sql("SELECT id FROM airport_trips WHERE id IS NOT NULL")
+    assert ids.count() > 0 and dict(ids.dtypes)["id"] == "string"
+    spark.catalog.clearCache()
+    reports = ap.airport_reports(reg.trips(spark, SF_SMOKE), reg.airport_zones(spark, SF_SMOKE), Z)
+    reports["trips_by_hour"].collect()
+    cached = spark.sparkContext._jsc.sc().getPersistentRDDs
+    assert cached().size() > 0
+    ap.release_reports()
+    assert cached().size() == 0

@@ -19,12 +19,13 @@ CFG = FeatureConfig(impute=False)
 
 @pytest.fixture(scope="module")
 def fitted(spark):
-    train = trip_features(fx.duration_trips(spark, SF_SMOKE), CFG)
+    train = trip_features(fx.duration_trips(spark, SF_SMOKE, part="train"), CFG)
     model = train_duration_model(train, max_iter=8, max_depth=4)
-    return train, model
+    return trip_features(fx.duration_trips(spark, SF_SMOKE, part="test"), CFG), model
 
 
 def test_beats_mean_predictor(spark, fitted):
+    """On the test part, which the fit has not seen."""
     train, model = fitted
     preds = predict_durations(model, train, shape="raw")
     mean = train.agg(F.avg("trip_duration")).first()[0]
@@ -92,3 +93,42 @@ def test_assembler_invalid_modes(spark):
                          max_iter=2, max_depth=2)
     with pytest.raises(Exception):
         err.fit(df).transform(df).collect()
+
+
+def test_fit_depends_on_neither_layout_nor_cores(spark):
+    """The same rows in other partitions, and in sessions with 2 and 5 cores."""
+    import subprocess
+    import sys
+    from conftest import ROOT
+    here = [train_duration_model(trip_features(fx.duration_trips(spark, SF_SMOKE).repartition(n), CFG),
+                                 max_iter=2, max_depth=4).stages[-1].toDebugString.split("\n", 1)[1] for n in (2, 7)]
+    assert here[0] == here[1]
+    script = (
+        "import sys, hashlib; sys.path.insert(0, sys.argv[1])\n"
+        "from trip_engine import fixtures as fx\n"
+        "from trip_engine.session import build_session\n"
+        "from trip_engine.operators.features import trip_features\n"
+        "from trip_engine.operators.model import train_duration_model\n"
+        "from trip_engine.specs import FeatureConfig\n"
+        "s = build_session(sys.argv[2], shuffle_partitions=int(sys.argv[3]))\n"
+        "t = trip_features(fx.duration_trips(s, sys.argv[4]), FeatureConfig(impute=False))\n"
+        "m = train_duration_model(t, max_iter=2, max_depth=4)\n"
+        "print('FIT', hashlib.md5(m.stages[-1].toDebugString.split(chr(10), 1)[1].encode()).hexdigest())\n")
+    import hashlib
+    want = hashlib.md5(here[0].encode()).hexdigest()
+    for master, parts in (("local[2]", "4"), ("local[5]", "9")):
+        out = subprocess.run([sys.executable, "-c", script, ROOT, master, parts, SF_SMOKE], capture_output=True,
+                             text=True, timeout=300).stdout
+        assert f"FIT {want}" in out
+
+
+def test_fit_leaves_nothing_cached(spark, fitted):
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+
+
+def test_validation_of_the_job(spark):
+    from trip_engine.plans.trip_duration import validate
+    raw = fx.duration_trips(spark, SF_SMOKE)
+    found = validate(raw, max_iter=5, max_depth=4)
+    spread = raw.agg(F.stddev("trip_duration")).first()[0]
+    assert found["rows"] == raw.count() and found["held_out_rmse"] < 0.6 * spread

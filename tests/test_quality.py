@@ -1,5 +1,7 @@
 """Quality tests: unique / not_null / contracts against FIXTURES B6."""
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from trip_engine import fixtures as fx
 from trip_engine import registry as reg
@@ -42,3 +44,28 @@ def test_contract_shape(spark):
     out = qa.run_contract(fx.zone_lookup(spark, SF_SMALL), qa.ZONE_LOOKUP_CONTRACT, "zones")
     rows = out.collect()
     assert len(rows) == 5 and all(r.passed for r in rows)
+
+
+def test_contract_reads_a_table_once_and_equals_single_tests(spark):
+    from trip_engine.plans.inspect import physical_plan
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = physical_plan(qa.run_contract(reg.trips(spark, SF_SMALL), qa.TRIPS_CONTRACT, "trips"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("lineitem.parquet") == 3  # one per source
+    df = spark.createDataFrame([(None, 1.5, "a"), (1, -0.0, "a"), (1, 0.0, None), (2, 0.0, "b"), (None, None, "b")],
+                               "k int, d double, s string")
+    contract = (("k", "unique"), ("k", "not_null"), ("d", "unique"), (("d", "s"), "unique"), ("s", "not_null"),
+                (("k", "d", "s"), "unique"))
+    got = {(r.column_name, r.test): r.failures for r in qa.run_contract(df, contract, "t").collect()}
+    for key, test in contract:
+        name = key if isinstance(key, str) else ",".join(key)
+        want = (qa.unique_summary(df, key).first().failures if test == "unique"
+                else df.where(F.col(key).isNull()).count())
+        assert got[name, test] == want, (key, test)
+
+
+def test_contract_on_an_empty_table(spark):
+    out = qa.run_contract(fx.zone_lookup(spark, SF_SMALL).limit(0), qa.ZONE_LOOKUP_CONTRACT, "zones").collect()
+    assert len(out) == 5 and all(r.failures == 0 and r.passed for r in out)

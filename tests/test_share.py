@@ -81,3 +81,36 @@ def test_between_days_on_session_timestamps_and_dates(spark):
     assert between_days(ltz, "ts", "2024-01-03", "2024-01-04").count() == 2
     days = df.select(F.to_date(F.to_timestamp("t")).alias("d"))
     assert between_days(days, "d", "2024-01-03", "2024-01-04").count() == 2
+
+
+def test_dense_and_wide_scan_the_requests_once(spark):
+    from trip_engine import registry as reg
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("market_share_dense", "market_share_wide"):
+            assert physical_plan(reg.QUERIES[name](spark, SF_SMALL)).count("events.parquet") == 1
+        tagged = physical_plan(reg.QUERIES["validate_requests"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tagged.count("orders.parquet") == 2  # the requests, and the mean that fills them
+
+
+def test_dense_calendar_for_listed_services(spark):
+    """Listed services without a request are zero-filled, the others left out;
+    the day's total still counts every service."""
+    r = fx.ride_requests(spark, SF_SMALL)
+    s = market_share(r, first="2024-01-03", last="2024-01-04")
+    rows = densify_days(s, "2024-01-03", "2024-01-05", ["Uber", "None such", None]).collect()
+    assert len(rows) == 9 and {x.service for x in rows} == {"Uber", "None such", None}
+    totals = {x.trip_date: x.total_trip_count for x in s.collect()}
+    for x in rows:
+        assert x.total_trip_count == totals.get(x.trip_date, 0)
+        assert x.service != "None such" or x.trip_count == 0
+    uber = {x.trip_date: x.trip_count for x in s.collect() if x.service == "Uber"}
+    assert {x.trip_date: x.trip_count for x in rows if x.service == "Uber" and x.trip_count} == uber
+
+
+def test_percent_of_nothing_is_null(spark):
+    from trip_engine.functions.exprs import percent
+    df = spark.createDataFrame([(0, 0), (1, 800), (None, 3)], "p long, t long")
+    assert [r[0] for r in df.select(percent("p", "t")).collect()] == [None, 0.13, None]

@@ -3,6 +3,7 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMOKE
@@ -118,3 +119,74 @@ def test_register_external_csv(spark, tmp_dir):
     fx.zone_lookup(spark, SF_SMOKE).write.option("header", True).csv(path)
     register_external(spark, "ext_zones", path, "csv", header="true")
     assert spark.sql("SELECT count(*) FROM ext_zones WHERE Zone = 'NATION_22'").first()[0] == 1
+
+
+def test_zone_lookup_binds_by_header_name(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "zones.csv")
+    with open(path, "w") as fh:
+        fh.write("Zone,LocationID,Borough,service_zone\nJFK Airport,132,Queens,Airports\n")
+    r = read_zone_lookup(spark, path).first()
+    assert (r.LocationID, r.Borough, r.Zone, r.service_zone) == (132, "Queens", "JFK Airport", "Airports")
+
+
+def test_zone_lookup_with_other_names(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "zones.csv")
+    with open(path, "w") as fh:
+        fh.write("label,code\nA,1\n")
+    r = read_zone_lookup(spark, path, ZoneSpec(key="code", name="label")).first()
+    assert (r.code, r.label) == (1, "A")
+    with pytest.raises(ValueError, match="LocationID"):
+        read_zone_lookup(spark, path)
+
+
+def test_managed_table_is_not_replaced(spark, tmp_dir):
+    spark.range(7).write.mode("overwrite").saveAsTable("managed_numbers")
+    path = os.path.join(tmp_dir, "n")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError, match="managed"):
+        register_external(spark, "managed_numbers", path)
+    assert spark.table("managed_numbers").count() == 7
+    spark.sql("DROP TABLE managed_numbers")
+
+
+def test_strict_csv_and_the_count_of_unreadable_values(spark, tmp_dir):
+    from trip_engine.sources.files import unreadable_values
+    path = os.path.join(tmp_dir, "t.csv")
+    with open(path, "w") as fh:
+        fh.write("a,b\n1,x\nz,y\n,q\n")
+    assert [r.a for r in read_csv(spark, path, "a int, b string").collect()] == [1, None, None]
+    found = {r.column_name: r.unreadable for r in unreadable_values(spark, path, "a int, b string").collect()}
+    assert found == {"a": 1, "b": 0}
+    with pytest.raises(Exception):
+        read_csv(spark, path, "a int, b string", strict=True).collect()
+
+
+def test_large_report_is_written_in_order_by_many_tasks(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "r")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_report(spark.range(20_000).selectExpr("pmod(id * 7919, 20000) AS k"), path, ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted(glob.glob(os.path.join(path, "part-*.csv")))
+    values = [int(x) for f in files for x in open(f).read().splitlines()[1:]]
+    assert len(files) > 1 and values == list(range(20_000))
+
+
+def test_scratch_is_released(spark):
+    from trip_engine import registry as reg
+    from trip_engine.session import _scratch, release_scratch
+    reg.QUERIES["zone_lookup_csv"](spark, SF_SMOKE).collect()
+    paths = [p.removeprefix("file:") for p in _scratch[spark.sparkContext.applicationId]]
+    assert any(os.path.exists(p) for p in paths)
+    release_scratch(spark)
+    assert not any(os.path.exists(p) for p in paths)
+
+
+def test_code_lookup_join_same_either_way(spark):
+    from trip_engine.operators.codes import map_codes_join
+    df = spark.createDataFrame([("a",), ("b",), (None,), ("z",)], "c string")
+    names = spark.createDataFrame([("a", "A"), ("b", "B"), ("b", "B2"), (None, "N")], "k string, n string")
+    for most in (100, 0):
+        out = map_codes_join(df, "c", names, "k", "n", "name", most)
+        assert sorted((r.c or "", r["name"]) for r in out.collect()) == [("", None), ("a", "A"), ("b", "B"), ("z", "z")]

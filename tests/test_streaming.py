@@ -81,3 +81,20 @@ def test_score_stream_cli(spark, model, tmp_dir):
               "--checkpoint", os.path.join(tmp_dir, "ck"), "--available-now"], spark=spark)
     out = read_scored(spark, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "rej"))
     assert out.count() == reqs.count()
+
+
+def test_dead_letter_keeps_the_record_and_tells_why(spark, model, tmp_dir):
+    inbox = os.path.join(tmp_dir, "in")
+    os.makedirs(inbox)
+    good = {"id": "g", "vendor_id": 1, "passenger_count": 2, "store_and_fwd_flag": 0, "hour": 1, "day": 2, "month": 3,
+            "distance": 1.5}
+    lines = [json.dumps(good), "not json at all", json.dumps({**good, "id": "w", "vendor_id": "abc"}),
+             json.dumps({k: v for k, v in good.items() if k != "month"}), "[1, 2]", '"text"', '{"id": "cut", ']
+    with open(os.path.join(inbox, "r.json"), "w") as fh:
+        fh.write("\n".join(lines))
+    _run(spark, model, tmp_dir)
+    rejects = {r.raw_record: r.reject_reason for r in spark.read.parquet(os.path.join(tmp_dir, "rej")).collect()}
+    assert rejects == {lines[1]: "Malformed record", lines[2]: "Wrong type: vendor_id",
+                       lines[3]: "Missing feature or id: month", lines[4]: "Malformed record",
+                       lines[5]: "Malformed record", lines[6]: "Malformed record"}
+    assert read_scored(spark, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "rej")).count() == len(lines)
