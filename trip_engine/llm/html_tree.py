@@ -264,7 +264,9 @@ def style_trees(pages: DataFrame) -> DataFrame:
         F.coalesce(F.log(total) - F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))) / total,
                    F.lit(0.0)).alias("presentation"))
     base = F.log(F.greatest(F.col("pages"), F.lit(2)))
-    scaled = node.withColumn("content", F.least(F.lit(1.0), F.col("content") / base)) \
+    # (least() passes over a null, but a node without text has no content importance)
+    scaled = node.withColumn("content", F.when(F.col("content").isNotNull(), F.least(
+        F.lit(1.0), F.col("content") / base))) \
         .withColumn("presentation", F.least(F.lit(1.0), F.col("presentation") / base))
 
     def low(rows: pd.DataFrame) -> pd.DataFrame:
