@@ -3,10 +3,10 @@
 Lexicon: every unit (a word, and its prefixes of four to six letters) gets the
 log-odds of its document frequency in toxic against other labelled texts, with
 an informative Dirichlet prior (the unit's share of all texts, worth a fixed part
-of them), and the z-score of that log-odds. A word scores by its unit of the
-highest z, by the lower bound of its log-odds, if that is significant and
-large (common words with a slight lean are not evidence, however often they
-repeat); any other word costs a small penalty. Units
+of them), and the z-score of that log-odds. A word scores by the largest lower
+bound of its units' log-odds, if that is significant and not small (common
+words with a slight lean are no evidence, and of one word's occurrences in a
+document two count at most); any other word costs a small penalty. Units
 are counted in toxic texts first; the most frequent ones there, at most
 ``MAX_UNITS``, are then counted in the others, so what is broadcast is bounded.
 
@@ -48,14 +48,15 @@ MAX_FIT_ROWS = 50_000
 MAX_UNITS = 100_000
 MIN_TOXIC = 5              # toxic texts a unit must occur in
 PREFIXES = (4, 5, 6)
-MIN_Z = 3.0
+MIN_Z = 2.5
 SURE = 1.64                # a word scores its log-odds less so many standard deviations,
-MIN_SCORE = 2.5            # and nothing if that is below
+MIN_SCORE = 1.0            # and nothing if that is below
+REPEATS = 2                # occurrences of one word that count in a document
 PENALTY = 0.25
 TOP = 12.0                 # largest score of one word
 SIGNIFICANT = 0.01         # p-value of a passage that is reported
 CACHE = 500_000
-PRIOR = 0.005              # weight of the Dirichlet prior, as a part of all training texts
+PRIOR = 0.02               # weight of the Dirichlet prior, as a part of all training texts
 COUNTED_AT_ONCE = 500_000  # units a task counts before it hands the counts on
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -132,13 +133,13 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int,
 
 
 class Lexicon:
-    """Significant toxic units with their scores and z-scores."""
+    """Significant toxic units with their scores."""
 
     def __init__(self, names: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int):
         delta, z = log_odds(toxic.astype(float), clean.astype(float), n_toxic, n_clean)
         low = delta - SURE * delta / np.maximum(z, 1e-9)  # lower bound: delta / z is its deviation
         good = (z >= MIN_Z) & (low >= MIN_SCORE)
-        self.units = {int(u): (float(q), float(min(d, TOP))) for u, q, d in zip(names[good], z[good], low[good])}
+        self.units = {int(u): float(min(d, TOP)) for u, d in zip(names[good], low[good])}
         self.cache: dict[bytes, float] = {}
 
     def __getstate__(self):
@@ -146,11 +147,7 @@ class Lexicon:
 
     def _chunk(self, chunk: bytes) -> float:
         """The best word of a chunk between white space."""
-        best = 0.0
-        for w in words_of(chunk):
-            known = [self.units[u] for u in units(w) if u in self.units]
-            if known:
-                best = max(best, max(known)[1])
+        best = max((self.units.get(u, 0.0) for w in words_of(chunk) for u in units(w)), default=0.0)
         return best if best > 0 else -PENALTY
 
     def scores(self, data: bytes) -> np.ndarray:
@@ -162,7 +159,13 @@ class Lexicon:
                 new = set(chunks)
             for c in new:
                 self.cache[c] = self._chunk(c)
-        return np.fromiter(map(self.cache.__getitem__, chunks), np.float64, len(chunks))
+        scores = np.fromiter(map(self.cache.__getitem__, chunks), np.float64, len(chunks))
+        seen: Counter = Counter()
+        for i in np.flatnonzero(scores > 0).tolist():  # few
+            seen[chunks[i]] += 1
+            if seen[chunks[i]] > REPEATS:
+                scores[i] = -PENALTY
+        return scores
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
