@@ -3,20 +3,23 @@
 Native: DataFrame and SQL functions only.
 
 The target of a source over its size is the copy rate of its documents; each
-document gets the whole part of the rate, and the fraction is its probability
-of one copy more. The fractions are rounded together: two documents exchange
-*words* (probability times size) in one of two directions, drawn so that both
-probabilities keep their expectation, until one of them is 0 or 1. That one is
-decided; the other meets the next document. The expected words of a source thus
-stay exactly its target, and only the last open document of a source is
-rounded by itself (to the nearer side).
-
-The pairing runs as a reduction tree: documents are dealt by hash to bounded
-blocks of a source, each block is folded from the largest document to the
-smallest (so the open one is small in the end), and the open documents of the
-blocks are dealt to fewer blocks on the next level. A source with a third of
-all rows is just more blocks. Randomness comes from hashes of the document,
-so reruns agree whatever the partitioning.
+document gets the whole part of the rate, and the fraction is its probability of
+one copy more. The fractions are rounded together, from the largest document
+of a block to the smallest: each is paired with the pool of all smaller ones,
+which share one probability. The two exchange *words* (probability times size)
+in one of two directions until the document's probability is 0 or 1: up, to 1,
+with just that probability, or down, so that both keep their expectation and
+the expected words of the block stay what they were. A document the pool
+cannot pay for in one direction goes the other way; one it can neither pay
+for nor absorb stays open while the pool is decided. In the end one document of a
+block is open, a small one as a rule.
+
+The blocks form a reduction tree: documents are dealt by hash to bounded blocks
+of a source, and the open documents of the blocks are dealt to fewer blocks on
+the next level, where their residual words are paired again. Only the last open
+document of a source is rounded by itself, to the nearer side. A source
+with a third of all rows is just more blocks. Randomness comes from hashes of
+the document, so reruns agree whatever the partitioning.
 
 Defined cases: a null text has size 0 and takes 0 words; a null source is a
 source of its own, after all others; repeated rows are rounded each on its own;
@@ -84,53 +87,44 @@ def source_targets(sizes: DataFrame) -> DataFrame:
             F.col("target") / F.col("source_size")).alias("rate"))
 
 
-def _fold() -> Column:
-    """Folds the sorted documents ``docs`` of a block; each has p (open
-    probability), size > 0 and u (a uniform number). The state is the open
-    document, if any, and the decided ones with ``extra`` 0 or 1."""
-    return F.expr(f"""
-      aggregate(docs,
-        named_struct('open', cast(null as {_DOC}), 'done', cast(array() as array<{_DONE}>)),
-        (s, d) -> CASE
-          WHEN d.p <= {_EPS} OR d.p >= 1 - {_EPS} THEN named_struct(
-              'open', s.open, 'done', concat(s.done, array(named_struct(
-                  'doc_id', d.doc_id, 'h', d.h, 'size', d.size, 'extra', cast(d.p > 0.5D as int)))))
-          WHEN s.open IS NULL THEN named_struct('open', d, 'done', s.done)
-          ELSE {_MEET} END)""")
-
-
-_EPS = "1e-12D"
 _DOC = "struct<size: bigint, h: bigint, doc_id: bigint, p: double>"
 _DONE = "struct<doc_id: bigint, h: bigint, size: bigint, extra: int>"
+_EPS = "1e-9D"
 
 
-def _meet() -> str:
-    """Two open documents a (the open one) and d exchange words: up moves
-    ``x`` words from d to a, down moves ``y`` words from a to d, each the most
-    that keeps both in [0, 1]. Up is drawn with probability y / (x + y), so
-    both expectations stay."""
-    let = "element_at(transform(array(struct({0} AS v)), t -> {1}), 1)".format
-    up = "least((1 - s.open.p) * s.open.size, d.p * d.size)"
-    down = "least(s.open.p * s.open.size, (1 - d.p) * d.size)"
-    coin = _uniform("s.open.h", "s.open.doc_id", "d.h", "d.doc_id", str(SEED))
-    moved = f"IF({coin} * ({up} + {down}) < {down}, {up}, -({down}))"
-    pa, pd = "(s.open.p + t.v / s.open.size)", "(d.p - t.v / d.size)"
-
-    def done(doc: str, p: str) -> str:
-        return (f"concat(s.done, array(named_struct('doc_id', {doc}.doc_id, 'h', {doc}.h, "
-                f"'size', {doc}.size, 'extra', cast({p} > 0.5D as int))))")
-
-    def still(doc: str, p: str) -> str:
-        return (f"named_struct('size', {doc}.size, 'h', {doc}.h, 'doc_id', {doc}.doc_id, 'p', {p})")
-
-    # the one nearer to 0 or 1 is the decided one (rounding errors aside it is there)
-    gap = "least(abs({0}), abs(1 - {0}))".format
-    return let(moved, f"IF({gap(pa)} < {gap(pd)}, "
-                      f"named_struct('open', {still('d', pd)}, 'done', {done('s.open', pa)}), "
-                      f"named_struct('open', {still('s.open', pa)}, 'done', {done('d', pd)}))")
-
-
-_MEET = _meet()
+def _fold() -> Column:
+    """Folds the documents ``docs`` of a block, largest first; each has a size > 0
+    and an open probability p. The state holds the undecided documents' size
+    (``rest``) and expected words (``due``), the open document, if any, and the
+    decided ones with ``extra`` 0 or 1."""
+    p = "(s.due / s.rest)"  # the pool's and the document's probability
+    up_can = "s.due >= d.size - 1e-6D"                # the pool can give what is missing to 1
+    down_can = "s.due <= s.rest - d.size + 1e-6D"     # the pool can take all of it
+    coin = _uniform("d.h", "d.doc_id", str(SEED))
+
+    def decided(extra: str) -> str:
+        return (f"named_struct('rest', s.rest - d.size, 'due', greatest(0D, s.due - d.size * {extra}), "
+                f"'open', s.open, 'done', concat(s.done, array(named_struct("
+                f"'doc_id', d.doc_id, 'h', d.h, 'size', d.size, 'extra', cast({extra} as int)))))")
+
+    def left_open(rest: str, due: str, p: str) -> str:
+        return (f"named_struct('rest', {rest}, 'due', {due}, 'open', named_struct("
+                f"'size', d.size, 'h', d.h, 'doc_id', d.doc_id, 'p', {p}), 'done', s.done)")
+
+    pool = "cast(s.rest - d.size as double)"
+    return F.expr(f"""
+      aggregate(docs,
+        named_struct('rest', aggregate(docs, 0L, (t, d) -> t + d.size),
+                     'due', aggregate(docs, 0D, (t, d) -> t + d.size * d.p),
+                     'open', cast(null as {_DOC}), 'done', cast(array() as array<{_DONE}>)),
+        (s, d) -> CASE
+          WHEN {p} <= {_EPS} THEN {decided("0")}
+          WHEN {p} >= 1 - {_EPS} THEN {decided("1")}
+          WHEN s.rest = d.size THEN {left_open("0L", "0D", p)}
+          WHEN {up_can} AND {down_can} THEN IF({coin} < {p}, {decided("1")}, {decided("0")})
+          WHEN {up_can} THEN {decided("1")}
+          WHEN {down_can} THEN {decided("0")}
+          ELSE {left_open("s.rest - d.size", pool, f"(s.due - {pool}) / d.size")} END)""")
 
 
 def _round(docs: DataFrame, sources: DataFrame) -> DataFrame:
@@ -152,7 +146,7 @@ def _round(docs: DataFrame, sources: DataFrame) -> DataFrame:
         rest = folded.where("s.open IS NOT NULL").select("src", F.col("s.open").alias("o"), blocks_of.alias("n_docs")) \
             .select("src", "n_docs", "o.*")
         if last:
-            nearest = F.round("p").cast("int")
+            nearest = (F.col("p") >= 0.5).cast("int")
             return decided.unionByName(rest.select("src", "doc_id", "h", "size", nearest.alias("extra")))
         docs, most, level = rest, -(-most // BLOCK), level + 1
 
