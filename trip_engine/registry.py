@@ -900,6 +900,107 @@ def q_external_table(spark, sf_dir):
     return spark.sql(f"SELECT event_id, user_id, event_type FROM {name}")
 
 
+# --- OP-75, 80..82, 90, 92, 94: sinks and jobs, through the same scratch folder ----
+@register("report_csv", "WITH " + SQL_REQUESTS + _SHARE_SELECT)
+def q_report_csv(spark, sf_dir):
+    """OP-80: the share written as an ordered CSV report and read back."""
+    from trip_engine.operators.sinks import write_report
+    from trip_engine.session import scratch_path
+    from trip_engine.sources.files import read_csv
+    path = scratch_path(spark, "share-report")
+    write_report(_day_text(_share(spark, sf_dir), "trip_date"), path, ["trip_date", "service"])
+    return read_csv(spark, path, "trip_date string, service string, trip_count long, total_trip_count long, "
+                                 "trip_percentage double")
+
+
+@register("predictions_csv", ORACLE["duration_round"])
+def q_predictions_csv(spark, sf_dir):
+    """OP-81: row-level predictions through CSV, in parallel files."""
+    from trip_engine.operators.sinks import write_predictions
+    from trip_engine.session import scratch_path
+    from trip_engine.sources.files import read_csv
+    path = scratch_path(spark, "predictions")
+    write_predictions(QUERIES["duration_round"](spark, sf_dir), path)
+    return read_csv(spark, path, "id string, trip_duration double")
+
+
+@register("airport_views", ORACLE["airport_trips_by_hour"])
+def q_airport_views(spark, sf_dir):
+    """OP-82: the SQL models' names answer to ``spark.sql``."""
+    from trip_engine.plans.sql_models import register_airport_views
+    register_airport_views(trips(spark, sf_dir), fx.zone_lookup(spark, sf_dir), ZONES)
+    return spark.sql("SELECT airport, hour_of_day, trip_count FROM aggregated_trip_insights_by_hod")
+
+
+@register("saved_model", "WITH " + SQL_DURATION_TRIPS + """
+SELECT count(*) AS scored_rows, CAST(0 AS BIGINT) AS different FROM kt""")
+def q_saved_model(spark, sf_dir):
+    """OP-75: the saved and loaded pipeline scores as the fitted one does."""
+    from trip_engine.operators.features import trip_features
+    from trip_engine.operators.model import load_model, predict_durations, save_model
+    from trip_engine.session import scratch_path
+    from trip_engine.specs import FeatureConfig
+    path = scratch_path(spark, "model")
+    save_model(duration_model(spark, sf_dir), path)
+    rows = trip_features(_kt(spark, sf_dir), FeatureConfig(impute=False))
+    fitted = predict_durations(duration_model(spark, sf_dir), rows, "raw")
+    loaded = predict_durations(load_model(path), rows, "raw").select("id", F.col("trip_duration").alias("again"))
+    return fitted.join(loaded, "id").agg(
+        F.count(F.lit(1)).alias("scored_rows"),
+        F.count_if(~F.col("trip_duration").eqNullSafe(F.col("again"))).alias("different"))
+
+
+@register("airport_job", SQL_IMPRESSIONS + "\nUNION ALL ".join(
+    f"SELECT '{_name}' AS report, airport, {_by} AS bucket, count(*) AS trip_count FROM {_kind}s GROUP BY airport, {_by}"
+    for _kind, _name in (("pickup", "pickups"), ("dropoff", "dropoffs"), ("all", "trips"))
+    for _by, _name in ((f"hour_of_day", f"{_name}_by_hour"), ("day_of_week", f"{_name}_by_weekday"))))
+def q_airport_job(spark, sf_dir):
+    """OP-90: three Parquet sources and the lookup CSV to six report CSVs, read back."""
+    import os
+    from trip_engine.plans.airport_insights import REPORT_PATHS
+    from trip_engine.plans.airport_insights import run as run_job
+    from trip_engine.session import scratch_path
+    from trip_engine.sources.files import read_csv
+    paths = [_round_trip(fx.raw_trips(spark, sf_dir, s), f"job-{s.label}", "parquet")
+             for s in (RIDE_HAILING, GREEN, YELLOW)]
+    out = scratch_path(spark, "airport-job")
+    run_job(spark, *paths, _round_trip(fx.zone_lookup(spark, sf_dir), "job-zones", "csv"), out, ZONES)
+    reports = None
+    for name, (folder, (_, by)) in REPORT_PATHS.items():
+        one = read_csv(spark, os.path.join(out, folder), f"airport string, {by} int, trip_count long").select(
+            F.lit(name).alias("report"), "airport", F.col(by).alias("bucket"), "trip_count")
+        reports = one if reports is None else reports.unionByName(one)
+    return reports
+
+
+@register("market_share_job", ORACLE["market_share_dense"])
+def q_market_share_job(spark, sf_dir):
+    """OP-92: requests from Parquet to the dense series as CSV, read back."""
+    import os
+    from trip_engine.plans.market_share import run as run_job
+    from trip_engine.session import scratch_path
+    from trip_engine.sources.files import read_csv
+    out = scratch_path(spark, "share-job")
+    run_job(spark, _round_trip(fx.ride_requests(spark, sf_dir), "job-requests", "parquet"), out,
+            DENSE_FIRST, DENSE_LAST)
+    return read_csv(spark, os.path.join(out, "dense"), "trip_date string, service string, trip_count long, "
+                    "total_trip_count long, trip_percentage double")
+
+
+@register("map_job", "WITH " + SQL_DURATION_TRIPS + """
+SELECT CAST(floor(pickup_latitude / 1e-2) AS BIGINT) AS lat_cell,
+       CAST(floor(pickup_longitude / 1e-2) AS BIGINT) AS lon_cell, count(*) AS trip_count
+FROM kt WHERE pickup_latitude IS NOT NULL GROUP BY 1, 2""")
+def q_map_job(spark, sf_dir):
+    """OP-94: trips from CSV to point layers and density grids; the pickup grid read back."""
+    import os
+    from trip_engine.plans.map_layers import run as run_job
+    from trip_engine.session import scratch_path
+    out = scratch_path(spark, "map-job")
+    run_job(spark, _round_trip(_kt(spark, sf_dir), "job-trips", "csv"), out, n=SAMPLE_N)
+    return spark.read.parquet(os.path.join(out, "pickup_density"))
+
+
 # --- OP-16 by a lookup table, OP-53 by key -----------------------------------------
 @register("service_mapping_join", "WITH " + SQL_REQUESTS + """
 SELECT event_id, service FROM svc_all""")
