@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trip_engine.llm import exact_dedup, mixing, packing, quality_rules, simhash
-from trip_engine.llm.common import materialize, read_table
+from trip_engine.llm.common import drop_scratch, materialize, read_table, scratch_mark
 
 STAGES = [
     ("quality_rules", quality_rules.stage),
@@ -30,7 +30,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents. What a stage has written in between goes once
+    its result is written; the last table stays, as the result reads it."""
     docs = read_table(spark, sf_dir, "documents")
+    mark = scratch_mark(spark)
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_scratch(spark, mark, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -16,7 +16,7 @@ from trip_engine.session import scratch_path
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
 
-_written: dict[int, list[str]] = {}
+_written: dict[str, list[str]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,19 +55,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    _written.setdefault(id(spark.sparkContext), []).append(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_mark(spark: SparkSession) -> int:
-    return len(_written.get(id(spark.sparkContext), []))
+    return len(_written.get(spark.sparkContext.applicationId, []))
 
 
 def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
     """Delete the tables that ``materialize`` wrote after ``since`` (a value of
     ``scratch_mark``), but for the last ``keep``. Call it with 0 once the
     results that read them are consumed."""
-    paths = _written.get(id(spark.sparkContext), [])
+    paths = _written.get(spark.sparkContext.applicationId, [])
     gone = paths[since:len(paths) - keep]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
