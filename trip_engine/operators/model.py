@@ -25,7 +25,7 @@ from trip_engine.specs import LABEL, MODEL_FEATURES, FeatureConfig
 
 DEFAULT_SEED = 42
 # Partitions of the training rows; part of what defines a fit.
-FIT_PARTITIONS = 16
+FIT_PARTITIONS = 8
 
 
 def build_pipeline(features=MODEL_FEATURES, label: str = LABEL, seed: int = DEFAULT_SEED,
