@@ -42,10 +42,10 @@ class WordTokenizer:
         mark is its two parts: the tokenizer splits there."""
         if len(self.words) + len(seen) > CACHE_WORDS:
             self.words.clear()
-        new = seen - self.words.keys()
+        new = seen.difference(self.words)
         parts = {w: m.groups() for w in new if b"<|" not in w and (m := _TAIL.fullmatch(w))}
-        plain = {x for p in parts.values() for x in p} | (new - parts.keys())
-        self._encode([*(plain - self.words.keys())])
+        plain = {x for p in parts.values() for x in p} | (new.difference(parts))
+        self._encode([*(plain.difference(self.words))])
         for w, (head, mark) in parts.items():
             self.words[w] = self.words[head] + self.words[mark]
 
