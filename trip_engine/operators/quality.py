@@ -62,11 +62,14 @@ def run_contract(df: DataFrame, contract: Sequence[tuple[Key, str]], table: str)
             raise ValueError(f"unknown test {test!r}")
     expanded = [(c, t) for key, t in contract for c in (_cols(key) if t == "not_null" else [key])]
     expanded = list(dict.fromkeys((c if isinstance(c, str) else tuple(c), t) for c, t in expanded))
+    types = dict(df.dtypes)
     pairs = []
     for number, (key, test) in enumerate(expanded):
         cols = _cols(key)
         # typed JSON text: equal exactly if all parts are equal
-        text = F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]))
+        # (adding 0 makes -0.0 the 0.0 it equals)
+        text = F.to_json(F.struct(*[(F.col(c) + 0 if types[c] in ("float", "double") else F.col(c))
+                                    .alias(f"k{i}") for i, c in enumerate(cols)]))
         present = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in cols])
         pair = F.struct(F.lit(number).alias("test_no"), (text if test == "unique" else F.lit("")).alias("key"))
         pairs.append(F.when(present if test == "unique" else ~present, pair))
