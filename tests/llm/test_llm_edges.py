@@ -104,6 +104,18 @@ def test_stages_keep_columns(spark, odd, stage):
     assert all(len(r) == len(odd.columns) for r in stage(spark, odd, "").collect())
 
 
+def test_one_document_of_each_component_stays(spark, odd):
+    same, other = "same words here and there for all", "another text without an id, long enough to pass the rules of it"
+    rows = [(r["doc_id"], r["text"]) for r in simhash.stage(spark, odd, "").collect()]
+    assert [t for d, t in rows if d is None] == [other]  # its component has no id, others without an id are gone
+    assert sorted(d for d, _ in rows if d is not None) == [-3, 1, 4, 5, 7, 8, 9]
+    assert rows.count((5, same)) == 1
+    two = _docs(spark, [(d, t, "en", "s", 1) for d, t in [
+        (1, same), (2, other), (2, same), (None, LONG), (None, LONG.upper()), (3, "a b c d"), (3, "A b c d")]])
+    kept = [(r["doc_id"], (r["text"] or "").lower()) for r in simhash.stage(spark, two, "").collect()]
+    assert sorted(kept, key=str) == sorted([(1, same), (2, other), (3, "a b c d"), (None, LONG.lower())], key=str)
+
+
 def test_whole_pipeline_on_odd_rows(spark, odd, tmp_path):
     docs = odd
     for name, stage in corpus_pipeline.STAGES:

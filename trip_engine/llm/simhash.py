@@ -22,8 +22,8 @@ large-star / small-star rounds over written tables.
 
 Defined cases: null and empty texts (and texts without words) have
 fingerprint zero, linked like any other; repeated rows come back as often as
-they occur; a null ``doc_id`` is linked but never names a component while the
-component has another id; an empty table gives an empty result; other columns
+they occur (the pipeline stage returns one); a null ``doc_id`` is linked but
+never names a component while the component has another id; an empty table gives an empty result; other columns
 are ignored, whatever their names.
 """
 
@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from trip_engine.llm.common import prepare_workers, materialize, utf8
 from trip_engine.llm.components import connected_components
+from trip_engine.llm.exact_dedup import row_hash
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -76,17 +77,19 @@ def _majority(hashes: list[int]) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long), in one narrow pass."""
+    """doc_id, row_hash (of the text as it is) and fp (the 64 bits as a signed
+    long), in one narrow pass."""
     prepare_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prints = np.array([simhash(x, width) for x in b.column(1).to_pylist()], np.uint64)
+            prints = np.array([simhash(x, width) for x in b.column(2).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+                [b.column(0), b.column(1), pa.array(prints.view(np.int64))], ["doc_id", "row_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("data")) \
-        .mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("row_hash"),
+                       utf8().alias("data")) \
+        .mapInArrow(run, "doc_id bigint, row_hash bigint, fp bigint")
 
 
 @lru_cache(maxsize=1)
@@ -235,16 +238,22 @@ def find_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK)
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (signed long), component_id: one row per document."""
+    """doc_id, row_hash, fp (signed long), component_id, is_rep: one row per document.
+    A component's representative has its smallest id (a null id is the largest) and,
+    among texts of that id, the smallest row_hash."""
     prints = materialize(fingerprints(docs, width), "simhash-prints")
     labels = connected_components(find_links(prints, max_bits))  # node, root
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash")
+    classes = prints.groupBy("fp").agg(F.min(place).alias("first"))
     rooted = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-    ids = materialize(rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(
-        F.min("first_id").alias("component_id")), "simhash-ids")
+    reps = materialize(rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(
+        F.min("first").alias("rep")), "simhash-ids")
     root_of = materialize(rooted.select("fp", F.coalesce("root", "fp").alias("root")), "simhash-roots")
-    named = materialize(root_of.join(ids, "root").select("fp", "component_id"), "simhash-components")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = materialize(root_of.join(reps, "root").select(
+        "fp", F.col("rep.doc_id").alias("component_id"), F.col("rep.row_hash").alias("rep_hash")), "simhash-components")
+    return prints.join(named, "fp").select(
+        "doc_id", "row_hash", "fp", "component_id",
+        (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("row_hash") == F.col("rep_hash"))).alias("is_rep"))
 
 
 def op10_simhash_near_dedup(docs: DataFrame) -> DataFrame:
@@ -253,10 +262,16 @@ def op10_simhash_near_dedup(docs: DataFrame) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest
-    ``doc_id``, all columns. Documents without an id stay only if their
-    component has no id at all, and then all of them do."""
-    found = near_duplicates(docs)
-    gone = materialize(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                       .select(F.col("doc_id").alias("__gone_id")).distinct(), "simhash-gone")
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone_id")), "left_anti")
+    """Pipeline stage: one document of each component, its representative, with
+    all columns. Rows go by id and text, so other texts of the same id, or other
+    texts without one, are untouched; a fully repeated row comes back once."""
+    found = materialize(near_duplicates(docs).select("doc_id", "row_hash", "is_rep"), "simhash-found")
+    gone = found.where(~F.col("is_rep")).select(
+        F.col("doc_id").alias("__gone_id"), F.col("row_hash").alias("__gone_hash")).distinct()
+    rest = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone_id"))
+                     & (row_hash() == F.col("__gone_hash")), "left_anti")
+    repeated = found.where("is_rep").groupBy("doc_id", "row_hash").count().where("count > 1")
+    if not repeated.isEmpty():
+        rest = rest.withColumn("__row_hash", row_hash()).dropDuplicates(["doc_id", "__row_hash"]) \
+            .drop("__row_hash")
+    return rest
