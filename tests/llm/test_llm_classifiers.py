@@ -44,6 +44,45 @@ def test_segments_are_the_recursive_ones():
         assert got == [(a, b, round(x, 6)) for a, b, x in _recursive(s)]
 
 
+def _capped(s, names, lo, hi):
+    seen, total = {}, 0.0
+    for k in range(lo, hi):
+        if s[k] > 0:
+            seen[names[k]] = seen.get(names[k], 0) + 1
+        total += s[k] if s[k] > 0 and seen[names[k]] <= toxicity.REPEATS else -toxicity.PENALTY
+    return total
+
+
+def test_segments_with_repeats_have_the_best_scores():
+    rnd = random.Random(5)
+    for _ in range(1500):
+        gain = {n: rnd.choice([0.3, 0.45, 0.6, 1.1, 2.3]) for n in "abc"}
+        names = [rnd.choice("abc------") for _ in range(rnd.randint(1, 30))]
+        s = np.array([gain.get(n, -toxicity.PENALTY) for n in names])
+        found, counted = toxicity.segments_of(s, names)
+        assert all(x == pytest.approx(_capped(s, names, a, b)) for a, b, x in found)
+        best = max((_capped(s, names, i, j) for i in range(len(s)) for j in range(i + 1, len(s) + 1)), default=0)
+        assert max((x for *_, x in found), default=0) == pytest.approx(max(best, 0))
+        inside = {k for a, b, _ in found for k in range(a, b)}
+        assert sum(b - a for a, b, _ in found) == len(inside) >= len(counted)
+        assert inside >= set(np.flatnonzero(s > 0))
+
+
+def test_a_passage_scores_the_same_wherever_it_stands():
+    words = [f"w{i}" for i in range(8)]
+    lexicon = toxicity.Lexicon(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), 1, 1)
+    lexicon.units = {toxicity.units(w)[0]: 3.0 for w in ("foul", "vile", "nasty")}
+    clean = " ".join(words * 20)
+    passage = "foul w1 vile nasty"
+    scattered = " ".join(f"{clean} {w}" for w in ("foul", "vile", "nasty") * 3)
+
+    def best(text):
+        return [x for *_, x in lexicon.scan(text.encode())[1] if x > 8]
+    assert best(passage) == [8.75]
+    assert best(f"{scattered} {clean} {passage}") == best(f"{passage} {clean} {scattered}") == [8.75]
+    assert best(f" {clean} ".join([passage] * 5)) == [8.75] * 5
+
+
 def test_extreme_value_law_fits_random_scores():
     draw = np.random.default_rng(1)
     words = np.full(4000, 300)

@@ -5,13 +5,16 @@ log-odds of its document frequency in toxic against other labelled texts, with
 an informative Dirichlet prior (the unit's share of all texts, worth a fixed part
 of them), and the z-score of that log-odds. A word scores by the largest lower
 bound of its units' log-odds, if that is significant and not small (common
-words with a slight lean are no evidence, and of one word's occurrences in a
-document two count at most); any other word costs a small penalty. Units
+words with a slight lean are no evidence); any other word costs a small
+penalty, and so does a word's third and later occurrence in one segment. Units
 are counted in toxic texts first; the most frequent ones there, at most
 ``MAX_UNITS``, are then counted in the others, so what is broadcast is bounded.
 
 Scan: all maximal scoring segments of a document are found in one linear pass
-over its words (runs of penalty words are taken in one step). Calibration: the
+over its words (runs of penalty words are taken in one step). Where a word occurs
+more than twice in a stretch, a sweep over its scoring words follows the best
+start for every end. What a segment scores depends on its own words alone, so a
+passage counts the same wherever it stands and however often. Calibration: the
 best segment of a clean document of n words follows an extreme-value law,
 P(S >= s) = 1 - exp(-K n exp(-lambda s)), with lambda from the score
 distribution of clean words and K from the clean documents' best segments. The
@@ -51,7 +54,7 @@ PREFIXES = (4, 5, 6)
 MIN_Z = 2.5
 SURE = 1.64                # a word scores its log-odds less so many standard deviations,
 MIN_SCORE = 1.0            # and nothing if that is below
-REPEATS = 2                # occurrences of one word that count in a document
+REPEATS = 2                # occurrences of one word that count in a segment
 PENALTY = 0.25
 TOP = 12.0                 # largest score of one word
 SIGNIFICANT = 0.01         # p-value of a passage that is reported
@@ -150,7 +153,8 @@ class Lexicon:
         best = max((self.units.get(u, 0.0) for w in words_of(chunk) for u in units(w)), default=0.0)
         return best if best > 0 else -PENALTY
 
-    def scores(self, data: bytes) -> np.ndarray:
+    def scan(self, data: bytes) -> tuple[int, list[tuple[int, int, float]], list[float]]:
+        """Number of words, segments, and the word scores that count in them."""
         chunks = data.split()
         new = set(chunks).difference(self.cache)
         if new:
@@ -160,12 +164,7 @@ class Lexicon:
             for c in new:
                 self.cache[c] = self._chunk(c)
         scores = np.fromiter(map(self.cache.__getitem__, chunks), np.float64, len(chunks))
-        seen: Counter = Counter()
-        for i in np.flatnonzero(scores > 0).tolist():  # few
-            seen[chunks[i]] += 1
-            if seen[chunks[i]] > REPEATS:
-                scores[i] = -PENALTY
-        return scores
+        return len(chunks), *segments_of(scores, chunks)
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -198,6 +197,79 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, hi - lo) for s, e, lo, hi in zip(start, end, left, right)]
 
 
+def segments_of(scores: np.ndarray, chunks: list[bytes]) -> tuple[list[tuple[int, int, float]], list[float]]:
+    """All maximal segments where a chunk scores ``REPEATS`` times in a segment at
+    most and costs the penalty from then on, and the scores that count in them."""
+    at = np.flatnonzero(scores > 0).tolist()
+    gains = scores[at].tolist()
+    names = [chunks[i] for i in at]
+    if len(at) - len(set(names)) < REPEATS:
+        return maximal_segments(scores), gains
+    found, counted = [], []
+    for lo, hi in _stretches(at, gains):
+        if max(Counter(names[lo:hi]).values()) <= REPEATS:
+            found += [(s + at[lo], e + at[lo], x) for s, e, x in maximal_segments(scores[at[lo]:at[hi - 1] + 1])]
+            counted += gains[lo:hi]
+            continue
+        for a, b, x in _repeating(at, gains, names, lo, hi):
+            found.append((at[a], at[b] + 1, x))
+            seen: Counter = Counter()
+            for k in range(a, b + 1):
+                seen[names[k]] += 1
+                if seen[names[k]] <= REPEATS:
+                    counted.append(gains[k])
+    return found, counted
+
+
+def _stretches(at: list[int], gains: list[float]) -> Iterator[tuple[int, int]]:
+    """Runs of scoring words that no segment leaves: the sum from their start
+    has fallen to zero before the next one, even if every occurrence scores."""
+    lo, total = 0, 0.0
+    for k in range(1, len(at)):
+        total += gains[k - 1] - PENALTY * (at[k] - at[k - 1] - 1)
+        if total <= 0:
+            yield lo, k
+            lo, total = k, 0.0
+    yield lo, len(at)
+
+
+def _repeating(at: list[int], gains: list[float], names: list[bytes], lo: int, hi: int) -> list[tuple[int, int, float]]:
+    """Maximal segments (first and last scoring word, score) of a stretch. For every
+    end the starts that may still become the best are kept: an earlier start gains
+    no more from any later word than a later one, so it stays only while its sum is
+    larger. A segment is final when the best start lies behind it."""
+    out, todo = [], [(lo, hi)]
+    while todo:
+        lo, hi = todo.pop()
+        if lo >= hi:
+            continue
+        earlier: dict[bytes, list[int]] = {}
+        chain: list[tuple[int, float]] = []  # (start, sum), the sums fall
+        best, first, last = 0.0, lo, lo
+        for k in range(lo, hi):
+            gap = PENALTY * (at[k] - at[k - 1] - 1) if k > lo else 0.0
+            before = earlier.setdefault(names[k], [])
+            spent = before[-REPEATS] if len(before) >= REPEATS else lo - 1
+            before.append(k)
+            gain = gains[k]
+            kept, above = [(k, gain)], gain
+            for s, x in reversed(chain):
+                x += (gain if s > spent else -PENALTY) - gap
+                if x > above:
+                    kept.append((s, x))
+                    above = x
+            kept.reverse()
+            chain = kept
+            s, x = chain[0]
+            if k > lo and s > last:
+                break
+            if x > best:
+                best, first, last = x, s, k
+        out.append((first, last, best))
+        todo += [(last + 1, hi), (lo, first)]
+    return sorted(out)
+
+
 class ExtremeValues:
     """P(best segment of n words >= s) = 1 - exp(-K n exp(-lam s))."""
 
@@ -255,8 +327,7 @@ class ToxicityModel:
         self.lexicon, self.law, self.weights, self.share = lexicon, law, weights, share
 
     def segments(self, data: bytes) -> tuple[int, list[tuple[int, int, float]]]:
-        scores = self.lexicon.scores(data)
-        return len(scores), maximal_segments(scores)
+        return self.lexicon.scan(data)[:2]
 
     def evidence(self, words: np.ndarray, best: np.ndarray, total: np.ndarray) -> np.ndarray:
         """-log10 p of the best segment (up to 30), and of the sum of the
@@ -293,10 +364,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT_ROWS) -> Toxic
         for b in batches:
             out = []
             for data in b.column(1).to_pylist():
-                scores = lexicon.scores(data)
-                found = maximal_segments(scores)
-                out.append((len(scores), max((s for *_, s in found), default=0.0),
-                            [float(s) for *_, s in found], scores[scores > 0].tolist()))
+                n, found, counted = lexicon.scan(data)
+                out.append((n, max((s for *_, s in found), default=0.0), [float(s) for *_, s in found], counted))
             cols = list(zip(*out)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(c, t) for c, t in zip(cols, (
