@@ -33,6 +33,37 @@ def test_pages(page, text):
     assert html_tree.main_text(page) == text
 
 
+STORY = "a story that is told in some more words than all that stands around it"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='layout has-sidebar'><article><p>{STORY}</article><div class=sidebar>s</div></div>",
+    f"<div id='search-page'><main><h1>{STORY}</h1></main></div><div>(c)</div>",
+    f"<div class='social-post'><article><header>{STORY}</header></article></div>",
+    f"<form id=aspnetForm><nav>menu</nav><div id=content><p>{STORY}</p></div><div class=comments>c</div></form><p></p>",
+    f"<form id=aspnetForm><div class=pageMenu><article>{STORY}</article></div></form>",
+    f"<main><div class='has-sidebar'><div class=text>{STORY}</div><aside>{STORY} aside</aside></div></main>",
+    f"<article class='social-post'>{STORY}</article><footer>{STORY}</footer>",
+])
+def test_a_noise_name_does_not_swallow_the_page(page):
+    assert html_tree.main_text(page) == STORY
+
+
+def test_a_noise_name_holds_beside_the_text():
+    assert html_tree.main_text(f"<article>{STORY}</article><div class=comments><article>c</article></div>") == STORY
+    assert html_tree.main_text(f"<p>{STORY}</p><div class=comments>{STORY} twice as long {STORY}</div>") == STORY
+    assert html_tree.main_text(f"<nav>{STORY}</nav>") == ""
+
+
+def test_lifted_branches_are_measured(spark):
+    """Under a wrapper with a noise name, too, blocks that repeat over a host go."""
+    rows = [(i, f"http://one.org/{i}", f"<body><div class=has-sidebar><div class=x1>Call us now {i % 2}</div>"
+             f"<div class=y><p>Unique story number {i} with its own words</p></div></div></body>") for i in range(12)]
+    got = {r["text"] for r in html_tree.op1_html_extraction(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {f"Unique story number {i} with its own words" for i in range(12)}
+
+
 def test_template_noise_goes_by_entropy(spark):
     """Blocks without telling names that repeat over a host's pages go; the
     same words on another host, or articles that repeat, stay."""

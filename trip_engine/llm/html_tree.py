@@ -17,12 +17,17 @@ inner node joins its own presentation importance with the mean of its children
 little, so the markup's own meaning enters as a prior: navigation, headers,
 footers, forms, adverts, notices, comments and the like (by tag, role, class or
 id) get importance 0 with all below them; plain paragraphs and headings of an
-article keep 1, because copied articles repeat without being noise.
+article keep 1, because copied articles repeat without being noise. A class or id
+(and a form) is a guess, as wrappers of whole pages have such names, too: it does
+not hold for a branch with more text than the page has outside of noise (counted
+in its article or main elements, if it has some, which then are no noise). Such
+branches are measured like others, and the style tree decides.
 
 Second pass: each page is parsed again and the branches whose importance is
 below the threshold are removed. A page with an article or main element yields
 only text inside it. A page that would lose all its text gets back the
-unremoved blocks without the entropy test.
+unremoved blocks without the entropy test, or else all but those in navigation,
+asides, footers and the like.
 
 Defined cases: null or empty html yields empty text; a null url is a host of
 its own (empty name); broken markup is read as far as it goes, the rest of an
@@ -60,7 +65,7 @@ RAW = frozenset("script style textarea title noscript iframe template svg math c
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table caption thead tbody tfoot tr td th "
                   "figure figcaption hr br address center".split())
 MAIN = frozenset("article main".split())
-NOISE_TAGS = frozenset("head nav aside footer form button dialog menu menuitem input fieldset legend map "
+NOISE_TAGS = frozenset("head nav aside footer button dialog menu menuitem input fieldset legend map "
                        "frameset".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu "
                         "menubar toolbar note".split())
@@ -71,6 +76,12 @@ NOISE_WORDS = frozenset(
     "pager pagination paywall popup promo promoted promotion recommended recommendations related "
     "replies reply respond search share sharing sidebar signup skip social sponsor sponsored sponsors "
     "subscribe subscription tags teaser toc toolbar topbar trending widget widgets".split())
+# of these the names that hardly ever stand on a wrapper: what lies in them must outweigh the rest by far
+BESIDE_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adslot breadcrumb breadcrumbs comment comments "
+    "commentlist consent cookie cookies disqus gdpr newsletter pager pagination promo promoted promotion recommended "
+    "recommendations related replies reply respond sponsor sponsored sponsors teaser trending".split())
+BESIDE_WEIGHT = 10
 # an element of these names ends an open paragraph or an open one of the same kind
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
           "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
@@ -98,12 +109,19 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 class Node:
-    __slots__ = ("tag", "name", "path", "noise", "inside", "children")
+    __slots__ = ("tag", "name", "path", "up", "hard", "soft", "beside", "main", "in_main", "noise", "inside", "open",
+                 "lifted", "weight", "mains", "children")
 
-    def __init__(self, tag: str, name: str, up: Node | None, noise: bool, inside: bool):
-        self.tag, self.name = tag, name
+    def __init__(self, tag: str, name: str, up: Node | None, hard: bool = False, soft: bool = False,
+                 beside: bool = False, main: bool = False):
+        self.tag, self.name, self.up = tag, name, up
         self.path = name if up is None else f"{up.path}/{name}"
-        self.noise, self.inside = noise, inside
+        self.hard = hard or up is not None and up.hard      # noise by what it is, or in such an element
+        self.soft, self.beside = soft, beside               # noise by its own name
+        self.main = main and not (self.hard or soft)
+        self.in_main = self.main or up is not None and up.in_main
+        self.noise = self.inside = self.open = self.lifted = False  # see _settle
+        self.weight = self.mains = 0
         self.children: list[str] = []
 
 
@@ -114,17 +132,60 @@ def _open(tag: str, attrs: dict[str, str], up: Node) -> Node:
         name += "." + ".".join(sorted(_DIGITS.sub("0", marks).split()))
     words = set(_NAME_WORD.findall(_CAMEL.sub(r"\1 \2", marks).lower())) if marks else set()
     role = attrs.get("role", "").lower()
-    hard = (tag in NOISE_TAGS or role in NOISE_ROLES or (tag == "header" and not up.inside) or "hidden" in attrs
+    hard = (tag in NOISE_TAGS or role in NOISE_ROLES or (tag == "header" and not up.in_main) or "hidden" in attrs
             or attrs.get("aria-hidden") == "true"
             or "display:none" in attrs.get("style", "").replace(" ", "").lower())
-    soft = bool(words & NOISE_WORDS) and tag not in ("html", "body", "main")
+    soft = tag == "form" or bool(words & NOISE_WORDS) and tag not in ("html", "body", "main")
     main = tag in MAIN or role in ("main", "article") or attrs.get("itemprop", "") == "articleBody"
-    return Node(tag, name, up, up.noise or hard or soft, up.inside or (main and not (up.noise or hard or soft)))
+    return Node(tag, name, up, hard, soft, bool(words & BESIDE_WORDS), main)
+
+
+def _mark(nodes: list[Node]) -> None:
+    """Noise and insides of all elements (parents first), given the lifted names."""
+    for n in nodes:
+        up = n.up
+        if up is None:
+            continue
+        n.open = (up.open or n.lifted) and (n.lifted or not n.beside)
+        if n.hard or n.soft and not n.lifted:
+            n.noise = True
+        elif n.lifted:
+            n.noise = n.mains > 0
+        elif n.main and up.open:
+            n.noise = False
+        else:
+            n.noise = up.noise
+        if not n.noise:
+            n.open = False
+        n.inside = not n.noise and (n.main or up.inside)
+
+
+def _settle(out: list[tuple[Node, str]], nodes: list[Node]) -> None:
+    """Decide which names hold: outer ones first, each against the text that is left."""
+    _mark(nodes)
+    soft = [n for n in nodes if n.soft and not n.hard]
+    if not soft:
+        return
+    for n, text in out:
+        if not n.hard:
+            n.weight += len(text)
+    for n in reversed(nodes[1:]):
+        if n.main:
+            n.mains = n.weight
+        n.up.weight += n.weight
+        n.up.mains += n.mains
+    clean = sum(len(t) for n, t in out if not n.noise)
+    for n in soft:
+        # (each lifted name doubles the clean text at least, so there are few)
+        if not n.up.noise and (n.mains or n.weight) > clean * (BESIDE_WEIGHT if n.beside else 1):
+            n.lifted = True
+            _mark(nodes)
+            clean = sum(len(t) for n, t in out if not n.noise)
 
 
 def blocks(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
     """The text blocks of a page with their nodes, and all block elements."""
-    root = Node("", "", None, False, False)
+    root = Node("", "", None)
     stack, nodes, out, text = [root], [root], [], []
     pos, raw = 0, None
 
@@ -185,6 +246,7 @@ def blocks(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
         stack.append(node)
         nodes.append(node)
     flush()
+    _settle(out, nodes)
     return out, nodes
 
 
@@ -280,7 +342,7 @@ def style_trees(pages: DataFrame) -> DataFrame:
 def main_text(page: str | None, low: frozenset[str] = frozenset()) -> str:
     """The text of a page without noise and without the branches in ``low``."""
     out, _ = blocks(page or "")
-    clean = [(n, t) for n, t in out if not n.noise]
+    clean = [(n, t) for n, t in out if not n.noise] or [(n, t) for n, t in out if not n.hard]
     if any(n.inside for n, _ in clean):
         clean = [(n, t) for n, t in clean if n.inside]
     kept = [t for n, t in clean if not _pruned(n, low)] if low else [t for _, t in clean]
