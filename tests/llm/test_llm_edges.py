@@ -124,6 +124,17 @@ def test_whole_pipeline_on_odd_rows(spark, odd, tmp_path):
     assert docs.where("offset + length > 4096").isEmpty()
 
 
+def test_clean_texts_of_other_scripts_stay(spark):
+    chinese = " ".join(f"第{i}句话说的是一件很平常的事情，大家都知道它的来龙去脉，" + chr(0x4E00 + i) for i in range(12))
+    thai = " ".join("ประโยคนี้เป็นภาษาไทยธรรมดาที่ไม่มีการเว้นวรรคระหว่างคำ" + chr(0xE01 + i) for i in range(12))
+    russian = "Сегодня в столице прошла встреча стран NATO и их соседей, о которой писали все газеты мира."
+    clean = {1: chinese, 2: thai, 3: russian}
+    junk = {4: " ".join("Qx7b" * 8 + str(i) for i in range(12)), 5: "BUY THE NEW CAR NOW OR NEVER, IT IS SO CHEAP ÄÖ",
+            6: " ".join("zzz" * 20 + f"话{i}" for i in range(12))}
+    docs = _docs(spark, [(i, t, "xx", "s", 1) for i, t in (clean | junk).items()])
+    assert {r["doc_id"] for r in quality_rules.stage(spark, docs, "").collect()} == set(clean)
+
+
 def test_pages(spark):
     rows = [(1, None, None, 1, "a"), (2, "http://h/x", "", 2, "b"), (3, "http://h/x", "<p>a<p>b", 3, "c"),
             (3, "http://h/x", "<p>a<p>b", 3, "c"), (4, "nonsense", "<script>x", 4, "d"),

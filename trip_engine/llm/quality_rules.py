@@ -9,6 +9,10 @@ Defined cases: a null text counts as empty (no words, fails ``few_words``);
 repeated rows and ties are measured each on its own; an empty table gives an
 empty ledger; other columns of the input are ignored, whatever their names.
 Texts of any length are measured whole.
+
+Policy v2, which the query reports, knows ASCII letters and spaced words only.
+The pipeline applies v3: characters of scripts without spaces make no long words,
+and capitals count only where ASCII letters are the larger part of all letters.
 """
 
 from __future__ import annotations
@@ -31,8 +35,13 @@ UPPER = bytes(range(ord("A"), ord("Z") + 1))
 LOWER = bytes(range(ord("a"), ord("z") + 1))
 WINDOW = 5
 
+# Thai, Lao, Tibetan, Burmese, Khmer, Japanese, Chinese, with their punctuation
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+                       "\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]+")
+_OTHER_LETTERS = re.compile(r"[^\W\d_\x00-\x7f]+")
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
-            "n_upper", "n_lower")
+            "n_upper", "n_lower", "n_unspaced", "n_other_letters")
 
 # The rules in bit order. Each is an integer comparison of measurements, the
 # same text in Spark SQL and in any other SQL.
@@ -45,14 +54,22 @@ RULES = {
     "long_words": "word_chars > 20 * n_words",
     "upper_case": "n_upper > n_lower",
 }
+# Rules that know other scripts, in the bits after those; the query does not report them.
+SCRIPT_RULES = {
+    "long_spaced_words": "word_chars - n_unspaced > 20 * n_words",
+    "ascii_upper_case": "n_upper > n_lower and n_upper + n_lower >= n_other_letters",
+}
+ALL_RULES = RULES | SCRIPT_RULES
 BASE = ("few_words", "repeated_windows")
 # Policies: the rules whose failure rejects a document.
-POLICIES = {"base": BASE, "v1": BASE + ("symbols", "duplicate_lines"), "v2": tuple(RULES)}
-CURRENT = "v2"
+POLICIES = {"base": BASE, "v1": BASE + ("symbols", "duplicate_lines"), "v2": tuple(RULES),
+            "v3": BASE + ("symbols", "duplicate_lines", "short_words", "long_spaced_words", "ascii_upper_case")}
+CURRENT = "v2"             # of the query and its SQL twin
+PIPELINE = "v3"
 
 
 def mask_of(rules) -> int:
-    names = list(RULES)
+    names = list(ALL_RULES)
     return sum(1 << names.index(r) for r in rules)
 
 
@@ -89,7 +106,15 @@ def measure(data: bytes) -> tuple[int, ...]:
     return (len(words), len(dense), len(data) - len(data.translate(None, SYMBOLS)), len(lines),
             len(lines) - len(set(lines)), covered_by_repeats(words),
             len(data) - len(data.translate(None, UPPER)),
-            len(data) - len(data.translate(None, LOWER)))
+            len(data) - len(data.translate(None, LOWER)), *_other_scripts(data))
+
+
+def _other_scripts(data: bytes) -> tuple[int, int]:
+    """Characters of scripts without spaces, and letters that are not ASCII."""
+    if data.isascii():
+        return 0, 0
+    text = data.decode("utf-8", "replace")
+    return sum(map(len, _UNSPACED.findall(text))), sum(map(len, _OTHER_LETTERS.findall(text)))
 
 
 def _measured(at: int, names: list[str]):
@@ -115,7 +140,7 @@ def with_measures(docs: DataFrame, prefix: str = "") -> DataFrame:
 def failure_bits(prefix: str = "") -> Column:
     """All rules as one long: bit i is set if rule i fails."""
     bits = F.lit(0).cast("long")
-    for i, rule in enumerate(RULES.values()):
+    for i, rule in enumerate(ALL_RULES.values()):
         rule = re.sub(r"[a-z]+_[a-z_]+", lambda m: f"`{prefix}{m[0]}`", rule)
         bits = bits.bitwiseOR(F.when(F.expr(rule), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
     return bits
@@ -140,7 +165,7 @@ def ablation(rows: DataFrame, policy: str = CURRENT) -> DataFrame:
     mask = mask_of(POLICIES[policy])
     patterns = rows.groupBy(F.col("fail_bits").bitwiseAND(F.lit(mask).cast("long")).alias("bits")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    names = list(RULES)
+    names = list(ALL_RULES)
     rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(1 << names.index(r)).cast("long").alias("bit"))
                       for r in POLICIES[policy]])
     each = patterns.select("bits", "n", F.inline(rules))
@@ -153,14 +178,15 @@ def op7_quality_rules(docs: DataFrame) -> DataFrame:
     base = F.col("fail_bits").bitwiseAND(F.lit(mask_of(BASE)).cast("long")) != 0
     return ledger(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base.alias("base_failed"), passes().alias("kept"), "fail_bits")
+        base.alias("base_failed"), passes().alias("kept"),
+        F.col("fail_bits").bitwiseAND(F.lit(mask_of(RULES)).cast("long")).alias("fail_bits"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that fail no rule of the current policy,
+    """Pipeline stage: the documents that fail no rule of the pipeline's policy,
     with all their columns. One narrow pass, no join."""
     own = "__rules_"
-    mask = F.lit(mask_of(POLICIES[CURRENT])).cast("long")
+    mask = F.lit(mask_of(POLICIES[PIPELINE])).cast("long")
     measured = with_measures(docs, own)
     return measured.where(failure_bits(own).bitwiseAND(mask) == 0).select(
         *[F.col(f"`{c}`") for c in docs.columns])
