@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trip_engine.llm.common import prepare_workers, is_held_out, materialize, utf8
-from trip_engine.llm.quality_rules import measure
+from trip_engine.llm.quality_rules import MEASURES, measure
 from trip_engine.llm.toxicity import fit_logistic
 
 MAX_LABELLED = 10_000
@@ -42,13 +42,15 @@ SHARE_PER_ROUND = 0.1      # of the pool, handed over by each view, at most
 CALIBRATION = 5            # one labelled row in so many is kept for calibration
 SHAPES = 192
 METAS = 64
+USED = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_lower")
 _SHAPE = bytes(ord("a") if 97 <= c <= 122 or c >= 128 else ord("A") if 65 <= c <= 90
                else ord("0") if 48 <= c <= 57 else c for c in range(256))
 PART = 1 << 20
 
 
 def text_view(data: bytes) -> np.ndarray:
-    words, chars, symbols, lines, dup_lines, repeats, upper, lower = measure(data)
+    found = dict(zip(MEASURES, measure(data)))
+    words, chars, symbols, lines, dup_lines, repeats, upper, lower = map(found.__getitem__, USED)
     n = max(1, len(data))
     dense = [np.log1p(words), np.log1p(chars), chars / max(1, words) / 10, 10 * symbols / max(1, chars),
              dup_lines / max(1, lines), repeats / max(1, words), upper / max(1, upper + lower),
