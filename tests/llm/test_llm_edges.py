@@ -2,16 +2,20 @@
 empty tables and clashing extra columns."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from trip_engine.llm import (
     cotraining,
     exact_dedup,
     html_tree,
+    importance,
     langid,
+    merkle,
     mixing,
     packing,
     quality_rules,
+    sentencepieces,
     simhash,
     token_counts,
     toxicity,
@@ -58,6 +62,9 @@ OPERATORS = {
     "op8": (lambda d, lab: token_counts.op8_token_counts(d), 14),
     "op9": (lambda d, lab: packing.op9_packing(d), None),
     "op10": (lambda d, lab: simhash.op10_simhash_near_dedup(d), 14),
+    "op11": (lambda d, lab: sentencepieces.op11_sentencepiece(d), 14),
+    "op12": (lambda d, lab: merkle.op12_merkle_manifest(d), 14),
+    "op13": (lambda d, lab: importance.op13_importance_resampling(d, d.select(F.col("doc_id").alias("item_id"), "text")), 14),
 }
 
 
