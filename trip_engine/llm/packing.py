@@ -35,8 +35,8 @@ from trip_engine.llm.common import prepare_workers, utf8
 from trip_engine.llm.tokenizing import WordTokenizer
 
 MAX_TOKENS = 4096
-MAX_SEGMENTS = 256
-MAX_LOSS = 4096
+MAX_SEGMENTS = 256         # of instruction data; a document's piece has a token at least, so that
+MAX_LOSS = 4096            # the token limit alone binds for documents
 POOL = 256
 END = 2
 TOKENIZER = "word_bpe_49k.json"
@@ -210,7 +210,7 @@ def document_reader(tokenizer: str = TOKENIZER, end: int = END):
 
 def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     return pack(docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("data")),
-                document_reader(tokenizer))
+                document_reader(tokenizer), limits=(MAX_TOKENS, MAX_TOKENS, MAX_LOSS))
 
 
 def op9_packing(docs: DataFrame) -> DataFrame:
