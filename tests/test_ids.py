@@ -7,6 +7,7 @@ from conftest import SF_SMALL
 from trip_engine import fixtures as fx
 from trip_engine.operators.ids import add_row_id
 from trip_engine.plans.inspect import physical_plan
+from trip_engine.session import write_scratch
 
 
 def test_sparse_unique(spark):
@@ -29,18 +30,51 @@ def test_dense_ordered_equals_row_number(spark):
         sorted(tuple(r) for r in ref.select("event_id", "rid").collect())
 
 
-def test_dense_plan_never_gathers_rows(spark):
+def test_dense_plan_never_gathers_rows(spark, monkeypatch):
+    """The only single-partition exchange moves counts, and the frame is never written."""
+    from trip_engine.operators import ids
+    written = []
+
+    def keep(df, name):
+        written.append(df.columns)
+        return write_scratch(df, name)
+    monkeypatch.setattr(ids, "write_scratch", keep)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        ev = fx.table(spark, SF_SMALL, "events").select("event_id", "ts")
-        plan = physical_plan(add_row_id(ev, "dense", order_by=["ts", "event_id"]))
+        ev = fx.table(spark, SF_SMALL, "events").select("event_id", "ts", "event_type")
+        plans = [physical_plan(add_row_id(ev, "dense", order_by=["ts", "event_id"])), physical_plan(add_row_id(ev, "dense"))]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    lines = plan.splitlines()
-    # the only single-partition exchange moves the per-partition counts
-    for i, ln in enumerate(lines):
-        if "SinglePartition" in ln:
-            assert "HashAggregate" in lines[i + 1] and "_part" in lines[i + 1], plan
+    assert written == [["_position", "_part", "_place"]]
+    for plan in plans:
+        lines = plan.splitlines()
+        for i, ln in enumerate(lines):
+            if "SinglePartition" in ln:
+                assert "HashAggregate" in lines[i + 1] and "count(1)" in lines[i + 1], plan
+    assert "Join [_position" in plans[0] and "rangepartitioning" not in plans[0]  # the frame is not sorted
+    assert "_position" not in plans[1]
+
+
+def test_dense_ids_of_a_shuffled_frame(spark):
+    """Positions of such an input can change, so it is written first."""
+    from trip_engine.operators.ids import is_narrow
+    ev = fx.table(spark, SF_SMALL, "events").select("event_id", "ts")
+    assert is_narrow(ev.where("event_id % 3 = 0"))
+    mixed = ev.repartition(5, "ts")
+    assert not is_narrow(mixed) and not is_narrow(ev.limit(10))
+    ours = add_row_id(mixed, "dense", order_by=["ts", "event_id"], col="rid")
+    ref = ev.withColumn("rid", F.row_number().over(Window.orderBy("ts", "event_id")))
+    assert sorted(map(tuple, ours.select("event_id", "rid").collect())) == \
+        sorted(map(tuple, ref.select("event_id", "rid").collect()))
+
+
+def test_keys_of_other_parts_are_other_ids(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a", None), (None, "a"), ("-", "a"), ("", "a"), ("1:a", ""),
+                                ("", "1:a")], "x string, y string")
+    ids = [r.id for r in add_row_id(df, "key").collect()]
+    assert len(set(ids)) == len(ids)
+    again = add_row_id(df.repartition(3), "key", ["x", "y"]).collect()
+    assert {r.id for r in again} == set(ids)
 
 
 def test_sparse_rejects_order(spark):

@@ -53,7 +53,7 @@ def test_contract_reads_a_table_once_and_equals_single_tests(spark):
         plan = physical_plan(qa.run_contract(reg.trips(spark, SF_SMALL), qa.TRIPS_CONTRACT, "trips"))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert plan.count("lineitem.parquet") == 3  # one per source
+    assert plan.count("lineitem.parquet") == 3  # one per source, in the second step too
     df = spark.createDataFrame([(None, 1.5, "a"), (1, -0.0, "a"), (1, 0.0, None), (2, 0.0, "b"), (None, None, "b")],
                                "k int, d double, s string")
     contract = (("k", "unique"), ("k", "not_null"), ("d", "unique"), (("d", "s"), "unique"), ("s", "not_null"),
@@ -69,3 +69,55 @@ def test_contract_reads_a_table_once_and_equals_single_tests(spark):
 def test_contract_on_an_empty_table(spark):
     out = qa.run_contract(fx.zone_lookup(spark, SF_SMALL).limit(0), qa.ZONE_LOOKUP_CONTRACT, "zones").collect()
     assert len(out) == 5 and all(r.failures == 0 and r.passed for r in out)
+
+
+def test_keys_differ_by_a_microsecond_a_type_or_a_separator(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1, 12, 0, 0, 123456)
+    rows = [(t, "a|b", "c"), (t + dt.timedelta(microseconds=1), "a", "b|c"), (t, "ab", "c")]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, x string, y string")
+    contract = (("t", "unique"), (("x", "y"), "unique"), (("t", "x"), "unique"))
+    got = {r.column_name: r.failures for r in qa.run_contract(df, contract, "t").collect()}
+    assert got == {"t": 1, "x,y": 0, "t,x": 0}
+    assert qa.check_unique(df, ["x", "y"]).count() == 0 and qa.check_unique(df, "t").first().n_records == 2
+
+
+def test_equal_hashes_are_no_failure(spark, monkeypatch):
+    """Every key gets one of two hashes: the second step tells them apart."""
+    monkeypatch.setattr(qa, "_hash", lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(2)) * 2 ** 40)
+    rows = [(i % 9, f"v{i % 5}", i / 3) for i in range(40)] + [(None, "v1", 0.0), (None, None, -0.0)]
+    df = spark.createDataFrame(rows, "k int, s string, d double")
+    contract = (("k", "unique"), ("s", "unique"), ("d", "unique"), (("k", "s"), "unique"), (("s", "k"), "unique"),
+                ("s", "not_null"), ("k", "not_null"))
+    got = {(r.column_name, r.test): r.failures for r in qa.run_contract(df, contract, "t").collect()}
+    for key, test in contract:
+        cols = [key] if isinstance(key, str) else list(key)
+        want = df.where(F.col(cols[0]).isNull()).count() if test == "not_null" else \
+            df.dropna(subset=cols).groupBy(*cols).count().where("count > 1").count()
+        assert got[",".join(cols), test] == want, (key, test)
+    assert qa.check_unique(df, ["k", "s"]).count() == got["k,s", "unique"]
+
+
+def test_both_joins_of_the_second_step_agree(spark, monkeypatch):
+    t = reg.trips(spark, SF_SMALL)
+    few = {(r.column_name, r.test): r.failures for r in qa.run_contract(t, qa.TRIPS_CONTRACT, "t").collect()}
+    monkeypatch.setattr(qa, "MAX_BROADCAST_HASHES", 0)
+    assert {(r.column_name, r.test): r.failures for r in qa.run_contract(t, qa.TRIPS_CONTRACT, "t").collect()} == few
+
+
+def test_the_first_step_shuffles_numbers_only(spark, monkeypatch):
+    from trip_engine.plans.inspect import physical_plan
+    plans = []
+
+    def keep(df, name):
+        plans.append(physical_plan(df))
+        return spark.createDataFrame([], df.schema)
+    monkeypatch.setattr(qa, "write_scratch", keep)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        qa.run_contract(reg.trips(spark, SF_SMALL), qa.TRIPS_CONTRACT, "t")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plans[0].splitlines()
+    at = [i for i, x in enumerate(lines) if "Exchange" in x]
+    assert len(at) == 1 and "HashAggregate(keys=[code" in lines[at[0] + 1]

@@ -4,6 +4,13 @@ Each test reports how many records violate it instead of stopping a run, so
 tests that cannot hold on real data (several of the original column tests)
 are visible with their size. Keys with a NULL part are not checked for
 uniqueness (SQL UNIQUE semantics: NULLs are distinct).
+
+Wide keys and whole contracts are tested in two steps. The first shuffles one number
+a key: its 64-bit hash (a contract's test number in the upper bits) with the count
+of its task. Only hashes that came twice can hide a repeated key; the second step
+compares the keys behind those, typed and whole, so a collision of hashes is
+no failure and a microsecond, a type or a separator inside a text makes a
+difference. A table whose keys are unique is read once and its keys are never shuffled.
 """
 
 from __future__ import annotations
@@ -11,9 +18,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trip_engine.session import write_scratch
+
+# Repeated hashes (8 bytes each) that are broadcast to the second step; beyond, it is
+# a shuffle join.
+MAX_BROADCAST_HASHES = 1_000_000
+# Types whose values are no longer than their hash.
+_NARROW = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
+
 Key = str | Sequence[str]
 
 
@@ -21,13 +36,39 @@ def _cols(key: Key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _typed(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """The key's parts; adding 0 makes -0.0 the 0.0 it equals."""
+    types = dict(df.dtypes)
+    return [F.col(c) + 0 if types[c] in ("float", "double") else F.col(c) for c in cols]
+
+
+def _present(cols: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+
+
+def _hash(*parts: Column) -> Column:
+    return F.xxhash64(*parts)
+
+
+def _suspected(rows: DataFrame, on: str, suspects: DataFrame) -> DataFrame:
+    """The rows whose hash is among the suspects."""
+    few = suspects.count() <= MAX_BROADCAST_HASHES
+    return rows.join(F.broadcast(suspects) if few else suspects, on, "left_semi")
+
+
 def check_unique(df: DataFrame, key: Key) -> DataFrame:
     """OP-60 / OP-63: the key values occurring more than once, with their
     record count ``n_records``. Partial aggregation before the shuffle keeps
-    a hot key cheap; no group is ever gathered."""
+    a hot key cheap; no group is ever gathered. A key wider than its hash is tested in
+    two steps (a first job finds the repeated hashes)."""
     cols = _cols(key)
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-    return (df.filter(present).groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records"))
+    types = dict(df.dtypes)
+    rows = df.filter(_present(cols))
+    if len(cols) > 1 or types[cols[0]] not in _NARROW:
+        rows = rows.withColumn("__hash", _hash(*_typed(df, cols)))
+        suspects = write_scratch(rows.groupBy("__hash").count().where("count > 1").select("__hash"), "repeated-keys")
+        rows = _suspected(rows.select("__hash", *cols), "__hash", suspects)
+    return (rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records"))
             .filter(F.col("n_records") > 1))
 
 
@@ -51,10 +92,11 @@ def run_contract(df: DataFrame, contract: Sequence[tuple[Key, str]], table: str)
     """OP-62: every test of a table as one result frame:
     table_name, column_name, test, failures, passed.
 
-    The table is read once for all tests. Each record yields one (test, key)
-    pair per unique test whose key is complete, and one per not_null test
-    it violates; the pairs are counted before the shuffle (a hot key collapses
-    there), then each test's pairs are summed up."""
+    The table is read once for all tests, a second time only if a hash came twice. Each
+    record yields one number per unique test whose key is complete, and one per
+    not_null test it violates; they are counted before the shuffle (a hot key
+    collapses there). The first step runs when the frame is built, and what it
+    suspects is kept in the session's scratch folder."""
     if not contract:
         raise ValueError("empty contract")
     for _, test in contract:
@@ -62,23 +104,42 @@ def run_contract(df: DataFrame, contract: Sequence[tuple[Key, str]], table: str)
             raise ValueError(f"unknown test {test!r}")
     expanded = [(c, t) for key, t in contract for c in (_cols(key) if t == "not_null" else [key])]
     expanded = list(dict.fromkeys((c if isinstance(c, str) else tuple(c), t) for c, t in expanded))
+    bits = max(1, (len(expanded) - 1).bit_length())
+
+    def numbered(number: int, value: Column) -> Column:
+        """The test's number in the upper bits, the hash's upper bits below."""
+        return F.shiftleft(F.lit(number).cast("long"), 64 - bits).bitwiseOR(F.shiftrightunsigned(value, bits))
+
+    first, second = [], []
     types = dict(df.dtypes)
-    pairs = []
+    slots = list(dict.fromkeys(tuple(types[c] for c in _cols(k)) for k, t in expanded if t == "unique"))
     for number, (key, test) in enumerate(expanded):
         cols = _cols(key)
-        # typed JSON text: equal exactly if all parts are equal
-        # (adding 0 makes -0.0 the 0.0 it equals)
-        text = F.to_json(F.struct(*[(F.col(c) + 0 if types[c] in ("float", "double") else F.col(c))
-                                    .alias(f"k{i}") for i, c in enumerate(cols)]))
-        present = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in cols])
-        pair = F.struct(F.lit(number).alias("test_no"), (text if test == "unique" else F.lit("")).alias("key"))
-        pairs.append(F.when(present if test == "unique" else ~present, pair))
-    counted = (df.select(F.explode(F.array_compact(F.array(*pairs))).alias("p"))
-               .groupBy("p.test_no", "p.key").agg(F.count(F.lit(1)).alias("n")))
-    unique = F.array(*[F.lit(t == "unique") for _, t in expanded])
-    failures = (counted.groupBy("test_no").agg(
-        F.sum(F.when(F.get(unique, F.col("test_no")), (F.col("n") > 1).cast("long")).otherwise(F.col("n")))
-        .alias("failures")))
+        if test == "not_null":
+            first.append(F.when(~_present(cols), numbered(number, F.lit(0).cast("long"))))
+            continue
+        code = numbered(number, _hash(*_typed(df, cols)))
+        first.append(F.when(_present(cols), code))
+        # one struct of its types holds the whole key, the other slots are null
+        whole = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(_typed(df, cols))])
+        mine = tuple(types[c] for c in cols)
+        second.append(F.when(_present(cols), F.struct(code.alias("code"), *[
+            (whole if s == mine else F.lit(None).cast(_struct_type(s))).alias(f"slot{i}")
+            for i, s in enumerate(slots)])))
+    number_of = F.shiftrightunsigned("code", 64 - bits).cast("int")
+    counted = df.select(F.explode(F.array_compact(F.array(*first))).alias("code")) \
+        .groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    is_unique = F.get(F.array(*[F.lit(t == "unique") for _, t in expanded]), number_of)
+    found = write_scratch(counted.where(~is_unique | (F.col("n") > 1)), "contract")
+    failures = found.where(~is_unique).select(number_of.alias("test_no"), F.col("n").alias("failures"))
+    suspects = found.where(is_unique).select("code")
+    if second and not suspects.isEmpty():
+        keys = df.select(F.explode(F.array_compact(F.array(*second))).alias("p")).select("p.*")
+        repeated = _suspected(keys, "code", suspects) \
+            .groupBy("code", *[f"slot{i}" for i in range(len(slots))]).agg(F.count(F.lit(1)).alias("n")) \
+            .where("n > 1")
+        failures = failures.unionByName(
+            repeated.groupBy(number_of.alias("test_no")).agg(F.count(F.lit(1)).alias("failures")))
     tests = df.sparkSession.createDataFrame(
         [(i, table, ",".join(_cols(k)), t) for i, (k, t) in enumerate(expanded)],
         "test_no int, table_name string, column_name string, test string")
@@ -88,6 +149,10 @@ def run_contract(df: DataFrame, contract: Sequence[tuple[Key, str]], table: str)
             .withColumn("passed", F.col("failures") == 0))
 
 
+def _struct_type(types: Sequence[str]) -> str:
+    return "struct<" + ", ".join(f"k{i}: {t}" for i, t in enumerate(types)) + ">"
+
+
 # --- the original column tests, as contracts (fixed values) --------------------
 ZONE_LOOKUP_CONTRACT = (("LocationID", "unique"), ("LocationID", "not_null"),
                         ("Borough", "not_null"), ("Zone", "not_null"),

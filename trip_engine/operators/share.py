@@ -69,11 +69,12 @@ def densify_days(share: DataFrame, first: str | dt.date, last: str | dt.date,
 
     The share is read once. Its rows are gathered per service (one row per day at
     most), each service is laid over the calendar, and the day's total is the
-    largest any service knows: a window over days x services rows."""
+    largest any service knows: a window over days x services rows. Rows without a day
+    (requests without a time) are on no day of the calendar; their services are."""
     f = F.to_date(F.lit(str(first)))
     la = F.to_date(F.lit(str(last)))
-    days = F.map_from_entries(F.collect_list(F.struct(
-        "trip_date", F.struct("trip_count", "total_trip_count", "trip_percentage"))))
+    days = F.map_from_entries(F.collect_list(F.when(F.col("trip_date").isNotNull(), F.struct(
+        "trip_date", F.struct("trip_count", "total_trip_count", "trip_percentage")))))
     if services is None:
         per_service = share.groupBy("service").agg(days.alias("_days"))
     else:

@@ -338,6 +338,23 @@ def q_market_share_dense(spark, sf_dir):
     return _day_text(_dense(spark, sf_dir), "trip_date")
 
 
+_NULL_DAYS = "(SELECT * REPLACE (CASE WHEN event_id % 17 <> 0 THEN ts END AS ts) FROM events)"
+
+
+@register("market_share_dense_null_day", "WITH " + SQL_REQUESTS.replace("FROM events", "FROM " + _NULL_DAYS).replace(
+    """  WHERE request_datetime >= TIMESTAMP '2024-01-03 00:00:00'
+    AND request_datetime < TIMESTAMP '2024-01-29 00:00:00'
+""", "") + SQL_DENSE + """
+SELECT strftime(trip_date, '%Y-%m-%d') AS trip_date, service, trip_count, total_trip_count,
+       trip_percentage FROM dense""")
+def q_market_share_dense_null_day(spark, sf_dir):
+    """OP-56 on a share without a day range whose requests partly have no time."""
+    from trip_engine.operators.share import densify_days, market_share
+    req = fx.ride_requests(spark, sf_dir).withColumn(
+        "request_datetime", F.when(F.col("event_id") % 17 != 0, F.col("request_datetime")))
+    return _day_text(densify_days(market_share(req), DENSE_FIRST, DENSE_LAST), "trip_date")
+
+
 @register("market_share_wide", "WITH " + SQL_REQUESTS_DENSE + SQL_DENSE + """
 SELECT strftime(trip_date, '%Y-%m-%d') AS trip_date,
        max(CASE WHEN service = 'Uber' THEN trip_percentage END) AS "Uber",
@@ -571,6 +588,38 @@ def q_row_id_dense(spark, sf_dir):
                    F.max("row_id").alias("max_id"), F.countDistinct("row_id").alias("distinct_ids"))
 
 
+@register("key_ids_distinct", """
+WITH k AS (SELECT event_type || '|' || CAST(user_id % 10 AS VARCHAR) AS x, CAST(event_id % 10 AS VARCHAR) AS y FROM events
+           UNION ALL SELECT event_type, CAST(user_id % 10 AS VARCHAR) || '|' || CAST(event_id % 10 AS VARCHAR) FROM events)
+SELECT x, y, md5(coalesce(CAST(strlen(x) AS VARCHAR) || ':' || x, '-')
+                 || coalesce(CAST(strlen(y) AS VARCHAR) || ':' || y, '-')) AS id, count(*) AS n
+FROM k GROUP BY x, y""")
+def q_key_ids_distinct(spark, sf_dir):
+    """OP-53: keys whose parts, put side by side, would read alike get ids of their own."""
+    from trip_engine.operators.ids import add_row_id
+    ev = fx.table(spark, sf_dir, "events")
+    a, b, c = F.col("event_type"), (F.col("user_id") % 10).cast("string"), (F.col("event_id") % 10).cast("string")
+    keys = ev.select(F.inline(F.array(F.struct(F.concat_ws("|", a, b).alias("x"), c.alias("y")),
+                                      F.struct(a.alias("x"), F.concat_ws("|", b, c).alias("y")))))
+    return add_row_id(keys, "key", ["x", "y"]).groupBy("x", "y", "id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("row_id_dense_hot_key", """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE event_type || CAST(event_id AS VARCHAR) END AS k
+           FROM events)
+SELECT k, count(*) AS n, min(row_id) AS first_id, max(row_id) AS last_id, count(DISTINCT row_id) AS ids
+FROM (SELECT k, row_number() OVER (ORDER BY k, event_id) AS row_id FROM e) GROUP BY k""")
+def q_row_id_dense_hot_key(spark, sf_dir):
+    """OP-54 with a third of the rows on one order key: its ids are one gapless run."""
+    from trip_engine.operators.ids import add_row_id
+    ev = fx.table(spark, sf_dir, "events")
+    keyed = ev.select(F.when(F.col("event_id") % 3 == 0, F.lit("hot"))
+                      .otherwise(F.concat("event_type", F.col("event_id").cast("string"))).alias("k"))
+    return add_row_id(keyed, "dense", order_by=["k"], col="row_id").groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_id"), F.max("row_id").alias("last_id"),
+        F.countDistinct("row_id").alias("ids"))
+
+
 @register("row_id_dense_ordered", """
 SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS row_id FROM events""")
 def q_row_id_dense_ordered(spark, sf_dir):
@@ -688,6 +737,30 @@ def q_run_contract(spark, sf_dir):
     return out
 
 
+def _sql_key_id(*texts: str) -> str:
+    """Twin of ``ids.key_id``: each part led by its number of bytes."""
+    return "md5(" + " || ".join(f"coalesce(CAST(strlen({t}) AS VARCHAR) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+# Line items with a time to the microsecond: many fall into one millisecond.
+_MICRO_CONTRACT = (("stamp", "unique"), (("stamp", "l_orderkey"), "unique"),
+                   (("stamp", "l_orderkey", "l_linenumber"), "unique"), ("stamp", "not_null"))
+
+
+@register("run_contract_micros", """
+WITH stamped AS (SELECT l_shipdate + to_microseconds(CAST(l_orderkey % 5000 * 7 + l_linenumber AS BIGINT)) AS stamp,
+                        l_orderkey, l_linenumber FROM lineitem)
+""" + _sql_contract("stamped", "stamped", _MICRO_CONTRACT))
+def q_run_contract_micros(spark, sf_dir):
+    """OP-62: keys that differ by a microsecond are different keys."""
+    li = fx.table(spark, sf_dir, "lineitem")
+    micros = (F.col("l_orderkey") % 5000 * 7 + F.col("l_linenumber")).cast("decimal(18,0)")
+    seconds = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
+    stamped = li.select((F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)).alias("stamp"),
+                        "l_orderkey", "l_linenumber")
+    return qa.run_contract(stamped, _MICRO_CONTRACT, "stamped")
+
+
 @register("airport_trips_contract", SQL_IMPRESSIONS + """,
 ids AS (SELECT row_number() OVER () AS rid, * FROM alls)
 SELECT 'airport_trips' AS table_name, c AS column_name, test, failures, failures = 0 AS passed FROM (
@@ -697,9 +770,9 @@ SELECT 'airport_trips' AS table_name, c AS column_name, test, failures, failures
   UNION ALL SELECT 'airport', 'not_null', count(*) FILTER (WHERE airport IS NULL) FROM ids
   UNION ALL SELECT 'id', 'unique', (SELECT count(*) FROM (
     SELECT t.k FROM (SELECT pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, source,
-        md5(concat_ws('|', strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'),
-            strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S'), CAST(PULocationID AS VARCHAR),
-            CAST(DOLocationID AS VARCHAR), source)) AS k FROM trips) t
+        """ + _sql_key_id("strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S')",
+                          "strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S')", "CAST(PULocationID AS VARCHAR)",
+                          "CAST(DOLocationID AS VARCHAR)", "source") + """ AS k FROM trips) t
     JOIN (SELECT LocationID AS l, 1 AS pu FROM airports UNION ALL SELECT LocationID, 0 FROM airports) a
       ON (a.pu = 1 AND t.PULocationID = a.l) OR (a.pu = 0 AND t.DOLocationID = a.l)
     GROUP BY t.k HAVING count(*) > 1))
@@ -1013,11 +1086,12 @@ def q_service_mapping_join(spark, sf_dir):
 
 
 @register("airport_trips_with_id", "WITH " + SQL_TRIPS.replace("AS source\n", """AS source,
-         md5(concat_ws('|', strftime(l_shipdate + to_minutes(CAST(l_partkey % 1440 AS INTEGER)), '%Y-%m-%d %H:%M:%S'),
-                       strftime(l_shipdate + to_minutes(CAST(l_partkey % 1440 AS INTEGER))
-                         + to_minutes(CAST(trunc(5 + l_quantity) AS INTEGER)), '%Y-%m-%d %H:%M:%S'),
-                       CAST(l_suppkey % 20 AS VARCHAR), CAST(l_partkey % 20 AS VARCHAR),
-                       CASE l_returnflag WHEN 'N' THEN 'ride_hailing' WHEN 'A' THEN 'green' ELSE 'yellow' END)) AS id
+         """ + _sql_key_id("strftime(l_shipdate + to_minutes(CAST(l_partkey % 1440 AS INTEGER)), '%Y-%m-%d %H:%M:%S')",
+                           "strftime(l_shipdate + to_minutes(CAST(l_partkey % 1440 AS INTEGER))"
+                           " + to_minutes(CAST(trunc(5 + l_quantity) AS INTEGER)), '%Y-%m-%d %H:%M:%S')",
+                           "CAST(l_suppkey % 20 AS VARCHAR)", "CAST(l_partkey % 20 AS VARCHAR)",
+                           "CASE l_returnflag WHEN 'N' THEN 'ride_hailing' WHEN 'A' THEN 'green' ELSE 'yellow' END")
+                      + """ AS id
 """) + "," + SQL_ZONES + """
 SELECT t.id, a.Zone AS airport, t.source FROM trips t RIGHT JOIN airports a ON t.PULocationID = a.LocationID
 UNION ALL SELECT t.id, a.Zone, t.source FROM trips t RIGHT JOIN airports a ON t.DOLocationID = a.LocationID""")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every entry point wants: UTC clock (reports bucket by hour and
 # weekday), AQE for runtime coalescing / skew splitting, ANSI on, no UI.
@@ -77,6 +77,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh scratch folder and read back: computed once,
+    and safe from the loss of an executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _scratch: dict[str, list[str]] = {}
 
 
