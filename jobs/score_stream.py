@@ -16,14 +16,10 @@ def main(argv=None, spark=None):
     p.add_argument("--every", default="10 seconds")
     p.add_argument("--shape", choices=("round", "trunc", "raw"), default="raw")
     a = p.parse_args(argv)
-    from trip_engine.operators.model import load_model
-    from trip_engine.sources.requests import read_requests
-    from trip_engine.streaming.scoring import score_stream
+    from trip_engine.plans.score_requests import run
     own = spark is None
     spark = spark or session("score-stream", a.master)
-    q = score_stream(read_requests(spark, a.requests, streaming=True), load_model(a.model),
-                     a.output, a.rejects, a.checkpoint, a.shape, a.available_now,
-                     None if a.available_now else a.every)
+    q = run(spark, a.requests, a.model, a.output, a.rejects, a.checkpoint, a.shape, a.available_now, a.every)
     q.awaitTermination()
     if own:
         spark.stop()

@@ -8,6 +8,7 @@ from trip_engine import registry as reg
 from trip_engine.functions.exprs import day_of_week, hour_of_day
 from trip_engine.operators import airports as ap
 from trip_engine.plans.inspect import physical_plan
+from trip_engine.session import write_scratch
 
 Z = reg.ZONES
 
@@ -93,16 +94,37 @@ def test_cube_plan_single_scan_no_trip_shuffle(spark):
             assert "HashAggregate" in lines[i + 1], plan
 
 
-def test_all_impressions_single_scan(spark):
+def test_all_impressions_single_scan(spark, monkeypatch):
+    """What is written scans each source once for both kinds; the result reads what was written.
+    Without writing, a second narrow scan finds the zones without trips."""
+    plans = []
+
+    def keep(df, name):
+        plans.append(physical_plan(df))
+        return write_scratch(df, name)
+    monkeypatch.setattr(ap, "write_scratch", keep)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = physical_plan(reg.impressions(spark, SF_SMALL, "all"))
+        t, z = reg.trips(spark, SF_SMALL), reg.airport_zones(spark, SF_SMALL)
+        lazy = physical_plan(ap.zone_impressions(t, z, "all", Z, one_pass=False))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(plans) == 1 and plans[0].count("lineitem.parquet") == 3, plans
+    assert "Exchange hashpartitioning" not in plans[0] and "SortMergeJoin" not in plans[0]
+    assert "lineitem.parquet" not in plan
     # one full scan per source for the rows, one narrow key scan for the
     # zones without trips - not one pass per kind
-    assert plan.count("lineitem.parquet") == 6, plan
-    assert "SortMergeJoin" not in plan
+    assert lazy.count("lineitem.parquet") == 6, lazy
+    assert "SortMergeJoin" not in lazy
+
+
+def test_both_forms_of_impressions_agree(spark):
+    t, z = reg.trips(spark, SF_SMALL), reg.airport_zones(spark, SF_SMALL)
+    for kind in ("pickup", "all"):
+        a, b = (ap.zone_impressions(t, z, kind, Z, one_pass=x).groupBy("airport", "source", "hour_of_day").count().collect()
+                for x in (True, False))
+        assert sorted(map(str, a)) == sorted(map(str, b)) and len(a) > 20
 
 
 def test_lookup_filter_pushed_to_scan(spark):
@@ -200,7 +222,7 @@ def test_fallback_joins_no_raw_trips_in_the_cube(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = physical_plan(ap.airport_cube(t, z, Z, broadcast=False))
-        rows = physical_plan(ap.zone_impressions(t, z, "pickup", Z, broadcast=False))
+        rows = physical_plan(ap.reached_impressions(t, z, "pickup", Z, broadcast=False))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     lines = plan.splitlines()

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMOKE
+from conftest import SF_SMALL, SF_SMOKE
 from trip_engine import fixtures as fx
 from trip_engine.operators.features import trip_features
 from trip_engine.operators.model import (audit_model, build_pipeline, load_model,
@@ -132,3 +132,51 @@ def test_validation_of_the_job(spark):
     found = validate(raw, max_iter=5, max_depth=4)
     spread = raw.agg(F.stddev("trip_duration")).first()[0]
     assert found["rows"] == raw.count() and found["held_out_rmse"] < 0.6 * spread
+
+
+def _structure(model):
+    """The trees without their leaf values."""
+    import re
+    return re.sub(r"Predict: \S+", "", model.stages[-1].toDebugString.split("\n", 1)[1])
+
+
+def test_the_same_trees_on_any_number_of_partitions(spark):
+    """16,500 rows: more than the library samples for its own split candidates."""
+    from pyspark.sql import functions as F
+    one = trip_features(fx.duration_trips(spark, SF_SMALL), CFG)
+    train = one.unionByName(one.where("substring(id, -1) = '3'").withColumn("id", F.concat("id", F.lit("x"))))
+    assert train.count() > 10_000
+    models = [train_duration_model(train, max_iter=4, max_depth=4, num_partitions=n) for n in (4, 8, 64)]
+    assert len({_structure(m) for m in models}) == 1
+    rows = [predict_durations(m, train, "raw").orderBy("id").limit(2000).collect() for m in models]
+    for other in rows[1:]:
+        assert all(abs(a.trip_duration - b.trip_duration) < 1e-6 for a, b in zip(rows[0], other))
+
+
+def test_sketches_add_up_in_any_order(spark):
+    from trip_engine.operators.model import bin_edges, feature_sketch
+    df = spark.range(5000).selectExpr(
+        "(id * 7919) % 1000 / 10 AS a", "cast(id % 24 AS int) AS b", "-exp(id % 30) AS c",
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN double('NaN') ELSE 0.0 END AS d")
+    sketches = [sorted(map(tuple, feature_sketch(df.repartition(n), ["a", "b", "c", "d"]).collect())) for n in (1, 9, 40)]
+    assert sketches[0] == sketches[1] == sketches[2]
+    per = {i: [(lo, hi, n) for f, _, n, lo, hi in sketches[0] if f == i] for i in range(4)}
+    assert [sum(n for *_, n in per[i]) for i in range(4)] == [5000, 5000, 5000, 1666]
+    assert all(hi - lo <= 0.0051 * max(abs(lo), abs(hi)) for i in range(3) for lo, hi, _ in per[i])
+    edges = bin_edges(per[0])
+    assert 25 <= len(edges) <= 30 and bin_edges(per[3]) == []
+    assert bin_edges(per[1]) == [x + 0.5 for x in range(23)]
+    counts = [df.where(f"a >= {lo} AND a < {hi}").count() for lo, hi in zip([-1, *edges], [*edges, 1e9])]
+    assert min(counts) >= 5000 / 31 / 2 and max(counts) < 2.2 * 5000 / 31
+
+
+def test_values_outside_the_training_range_are_scored(spark, fitted):
+    train, model = fitted
+    odd = train.limit(3).withColumns({"distance": F.lit(-5.0), "hour": F.lit(99)})
+    assert predict_durations(model, odd, "raw").where("trip_duration IS NULL").count() == 0
+
+
+def test_partitions_follow_the_rows():
+    from trip_engine.operators.model import LEAST_PARTITIONS, ROWS_PER_PARTITION, fit_partitions
+    assert fit_partitions(10) == LEAST_PARTITIONS
+    assert fit_partitions(1000 * ROWS_PER_PARTITION + 1) == 1001

@@ -98,3 +98,68 @@ def test_dead_letter_keeps_the_record_and_tells_why(spark, model, tmp_dir):
                        lines[3]: "Missing feature or id: month", lines[4]: "Malformed record",
                        lines[5]: "Malformed record", lines[6]: "Malformed record"}
     assert read_scored(spark, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "rej")).count() == len(lines)
+
+
+class _Killed(RuntimeError):
+    pass
+
+
+def _start(spark, model, base):
+    return score_stream(read_requests(spark, os.path.join(base, "in"), streaming=True, max_files_per_trigger=1), model,
+                        os.path.join(base, "out"), os.path.join(base, "rej"), os.path.join(base, "ckpt"),
+                        available_now=True)
+
+
+@pytest.mark.parametrize("where", ["between the writes", "before the record"])
+def test_a_batch_cut_off_counts_neither_half_nor_twice(spark, model, tmp_dir, monkeypatch, where):
+    from trip_engine.streaming import scoring
+    reqs = fx.scoring_requests(spark, SF_SMOKE)
+    reqs.repartition(3).write.json(os.path.join(tmp_dir, "in"))
+    real_score, real_commit = scoring.score_batch, scoring.BatchCommits.commit
+
+    class Cut:
+        @property
+        def write(self):
+            raise _Killed
+
+    def score_once(batch, *args):
+        preds, rejects = real_score(batch, *args)
+        done = os.path.isdir(os.path.join(tmp_dir, "out", "batch=0"))
+        return preds, (Cut() if done and not os.path.isdir(os.path.join(tmp_dir, "out", "batch=2")) else rejects)
+
+    def no_record(self, batch_id, *args):
+        if batch_id == 1:
+            raise _Killed
+        return real_commit(self, batch_id, *args)
+
+    with monkeypatch.context() as m:
+        if where == "between the writes":
+            m.setattr(scoring, "score_batch", score_once)
+        else:
+            m.setattr(scoring.BatchCommits, "commit", no_record)
+        query = _start(spark, model, tmp_dir)
+        with pytest.raises(Exception):
+            query.awaitTermination()
+    tries = os.listdir(os.path.join(tmp_dir, "out", "batch=1"))
+    assert len(tries) == 1  # the first output of batch 1 is there, but does not count
+    seen = read_scored(spark, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "rej"))
+    first = seen.count()
+    assert 0 < first < reqs.count() and seen.select("id").distinct().count() == first
+    _run(spark, model, tmp_dir)
+    out = read_scored(spark, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "rej"))
+    assert sorted(r.id for r in out.select("id").collect()) == sorted(r.id for r in reqs.select("id").collect())
+    again = os.listdir(os.path.join(tmp_dir, "out", "batch=1"))
+    assert len(again) == 1 and again != tries  # what the cut-off try left is gone
+
+
+def test_a_replayed_batch_is_not_written_again(spark, model, tmp_dir):
+    from trip_engine.streaming.scoring import read_commits, write_scored_batch
+    out, rej = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "rej")
+    assert read_scored(spark, out, rej).count() == 0
+    reqs = fx.scoring_requests(spark, SF_SMOKE)
+    write_scored_batch(reqs, 7, model, out, rej)
+    tries = os.listdir(os.path.join(out, "batch=7"))
+    write_scored_batch(reqs, 7, model, out, rej)
+    assert os.listdir(os.path.join(out, "batch=7")) == tries
+    assert [(r.batch, r.requests) for r in read_commits(spark, out).collect()] == [(7, reqs.count())]
+    assert read_scored(spark, out, rej).count() == reqs.count()

@@ -6,7 +6,8 @@ trips. Spark can only broadcast the *left* side of a right outer join, i.e.
 the trip table, or it shuffles every trip. Here the small, size-checked
 lookup is broadcast into an inner join (trips never leave their partition
 before the partial aggregate) and the unmatched lookup rows are added back
-from the few matched keys.
+from the few matched keys. (``zone_impressions`` writes the matched rows once and
+reads those keys from there.)
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from trip_engine.functions.exprs import day_of_week, hour_of_day
 from trip_engine.plans.broadcast import fits_broadcast
+from trip_engine.session import write_scratch
 from trip_engine.sources.adapters import consolidate
 from trip_engine.specs import ZoneSpec
 
@@ -59,7 +61,8 @@ def _as_impressions(trips: DataFrame, kinds: list[str], keep: list[str],
 
 
 def zone_impressions(trips: DataFrame, zones: DataFrame, kind: str = "pickup",
-                     spec: ZoneSpec = ZoneSpec(), broadcast: bool | None = None) -> DataFrame:
+                     spec: ZoneSpec = ZoneSpec(), broadcast: bool | None = None,
+                     one_pass: bool = True) -> DataFrame:
     """OP-30 / OP-31 / OP-51: one row per trip starting ('pickup') or ending
     ('dropoff') in a selected zone - or both kinds, 'all' - plus one row with
     NULL trip fields per zone (and kind) without trips.
@@ -67,32 +70,45 @@ def zone_impressions(trips: DataFrame, zones: DataFrame, kind: str = "pickup",
     Output: [id,] impression_datetime, source, airport, hour_of_day, day_of_week.
     ``zones`` should already be filtered to the zones of interest (OP-25).
     'all' reads the trips once for both kinds (a generator, not a union of
-    two scans)."""
+    two scans). The trips' impressions are written to the session's scratch folder
+    first, and the zones they reached are read from there, so the trips themselves are
+    scanned once. ``one_pass=False`` writes nothing and finds the reached zones in a
+    second pass over the key columns (for views, which are evaluated anew)."""
     kinds = _kinds(kind)
     z = _zones(zones, spec)
     keep = (["id"] if "id" in trips.columns else [])
-    imp = _as_impressions(trips, kinds, keep)
     if broadcast is None:
         broadcast = _broadcastable(zones, spec)
-    # Inner join plus the zones nobody reached, instead of the literal right
-    # join: AQE can split a hot zone of an inner join, not of an outer one.
-    def side(lookup: DataFrame) -> DataFrame:
-        return F.broadcast(lookup) if broadcast else lookup
-    matched = imp.join(side(z), F.col("_loc") == F.col("_zone_key"), "inner")
-    # (kind, zone) pairs some trip reached: one narrow pass over the key columns
-    seen = (_as_impressions(trips, kinds, keep, with_payload=False)
-            .distinct()  # a row per kind and location before any join
-            .join(side(z.select(F.col("_zone_key").alias("_loc"))), "_loc", "left_semi")
-            .select("_kind", F.col("_loc").alias("_zone_key")))
+    matched = reached_impressions(trips, zones, kind, spec, broadcast)
+    if one_pass:
+        matched = write_scratch(matched, "impressions")
+        seen = matched.select("_kind", "_zone_key").distinct()
+    else:
+        # (kind, zone) pairs some trip reached: one narrow pass over the key columns
+        keys = z.select(F.col("_zone_key").alias("_loc"))
+        seen = (_as_impressions(trips, kinds, keep, with_payload=False)
+                .distinct()  # a row per kind and location before any join
+                .join(F.broadcast(keys) if broadcast else keys, "_loc", "left_semi")
+                .select("_kind", F.col("_loc").alias("_zone_key")))
     wanted = z.select("_zone_key", "airport",
                       F.explode(F.array(*[F.lit(k) for k in kinds])).alias("_kind"))
     unmatched = wanted.join(seen, ["_kind", "_zone_key"], "left_anti")
-    types = dict(imp.dtypes)
+    types = dict(matched.dtypes)
     for c in ["impression_datetime", *keep, "source"]:
         unmatched = unmatched.withColumn(c, F.lit(None).cast(types[c]))
     return _impression_columns(matched, keep).unionByName(_impression_columns(unmatched, keep))
 
 
+def reached_impressions(trips: DataFrame, zones: DataFrame, kind: str, spec: ZoneSpec, broadcast: bool) -> DataFrame:
+    """The trips' impressions with their kind and zone key: an inner join instead of
+    the literal right join, as AQE can split a hot zone of an inner join, not of an
+    outer one."""
+    z = _zones(zones, spec)
+    keep = (["id"] if "id" in trips.columns else [])
+    return _as_impressions(trips, _kinds(kind), keep).join(
+        F.broadcast(z) if broadcast else z, F.col("_loc") == F.col("_zone_key"), "inner").drop("_loc")
+
+
 def _impression_columns(df: DataFrame, keep: list[str]) -> DataFrame:
     ts = F.col("impression_datetime")
     return df.select(*keep, ts, "source", "airport", hour_of_day(ts).alias("hour_of_day"),

@@ -1,17 +1,27 @@
 """Duration model: assembly, training, scoring, persistence, audit (OP-71..76).
 
-One ``PipelineModel`` holds imputation, assembly and the boosted trees, so
+One ``PipelineModel`` holds imputation, binning, assembly and the boosted trees, so
 batch scoring and the stream apply exactly what training fitted (the mean
 distance of the *training* trips, the same seven features in the same order).
+
+The trees grow on binned features. The library itself would sample its split
+candidates per partition, so its fit depends on how the rows are dealt out. Here
+one pass sketches every feature: counts, minimum and maximum per bucket of a
+logarithmic grid, which add up in any order. Bins of about equal weight are read off
+the sketch once, and each bin is so common that the library then finds every
+boundary, however the rows are dealt out.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import math
+
+from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.feature import Bucketizer, Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +34,62 @@ from trip_engine.session import ensure_checkpoint_dir
 from trip_engine.specs import LABEL, MODEL_FEATURES, FeatureConfig
 
 DEFAULT_SEED = 42
-# Partitions of the training rows; part of what defines a fit.
-FIT_PARTITIONS = 8
+# Rows of one training partition, at most, and the fewest partitions: from the rows
+# alone, so that a cluster of any size fits the same model to the last bit.
+ROWS_PER_PARTITION = 200_000
+LEAST_PARTITIONS = 8
+# Bins of a feature that hold training rows (the lowest of the library's 32 stays empty).
+MAX_BINS = 31
+# Sketch: ratio of a bucket's bounds, magnitudes that count as zero and as infinite.
+RATIO, SMALLEST, LARGEST = 1.005, 1e-9, 1e15
+
+
+def feature_sketch(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """feature, bucket, n, lo, hi: how many values of each feature lie in each bucket of
+    a logarithmic grid, and the smallest and largest of them. Sketches of parts of
+    the rows add up to that of all; missing values are left out. At most some
+    20,000 buckets a feature, whatever the rows."""
+    size = F.least(F.abs("v"), F.lit(LARGEST))
+    step = F.ceil(F.log(size / F.lit(SMALLEST)) / F.lit(math.log(RATIO)))
+    bucket = F.when(size < SMALLEST, F.lit(0)).otherwise(F.signum("v") * (step + 1)).cast("int")
+    values = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("feature"), F.col(c).cast("double").alias("v")) for i, c in enumerate(features)])))
+    return (values.where(F.col("v").isNotNull() & ~F.isnan("v"))
+            .groupBy("feature", bucket.alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+
+
+def bin_edges(buckets: Sequence[tuple[float, float, int]], bins: int = MAX_BINS) -> list[float]:
+    """Boundaries between (lowest, highest, count) buckets, so that every bin holds
+    a ``bins``-th of the values at least, but for the last, which holds half of that."""
+    buckets = sorted(buckets)
+    left = sum(n for _, _, n in buckets)
+    share, held, edges = left / bins, 0, []
+    for (_, hi, n), (lo, _, _) in zip(buckets, buckets[1:]):
+        held, left = held + n, left - n
+        if held >= share and left >= share / 2:
+            edges.append((hi + lo) / 2 if hi < (hi + lo) / 2 else lo)
+            held = 0
+    return edges
+
+
+class FeatureBinner(Estimator):
+    """Fits the library's ``Bucketizer`` to the bins of the features' sketch. The lowest bin is
+    one that no training value falls in: a value below all of them."""
+
+    def __init__(self, features: Sequence[str], outputs: Sequence[str], bins: int = MAX_BINS):
+        super().__init__()
+        self.features, self.outputs, self.bins = list(features), list(outputs), bins
+
+    def _fit(self, dataset: DataFrame) -> Bucketizer:
+        found: dict[int, list] = {i: [] for i in range(len(self.features))}
+        for r in feature_sketch(dataset, self.features).collect():
+            found[r["feature"]].append((r["lo"], r["hi"], r["n"]))
+        splits = []
+        for i in range(len(self.features)):
+            lowest = min(found[i])[0] if found[i] else 0.0
+            splits.append([-math.inf, lowest - max(1.0, abs(lowest)), *bin_edges(found[i], self.bins), math.inf])
+        return Bucketizer(splitsArray=splits, inputCols=self.features, outputCols=self.outputs, handleInvalid="keep")
 
 
 def build_pipeline(features=MODEL_FEATURES, label: str = LABEL, seed: int = DEFAULT_SEED,
@@ -33,7 +97,7 @@ def build_pipeline(features=MODEL_FEATURES, label: str = LABEL, seed: int = DEFA
                    impute=("distance",),
                    mode_impute=("vendor_id", "passenger_count", "store_and_fwd_flag",
                                 "day", "hour", "month")) -> Pipeline:
-    """Imputer(s) -> VectorAssembler -> GBTRegressor (library defaults: 20
+    """Imputer(s) -> bins -> VectorAssembler -> GBTRegressor (library defaults: 20
     trees of depth 5, as the original model; the seed is fixed because
     PySpark's default seed depends on the class name hash).
 
@@ -53,34 +117,40 @@ def build_pipeline(features=MODEL_FEATURES, label: str = LABEL, seed: int = DEFA
                               outputCols=[f"{c}_filled" for c in mode_impute]))
     filled = set(impute) | set(mode_impute)
     cols = [f"{c}_filled" if c in filled else c for c in cols]
-    stages.append(VectorAssembler(inputCols=cols, outputCol="features",
+    stages.append(FeatureBinner(cols, [f"{c}_bin" for c in cols]))
+    stages.append(VectorAssembler(inputCols=[f"{c}_bin" for c in cols], outputCol="features",
                                   handleInvalid=handle_invalid))
     stages.append(GBTRegressor(featuresCol="features", labelCol=label, seed=seed,
                                maxIter=max_iter, maxDepth=max_depth))
     return Pipeline(stages=stages)
 
 
+def fit_partitions(rows: int) -> int:
+    return max(LEAST_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
+
+
 def train_duration_model(train: DataFrame, features=MODEL_FEATURES, label: str = LABEL,
-                         seed: int = DEFAULT_SEED, num_partitions: int = FIT_PARTITIONS,
+                         seed: int = DEFAULT_SEED, num_partitions: int | None = None,
                          key: str = "id", **params) -> PipelineModel:
     """OP-72: fit the pipeline on the training feature frame.
 
-    Boosting samples its split candidates per partition, so the fit depends on how
-    the rows are dealt out. They are dealt by hash of ``key`` to ``num_partitions``
-    partitions and ordered there: the same rows give the same model on a cluster of
-    any size. Choose more partitions for larger data (the audit row records it).
-    Imputation and assembly run once; only (features, label) is persisted around
-    the fit, which reads it once per tree level. Rows without a label cannot train."""
+    Imputation, sketch and assembly each read the frame once; only (features, label)
+    is persisted around the fit, which reads it once per tree level. The rows are dealt
+    by hash of ``key`` and ordered there, over as many partitions as their number asks
+    for: the same rows give the same model. Another ``num_partitions`` gives the same
+    trees, with leaf values that differ in the last bits (sums of doubles in another
+    order). Rows without a label cannot train."""
     missing = [c for c in [*features, label] if c not in train.columns]
     if missing:
         raise ValueError(f"training frame lacks columns {missing}")
     ensure_checkpoint_dir(train.sparkSession)  # boosting cuts its lineage there
     data = train.filter(F.col(label).isNotNull())
     order = [key] if key in data.columns else [*features, label]
-    data = data.repartition(num_partitions, *order).sortWithinPartitions(*order)
+    data = data.select(*dict.fromkeys([*features, label, *order]))
     *prepare, trees = build_pipeline(features, label, seed, **params).getStages()
     stages = Pipeline(stages=prepare).fit(data.select(*features)).stages if prepare else []
-    ready = PipelineModel(stages).transform(data).select(trees.getFeaturesCol(), label).persist()
+    dealt = data.repartition(num_partitions or fit_partitions(data.count()), *order).sortWithinPartitions(*order)
+    ready = PipelineModel(stages).transform(dealt).select(trees.getFeaturesCol(), label).persist()
     try:
         return PipelineModel([*stages, trees.fit(ready)])
     finally:
@@ -110,6 +180,7 @@ AUDIT_SCHEMA = StructType([
     StructField("features", StringType(), True),
     StructField("params", StringType(), True),
     StructField("training_rows", LongType(), True),
+    StructField("held_out_rows", LongType(), True),
     StructField("training_rmse", DoubleType(), True),
     StructField("held_out_rmse", DoubleType(), True),
     StructField("num_partitions", LongType(), True),
@@ -120,15 +191,15 @@ AUDIT_SCHEMA = StructType([
 def audit_model(spark: SparkSession, model: PipelineModel, name: str, table: str,
                 training_rows: int | None = None, training_rmse: float | None = None,
                 label: str = LABEL, held_out_rmse: float | None = None,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, held_out_rows: int | None = None) -> DataFrame:
     """OP-76: append one audit row per fit to ``table`` (created on first use)."""
     gbt = model.stages[-1]
     assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
     params = {p.name: v for p, v in gbt.extractParamMap().items()
               if isinstance(v, (int, float, str, bool))}
     row = (name, type(gbt).__name__, label, json.dumps(assembler.getInputCols()),
-           json.dumps(params, sort_keys=True), training_rows, training_rmse, held_out_rmse,
-           num_partitions,
+           json.dumps(params, sort_keys=True), training_rows, held_out_rows, training_rmse,
+           held_out_rmse, num_partitions,
            dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     rec = spark.createDataFrame([row], AUDIT_SCHEMA)
     rec.write.mode("append").saveAsTable(table)
