@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,6 +79,19 @@ def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
     del paths[since:len(paths) - keep]
 
 
+@contextmanager
+def paused_gc():
+    """No garbage collection meanwhile: for work that makes millions of lists and no cycles,
+    which the collector would walk again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def is_held_out(doc_id: str | Column) -> Column:
     """Rows that no model may learn from: crc32 of the id as text is 0 mod 5.
     A null id is held out, too."""

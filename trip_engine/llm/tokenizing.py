@@ -8,12 +8,14 @@ cache over its tasks."""
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
+from trip_engine.llm.common import paused_gc
+
 CACHE_WORDS = 1_000_000
-_TAIL = re.compile(rb"(.*[A-Za-z])([^A-Za-z0-9\x80-\xff']+)", re.DOTALL)
+_LETTERS = frozenset(range(65, 91)) | frozenset(range(97, 123))
+_MARKS = bytes(c for c in range(128) if not chr(c).isalnum() and c != 39)  # 39: apostrophe
 
 
 class WordTokenizer:
@@ -37,23 +39,43 @@ class WordTokenizer:
         for w, e in zip(words, self.library.encode_batch_fast(texts, add_special_tokens=False)):
             self.words[w] = np.array(e.ids, "<u4").tobytes()
 
-    def _learn(self, seen: set[bytes]) -> None:
-        """Fills the cache for all of ``seen``. A word that ends in a letter and a
+    def _learn(self, new: set[bytes]) -> None:
+        """Fills the cache for all of ``new``, which it lacks. A word that ends in a letter and a
         mark is its two parts: the tokenizer splits there."""
-        if len(self.words) + len(seen) > CACHE_WORDS:
+        if len(self.words) + len(new) > CACHE_WORDS:
             self.words.clear()
-        new = seen.difference(self.words)
-        parts = {w: m.groups() for w in new if b"<|" not in w and (m := _TAIL.fullmatch(w))}
+        parts = {}
+        for w in new:
+            head = w.rstrip(_MARKS)
+            if len(head) < len(w) and head and head[-1] in _LETTERS and b"<|" not in w:
+                parts[w] = head, w[len(head):]
         plain = {x for p in parts.values() for x in p} | (new.difference(parts))
         self._encode([*(plain.difference(self.words))])
         for w, (head, mark) in parts.items():
             self.words[w] = self.words[head] + self.words[mark]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Per text the ids as little-endian unsigned 32-bit numbers."""
+        """Per text the ids as little-endian unsigned 32-bit numbers. Every word is looked
+        up once; those that the cache lacks are learnt together."""
+        with paused_gc():
+            return self._encode_all(texts)
+
+    def _encode_all(self, texts: list[bytes]) -> list[bytes]:
         # the tokenizer lowers all letters itself; lowering A-Z before saves words,
         # but would hide the special strings' exact spelling
+        get = self.words.get
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self._learn(set().union(*split))
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        found = [[*map(get, words)] for words in split]
+        holes = [(words, ids, at) for words, ids in zip(split, found) if None in ids for at in _holes(ids)]
+        self._learn({words[at] for words, _, at in holes})
+        for words, ids, at in holes:
+            ids[at] = get(words[at])
+        return [*map(b"".join, found)]
+
+
+def _holes(ids: list[bytes | None]) -> list[int]:
+    out, at = [], -1
+    for _ in range(ids.count(None)):
+        at = ids.index(None, at + 1)
+        out.append(at)
+    return out
