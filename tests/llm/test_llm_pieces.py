@@ -27,6 +27,30 @@ def test_nasty_texts(pieces):
     assert not any(pieces.agrees(["ab c"] * 2, [[1], pieces.encode(["ab c"])[0]], ["ab c", "abc"]))
 
 
+def test_a_wrong_part_is_found_in_its_batch():
+    """A model with a spoilt score: the check finds just the texts that it spoils."""
+    spoilt = sp.PieceModel(sp.MODEL)
+    texts = ["the cat and a hat", "nothing of it here: 12 é", "", "for the other\nthe end", "x" * 300]
+    ids = spoilt.encode(texts)
+    assert spoilt.check(texts, ids, [*map(spoilt.decode, ids)]) == [True] * 5
+    del spoilt.rank["▁the"], spoilt.rank["the"]
+    spoilt.known, spoilt.older = {}, {}
+    ids = spoilt.encode(texts)
+    assert spoilt.check(texts, ids, [*map(spoilt.decode, ids)]) == [False, True, True, False, True]
+    assert spoilt.check(texts[:2], ids[:2], [*map(spoilt.decode, ids[:2])]) == [False, True]  # known as wrong now
+
+
+def test_parts_behind_a_line_end(pieces):
+    """What the check of parts rests on: the parts' ids side by side are the text's."""
+    rnd = random.Random(9)
+    for _ in range(3000):
+        text = "".join(rnd.choice(["a", "the", " ", "  ", "\n", ".", ",", "'s", "é", "ñ", "1", "_", "▁", "x-y"])
+                       for _ in range(rnd.randint(1, 14)))
+        alone = [pieces.library.encode("\n" + p.replace(sp.MARK, " ")) for p in pieces.parts(text)]
+        assert all(x[:len(pieces.lead)] == pieces.lead for x in alone)
+        assert [i for x in alone for i in x[len(pieces.lead):]] == pieces.library.encode(text)
+
+
 def test_any_ids_decode(pieces):
     rnd = random.Random(2)
     for _ in range(30_000):

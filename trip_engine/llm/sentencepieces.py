@@ -12,9 +12,13 @@ when the model is read; otherwise texts are not cut), so no merge crosses the pl
 before a mark: texts are cut there, and the ids of short parts are kept in a
 bounded cache. Ids are decoded from the whole list by joining their
 surfaces; runs of byte ids are read as UTF-8, with U+FFFD for each byte that
-is none. Every Arrow batch is also given to the sentencepiece library, and
-``agrees`` says whether ids and decoded text are the library's (``check=False``
-leaves that out, ``agrees`` is then null).
+is none.
+
+Each Arrow batch is checked against the sentencepiece library: all parts that the batch met
+for the first time, in one call (a part stands behind a line end then, which nothing
+merges with), and the batch's longest text as a whole, ids and decoded text alike.
+``agrees`` is false for a text with a part that the library encodes otherwise
+(``check=False`` leaves the check out, ``agrees`` is then null).
 
 Models with a normalizer other than identity, with user-defined or unused pieces,
 without byte fallback, or of another type are refused.
@@ -37,11 +41,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trip_engine.llm.common import prepare_workers, utf8
+from trip_engine.llm.common import paused_gc, prepare_workers, utf8
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-CACHE = 400_000            # parts a worker remembers
+CACHE = 400_000            # parts a worker remembers, twice
 LONGEST = 48               # characters of a remembered part
 BAD = "�"
 # fixed values: kinds of pieces and fields of the public model format
@@ -76,13 +80,14 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 class PieceModel:
     """Pieces, scores and settings of a model file."""
 
-    _made: dict[str, PieceModel] = {}
+    _made: dict[tuple[str, bool], PieceModel] = {}
 
     @classmethod
-    def of(cls, name: str) -> PieceModel:
-        if name not in cls._made:
-            cls._made[name] = cls(name)
-        return cls._made[name]
+    def of(cls, name: str, check: bool = True) -> PieceModel:
+        """One for each worker; what has been learnt without a check is kept apart."""
+        if (name, check) not in cls._made:
+            cls._made[name, check] = cls(name)
+        return cls._made[name, check]
 
     def __init__(self, name: str):
         import public_tokenizers
@@ -126,46 +131,54 @@ class PieceModel:
         crossing = any(MARK in p.lstrip(MARK) for p in self.id)
         self.cut = None if crossing else re.compile(self._cuts()).findall
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.fresh: dict[str, tuple[int, ...]] = {}  # learnt since the last check
+        self.wrong: set[str] = set()                 # parts the library encodes otherwise
+        self.lead = [*self._ids(self.prefix), *self._ids("\n")]
+        self.by_part = "\n" not in set().union(*self.joined) and self.cut is not None
 
     def _cuts(self) -> str:
-        """A pattern for parts that no merge leaves: from mark to mark, and a word's
-        letters apart from a sign that no piece has behind a letter."""
+        """A pattern for parts that no merge leaves: from mark to mark, characters that are
+        in no longer piece (line ends), and a word's letters apart from a sign that no piece
+        has behind a letter."""
+        plain = [chr(c) for c in range(128) if not chr(c).isalnum()]
         behind = {b for a, b in self.joined if a.isalpha()}
-        signs = "".join(re.escape(chr(c)) for c in range(128) if not chr(c).isalnum() and chr(c) not in behind)
+        inside = set().union(*self.joined)
+        signs = "".join(re.escape(c) for c in plain if c not in behind)
+        alone = "".join(re.escape(c) for c in plain if c not in inside)
         word = rf"{MARK}*[^\W\d_]+(?=[{signs}{MARK}])|" if signs else ""
-        return f"{word}{MARK}+[^{MARK}]*|[^{MARK}]+"
+        single = f"[{alone}]|" if alone else ""
+        return f"{word}{single}{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+"
 
     # --- encoding -------------------------------------------------------------
     def merge(self, text: str) -> list[str]:
         """The symbols that are left when no pair of neighbours is a piece."""
-        symbols: list[str] = list(text)
-        n, rank = len(symbols), self.rank
+        symbols, score = list(text), self.rank.get
+        n = len(symbols)
         before, after = [*range(-1, n - 1)], [*range(1, n), -1]
-        agenda = []
-        for i in range(n - 1):
-            score = rank.get(symbols[i] + symbols[i + 1])
-            if score is not None:
-                agenda.append((score, i, i + 1, 2))
+        # (score, left place, right place, length of the pair), best first
+        agenda = [(s, i, i + 1, 2) for i, pair in enumerate(zip(symbols, symbols[1:]))
+                  if (s := score(pair[0] + pair[1])) is not None]
         heapify(agenda)
         while agenda:
             _, left, right, size = heappop(agenda)
             a, b = symbols[left], symbols[right]
             if not a or not b or len(a) + len(b) != size:
                 continue  # one of them has been merged with another since
-            symbols[left], symbols[right] = a + b, ""
-            following = after[left] = after[right]
-            if following >= 0:
-                before[following] = left
-                self._propose(agenda, symbols, left, following)
-            if before[left] >= 0:
-                self._propose(agenda, symbols, before[left], left)
-        return [s for s in symbols if s]
-
-    def _propose(self, agenda: list, symbols: list[str], left: int, right: int) -> None:
-        pair = symbols[left] + symbols[right]
-        score = self.rank.get(pair)
-        if score is not None:
-            heappush(agenda, (score, left, right, len(pair)))
+            symbols[left] = merged = a + b
+            symbols[right] = ""
+            after[left] = beyond = after[right]
+            if beyond >= 0:
+                before[beyond] = left
+                pair = merged + symbols[beyond]
+                if (s := score(pair)) is not None:
+                    heappush(agenda, (s, left, beyond, len(pair)))
+            earlier = before[left]
+            if earlier >= 0:
+                pair = symbols[earlier] + merged
+                if (s := score(pair)) is not None:
+                    heappush(agenda, (s, earlier, left, len(pair)))
+        return [*filter(None, symbols)]
 
     def _ids(self, part: str) -> tuple[int, ...]:
         out: list[int] = []
@@ -177,39 +190,37 @@ class PieceModel:
                 out.append(i)
         return tuple(out)
 
-    def _remember(self, part: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+    def _learn(self, part: str) -> tuple[int, ...]:
+        """The ids of a part that is not in the cache: cut once more between characters that no
+        piece has side by side, which no merge crosses either. Short ones are kept; a full
+        cache becomes the older one, whose parts come back when they are met again."""
+        ids = self.older.get(part)
+        if ids is None:
+            joined = self.joined
+            cuts = [i for i in range(1, len(part)) if part[i - 1:i + 1] not in joined]
+            if cuts:
+                small = [part[lo:hi] for lo, hi in zip([0, *cuts], [*cuts, len(part)])]
+                ids = tuple(chain.from_iterable([self.known.get(x) or self._learn(x) for x in small]))
+            else:
+                ids = self._ids(part)
+            self.fresh[part] = ids
         if len(part) <= LONGEST:
             if len(self.known) >= CACHE:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[part] = ids
         return ids
 
-    def _part(self, part: str) -> tuple[int, ...]:
-        """The ids of a part that is not in the cache: cut once more between
-        characters that no piece has side by side, which no merge crosses either."""
-        joined, known = self.joined, self.known
-        cuts = [i for i in range(1, len(part)) if part[i - 1:i + 1] not in joined]
-        if not cuts:
-            return self._remember(part, self._ids(part))
-        ids = []
-        for lo, hi in zip([0, *cuts], [*cuts, len(part)]):
-            small = part[lo:hi]
-            got = known.get(small)
-            ids.append(self._remember(small, self._ids(small)) if got is None else got)
-        return tuple(chain.from_iterable(ids))
+    def parts(self, text: str) -> list[str]:
+        marked = self.prefix + text.replace(" ", MARK) if text else ""
+        return self.cut(marked) if self.cut else [marked] if marked else []
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        found = []
-        for text in texts:
-            marked = self.prefix + text.replace(" ", MARK) if text else ""
-            found.append(self.cut(marked) if self.cut else [marked] if marked else [])
-        known = self.known
         out = []
-        for parts in found:
-            ids = []
-            for part in parts:
-                got = known.get(part)
-                ids.append(self._part(part) if got is None else got)
+        for text in texts:
+            parts = self.parts(text)
+            ids = [*map(self.known.get, parts)]
+            if None in ids:
+                ids = [(self.known.get(p) or self._learn(p)) if i is None else i for p, i in zip(parts, ids)]
             out.append([*chain.from_iterable(ids)])
         return out
 
@@ -247,6 +258,21 @@ class PieceModel:
         return [a == b and c == d for a, b, c, d in
                 zip(ids, theirs, decoded, self.library.decode(theirs, num_threads=1))]
 
+    def check(self, texts: list[str], ids: list[list[int]], decoded: list[str]) -> list[bool]:
+        """``agrees`` for a batch, text by text, from the parts that are new since the last check
+        and the longest text."""
+        if not texts or not self.by_part:
+            return self.agrees(texts, ids, decoded)
+        parts, found = [*self.fresh], [[*self.lead, *x] for x in self.fresh.values()]
+        self.fresh = {}
+        right = self.agrees(["\n" + p.replace(MARK, " ") for p in parts], found, [*map(self.decode, found)])
+        self.wrong.update(p for p, ok in zip(parts, right) if not ok)
+        i = max(range(len(texts)), key=lambda i: len(texts[i]))
+        whole = self.agrees([texts[i]], [ids[i]], [decoded[i]])[0]
+        out = [not self.wrong or self.wrong.isdisjoint(self.parts(t)) for t in texts]
+        out[i] = out[i] and whole
+        return out
+
 
 def _utf8(run: bytes) -> str:
     """A run of bytes as text: whole characters, and U+FFFD for each other byte."""
@@ -274,12 +300,14 @@ DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 
 
 def _encoded(batches: Iterable[pa.RecordBatch], model: str, check: bool):
-    pieces = PieceModel.of(model)
+    pieces = PieceModel.of(model, check)
     for b in batches:
         texts = [x.decode("utf-8", "replace") for x in b.column(1).to_pylist()]
-        ids = pieces.encode(texts)
+        with paused_gc():
+            ids = pieces.encode(texts)
         decoded = [pieces.decode(x) for x in ids]
-        agrees = pieces.agrees(texts, ids, decoded) if check else [None] * len(ids)
+        agrees = pieces.check(texts, ids, decoded) if check else [None] * len(ids)
+        pieces.fresh = {}
         yield pieces, b.column(0), ids, decoded, pa.array(agrees, pa.bool_())
 
 
