@@ -190,3 +190,54 @@ def test_code_lookup_join_same_either_way(spark):
     for most in (100, 0):
         out = map_codes_join(df, "c", names, "k", "n", "name", most)
         assert sorted((r.c or "", r["name"]) for r in out.collect()) == [("", None), ("a", "A"), ("b", "B"), ("z", "z")]
+
+
+def _names(spark, name):
+    return sorted(r.tableName for r in spark.sql(f"SHOW TABLES LIKE '{name}*'").collect())
+
+
+def test_a_failing_refresh_leaves_the_old_table(spark):
+    from pyspark.sql import functions as F
+    from trip_engine.operators.sinks import publish_table
+    good = spark.range(10).withColumn("v", F.lit("a"))
+    publish_table(good, "swap_t", comment="first", column_comments={"v": "a value"}, labels={"owner": "x"})
+    publish_table(good.limit(4), "swap_t", comment="second", column_comments={"v": "a value"})
+    assert spark.table("swap_t").count() == 4 and _names(spark, "swap_t") == ["swap_t"]
+    broken = good.withColumn("v", F.when(F.col("id") == 7, F.raise_error(F.lit("no"))).otherwise(F.col("v")))
+    with pytest.raises(Exception):
+        publish_table(broken, "swap_t", comment="third")
+    assert spark.table("swap_t").count() == 4 and _names(spark, "swap_t") == ["swap_t"]
+    detail = {r.col_name: (r.data_type, r.comment) for r in spark.sql("DESCRIBE TABLE EXTENDED swap_t").collect()}
+    assert detail["Comment"][0] == "second" and detail["v"][1] == "a value"
+    with pytest.raises(ValueError, match="nope"):
+        publish_table(good, "swap_t", column_comments={"nope": "?"})
+    publish_table(good, "swap_t", mode="append")
+    assert spark.table("swap_t").count() == 14
+    publish_table(good, "swap_t", partition_by=["v"])
+    assert spark.table("swap_t").where("v = 'a'").count() == 10
+    spark.sql("DROP TABLE swap_t")
+
+
+def test_an_interrupted_swap_is_completed(spark, monkeypatch):
+    from trip_engine.operators import sinks
+    sinks.publish_table(spark.range(3), "cut_t")
+    # between the two renames: only the old name is left
+    spark.sql("ALTER TABLE cut_t RENAME TO cut_t__old_1")
+    spark.range(9).write.saveAsTable("cut_t__new_2")
+    sinks._finish_swap(spark, "cut_t")
+    assert _names(spark, "cut_t") == ["cut_t"] and spark.table("cut_t").count() == 3
+    # the second rename fails: the old table gets its name back
+    real = spark.sql
+
+    def sql(text, *args, **kwargs):
+        if "RENAME TO cut_t" in text and "__new_" in text.split("RENAME")[0]:
+            raise RuntimeError("cut")
+        return real(text, *args, **kwargs)
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "sql", lambda self, text, *a, **k: sql(text, *a, **k))
+        with pytest.raises(RuntimeError):
+            sinks.publish_table(spark.range(5), "cut_t")
+    assert spark.table("cut_t").count() == 3
+    sinks.publish_table(spark.range(5), "cut_t")
+    assert spark.table("cut_t").count() == 5 and _names(spark, "cut_t") == ["cut_t"]
+    spark.sql("DROP TABLE cut_t")

@@ -42,3 +42,41 @@ def test_parse_json_text_requests(spark):
     rows = parse_requests(df).collect()
     assert rows[0].id == "a" and rows[0].distance == 4.0
     assert rows[1].id is None
+
+
+def test_lasting_views_answer_another_session(spark):
+    from trip_engine.plans.inspect import physical_plan
+    from trip_engine.plans.sql_models import COUNTS_VIEW, create_airport_views
+    from trip_engine.specs import GREEN, RIDE_HAILING, YELLOW
+    tables = {f"lv_{s.label}": s for s in (RIDE_HAILING, GREEN, YELLOW)}
+    for name, source in tables.items():
+        fx.raw_trips(spark, SF_SMALL, source).write.mode("overwrite").saveAsTable(name)
+    fx.zone_lookup(spark, SF_SMALL).write.mode("overwrite").saveAsTable("lv_zones")
+    made = create_airport_views(spark, tables, "lv_zones", reg.ZONES, "lv_")
+    assert sorted(made) == sorted(f"lv_{v}" for v in (*AIRPORT_VIEWS, COUNTS_VIEW))
+    create_airport_views(spark, tables, "lv_zones", reg.ZONES, "lv_")  # replaced, not refused
+    other = spark.newSession()
+    z = reg.airport_zones(spark, SF_SMALL)
+    t = reg.trips(spark, SF_SMALL)
+    from trip_engine.operators import airports as ap
+    for kind, name in (("pickup", "pickup"), ("dropoff", "dropoff"), ("all", "trip")):
+        got = other.sql(f"SELECT impression_datetime, source, airport, hour_of_day, day_of_week FROM lv_airport_{name}s")
+        want = ap.zone_impressions(t, z, kind, reg.ZONES)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        for by, suffix in (("hour_of_day", "hod"), ("day_of_week", "dow")):
+            got = other.table(f"lv_aggregated_{name}_insights_by_{suffix}").collect()
+            want = ap.zone_report(t, z, kind, by, reg.ZONES).collect()
+            assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, want)))
+    assert other.sql("SELECT count(DISTINCT id) > 1000 FROM lv_trips WHERE id IS NOT NULL").first()[0]
+    other.conf.set("spark.sql.adaptive.enabled", "false")
+    plan = physical_plan(other.table("lv_aggregated_trip_insights_by_hod"))
+    assert plan.count("/lv_yellow") == 1  # a report reads each trip table once
+    # the views follow their tables
+    before = other.sql("SELECT sum(trip_count) FROM lv_aggregated_trip_insights_by_dow").first()[0]
+    fx.raw_trips(spark, SF_SMALL, GREEN).where("false").write.mode("overwrite").saveAsTable("lv_green")
+    other.catalog.refreshTable("lv_green")
+    assert other.sql("SELECT sum(trip_count) FROM lv_aggregated_trip_insights_by_dow").first()[0] < before
+    for v in reversed(made):
+        spark.sql(f"DROP VIEW {v}")
+    for name in (*tables, "lv_zones"):
+        spark.sql(f"DROP TABLE {name}")

@@ -1067,11 +1067,188 @@ FROM kt WHERE pickup_latitude IS NOT NULL GROUP BY 1, 2""")
 def q_map_job(spark, sf_dir):
     """OP-94: trips from CSV to point layers and density grids; the pickup grid read back."""
     import os
+    return spark.read.parquet(os.path.join(_run_map_job(spark, sf_dir), "pickup_density"))
+
+
+def _run_map_job(spark, sf_dir) -> str:
     from trip_engine.plans.map_layers import run as run_job
     from trip_engine.session import scratch_path
     out = scratch_path(spark, "map-job")
     run_job(spark, _round_trip(_kt(spark, sf_dir), "job-trips", "csv"), out, n=SAMPLE_N)
-    return spark.read.parquet(os.path.join(out, "pickup_density"))
+    return out
+
+
+@register("map_job_outputs", "WITH " + SQL_DURATION_TRIPS + SQL_SAMPLE + """,
+ends AS (SELECT 'pickup_density' AS output, pickup_latitude AS lat, pickup_longitude AS lon FROM kt
+         UNION ALL SELECT 'dropoff_density', dropoff_latitude, dropoff_longitude FROM kt)
+SELECT output, CAST(CAST(floor(lat / 1e-2) AS BIGINT) AS VARCHAR) || ',' || CAST(CAST(floor(lon / 1e-2) AS BIGINT) AS VARCHAR)
+         AS place, count(*) AS n
+FROM ends WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT 'points pickups', id, 1 FROM sample
+UNION ALL SELECT 'points dropoffs', id, 1 FROM sample""")
+def q_map_job_outputs(spark, sf_dir):
+    """OP-94: all three outputs of the map job read back: both grids and the sampled points."""
+    import os
+    out = _run_map_job(spark, sf_dir)
+    points = spark.read.parquet(os.path.join(out, "points")).select(
+        F.concat(F.lit("points "), "layer").alias("output"), F.col("id").alias("place"), F.lit(1).cast("long").alias("n"))
+    for name in ("pickup_density", "dropoff_density"):
+        grid = spark.read.parquet(os.path.join(out, name))
+        points = points.unionByName(grid.select(
+            F.lit(name).alias("output"), F.concat_ws(",", "lat_cell", "lon_cell").alias("place"),
+            F.col("trip_count").alias("n")))
+    return points
+
+
+# --- OP-76, 82..84, 91, 93: what the catalog keeps, read back and removed -----------
+def _unique(name: str) -> str:
+    import uuid
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
+@register("lasting_views", SQL_IMPRESSIONS + """
+SELECT 'trips' AS view, source AS name, NULL::INTEGER AS bucket, count(*) AS n FROM trips GROUP BY source
+""" + "".join(f"UNION ALL SELECT 'airport_{k}s', airport, hour_of_day, count(*) FROM {t} GROUP BY airport, hour_of_day\n"
+              for k, t in (("pickup", "pickups"), ("dropoff", "dropoffs"), ("trip", "alls")))
+          + "".join(f"UNION ALL SELECT 'aggregated_{k}_insights_by_{x}', airport, {by}, count(*) FROM {t} "
+                    f"GROUP BY airport, {by}\n"
+                    for k, t in (("pickup", "pickups"), ("dropoff", "dropoffs"), ("trip", "alls"))
+                    for x, by in (("hod", "hour_of_day"), ("dow", "day_of_week"))))
+def q_lasting_views(spark, sf_dir):
+    """OP-82: the ten views of the SQL chain, made over catalog tables in this session and
+    read in another session of the same catalog; views and tables go afterwards."""
+    from trip_engine.plans.sql_models import AIRPORT_VIEWS, create_airport_views
+    from trip_engine.session import write_scratch
+    from trip_engine.sources.files import register_external
+    tables = {_unique(f"raw_{s.label}"): s for s in (RIDE_HAILING, GREEN, YELLOW)}
+    lookup, prefix = _unique("raw_zones"), _unique("v") + "_"
+    made = []
+    try:
+        for name, source in tables.items():
+            register_external(spark, name, _round_trip(fx.raw_trips(spark, sf_dir, source), "views-trips", "parquet"))
+        register_external(spark, lookup, _round_trip(fx.zone_lookup(spark, sf_dir), "views-zones", "parquet"))
+        made = create_airport_views(spark, tables, lookup, ZONES, prefix)
+        other = spark.newSession()
+        found = None
+        for view in AIRPORT_VIEWS:
+            rows = other.table(prefix + view)
+            if view.startswith("aggregated"):
+                airport, by, n = rows.columns
+                part = rows.select(F.col(airport).alias("name"), F.col(by).alias("bucket"), F.col(n).alias("n"))
+            else:
+                keys = ("source", F.lit(None).cast("int")) if view == "trips" else ("airport", F.col("hour_of_day"))
+                part = rows.groupBy(F.col(keys[0]).alias("name"), keys[1].alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+            part = part.select(F.lit(view).alias("view"), "name", "bucket", "n")
+            found = part if found is None else found.unionByName(part)
+        return write_scratch(found, "views")
+    finally:
+        for view in reversed(made):
+            spark.sql(f"DROP VIEW IF EXISTS {view}")
+        for name in (*tables, lookup):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@register("published_table", "WITH " + SQL_REQUESTS + """,
+n AS (SELECT count(*) AS n, sum(trip_count)::BIGINT AS total FROM share)
+SELECT c.column_name, c.column_comment, 'daily share' AS table_comment, 'daily' AS label, n.n AS row_count, n.total
+FROM n, (VALUES ('trip_date', 'day of the request'), ('service', ''), ('trip_count', 'trips that day'),
+                ('total_trip_count', ''), ('trip_percentage', '')) c(column_name, column_comment)""")
+def q_published_table(spark, sf_dir):
+    """OP-83, 84: a table published, refreshed, and refreshed once more by a frame that
+    fails: rows of the second, comments and label from the catalog; the table goes afterwards."""
+    from trip_engine.operators.sinks import publish_table
+    from trip_engine.session import write_scratch
+    name = _unique("daily_share")
+    notes = {"trip_date": "day of the request", "trip_count": "trips that day"}
+
+    def publish(rows: DataFrame) -> None:
+        publish_table(rows, name, comment="daily share", column_comments=notes, labels={"interval": "daily"})
+
+    share = _share(spark, sf_dir)
+    try:
+        publish(share.where("service = 'Uber'"))
+        publish(share)
+        try:
+            publish(share.withColumn("service", F.when(F.col("service") == "Lyft", F.raise_error(F.lit("broken")))
+                                     .otherwise(F.col("service"))))
+        except Exception:  # the refresh that fails; what it left is what is read here
+            pass
+        about = {r["col_name"]: r["comment"] for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}
+        detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        label = spark.sql(f"SHOW TBLPROPERTIES {name} ('label.interval')").first()["value"]
+        columns = spark.createDataFrame([(c, t or "", detail.get("Comment", ""), label) for c, t in about.items()],
+                                        "column_name string, column_comment string, table_comment string, label string")
+        rows, total = spark.table(name).agg(F.count(F.lit(1)), F.sum("trip_count")).first()
+        return write_scratch(columns.withColumns({"row_count": F.lit(rows), "total": F.lit(total)}), "published")
+    finally:
+        for row in spark.sql(f"SHOW TABLES LIKE '{name}*'").collect():
+            spark.sql(f"DROP TABLE IF EXISTS {row.tableName}")
+
+
+@register("training_job", "WITH " + SQL_DURATION_TRIPS + """,
+t AS (SELECT ('0x' || substr(md5(id), 1, 8))::BIGINT % 5 = 0 AS held FROM kt WHERE CAST(substr(id, 3) AS BIGINT) % 10 < 8)
+SELECT (SELECT count(*) FROM kt WHERE CAST(substr(id, 3) AS BIGINT) % 10 >= 8) AS predictions,
+       count(*) FILTER (WHERE NOT held) AS training_rows, count(*) FILTER (WHERE held) AS held_out_rows,
+       'trip_duration_model' AS model_name, 'trip_duration' AS label, true AS better_than_mean, true AS errors_close,
+       CAST(0 AS BIGINT) AS unreadable_values
+FROM t""")
+def q_training_job(spark, sf_dir):
+    """OP-76, 91: training and testing CSV to predictions, model and audit row: the rows of
+    both folds, and errors below the spread of the durations."""
+    import os
+    from trip_engine.plans.trip_duration import TEST_SCHEMA, TRAIN_SCHEMA
+    from trip_engine.plans.trip_duration import run as run_job
+    from trip_engine.session import scratch_path, write_scratch
+    from trip_engine.sources.files import read_csv
+
+    def csv(part, schema):
+        rows = _kt(spark, sf_dir, "trip_duration" in schema.fieldNames(), part)
+        return _round_trip(_ts_text(rows, "pickup_datetime"), f"job-{part}", "csv")
+
+    train, test = csv("train", TRAIN_SCHEMA), csv("test", TEST_SCHEMA)
+    out, table = scratch_path(spark, "training-job"), _unique("models_audit")
+    try:
+        run_job(spark, train, test, out, audit_table=table)
+        # single numbers beside the audit row
+        predicted = read_csv(spark, os.path.join(out, "predictions"), "id string, trip_duration double") \
+            .agg(F.countDistinct("id")).first()[0]
+        spread = read_csv(spark, train, TRAIN_SCHEMA).agg(F.stddev("trip_duration")).first()[0]
+        lost = read_csv(spark, os.path.join(out, "unreadable"), "column_name string, unreadable long") \
+            .agg(F.sum("unreadable")).first()[0]
+        return write_scratch(spark.table(table).select(
+            F.lit(predicted).alias("predictions"), "training_rows", "held_out_rows", "model_name", "label",
+            (F.col("held_out_rmse") < 0.6 * spread).alias("better_than_mean"),
+            (F.col("held_out_rmse") < 1.5 * F.col("training_rmse")).alias("errors_close"),
+            F.lit(lost).alias("unreadable_values")), "audit")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+@register("scoring_job", SQL_REQUESTS_WHY + """
+SELECT CASE WHEN reasons = '' THEN 'accepted' ELSE 'rejected' END AS status, NULLIF(reasons, '') AS reject_reason,
+       count(*) AS n, count(DISTINCT id) AS ids, (SELECT count(*) FROM why) AS committed
+FROM why GROUP BY 1, 2""")
+def q_scoring_job(spark, sf_dir):
+    """OP-93: the job on a saved model and a folder of JSON requests, run twice on the same
+    checkpoint: both outputs, and the requests that the commit records name."""
+    import os
+    from trip_engine.operators.model import save_model
+    from trip_engine.plans.score_requests import run as run_job
+    from trip_engine.session import scratch_path
+    from trip_engine.streaming.scoring import read_commits, read_scored
+    base = scratch_path(spark, "scoring-job")
+    inbox, model, out, rejects, checkpoint = (os.path.join(base, x) for x in ("in", "model", "out", "rejects", "checkpoint"))
+    fx.scoring_requests(spark, sf_dir).write.json(inbox)
+    save_model(duration_model(spark, sf_dir), model)
+    for _ in range(2):
+        query = run_job(spark, inbox, model, out, rejects, checkpoint, available_now=True)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"scoring job failed: {query.exception()}")
+    committed = read_commits(spark, out).agg(F.sum("requests")).first()[0]
+    counts = read_scored(spark, out, rejects).groupBy("status", "reject_reason").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
+    return counts.withColumn("committed", F.lit(committed))
 
 
 # --- OP-16 by a lookup table, OP-53 by key -----------------------------------------

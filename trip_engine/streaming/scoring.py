@@ -151,8 +151,8 @@ def read_commits(spark: SparkSession, out_path: str) -> DataFrame:
     schema = "batch long, attempt string, requests long"
     if not BatchCommits(spark, out_path).any():
         return spark.createDataFrame([], schema)
-    # the folder's own name hides it from readers of the folders above, not from a direct read
-    return spark.read.schema(schema).json(os.path.join(out_path, COMMITS, "batch-*.json"))
+    # the folder's own name hides it from readers of the folder above, not from a direct read
+    return spark.read.schema(schema).json(os.path.join(out_path, COMMITS))
 
 
 def read_scored(spark: SparkSession, out_path: str, rejects_path: str) -> DataFrame:
@@ -167,7 +167,7 @@ def read_scored(spark: SparkSession, out_path: str, rejects_path: str) -> DataFr
             rows = spark.createDataFrame([], f"{REQUEST_ID} string, predicted_{LABEL} double, reject_reason string")
         else:
             # written tries without a record are left out here, and their files by partition pruning
-            rows = spark.read.option("basePath", path).parquet(os.path.join(path, "batch=*")).withColumns(
+            rows = spark.read.parquet(path).withColumns(
                 {"batch": F.col("batch").cast("long"), "attempt": F.col("attempt").cast("string")}
             ).join(commits, ["batch", "attempt"], "left_semi")
         rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in none.items() if c not in rows.columns})
