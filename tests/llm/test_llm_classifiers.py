@@ -188,3 +188,82 @@ def test_views_exchange_what_they_are_sure_of():
     def right(m, i):
         return (((m.score(test[0], test[1])[i] >= 0.5) == (test[2] > 0)).mean())
     assert right(helped, 2) > right(alone, 2) and right(helped, 0) >= 0.97
+
+
+def test_a_rare_language_is_learnt_from_all_its_rows(spark):
+    """Ten rows among thousands, and a sample that is far smaller than the table."""
+    import random
+
+    from trip_engine.llm import langid
+    rnd = random.Random(4)
+
+    def text(letters):
+        return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 8))) for _ in range(30))
+    rows = [(i, text("aeionrst"), "en") for i in range(6000)] + [(10_000 + i, text("bcdghklm"), "de") for i in range(500)]
+    rows += [(20_000 + i, text("pquvwxyz"), "xx") for i in range(10)]
+    rows += [(30_000 + i, text("pquvwxyz"), None) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, most=300)
+    assert model.langs == ["de", "en", "xx"]
+    got = langid.identify(docs, model).where("doc_id >= 10000").collect()
+    want = {r[0]: r[2] or "xx" for r in rows}
+    assert sum(r["lang_pred"] == want[r["doc_id"]] for r in got) >= 0.99 * len(got)
+
+
+def test_only_the_most_frequent_languages_are_learnt(spark, monkeypatch):
+    from trip_engine.llm import langid
+    monkeypatch.setattr(langid, "MAX_LANGS", 3)
+    rows = [(i, f"some text number {i}", f"l{i % 40}" if i % 2 else f"l{i // 2 % 3}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.train(docs).langs == ["l0", "l1", "l2"]
+
+
+def _best_segment(at, gains, names):
+    """By trying every start: the best sum where a word's third occurrence and later ones cost."""
+    from collections import Counter
+
+    from trip_engine.llm.toxicity import PENALTY, REPEATS
+    best = 0.0
+    for s in range(len(at)):
+        seen, total = Counter(), 0.0
+        for k in range(s, len(at)):
+            total -= PENALTY * (at[k] - at[k - 1] - 1) if k > s else 0.0
+            total += gains[k] if seen[names[k]] < REPEATS else -PENALTY
+            seen[names[k]] += 1
+            best = max(best, total)
+    return best
+
+
+def test_sweep_with_repeats_finds_the_best_segment():
+    import random
+
+    from trip_engine.llm.toxicity import _repeating
+    rnd = random.Random(17)
+    for _ in range(1500):
+        n, v = rnd.randint(1, 30), rnd.randint(1, 6)
+        names = [b"%d" % rnd.randrange(v) for _ in range(n)]
+        worth = {w: rnd.choice([1, 1.25, 2, 3.5, 7]) for w in names}
+        at, place = [], 0
+        for _ in range(n):
+            place += 1 + rnd.choice([0, 0, 1, 4, 12])
+            at.append(place)
+        gains = [worth[w] for w in names]
+        found = _repeating(at, gains, names, 0, n)
+        assert max(x for *_, x in found) == _best_segment(at, gains, names)
+        assert all(a <= b for a, b, _ in found) and all(x[1] < y[0] for x, y in zip(found, found[1:]))
+
+
+def test_sweep_with_repeats_grows_with_the_text():
+    """2,000 scoring words over and over: eight times the words, not sixty-four times the steps."""
+    import random
+    import time
+
+    from trip_engine.llm.toxicity import _repeating
+    rnd, took = random.Random(5), []
+    for n in (20_000, 160_000):
+        names = [b"%d" % rnd.randrange(2000) for _ in range(n)]
+        worth = {w: rnd.uniform(1, 6) for w in names}
+        start = time.process_time()
+        _repeating([*range(n)], [worth[w] for w in names], names, 0, n)
+        took.append(time.process_time() - start)
+    assert took[1] < 30 * took[0] + 0.5 and took[1] < 20

@@ -62,3 +62,26 @@ def test_hot_group(spark):
     found = find_duplicates(docs, chunk=64).collect()
     assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in found} == _brute(rows)
     assert sum(r["kept"] for r in found) == 2001
+
+
+def test_long_texts_are_hashed_by_chunks(spark):
+    """Texts above ``whole`` bytes come out as the others do: equal rows, equal texts under
+    other ids, null ids, and a text that differs in its last chunk only."""
+    long, other = "Some Words " * 60, "Some Words " * 59 + "some wordZ "
+    rows = [(1, long), (2, long.lower()), (2, long.lower()), (3, other), (4, "short"), (5, "SHORT"), (None, long), (6, None),
+            (7, long + "x"), (8, ""), (None, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    poly = Polynomial(chunk=64)
+    by_chunk = sorted(map(str, find_duplicates(docs, poly, chunk=64, whole=200).collect()))
+    assert by_chunk == sorted(map(str, find_duplicates(docs, poly, chunk=64).collect()))
+    kept = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in find_duplicates(docs, poly, 64, 200).collect()
+            if r["doc_id"] is not None}
+    assert kept == {1: (2, 4), 2: (2, 4), 3: (3, 2), 4: (5, 2), 5: (5, 2), 6: (8, 2), 7: (7, 1), 8: (8, 2)}
+
+
+def test_long_texts_that_collide(spark):
+    rows = [(i, f"{'AbC'[i % 3]}{i % 10:02d}" * 9) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    weak = Polynomial(primes=(3, 2), chunk=4)
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in find_duplicates(docs, weak, 4, 8).collect()}
+    assert got == _brute(rows)

@@ -40,7 +40,7 @@ def test_rules_on_nasty_texts(spark):
     import random
 
     rnd = random.Random(5)
-    parts = ["a", "bb", "é", "ß汉", " ", "  ", "\n", "\n\n", "\t", "\x0b", "\xa0", "\x85", "\x1c", "#", "*|", "A", "Z9"]
+    parts = ["a", "bb", "é", "ß汉", " ", "  ", "\n", "\n\n", "\t", "\x0b", "\xa0", "\x85", "\x1c", "#", "*|", "A", "Z9", "話す", "ไทย", "Привет", "²½Ⅷ", "٣"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 60))) for _ in range(400)]
     texts += [" ".join(rnd.choice("ab") for _ in range(rnd.randint(4, 30))) for _ in range(200)] + [None, ""]
     documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})

@@ -5,7 +5,9 @@ has a polynomial hash under two primes; the hash of a concatenation follows
 from the hashes of its parts by length-shifted arithmetic
 (``H(AB) = H(A) * base^|B| + H(B)``), so the chunks of one huge document can be
 hashed apart and in any place, and pieces that lie in several rows combine to
-the same fingerprint as the whole text (``fingerprint_chunks``).
+the same fingerprint as the whole text. A text of up to ``WHOLE`` bytes is hashed
+where it is read; longer ones are dealt out chunk by chunk, hashed in parallel and
+combined from (number, length, hash) triples (``fingerprint_chunks``).
 
 Equal fingerprints are only candidates. Each candidate is compared with the
 representative of its group chunk by chunk (one joined row per chunk, so no
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 from trip_engine.llm.common import prepare_workers, materialize, utf8
 
 CHUNK = 1 << 16            # bytes of one chunk
+WHOLE = 16 * CHUNK         # bytes of a text that one task hashes by itself
+_UPPER = "".join(map(chr, range(65, 91)))
 PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 69069069)
 MEMBERS_PER_SALT = 64      # members of a group that share one copy of its representative
@@ -76,9 +80,10 @@ def _key(fp: tuple[int, ...]) -> int:
     return fp[0] << 31 | fp[1]
 
 
-def fingerprints(docs: DataFrame, poly: Polynomial | None = None) -> DataFrame:
+def fingerprints(docs: DataFrame, poly: Polynomial | None = None, whole: int | None = None) -> DataFrame:
     """doc_id, row_hash (of the text as it is), fp, n_bytes, text_sha256: one row
-    per document, in one narrow pass."""
+    per document, in one narrow pass. Texts of more than ``whole`` bytes, if given,
+    get no fp here."""
     prepare_workers(docs.sparkSession)
     poly = poly or Polynomial()
 
@@ -87,7 +92,8 @@ def fingerprints(docs: DataFrame, poly: Polynomial | None = None) -> DataFrame:
             texts = [x.lower() for x in b.column(2).to_pylist()]  # bytes.lower: A-Z only
             yield pa.RecordBatch.from_arrays([
                 b.column(0), b.column(1),
-                pa.array([_key(poly.of_text(t)) for t in texts], pa.int64()),
+                pa.array([None if whole is not None and len(t) > whole else _key(poly.of_text(t)) for t in texts],
+                         pa.int64()),
                 pa.array([len(t) for t in texts], pa.int64()),
                 pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
             ], ["doc_id", "row_hash", "fp", "n_bytes", "text_sha256"])
@@ -101,39 +107,69 @@ def row_hash(col: str = "text"):
     return F.xxhash64(F.coalesce(F.col(col), F.lit("")))
 
 
-def fingerprint_chunks(chunks: DataFrame, poly: Polynomial | None = None) -> DataFrame:
-    """Fingerprints of documents whose text lies in many rows (``doc_id``,
-    ``chunk_no``, ``data`` binary, already normalised): every row is hashed where it is,
-    and per document only (number, length, hash) triples are combined."""
+def fingerprint_chunks(chunks: DataFrame, poly: Polynomial | None = None, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Fingerprints of documents whose text lies in many rows (``by``: long columns that
+    tell documents apart, ``chunk_no``, ``data`` binary, already normalised): every row is
+    hashed where it is, and per document only (number, length, hash) triples are combined."""
     prepare_workers(chunks.sparkSession)
     poly = poly or Polynomial()
+    keys = len(by)
+    named = ", ".join(f"{c} bigint" for c in by)
 
     def hashed(batches):
         for b in batches:
-            data = [x or b"" for x in b.column(2).to_pylist()]
+            data = [x or b"" for x in b.column(keys + 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([_key(poly.of_text(x)) for x in data], pa.int64()),
-                 pa.array([len(x) for x in data], pa.int64())], ["doc_id", "chunk_no", "fp", "n_bytes"])
+                [*b.columns[:keys + 1], pa.array([_key(poly.of_text(x)) for x in data], pa.int64()),
+                 pa.array([len(x) for x in data], pa.int64())], [*by, "chunk_no", "fp", "n_bytes"])
 
-    parts = chunks.select(F.col("doc_id").cast("long"), F.col("chunk_no").cast("long"), "data") \
-        .mapInArrow(hashed, "doc_id bigint, chunk_no bigint, fp bigint, n_bytes bigint")
-    listed = parts.groupBy("doc_id").agg(
+    parts = chunks.select(*[F.col(c).cast("long").alias(c) for c in by], F.col("chunk_no").cast("long"), "data") \
+        .mapInArrow(hashed, f"{named}, chunk_no bigint, fp bigint, n_bytes bigint")
+    listed = parts.groupBy(*by).agg(
         F.array_sort(F.collect_list(F.struct("chunk_no", "fp", "n_bytes"))).alias("parts"))
 
     def combined(batches):
         for b in batches:
-            keys, sizes = [], []
-            for parts in b.column(1).to_pylist():
+            found, sizes = [], []
+            for parts in b.column(keys).to_pylist():
                 total = (0,) * len(poly.primes)
                 for p in parts:
                     total = poly.combine(total, (p["fp"] >> 31, p["fp"] & 0x7FFFFFFF), p["n_bytes"])
-                keys.append(_key(total))
+                found.append(_key(total))
                 sizes.append(sum(p["n_bytes"] for p in parts))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())],
-                ["doc_id", "fp", "n_bytes"])
+                [*b.columns[:keys], pa.array(found, pa.int64()), pa.array(sizes, pa.int64())],
+                [*by, "fp", "n_bytes"])
 
-    return listed.mapInArrow(combined, "doc_id bigint, fp bigint, n_bytes bigint")
+    return listed.mapInArrow(combined, f"{named}, fp bigint, n_bytes bigint")
+
+
+def _cut(chunk: int):
+    """The chunks of the normalised text ``data``."""
+    return F.expr(f"transform(sequence(0, greatest(length(data) - 1, 0) div {chunk}), "
+                  f"i -> substring(data, cast(i * {chunk} + 1 as int), {chunk}))")
+
+
+def _lowered(text: str = "text"):
+    return F.translate(text, _UPPER, _UPPER.lower()).cast("binary")
+
+
+def _all_fingerprints(docs: DataFrame, poly: Polynomial, whole: int) -> DataFrame:
+    """``fingerprints``, those of long texts from their chunks, which are hashed in
+    as many tasks as they ask for. Without long texts that takes no second pass."""
+    prints = materialize(fingerprints(docs, poly, whole), "dedup-prints")
+    if prints.where("fp is null").isEmpty():
+        return prints
+    key = ("l_id", "l_hash", "l_null")
+    long_texts = docs.where(F.octet_length("text") > whole).select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("l_id"), row_hash().alias("l_hash"),
+        F.col("doc_id").isNull().cast("long").alias("l_null"), _lowered().alias("data"))
+    chunks = long_texts.dropDuplicates(key).select(*key, F.posexplode(_cut(poly.chunk)).alias("chunk_no", "data"))
+    combined = materialize(fingerprint_chunks(chunks.repartition(*key, "chunk_no"), poly, key)
+                           .withColumnsRenamed({"fp": "l_fp", "n_bytes": "l_bytes"}), "dedup-long")
+    return prints.join(combined, (F.coalesce("doc_id", F.lit(0)) == F.col("l_id")) & (F.col("row_hash") == F.col("l_hash"))
+                       & (F.col("doc_id").isNull().cast("long") == F.col("l_null")), "left") \
+        .withColumn("fp", F.coalesce("fp", "l_fp")).drop(*key, "l_fp", "l_bytes")
 
 
 def _grouped(prints: DataFrame, name: str = "dedup-groups") -> DataFrame:
@@ -161,13 +197,10 @@ def _unequal(docs: DataFrame, grouped: DataFrame, chunk: int) -> DataFrame:
                         F.coalesce(F.col("text"), F.lit("")).alias("text"))
     found = texts.join(members, F.col("doc_id").eqNullSafe(F.col("m_id"))
                        & (F.col("row_hash") == F.col("m_hash")))
-    upper = "".join(map(chr, range(65, 91)))
-    cut = (f"transform(sequence(0, greatest(length(data) - 1, 0) div {chunk}), "
-           f"i -> substring(data, cast(i * {chunk} + 1 as int), {chunk}))")
-    pieces = found.withColumn("data", F.translate("text", upper, upper.lower()).cast("binary")).select(
+    pieces = found.withColumn("data", _lowered()).select(
         "doc_id", "row_hash", "rep", "is_rep",
         F.ceil(F.col("group_size") / MEMBERS_PER_SALT).cast("long").alias("salts"),
-        F.posexplode(F.expr(cut)).alias("chunk_no", "chunk"))
+        F.posexplode(_cut(chunk)).alias("chunk_no", "chunk"))
     ours = pieces.where("not is_rep").withColumn(
         "salt", F.pmod(F.monotonically_increasing_id(), F.col("salts")))
     reps = pieces.where("is_rep").dropDuplicates(["rep", "chunk_no"]).select(
@@ -180,9 +213,10 @@ def _unequal(docs: DataFrame, grouped: DataFrame, chunk: int) -> DataFrame:
     return both.where(~F.col("chunk").eqNullSafe(F.col("r_chunk"))).select("doc_id", "row_hash").distinct()
 
 
-def find_duplicates(docs: DataFrame, poly: Polynomial | None = None, chunk: int = CHUNK) -> DataFrame:
+def find_duplicates(docs: DataFrame, poly: Polynomial | None = None, chunk: int = CHUNK,
+                    whole: int = WHOLE) -> DataFrame:
     """doc_id, row_hash, keep_id, group_size, kept, text_sha256: a row per document."""
-    prints = materialize(fingerprints(docs, poly).withColumn("cls", F.lit(0).cast("long")), "dedup-prints")
+    prints = _all_fingerprints(docs, poly or Polynomial(), whole).withColumn("cls", F.lit(0).cast("long"))
     while True:
         grouped = _grouped(prints)
         unequal = materialize(_unequal(docs, grouped, chunk), "dedup-unequal")

@@ -2,7 +2,8 @@
 
 First pass: every page is parsed into a tree of block elements. An element is
 named by its tag, classes and id, and a node of the site's style tree is a
-path of such names, so the DOMs of all pages of a host merge into one tree. A
+path of such names (a 63-bit hash of its parent's and its own name, so that deep pages
+stay small), and the DOMs of all pages of a host merge into one tree. A
 node collects its presentation (the sequence of its children's names) and its
 content (hashes of text blocks). What is shuffled are counts per host, node and
 feature, combined before the shuffle; a host with a third of all pages is just
@@ -32,8 +33,9 @@ asides, footers and the like.
 Defined cases: null or empty html yields empty text; a null url is a host of
 its own (empty name); broken markup is read as far as it goes, the rest of an
 unclosed script is skipped; repeated rows come back each; an empty table gives an
-empty result; other columns are ignored, whatever their names; pages of any
-length are read whole.
+empty result; other columns are ignored, whatever their names; features that
+tie in their counts weigh the same; pages of any length and depth are read whole (noise names
+nested in each other are decided one by one, quadratic in how deep they nest).
 """
 
 from __future__ import annotations
@@ -47,6 +49,7 @@ from zlib import crc32
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,18 +112,20 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 class Node:
-    __slots__ = ("tag", "name", "path", "up", "hard", "soft", "beside", "main", "in_main", "noise", "inside", "open",
-                 "lifted", "weight", "mains", "children")
+    __slots__ = ("tag", "name", "path", "depth", "up", "hard", "soft", "beside", "main", "in_main", "noise", "inside", "open",
+                 "lifted", "weight", "mains", "children", "low", "cut")
 
     def __init__(self, tag: str, name: str, up: Node | None, hard: bool = False, soft: bool = False,
                  beside: bool = False, main: bool = False):
         self.tag, self.name, self.up = tag, name, up
-        self.path = name if up is None else f"{up.path}/{name}"
+        self.path = 0 if up is None else xxhash.xxh64_intdigest(name.encode("utf-8", "replace"), up.path) >> 1
+        self.depth = 0 if up is None else up.depth + 1
         self.hard = hard or up is not None and up.hard      # noise by what it is, or in such an element
         self.soft, self.beside = soft, beside               # noise by its own name
         self.main = main and not (self.hard or soft)
         self.in_main = self.main or up is not None and up.in_main
         self.noise = self.inside = self.open = self.lifted = False  # see _settle
+        self.low = self.cut = False                         # see main_text
         self.weight = self.mains = 0
         self.children: list[str] = []
 
@@ -187,6 +192,7 @@ def blocks(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
     """The text blocks of a page with their nodes, and all block elements."""
     root = Node("", "", None)
     stack, nodes, out, text = [root], [root], [], []
+    held: Counter = Counter()  # open elements by tag
     pos, raw = 0, None
 
     def flush():
@@ -200,9 +206,12 @@ def blocks(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
                 out.append((stack[-1], whole))
 
     def close(names, scope):
+        if not any(held[n] for n in names):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in names:
                 flush()
+                held.subtract(n.tag for n in stack[i:])
                 del stack[i:]
                 return
             if stack[i].tag in scope:
@@ -220,7 +229,7 @@ def blocks(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
         if not tag:
             continue
         if m[1] or m[4]:
-            if tag == "br" or tag == "p" and not any(n.tag == "p" for n in stack):
+            if tag == "br" or tag == "p" and not held["p"]:
                 flush()
             elif tag not in INLINE:
                 close((tag,), ())
@@ -245,14 +254,15 @@ def blocks(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
             stack[-1].children.append(node.name)
         stack.append(node)
         nodes.append(node)
+        held[tag] += 1
     flush()
     _settle(out, nodes)
     return out, nodes
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page: (host, path, kind, feature, count, count * log count), kind 0 the
-    style of an element, 1 a text block, 2 the page itself."""
+    """Per page: (host, path, parent's path, depth, kind, feature, count, count * log count),
+    kind 0 the style of an element, 1 a text block, 2 the page itself."""
     for b in batches:
         got: Counter = Counter()
         logs: Counter = Counter()
@@ -260,6 +270,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             host = host_of(url)
             out, nodes = blocks(page or "")
             own: Counter = Counter()
+            place = {n.path: (n.up.path if n.up else 0, n.depth) for n in nodes}
             for n in nodes:
                 if not n.noise:
                     own[n.path, 0, crc32("|".join(n.children).encode("utf-8", "replace"))] += 1
@@ -269,16 +280,17 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for path in {n.path for n in nodes if not n.noise}:
                 own[path, 2, 0] = 1
             for (path, kind, feature), c in own.items():
-                got[host, path, kind, feature] += c
+                key = (host, path, *place[path], kind, feature)
+                got[key] += c
                 if c > 1:
-                    logs[host, path, kind, feature] += c * math.log(c)
+                    logs[key] += c * math.log(c)
         keys = [*got]
-        cols = list(zip(*keys)) if keys else [()] * 4
-        yield pa.RecordBatch.from_arrays([
-            pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()),
-            pa.array(cols[3], pa.int64()), pa.array([got[k] for k in keys], pa.int64()),
-            pa.array([float(logs[k]) for k in keys], pa.float64())],
-            ["host", "path", "kind", "feature", "n", "n_log_n"])
+        cols = list(zip(*keys)) if keys else [()] * 6
+        types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.array(c, t) for c, t in zip(cols, types)), pa.array([got[k] for k in keys], pa.int64()),
+             pa.array([float(logs[k]) for k in keys], pa.float64())],
+            ["host", "path", "up", "depth", "kind", "feature", "n", "n_log_n"])
 
 
 def _name_of(text: str) -> int:
@@ -286,27 +298,24 @@ def _name_of(text: str) -> int:
     return crc32(data) << 31 | crc32(data, 0x9E3779B9) >> 1
 
 
-def _importance(rows: pd.DataFrame) -> dict[str, float]:
-    """Composite importance per path of one host's tree, from rows (path, pages,
+def _importance(rows: pd.DataFrame) -> dict[int, float]:
+    """Composite importance per path of one host's tree, from rows (path, up, depth, pages,
     content (mean entropy or NaN), presentation, n_styles)."""
-    children: dict[str, list[str]] = {}
-    by_path = {r.path: r for r in rows.itertuples()}
-    for path in by_path:
-        if path:
-            children.setdefault(path.rpartition("/")[0], []).append(path)
-    found: dict[str, float] = {}
-    for path in sorted(by_path, key=lambda p: -p.count("/")):
-        r = by_path[path]
-        parts = [found[c] for c in children.get(path, ())]
+    below: dict[int, list[float]] = {}
+    found: dict[int, float] = {}
+    for r in sorted(rows.itertuples(), key=lambda r: -r.depth):
+        parts = below.get(r.path, [])
         if r.content == r.content:
-            parts.append(1.0 - r.content)
+            parts = [*parts, 1.0 - r.content]
         if not parts:
-            found[path] = 1.0
-            continue
-        keep = DAMPING ** r.n_styles
-        found[path] = (1 - keep) * r.presentation + keep * sum(parts) / len(parts)
-        if r.pages < MIN_PAGES:
-            found[path] = 1.0
+            found[r.path] = 1.0
+        else:
+            keep = DAMPING ** r.n_styles
+            found[r.path] = (1 - keep) * r.presentation + keep * sum(parts) / len(parts)
+            if r.pages < MIN_PAGES:
+                found[r.path] = 1.0
+        if r.depth:
+            below.setdefault(r.up, []).append(found[r.path])
     return found
 
 
@@ -314,11 +323,11 @@ def style_trees(pages: DataFrame) -> DataFrame:
     """host and the paths of its style tree whose importance is below the threshold."""
     prepare_workers(pages.sparkSession)
     counts = pages.select("url", "html").mapInArrow(
-        _features, "host string, path string, kind int, feature bigint, n bigint, n_log_n double")
-    feature = counts.groupBy("host", "path", "kind", "feature").agg(
+        _features, "host string, path bigint, up bigint, depth int, kind int, feature bigint, n bigint, n_log_n double")
+    feature = counts.groupBy("host", "path", "up", "depth", "kind", "feature").agg(
         F.sum("n").alias("n"), F.sum("n_log_n").alias("n_log_n"))
     total = F.sum(F.when(F.col("kind") == 0, F.col("n")))
-    node = feature.groupBy("host", "path").agg(
+    node = feature.groupBy("host", "path", "up", "depth").agg(
         F.max(F.when(F.col("kind") == 2, F.col("n"))).alias("pages"),
         # entropy of a feature over the pages, in nats
         F.avg(F.when(F.col("kind") == 1, F.log("n") - F.col("n_log_n") / F.col("n"))).alias("content"),
@@ -333,34 +342,28 @@ def style_trees(pages: DataFrame) -> DataFrame:
 
     def low(rows: pd.DataFrame) -> pd.DataFrame:
         found = _importance(rows)
-        paths = sorted(p for p, v in found.items() if p and v < THRESHOLD)
+        paths = sorted(p for p, v in found.items() if p and v < THRESHOLD)  # the page itself is path 0
         return pd.DataFrame({"host": [rows["host"].iloc[0]], "low": [paths]})
 
-    return scaled.groupBy("host").applyInPandas(low, "host string, low array<string>")
+    return scaled.groupBy("host").applyInPandas(low, "host string, low array<bigint>")
 
 
-def main_text(page: str | None, low: frozenset[str] = frozenset()) -> str:
-    """The text of a page without noise and without the branches in ``low``."""
-    out, _ = blocks(page or "")
+def main_text(page: str | None, low: frozenset[int] = frozenset()) -> str:
+    """The text of a page without noise and without the branches in ``low``. Plain elements
+    of an article stand and fall with the article."""
+    out, nodes = blocks(page or "")
     clean = [(n, t) for n, t in out if not n.noise] or [(n, t) for n, t in out if not n.hard]
     if any(n.inside for n, _ in clean):
         clean = [(n, t) for n, t in clean if n.inside]
-    kept = [t for n, t in clean if not _pruned(n, low)] if low else [t for _, t in clean]
+    if low:
+        for n in nodes[1:]:  # parents first
+            hit = n.path in low
+            n.low = n.up.low or hit
+            n.cut = n.up.cut or hit and n.name not in _KEPT
+    kept = [t for n, t in clean if not (n.cut if n.inside else n.low)]
     return " ".join(kept or (t for _, t in clean))
 
 
-def _pruned(node: Node, low: frozenset[str]) -> bool:
-    """Is the node, or one it lies in, in ``low``? Plain elements of an article
-    stand and fall with the article."""
-    path = node.path
-    while path:
-        up, _, name = path.rpartition("/")
-        if path in low and not (node.inside and name in _KEPT):
-            return True
-        path = up
-    return False
-
-
 _KEPT = PLAIN | MAIN | {"html", "body", "header", "section"}
 
 

@@ -15,7 +15,8 @@ counts per language and bucket; prediction reads every text whole.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 (as is
 every text if there is nothing to learn from); rows without a language teach
-nothing; with one learned language every other text gets it with score 1;
+nothing; with one learned language every other text gets it with score 1; of equally
+near codewords the language first in code point order is taken;
 repeated rows come back each; an empty table gives an empty result; other columns
 are ignored, whatever their names.
 """
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from trip_engine.llm.common import prepare_workers, is_held_out, utf8
 
 MAX_FIT_ROWS = 50_000
+MAX_LANGS = 200            # what the driver holds is this by BUCKETS counts
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
 EVIDENCE = 40.0            # n-grams of a text that count as independent, at most
@@ -136,8 +138,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, most: int = MAX_FIT_ROWS) -> LanguageModel:
     prepare_workers(docs.sparkSession)
-    share = min(1.0, most / max(1, docs.count()))
-    rows = _rows(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    scale = 1 << 30
+    sizes = docs.where(F.col("lang").isNotNull() & ~is_held_out("doc_id")).groupBy(
+        F.col("lang").cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    known = sizes.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()  # a row per language
+    each = most / max(1, len(known))
+    limits = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], int(min(1.0, each / r["n"]) * scale))]) \
+        if known else F.create_map().cast("map<string,int>")
+    rows = _rows(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < limits[F.col("lang")])
     # one row per language and bucket comes back
     table = rows.select("lang", "data").mapInArrow(_count, "lang string, bucket bigint, n bigint") \
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()

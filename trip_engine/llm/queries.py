@@ -38,9 +38,15 @@ def op7_quality_rules(spark, sf_dir):
     return quality_rules.op7_quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+# the same ranges as in ``quality_rules``, for a class of DuckDB's patterns
+_UNSPACED = "".join(rf"\x{{{a}}}-\x{{{b}}}" for a, b in (
+    ("E00", "FFF"), ("1000", "109F"), ("1780", "17FF"), ("3000", "30FF"), ("3400", "4DBF"), ("4E00", "9FFF"),
+    ("F900", "FAFF"), ("FF00", "FFEF"), ("20000", "3FFFF")))
+
+
 def _rules_sql() -> str:
     qr = quality_rules
-    bits = " + ".join(f"CASE WHEN {r} THEN {1 << i} ELSE 0 END" for i, r in enumerate(qr.RULES.values()))
+    bits = " + ".join(f"CASE WHEN {r} THEN {1 << i} ELSE 0 END" for i, r in enumerate(qr.ALL_RULES.values()))
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
 w AS (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
@@ -60,12 +66,15 @@ m AS (SELECT d.doc_id, coalesce(s.n_words, 0)::BIGINT AS n_words, coalesce(s.wor
              coalesce(l.n_lines, 0)::BIGINT AS n_lines, coalesce(l.n_dup, 0)::BIGINT AS n_dup_lines,
              coalesce(c.n, 0)::BIGINT AS n_repeat_words,
              length(regexp_replace(t, '[^A-Z]+', '', 'g'))::BIGINT AS n_upper,
-             length(regexp_replace(t, '[^a-z]+', '', 'g'))::BIGINT AS n_lower
+             length(regexp_replace(t, '[^a-z]+', '', 'g'))::BIGINT AS n_lower,
+             length(regexp_replace(t, '[^{_UNSPACED}]+', '', 'g'))::BIGINT AS n_unspaced,
+             length(regexp_replace(t, '[\\x00-\\x7F]+|[^\\p{{L}}\\p{{Nl}}\\p{{No}}]+', '', 'g'))::BIGINT AS n_other_letters
       FROM d LEFT JOIN s USING (rid) LEFT JOIN l USING (rid) LEFT JOIN c USING (rid)),
 f AS (SELECT *, ({bits})::BIGINT AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (fail_bits & {qr.mask_of(qr.BASE)}) <> 0 AS base_failed,
-       (fail_bits & {qr.mask_of(qr.POLICIES[qr.CURRENT])}) = 0 AS kept, fail_bits
+       (fail_bits & {qr.mask_of(qr.POLICIES[qr.CURRENT])}) = 0 AS kept,
+       (fail_bits & {qr.mask_of(qr.POLICIES["v2"])}) = 0 AS kept_v2, fail_bits
 FROM f"""
 
 

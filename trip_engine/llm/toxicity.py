@@ -237,34 +237,67 @@ def _repeating(at: list[int], gains: list[float], names: list[bytes], lo: int, h
     """Maximal segments (first and last scoring word, score) of a stretch. For every
     end the starts that may still become the best are kept: an earlier start gains
     no more from any later word than a later one, so it stays only while its sum is
-    larger. A segment is final when the best start lies behind it."""
+    larger. Of those sums only the first one is known, and each start's lead over
+    the next: a word adds the same to all starts behind the occurrence that spends it
+    and the same to all before, so a step changes two leads, and the sweep is linear but
+    for the near-constant search of the start behind a place. A segment is final when
+    the best start lies behind it."""
     out, todo = [], [(lo, hi)]
     while todo:
         lo, hi = todo.pop()
         if lo >= hi:
             continue
         earlier: dict[bytes, list[int]] = {}
-        chain: list[tuple[int, float]] = []  # (start, sum), the sums fall
+        lead: dict[int, float] = {}    # start -> its sum less that of the next start kept
+        before: dict[int, int] = {}    # start -> the one kept before it
+        gone: dict[int, int] = {}      # a dropped start -> a later one
+
+        def kept_from(i: int) -> int:
+            """The first start kept at or behind ``i``."""
+            path = []
+            while i in gone:
+                path.append(i)
+                i = gone[i]
+            for j in path:
+                gone[j] = i
+            return i
+
+        head, total = lo, 0.0          # the first start kept and its sum
         best, first, last = 0.0, lo, lo
         for k in range(lo, hi):
-            gap = PENALTY * (at[k] - at[k - 1] - 1) if k > lo else 0.0
-            before = earlier.setdefault(names[k], [])
-            spent = before[-REPEATS] if len(before) >= REPEATS else lo - 1
-            before.append(k)
             gain = gains[k]
-            kept, above = [(k, gain)], gain
-            for s, x in reversed(chain):
-                x += (gain if s > spent else -PENALTY) - gap
-                if x > above:
-                    kept.append((s, x))
-                    above = x
-            kept.reverse()
-            chain = kept
-            s, x = chain[0]
-            if k > lo and s > last:
+            seen = earlier.setdefault(names[k], [])
+            spent = seen[-REPEATS] if len(seen) >= REPEATS else lo - 1
+            seen.append(k)
+            drop = []
+            if k > lo:
+                gap = PENALTY * (at[k] - at[k - 1] - 1)
+                before[k] = k - 1      # the start that the last step has added
+                lead[k - 1] = gains[k - 1] - gap
+                total += (gain if head > spent else -PENALTY) - gap
+                drop.append(k - 1)
+                if spent >= lo:        # starts up to there pay the penalty, later ones gain
+                    edge = before.get(kept_from(spent + 1))
+                    if edge is not None:
+                        lead[edge] -= gain + PENALTY
+                        drop.append(edge)
+            else:
+                total = gain
+            for s in drop:
+                while s is not None and s not in gone and lead[s] <= 0:
+                    earlier_start, later = before.get(s), kept_from(s + 1)
+                    gone[s] = later
+                    if earlier_start is None:
+                        head, total = later, total - lead[s]
+                        before.pop(later, None)
+                    else:
+                        before[later] = earlier_start
+                        lead[earlier_start] += lead[s]
+                    s = earlier_start
+            if k > lo and head > last:
                 break
-            if x > best:
-                best, first, last = x, s, k
+            if total > best:
+                best, first, last = total, head, k
         out.append((first, last, best))
         todo += [(last + 1, hi), (lo, first)]
     return sorted(out)
