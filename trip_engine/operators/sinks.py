@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,7 +68,8 @@ def publish_table(df: DataFrame, name: str, mode: str = "overwrite",
         writer = df.write.mode("errorifexists" if beside else mode).format(fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(target)
+        with _partitions_found_by_path(spark):
+            writer.saveAsTable(target)
         if comment is not None:
             spark.sql(f"COMMENT ON TABLE {target} IS '{_quote(comment)}'")
         properties = {**(properties or {}), **{f"label.{k}": v for k, v in (labels or {}).items()}}
@@ -83,6 +85,20 @@ def publish_table(df: DataFrame, name: str, mode: str = "overwrite",
 
 
 _NEW, _OLD = "__new_", "__old_"
+_TRACKED = "spark.sql.hive.manageFilesourcePartitions"
+
+
+@contextmanager
+def _partitions_found_by_path(spark: SparkSession):
+    """The catalog of a session without a metastore keeps the folders of a table's partitions
+    through a rename, which moves them; there partitions are found under the table's folder."""
+    before = spark.conf.get(_TRACKED, "true")
+    if spark.conf.get("spark.sql.catalogImplementation") == "in-memory":
+        spark.conf.set(_TRACKED, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_TRACKED, before)
 
 
 def _swap(spark: SparkSession, name: str, fresh: str) -> None:
