@@ -105,3 +105,28 @@ def test_stage_repeats_documents(spark):
     for r in mixing.stage(spark, docs, "").collect():
         got[r["doc_id"]] += 1
     assert got == want
+
+
+@pytest.mark.parametrize("at_once", [100_000, 7])
+def test_a_row_repeated_over_a_third_of_the_table(spark, monkeypatch, at_once):
+    """It is one entry of a block; its rows come back one by one, and the words fit the target."""
+    monkeypatch.setattr(mixing, "EQUAL_ROWS", at_once)
+    entered = []
+    real = mixing._round
+
+    def watch(docs, sources):
+        entered.append(docs.count())
+        return real(docs, sources)
+    monkeypatch.setattr(mixing, "_round", watch)
+    rnd = random.Random(3)
+    rows = [(7, "the same row again and again", "a")] * 1500
+    rows += [(100 + i, "w " * rnd.randint(1, 40), rnd.choice("abc")) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mixing.op6_mix_sources(docs).collect()
+    assert entered == [3001] and len(got) == 4500
+    same = [r["taken"] // r["size"] for r in got if r["doc_id"] == 7]
+    rate = next(r["target"] / r["source_size"] for r in got if r["doc_id"] == 7)
+    assert len(same) == 1500 and abs(sum(same) - 1500 * rate) <= 1
+    _check(docs.collect(), got, lambda *_: 25)
+    again = mixing.op6_mix_sources(docs.repartition(2)).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))

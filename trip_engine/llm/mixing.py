@@ -10,9 +10,14 @@ which share one probability. The two exchange *words* (probability times size)
 in one of two directions until the document's probability is 0 or 1: up, to 1,
 with just that probability, or down, so that both keep their expectation and
 the expected words of the block stay what they were. A document the pool
-cannot pay for in one direction goes the other way; one it can neither pay
-for nor absorb stays open while the pool is decided. In the end one document of a
-block is open, a small one as a rule.
+cannot pay for in one direction goes the other way, without chance: its expectation is
+given up for its source's words, which stay near the target (README has figures).
+One the pool can neither pay for nor absorb stays open while the pool is decided. In
+the end one document of a block is open, a small one as a rule.
+
+Rows equal in id, source and text are one document with a count: as many of them
+as their probabilities add up to get the copy, and only the fraction that is left takes part
+in the exchange. So a row repeated a million times is one entry of a block.
 
 The blocks form a reduction tree: documents are dealt by hash to bounded blocks
 of a source, and the open documents of the blocks are dealt to fewer blocks on
@@ -22,8 +27,9 @@ with a third of all rows is just more blocks. Randomness comes from hashes of
 the document, so reruns agree whatever the partitioning.
 
 Defined cases: a null text has size 0 and takes 0 words; a null source is a
-source of its own, after all others; repeated rows are rounded each on its own;
-with no words at all every target is 0; an empty table gives an empty result;
+source of its own, after all others; of repeated rows some have the copy and the others
+not; documents of equal size are paired in the order of their hashes, sources of equal cap per
+weight in code point order; with no words at all every target is 0; an empty table gives an empty result;
 other columns are ignored, whatever their names.
 """
 
@@ -87,8 +93,9 @@ def source_targets(sizes: DataFrame) -> DataFrame:
             F.col("target") / F.col("source_size")).alias("rate"))
 
 
-_DOC = "struct<size: bigint, h: bigint, doc_id: bigint, p: double>"
-_DONE = "struct<doc_id: bigint, h: bigint, size: bigint, extra: int>"
+_DOC = "struct<size: bigint, h: bigint, doc_id: bigint, p: double, rows: bigint, sure: bigint>"
+_DONE = "struct<doc_id: bigint, h: bigint, size: bigint, extra: int, rows: bigint, sure: bigint>"
+EQUAL_ROWS = 100_000       # above so many equal rows they are dealt out before they are listed
 _EPS = "1e-9D"
 
 
@@ -105,11 +112,13 @@ def _fold() -> Column:
     def decided(extra: str) -> str:
         return (f"named_struct('rest', s.rest - d.size, 'due', greatest(0D, s.due - d.size * {extra}), "
                 f"'open', s.open, 'done', concat(s.done, array(named_struct("
-                f"'doc_id', d.doc_id, 'h', d.h, 'size', d.size, 'extra', cast({extra} as int)))))")
+                f"'doc_id', d.doc_id, 'h', d.h, 'size', d.size, 'extra', cast({extra} as int), "
+                f"'rows', d.rows, 'sure', d.sure))))")
 
     def left_open(rest: str, due: str, p: str) -> str:
         return (f"named_struct('rest', {rest}, 'due', {due}, 'open', named_struct("
-                f"'size', d.size, 'h', d.h, 'doc_id', d.doc_id, 'p', {p}), 'done', s.done)")
+                f"'size', d.size, 'h', d.h, 'doc_id', d.doc_id, 'p', {p}, 'rows', d.rows, 'sure', d.sure), "
+                f"'done', s.done)")
 
     pool = "cast(s.rest - d.size as double)"
     return F.expr(f"""
@@ -128,8 +137,8 @@ def _fold() -> Column:
 
 
 def _round(docs: DataFrame, sources: DataFrame) -> DataFrame:
-    """(src, doc_id, h, size, extra): every document with size > 0 and an open
-    fraction, rounded by the reduction tree."""
+    """(src, doc_id, h, size, extra, rows, sure): every document with size > 0 and an open
+    fraction, rounded by the reduction tree; ``rows`` and ``sure`` are carried along."""
     most = sources.agg(F.max("n_docs")).first()[0] or 0
     level, blocks_of = 0, F.ceil(F.col("n_docs") / BLOCK).cast("long")
     decided = None
@@ -139,7 +148,7 @@ def _round(docs: DataFrame, sources: DataFrame) -> DataFrame:
             F.xxhash64("h", "doc_id", F.lit(SEED + level)), blocks_of)
         folded = materialize(
             docs.withColumn("block", block).groupBy("src", "block", "n_docs")
-            .agg(F.sort_array(F.collect_list(F.struct("size", "h", "doc_id", "p")), asc=False).alias("docs"))
+            .agg(F.sort_array(F.collect_list(F.struct("size", "h", "doc_id", "p", "rows", "sure")), asc=False).alias("docs"))
             .select("src", "n_docs", _fold().alias("s")), "mix-level")
         done = folded.select("src", F.inline("s.done"))
         decided = done if decided is None else decided.unionByName(done)
@@ -147,10 +156,22 @@ def _round(docs: DataFrame, sources: DataFrame) -> DataFrame:
             .select("src", "n_docs", "o.*")
         if last:
             nearest = (F.col("p") >= 0.5).cast("int")
-            return decided.unionByName(rest.select("src", "doc_id", "h", "size", nearest.alias("extra")))
+            return decided.unionByName(rest.select(
+                "src", "doc_id", "h", "size", nearest.alias("extra"), "rows", "sure"))
         docs, most, level = rest, -(-most // BLOCK), level + 1
 
 
+def _listed(rounded: DataFrame, most: int) -> DataFrame:
+    """(src, doc_id, h, size, extra): one row again for each of the equal rows."""
+    last = F.col("rows") - 1
+    parts = rounded.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / EQUAL_ROWS))))
+    if most > EQUAL_ROWS:
+        parts = parts.repartition("src", "doc_id", "h", "part")
+    lo, hi = F.col("part") * EQUAL_ROWS, F.least(last, (F.col("part") + 1) * EQUAL_ROWS - 1)
+    return parts.withColumn("i", F.explode(F.sequence(lo, hi))).select(
+        "src", "doc_id", "h", "size", (F.col("i") < F.col("sure") + F.col("extra")).cast("int").alias("extra"))
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """doc_id, h (hash of id, source and text), source, size, source_size, target,
     copies (how often the mix takes the document): one row per document."""
@@ -164,8 +185,13 @@ def mix(docs: DataFrame) -> DataFrame:
     joined = sized.join(keyed.withColumnRenamed("source", "k_source"),
                         F.col("source").eqNullSafe(F.col("k_source"))).drop("k_source")
     whole = F.floor("rate").cast("long")
-    rounded = _round(joined.where("size > 0").select(
-        "src", "n_docs", "size", "h", "doc_id", (F.col("rate") - whole).alias("p")), keyed)
+    # equal rows are one document: ``sure`` of them get the copy, the rest of the sum is open
+    equal = joined.where("size > 0").groupBy("src", "n_docs", "size", "h", "doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.col("rate") - whole).alias("p"))
+    due = F.col("rows") * F.col("p")
+    equal = materialize(equal.withColumn("sure", F.floor(due + F.expr(_EPS)).cast("long"))
+                        .withColumn("p", F.greatest(F.lit(0.0), due - F.col("sure"))), "mix-equal")
+    rounded = _listed(_round(equal, keyed), equal.agg(F.max("rows")).first()[0] or 0)
     wordless = joined.where("size = 0").select("src", "doc_id", "h", "size", F.lit(0).alias("extra"))
     return rounded.unionByName(wordless).join(keyed, "src").select(
         "doc_id", "h", "source", "size", "source_size", "target",
