@@ -267,3 +267,71 @@ def test_sweep_with_repeats_grows_with_the_text():
         _repeating([*range(n)], [worth[w] for w in names], names, 0, n)
         took.append(time.process_time() - start)
     assert took[1] < 30 * took[0] + 0.5 and took[1] < 20
+
+
+def _two_views(seed, n):
+    """Rows whose label shows in the first view for one half and in the second for the other."""
+    rng = np.random.default_rng(seed)
+    y = (rng.random(n) < 0.5).astype(float)
+    first = rng.random(n) < 0.5
+    sign = 2 * y - 1
+    text = np.c_[np.where(first, 4 * sign, 0) + rng.normal(0, 0.7, n), rng.normal(0, 1, n)]
+    meta = np.c_[np.where(first, 0, 4 * sign) + rng.normal(0, 0.7, n), rng.normal(0, 1, n)]
+    return (text, meta), y
+
+
+def _plain_cotraining(views, y, aside, pool):
+    """The rounds written out: lists of (features, label) for each view, one pool row at a time."""
+    from trip_engine.llm import cotraining as ct
+    share = float(y.mean())
+    rows = [[(v[i], y[i]) for i in np.flatnonzero(~aside)] for v in views]
+    taken = [set(), set()]
+    most = max(1, int(len(pool[0]) * ct.SHARE_PER_ROUND))
+    for number in range(ct.ROUNDS + 1):
+        fitted = [ct.View().fit(np.array([x for x, _ in r]), np.array([t for _, t in r])).calibrate(v[aside], y[aside])
+                  for r, v in zip(rows, views)]
+        if number == ct.ROUNDS:
+            break
+        handed = 0
+        for giver, taker in ((0, 1), (1, 0)):
+            p = fitted[giver].probability(pool[giver])
+            for label, part in ((1.0, share), (0.0, 1 - share)):
+                sure = p if label else 1 - p
+                free = [i for i in range(len(p)) if i not in taken[taker]]
+                best = sorted(free, key=lambda i: (-sure[i], i))[:max(1, int(most * part))]
+                chosen = [i for i in best if sure[i] >= ct.SURE]
+                rows[taker] += [(pool[taker][i], label) for i in chosen]
+                handed += len(chosen)
+                if label:
+                    ones = chosen
+            taken[taker] |= set(ones) | set(chosen)
+        if not handed:
+            break
+    return fitted, sum(len(r) for r in rows) - 2 * int((~aside).sum())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_cotraining_equals_its_rounds_written_out(seed):
+    from trip_engine.llm import cotraining as ct
+    views, y = _two_views(seed, 120)
+    pool, _ = _two_views(seed + 50, 600)
+    aside = np.arange(len(y)) % 3 == 0
+    model = ct.CoTrained.fit(views, y, aside, pool)
+    fitted, exchanged = _plain_cotraining(views, y, aside, pool)
+    assert model.exchanged == exchanged > 0
+    for ours, plain in zip(model.views, fitted):
+        assert np.allclose(ours.w, plain.w, atol=1e-6) and np.allclose(ours.curve, plain.curve, atol=1e-6)
+
+
+def test_each_view_teaches_the_other():
+    from trip_engine.llm import cotraining as ct
+    views, y = _two_views(7, 90)
+    pool, _ = _two_views(70, 800)
+    test, truth = _two_views(700, 2000)
+    aside = np.arange(len(y)) % 3 == 0
+    none = tuple(v[:0] for v in pool)
+    alone, taught = (ct.CoTrained.fit(views, y, aside, p) for p in (none, pool))
+    for a, b in zip(alone.views, taught.views):
+        assert np.abs(a.w - b.w).max() > 1e-3  # the other view's labels have moved it
+    right = [((m.score(*test)[0] >= 0.5) == (truth > 0)).mean() for m in (alone, taught)]
+    assert right[1] >= right[0] - 0.01 and right[1] > 0.95
