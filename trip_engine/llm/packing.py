@@ -17,7 +17,8 @@ the same sequences.
 Defined cases: a null text counts as empty and is one piece with the end
 token alone; repeated rows are packed as often as they occur; an example larger
 than a limit gets a sequence of its own where cutting is not allowed; a very
-long text is cut into full sequences and a rest; an empty table gives an empty
+long text is cut into full sequences and a rest; of equal dot products the example that
+stands first in the pool is taken; bytes that are not UTF-8 raise; an empty table gives an empty
 result; other columns are ignored, whatever their names.
 """
 

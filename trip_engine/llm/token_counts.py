@@ -15,7 +15,8 @@ space characters in a row are pre-tokenized as a whole. Special strings are one
 token each, as in the library's default.
 
 Defined cases: null counts as an empty text with 0 bytes and 0 tokens;
-repeated rows are counted each; texts of any length are counted whole; an
+repeated rows are counted each; texts of any length are counted whole (one unbroken word is
+ranked anew in every step, quadratic in its length); bytes that are not UTF-8 raise; an
 empty table gives an empty result; other columns are ignored, whatever their
 names.
 """

@@ -27,7 +27,8 @@ scoring reads every text whole.
 
 Defined cases: null and empty texts have no segment and get the score of a
 text without any; labelled rows without a text or a label teach nothing; a
-repeated label counts once; without toxic or without clean training rows every
+repeated label counts once; of equally good segments the one that ends first, and of its equally
+good starts the earliest, is taken; units of equal counts in code point order; without toxic or without clean training rows every
 score is the share of toxic ones among them (0 if none); an empty table gives an
 empty result; other columns are ignored, whatever their names.
 """
