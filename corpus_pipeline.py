@@ -7,6 +7,13 @@ text operators, each written as Parquet and read again by the next.
 4. mixing sources to target weights: documents repeat as the mix takes them
 5. packing: token sequences of at most 4096 ids
 
+Defined cases: a null text is empty, fails the first stage's rules and goes; a null
+source is a source of its own in the mix; a null id is the smallest id to dedup and stays
+only in a component without ids to near-dedup; of fully repeated rows one stays, and
+the mix repeats it; ties go by hashes of the rows, so reruns agree; texts of any length are
+worked on whole; an empty table gives an empty result; other columns of the documents are kept
+until packing, whatever their names.
+
 Rounding by hashes, SimHash and tokenization have no SQL form, so there is no
 twin; tests compare the stages with brute-force versions.
 """
