@@ -245,3 +245,11 @@ def test_impressions_carry_ids_and_leave_nothing_cached(spark):
     assert cached().size() > 0
     ap.release_reports()
     assert cached().size() == 0
+
+
+def test_broadcast_is_bounded_in_rows_and_bytes(spark):
+    from trip_engine.plans.broadcast import fits_broadcast
+    df = spark.range(100).selectExpr("id", "repeat('x', 1000) AS name", "CAST(NULL AS STRING) AS other")
+    assert fits_broadcast(df, 100) and not fits_broadcast(df, 99)
+    assert not fits_broadcast(df, 100, max_bytes=90_000) and fits_broadcast(df, 100, max_bytes=110_000)
+    assert fits_broadcast(df.limit(0), 0)
