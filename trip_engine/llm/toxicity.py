@@ -311,17 +311,19 @@ class ExtremeValues:
         self.lam, self.log_k = lam, log_k
 
     @classmethod
-    def fit(cls, positive: np.ndarray, best: np.ndarray, words: np.ndarray) -> ExtremeValues:
-        """From clean texts: the positive word scores, and each text's best segment
-        and length. lambda solves sum p_i exp(lambda s_i) = 1 over the word scores;
+    def fit(cls, positive: np.ndarray, best: np.ndarray, words: np.ndarray,
+            counts: np.ndarray | None = None) -> ExtremeValues:
+        """From clean texts: the positive word scores (with how often each occurs, if
+        given), and each text's best segment and length. lambda solves sum p_i exp(lambda s_i) = 1 over the word scores;
         K is its likeliest value given lambda."""
         total = float(words.sum())
-        if not len(positive) or total <= len(positive):
+        counts = np.ones(len(positive)) if counts is None else counts
+        rest = total - float(counts.sum())
+        if not len(positive) or rest <= 0:
             return cls(1.0, 0.0)
-        rest = total - len(positive)
 
         def excess(lam: float) -> float:
-            return (rest * math.exp(-lam * PENALTY) + float(np.exp(lam * positive).sum())) / total - 1
+            return (rest * math.exp(-lam * PENALTY) + float((counts * np.exp(lam * positive)).sum())) / total - 1
 
         hi = 1e-3
         while excess(hi) < 0 and hi < 20:
@@ -406,20 +408,32 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT_ROWS) -> Toxic
                     pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64()))))],
                 ["toxic", "words", "best", "segments", "positive"])
 
-    # one row of a few numbers for each of the at most ``most`` training rows
-    seen = rows.mapInArrow(
-        scan, "toxic int, words bigint, best double, segments array<double>, positive array<double>").toPandas()
-    if seen.empty or seen["toxic"].nunique() < 2:
-        return ToxicityModel(lexicon, ExtremeValues(1.0, 0.0), None,
-                             float((seen["toxic"] > 0).mean()) if len(seen) else 0.0)
-    clean = seen[seen["toxic"] == 0]
-    law = ExtremeValues.fit(np.concatenate([np.zeros(0), *clean["positive"]]),
-                            clean["best"].to_numpy(float), clean["words"].to_numpy(float))
-    model = ToxicityModel(lexicon, law, None, float((seen["toxic"] > 0).mean()))
-    total = np.array([sum(q for *_, q in model.significant(n, [(0, 0, s) for s in segments]))
-                      for n, segments in zip(seen["words"], seen["segments"])])
-    x = model.evidence(seen["words"].to_numpy(float), seen["best"].to_numpy(float), total)
-    model.weights = fit_logistic(x, (seen["toxic"] > 0).to_numpy(float))
+    # the lists grow with the texts, so they stay in a written table; what comes back is two
+    # numbers for each of the at most ``most`` training rows, and a count for each different score
+    seen = materialize(rows.mapInArrow(
+        scan, "toxic int, words bigint, best double, segments array<double>, positive array<double>"), "toxic-seen")
+    share = sum(n for toxic, n in sizes.items() if toxic > 0) / max(1, sum(sizes.values()))
+    if len(sizes) < 2:
+        return ToxicityModel(lexicon, ExtremeValues(1.0, 0.0), None, share)
+    clean = seen.where("toxic = 0").select("words", "best").toPandas()
+    gains = seen.where("toxic = 0").select(F.explode("positive").alias("v")).groupBy("v").count().orderBy("v").toPandas()
+    law = ExtremeValues.fit(gains["v"].to_numpy(float), clean["best"].to_numpy(float), clean["words"].to_numpy(float),
+                            gains["count"].to_numpy(float))
+    model = ToxicityModel(lexicon, law, None, share)
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        short = ToxicityModel(None, law, None, share)
+        for b in batches:
+            sums = [sum(q for *_, q in short.significant(n, [(0, 0, s) for s in segments]))
+                    for n, segments in zip(b.column(1).to_pylist(), b.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sums, pa.float64())],
+                                             ["toxic", "words", "best", "total"])
+
+    got = seen.select("toxic", "words", "best", "segments").mapInArrow(
+        totals, "toxic int, words bigint, best double, total double").toPandas() \
+        .sort_values(["toxic", "words", "best", "total"], kind="stable")
+    x = model.evidence(got["words"].to_numpy(float), got["best"].to_numpy(float), got["total"].to_numpy(float))
+    model.weights = fit_logistic(x, (got["toxic"] > 0).to_numpy(float))
     return model
 
 
