@@ -121,3 +121,22 @@ def test_the_first_step_shuffles_numbers_only(spark, monkeypatch):
     lines = plans[0].splitlines()
     at = [i for i, x in enumerate(lines) if "Exchange" in x]
     assert len(at) == 1 and "HashAggregate(keys=[code" in lines[at[0] + 1]
+
+
+def test_repeated_narrow_keys_need_no_second_step(spark, monkeypatch):
+    """Keys of one narrow column are counted in the first step; where many wide keys
+    repeat, the second step counts them without a join by hash."""
+    from trip_engine.plans.inspect import physical_plan
+    rows = [(i // 2, f"v{i % 100}") for i in range(200)] + [(None, "v1"), (2 ** 63 - 1, None), (2 ** 63 - 1, "x")]
+    df = spark.createDataFrame(rows, "k long, s string")
+    narrow = qa.run_contract(df, (("k", "unique"), (("k", "s"), "unique"), ("k", "not_null")), "t")
+    assert "slot0" not in physical_plan(narrow)
+    assert [r.failures for r in narrow.orderBy("column_name", "test").collect()] == [1, 101, 0]
+    wide = (("s", "unique"), (("s", "k"), "unique"), (("k", "s"), "unique"))
+    for most in (0, 50, 10 ** 6):
+        monkeypatch.setattr(qa, "MAX_BROADCAST_HASHES", most)
+        out = qa.run_contract(df.union(df.limit(3)), wide, "t")
+        assert {r.column_name: r.failures for r in out.collect()} == {"s": 100, "s,k": 3, "k,s": 3}
+    monkeypatch.setattr(qa, "MAX_BROADCAST_HASHES", 0)
+    assert "LeftSemi" not in physical_plan(qa.run_contract(df.union(df.limit(3)), wide, "t"))
+    assert qa.unique_summary(df.union(df.limit(3)), ["k", "s"]).first().failures == 3

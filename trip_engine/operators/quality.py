@@ -5,12 +5,14 @@ tests that cannot hold on real data (several of the original column tests)
 are visible with their size. Keys with a NULL part are not checked for
 uniqueness (SQL UNIQUE semantics: NULLs are distinct).
 
-Wide keys and whole contracts are tested in two steps. The first shuffles one number
-a key: its 64-bit hash (a contract's test number in the upper bits) with the count
-of its task. Only hashes that came twice can hide a repeated key; the second step
-compares the keys behind those, typed and whole, so a collision of hashes is
-no failure and a microsecond, a type or a separator inside a text makes a
-difference. A table whose keys are unique is read once and its keys are never shuffled.
+Keys of one narrow column are counted as they are. Wider keys are tested in two steps.
+The first shuffles one number a key: its 64-bit hash (a contract's test number in the
+upper bits) with the count of its task. Only hashes that came twice can hide a
+repeated key; the second step compares the keys behind those, typed and whole, so a
+collision of hashes is no failure and a microsecond, a type or a separator inside a
+text makes a difference. The second step passes over tests without repeated hashes, and
+where there are too many to broadcast it counts all keys, each shuffled once. A
+table whose wide keys are unique is read once and its keys are never shuffled.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from trip_engine.session import write_scratch
 
-# Repeated hashes (8 bytes each) that are broadcast to the second step; beyond, it is
-# a shuffle join.
+# Repeated hashes (8 bytes each) that are broadcast to the second step; beyond, it counts
+# every key: a join by hash would shuffle them all once more.
 MAX_BROADCAST_HASHES = 1_000_000
 # Types whose values are no longer than their hash.
 _NARROW = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
@@ -50,12 +52,6 @@ def _hash(*parts: Column) -> Column:
     return F.xxhash64(*parts)
 
 
-def _suspected(rows: DataFrame, on: str, suspects: DataFrame) -> DataFrame:
-    """The rows whose hash is among the suspects."""
-    few = suspects.count() <= MAX_BROADCAST_HASHES
-    return rows.join(F.broadcast(suspects) if few else suspects, on, "left_semi")
-
-
 def check_unique(df: DataFrame, key: Key) -> DataFrame:
     """OP-60 / OP-63: the key values occurring more than once, with their
     record count ``n_records``. Partial aggregation before the shuffle keeps
@@ -67,7 +63,8 @@ def check_unique(df: DataFrame, key: Key) -> DataFrame:
     if len(cols) > 1 or types[cols[0]] not in _NARROW:
         rows = rows.withColumn("__hash", _hash(*_typed(df, cols)))
         suspects = write_scratch(rows.groupBy("__hash").count().where("count > 1").select("__hash"), "repeated-keys")
-        rows = _suspected(rows.select("__hash", *cols), "__hash", suspects)
+        if suspects.count() <= MAX_BROADCAST_HASHES:
+            rows = rows.join(F.broadcast(suspects), "__hash", "left_semi")
     return (rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records"))
             .filter(F.col("n_records") > 1))
 
@@ -93,10 +90,10 @@ def run_contract(df: DataFrame, contract: Sequence[tuple[Key, str]], table: str)
     table_name, column_name, test, failures, passed.
 
     The table is read once for all tests, a second time only if a hash came twice. Each
-    record yields one number per unique test whose key is complete, and one per
-    not_null test it violates; they are counted before the shuffle (a hot key
-    collapses there). The first step runs when the frame is built, and what it
-    suspects is kept in the session's scratch folder."""
+    record yields one number (a narrow key: its test's number and the key) per unique
+    test whose key is complete, and one per not_null test it violates; they are
+    counted before the shuffle (a hot key collapses there). The first step runs when
+    the frame is built, and what it suspects is kept in the session's scratch folder."""
     if not contract:
         raise ValueError("empty contract")
     for _, test in contract:
@@ -110,34 +107,56 @@ def run_contract(df: DataFrame, contract: Sequence[tuple[Key, str]], table: str)
         """The test's number in the upper bits, the hash's upper bits below."""
         return F.shiftleft(F.lit(number).cast("long"), 64 - bits).bitwiseOR(F.shiftrightunsigned(value, bits))
 
-    first, second = [], []
     types = dict(df.dtypes)
-    slots = list(dict.fromkeys(tuple(types[c] for c in _cols(k)) for k, t in expanded if t == "unique"))
+    # a key of one narrow column is counted as it is, in the slot of its type
+    exact = {i: types[_cols(k)[0]] for i, (k, t) in enumerate(expanded)
+             if t == "unique" and len(_cols(k)) == 1 and types[_cols(k)[0]] in _NARROW}
+    values = {t: f"value{i}" for i, t in enumerate(dict.fromkeys(exact.values()))}
+    first, wide = [], {}
     for number, (key, test) in enumerate(expanded):
         cols = _cols(key)
-        if test == "not_null":
-            first.append(F.when(~_present(cols), numbered(number, F.lit(0).cast("long"))))
-            continue
-        code = numbered(number, _hash(*_typed(df, cols)))
-        first.append(F.when(_present(cols), code))
-        # one struct of its types holds the whole key, the other slots are null
-        whole = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(_typed(df, cols))])
-        mine = tuple(types[c] for c in cols)
-        second.append(F.when(_present(cols), F.struct(code.alias("code"), *[
-            (whole if s == mine else F.lit(None).cast(_struct_type(s))).alias(f"slot{i}")
-            for i, s in enumerate(slots)])))
+        plain = test == "not_null" or number in exact
+        code = numbered(number, F.lit(0).cast("long") if plain else _hash(*_typed(df, cols)))
+        first.append(F.when(~_present(cols) if test == "not_null" else _present(cols), F.struct(
+            code.alias("code"), *[(_typed(df, cols)[0] if exact.get(number) == t else F.lit(None)).cast(t).alias(v)
+                                  for t, v in values.items()])))
+        if not plain:
+            wide[number] = code
     number_of = F.shiftrightunsigned("code", 64 - bits).cast("int")
-    counted = df.select(F.explode(F.array_compact(F.array(*first))).alias("code")) \
-        .groupBy("code").agg(F.count(F.lit(1)).alias("n"))
-    is_unique = F.get(F.array(*[F.lit(t == "unique") for _, t in expanded]), number_of)
-    found = write_scratch(counted.where(~is_unique | (F.col("n") > 1)), "contract")
-    failures = found.where(~is_unique).select(number_of.alias("test_no"), F.col("n").alias("failures"))
-    suspects = found.where(is_unique).select("code")
-    if second and not suspects.isEmpty():
-        keys = df.select(F.explode(F.array_compact(F.array(*second))).alias("p")).select("p.*")
-        repeated = _suspected(keys, "code", suspects) \
-            .groupBy("code", *[f"slot{i}" for i in range(len(slots))]).agg(F.count(F.lit(1)).alias("n")) \
-            .where("n > 1")
+
+    def one_of(numbers) -> Column:
+        return F.get(F.array(*[F.lit(i in numbers) for i in range(len(expanded))]), number_of)
+
+    is_null_test = one_of([i for i, (_, t) in enumerate(expanded) if t == "not_null"])
+    counted = df.select(F.inline(F.array_compact(F.array(*first)))) \
+        .groupBy("code", *values.values()).agg(F.count(F.lit(1)).alias("n"))
+    found = write_scratch(counted.where(is_null_test | (F.col("n") > 1)).select("code", "n"), "contract")
+    # a null test has one row, every row of a narrow key is a repeated value
+    failures = found.where(~one_of(wide)).groupBy(number_of.alias("test_no")) \
+        .agg(F.sum(F.when(is_null_test, F.col("n")).otherwise(1)).alias("failures"))
+    suspects = found.where(one_of(wide)).select("code")
+    # a row a test: how many of its hashes came twice
+    held = sorted((r["n"], r["test_no"]) for r in suspects.groupBy(number_of.alias("test_no"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect())
+    if held:
+        wide = {i: wide[i] for _, i in held}
+        few = [i for j, (_, i) in enumerate(held) if sum(n for n, _ in held[:j + 1]) <= MAX_BROADCAST_HASHES]
+        slots = list(dict.fromkeys(tuple(types[c] for c in _cols(expanded[i][0])) for i in wide))
+        second = []
+        for number, code in wide.items():
+            cols = _cols(expanded[number][0])
+            # one struct of its types holds the whole key, the other slots are null
+            whole = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(_typed(df, cols))])
+            mine = tuple(types[c] for c in cols)
+            second.append(F.when(_present(cols), F.struct(code.alias("code"), *[
+                (whole if s == mine else F.lit(None).cast(_struct_type(s))).alias(f"slot{i}")
+                for i, s in enumerate(slots)])))
+        keys = df.select(F.inline(F.array_compact(F.array(*second))))
+        if few:
+            hit = suspects.where(one_of(few)).select("code", F.lit(True).alias("hit"))
+            keys = keys.join(F.broadcast(hit), "code", "left").where(~one_of(few) | F.col("hit"))
+        repeated = keys.groupBy("code", *[f"slot{i}" for i in range(len(slots))]) \
+            .agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         failures = failures.unionByName(
             repeated.groupBy(number_of.alias("test_no")).agg(F.count(F.lit(1)).alias("failures")))
     tests = df.sparkSession.createDataFrame(
