@@ -180,3 +180,29 @@ def test_partitions_follow_the_rows():
     from trip_engine.operators.model import LEAST_PARTITIONS, ROWS_PER_PARTITION, fit_partitions
     assert fit_partitions(10) == LEAST_PARTITIONS
     assert fit_partitions(1000 * ROWS_PER_PARTITION + 1) == 1001
+
+
+def test_rows_of_equal_bins_train_as_one_weighted_point(spark, monkeypatch):
+    """The points hold every row, and give the trees and values of the single rows."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import GBTRegressor
+    from trip_engine.operators import model as mo
+    train = spark.range(4000).selectExpr(
+        "'id' || id AS id", "cast(if(id % 5 < 4, 1, 2 + id % 3) AS int) AS a", "cast(if(id % 10 < 9, 0, id % 7) AS double) AS b",
+        "cast((id * 7919) % 101 + 40 * (id % 5) + 300 * (id % 7) AS int) AS trip_duration").repartition(5)
+    seen, real = [], mo.weighted_points
+    monkeypatch.setattr(mo, "weighted_points", lambda *args: seen.append(real(*args)) or seen[-1])
+    params = dict(features=("a", "b"), impute=("b",), mode_impute=("a",), max_iter=4, max_depth=4)
+    model = train_duration_model(train, **params)
+    points = seen[0].collect()
+    assert len(points) < 200 and sum(p[mo.WEIGHT] for p in points) == 4000
+    assert {p["_part"] for p in points} != {0}  # a cell of many rows stays many points
+    assert sum(p.trip_duration * p[mo.WEIGHT] for p in points) == pytest.approx(train.agg(F.sum("trip_duration")).first()[0])
+    rows = PipelineModel(model.stages[:-1]).transform(train)
+    single = GBTRegressor(featuresCol="features", labelCol="trip_duration", seed=mo.DEFAULT_SEED, maxIter=4, maxDepth=4).fit(rows)
+    a = {r.id: r.prediction for r in model.transform(train).collect()}
+    b = {r.id: r.prediction for r in single.transform(rows).collect()}
+    assert all(abs(a[i] - b[i]) < 1e-6 for i in b) and len(set(b.values())) > 4
+    halves = train.withColumn("trip_duration", F.col("trip_duration") / 3)
+    c = {r.id: r.prediction for r in train_duration_model(halves, **params).transform(train).collect()}
+    assert all(abs(3 * c[i] - b[i]) < 1e-6 for i in b)

@@ -10,6 +10,11 @@ one pass sketches every feature: counts, minimum and maximum per bucket of a
 logarithmic grid, which add up in any order. Bins of about equal weight are read off
 the sketch once, and each bin is so common that the library then finds every
 boundary, however the rows are dealt out.
+
+Rows that fall into the same bins are alike to the trees: the fit gets them as one
+point with their mean label and their number as its weight, which gives the splits
+and leaf values of the single rows. So its passes (one per tree level) grow with the
+cells of the grid of bins that hold rows, and no longer once the rows fill the grid.
 """
 
 from __future__ import annotations
@@ -25,16 +30,16 @@ from pyspark.ml.feature import Bucketizer, Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (DoubleType, IntegralType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
 from trip_engine.functions.exprs import shape_duration
 from trip_engine.operators.features import check_features
-from trip_engine.session import ensure_checkpoint_dir
+from trip_engine.session import ensure_checkpoint_dir, write_scratch
 from trip_engine.specs import LABEL, MODEL_FEATURES, FeatureConfig
 
 DEFAULT_SEED = 42
-# Rows of one training partition, at most, and the fewest partitions: from the rows
+# Points of one training partition, at most, and the fewest partitions: from the rows
 # alone, so that a cluster of any size fits the same model to the last bit.
 ROWS_PER_PARTITION = 200_000
 LEAST_PARTITIONS = 8
@@ -42,6 +47,8 @@ LEAST_PARTITIONS = 8
 MAX_BINS = 31
 # Sketch: ratio of a bucket's bounds, magnitudes that count as zero and as infinite.
 RATIO, SMALLEST, LARGEST = 1.005, 1e-9, 1e15
+# Column of a training point's number of rows.
+WEIGHT = "_weight"
 
 
 def feature_sketch(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -129,32 +136,56 @@ def fit_partitions(rows: int) -> int:
     return max(LEAST_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
 
 
+def weighted_points(binned: DataFrame, bins: Sequence[str], label: str, weight: str) -> DataFrame:
+    """One point per cell of the bins: the mean label of its rows, and their number as
+    ``weight``. Labels that are no integers have sums that depend on the order, so
+    there equal labels alone are put together.
+
+    A cell with more rows than the mean cell is given as several points of that many
+    rows, so that a bin's share of the points stays near its share of the rows (a third
+    of it at least) and the library, which samples points, finds every boundary."""
+    whole = isinstance(binned.schema[label].dataType, IntegralType)
+    cells = (binned.groupBy(*bins).agg(F.avg(label).alias(label), F.count(F.lit(1)).alias(weight)) if whole else
+             binned.groupBy(*bins, label).agg(F.count(F.lit(1)).alias(weight)))
+    cells = write_scratch(cells, "cells")
+    held = cells.agg(F.count(F.lit(1)).alias("cells"), F.sum(weight).alias("rows")).first()
+    most = F.lit(-(-held["rows"] // held["cells"]) if held["cells"] else 1).cast("long")
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(weight) - 1) / most))).alias("_part")
+    return cells.select("*", parts).withColumn(
+        weight, F.least(most, F.col(weight) - F.col("_part") * most).cast("double"))
+
+
 def train_duration_model(train: DataFrame, features=MODEL_FEATURES, label: str = LABEL,
                          seed: int = DEFAULT_SEED, num_partitions: int | None = None,
-                         key: str = "id", **params) -> PipelineModel:
+                         **params) -> PipelineModel:
     """OP-72: fit the pipeline on the training feature frame.
 
-    Imputation, sketch and assembly each read the frame once; only (features, label)
-    is persisted around the fit, which reads it once per tree level. The rows are dealt
-    by hash of ``key`` and ordered there, over as many partitions as their number asks
-    for: the same rows give the same model. Another ``num_partitions`` gives the same
-    trees, with leaf values that differ in the last bits (sums of doubles in another
-    order). Rows without a label cannot train."""
+    Imputation, sketch and bins each read the frame once; the rows of equal bins are put
+    together (``weighted_points``), and only these points are persisted around the fit,
+    which reads them once per tree level. The points are dealt by hash of their bins and
+    ordered there, over as many partitions as their number asks for: the same rows give the
+    same model. Another ``num_partitions`` gives the same trees, with leaf values that
+    differ in the last bits (sums of doubles in another order). Rows without a label
+    cannot train."""
     missing = [c for c in [*features, label] if c not in train.columns]
     if missing:
         raise ValueError(f"training frame lacks columns {missing}")
     ensure_checkpoint_dir(train.sparkSession)  # boosting cuts its lineage there
-    data = train.filter(F.col(label).isNotNull())
-    order = [key] if key in data.columns else [*features, label]
-    data = data.select(*dict.fromkeys([*features, label, *order]))
-    *prepare, trees = build_pipeline(features, label, seed, **params).getStages()
-    stages = Pipeline(stages=prepare).fit(data.select(*features)).stages if prepare else []
-    dealt = data.repartition(num_partitions or fit_partitions(data.count()), *order).sortWithinPartitions(*order)
-    ready = PipelineModel(stages).transform(dealt).select(trees.getFeaturesCol(), label).persist()
+    data = train.filter(F.col(label).isNotNull()).select(*features, label)
+    *prepare, assembler, trees = build_pipeline(features, label, seed, **params).getStages()
+    stages = Pipeline(stages=prepare).fit(data.select(*features)).stages
+    bins = assembler.getInputCols()
+    points = weighted_points(PipelineModel(stages).transform(data).select(*bins, label), bins, label, WEIGHT)
+    order = [*bins, label, "_part"]
+    num_partitions = num_partitions or fit_partitions(points.count())
+    dealt = points.repartition(num_partitions, *order).sortWithinPartitions(*order)
+    ready = assembler.transform(dealt).select(trees.getFeaturesCol(), label, WEIGHT).persist()
     try:
-        return PipelineModel([*stages, trees.fit(ready)])
+        model = PipelineModel([*stages, assembler, trees.setWeightCol(WEIGHT).fit(ready)])
     finally:
         ready.unpersist()
+    model.num_partitions = num_partitions  # for the audit
+    return model
 
 
 def predict_durations(model: PipelineModel, df: DataFrame, shape: str = "round",

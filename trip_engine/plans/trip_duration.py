@@ -11,7 +11,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField,
                                TimestampType)
 
 from trip_engine.operators.features import trip_features
-from trip_engine.operators.model import (audit_model, fit_partitions, predict_durations, save_model,
+from trip_engine.operators.model import (audit_model, predict_durations, save_model,
                                          train_duration_model)
 from trip_engine.operators.sinks import write_predictions
 from trip_engine.session import write_scratch
@@ -96,8 +96,8 @@ def run(spark: SparkSession, training_path: str, testing_path: str, output_path:
     test = trip_features(read_csv(spark, testing_path, TEST_SCHEMA), cfg)
     if audit_table:
         model, found = fit_with_folds(train, cfg, **params)
-        partitions = params.get("num_partitions") or fit_partitions(found["training_rows"])
-        audit_model(spark, model, "trip_duration_model", audit_table, label=cfg.label, num_partitions=partitions, **found)
+        audit_model(spark, model, "trip_duration_model", audit_table, label=cfg.label,
+                    num_partitions=model.num_partitions, **found)
         unreadable_values(spark, training_path, TRAIN_SCHEMA).write.mode("overwrite").option("header", True).csv(
             os.path.join(output_path, "unreadable"))
     else:
