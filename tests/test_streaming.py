@@ -163,3 +163,19 @@ def test_a_replayed_batch_is_not_written_again(spark, model, tmp_dir):
     assert os.listdir(os.path.join(out, "batch=7")) == tries
     assert [(r.batch, r.requests) for r in read_commits(spark, out).collect()] == [(7, reqs.count())]
     assert read_scored(spark, out, rej).count() == reqs.count()
+
+
+def test_accepted_requests_are_kept_without_their_record(spark, model, tmp_dir):
+    from trip_engine.sources.requests import RAW, parse_requests
+    from trip_engine.streaming.scoring import REASON, outcome_columns, score_batch, validate_requests
+    good = {"id": "g", "vendor_id": 1, "passenger_count": 2, "store_and_fwd_flag": 0, "hour": 1, "day": 2, "month": 3,
+            "distance": 1.5}
+    lines = [json.dumps(good), " \t" + json.dumps({**good, "id": "s"}), '"{ a text"', json.dumps({**good, "month": "x"})]
+    parsed = parse_requests(spark.createDataFrame([(x,) for x in lines], "value string"))
+    kept = outcome_columns(parsed)
+    assert {(r[RAW], r[REASON]) for r in kept.collect()} == {
+        (None, None), (lines[2], "Malformed record"), (lines[3], "Wrong type: month")}
+    assert set(kept.columns) == {*parsed.columns, REASON} - {"malformed", "wrong_type"}
+    for ours, theirs in zip(score_batch(kept, model, "raw", None), score_batch(parsed, model)):
+        assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
+    assert validate_requests(kept, None)[1].count() == 2

@@ -40,7 +40,8 @@ def parse_requests(df: DataFrame, value_col: str = "value",
     text = F.from_json(raw, StructType([StructField(f.name, StringType()) for f in schema.fields]
                                        + [StructField("_bad", StringType())]),
                        {"columnNameOfCorruptRecord": "_bad"})
-    is_object = F.try_parse_json(raw).cast("string").startswith("{")
+    # valid JSON that starts so is an object
+    is_object = F.try_parse_json(raw).isNotNull() & F.ltrim(raw, F.lit(" \t\r\n")).startswith("{")
     rows = df.select(raw.alias(RAW), text.alias("_r"), F.coalesce(is_object, F.lit(False)).alias("_ok"))
     value = {f.name: F.when(F.col("_ok") & F.col("_r._bad").isNull(),
                             F.col(f"_r.{f.name}").try_cast(f.dataType)) for f in schema.fields}

@@ -52,8 +52,8 @@ def tag_requests(requests: DataFrame, keys=REQUIRED_KEYS, message: str = MISSING
 
 def validate_requests(requests: DataFrame, keys=REQUIRED_KEYS,
                       message: str = MISSING_KEY_MESSAGE) -> tuple[DataFrame, DataFrame]:
-    """OP-28: (accepted, rejected-with-reason)."""
-    tagged = tag_requests(requests, keys, message)
+    """OP-28: (accepted, rejected-with-reason). Without ``keys`` the requests are tagged already."""
+    tagged = requests if keys is None else tag_requests(requests, keys, message)
     extra = [c for c in (MALFORMED, WRONG_TYPE) if c in tagged.columns]
     return (tagged.filter(F.col(REASON).isNull()).drop(REASON, RAW, *extra),
             tagged.filter(F.col(REASON).isNotNull()).drop(*extra))
@@ -69,6 +69,13 @@ def score_batch(batch: DataFrame, model: PipelineModel, shape: str = "raw",
     return preds, rejected
 
 
+def outcome_columns(batch: DataFrame) -> DataFrame:
+    """The requests tagged, with what the two outputs need: the record as it came goes to
+    the rejects only, so accepted requests do without it."""
+    tagged = tag_requests(batch).drop(MALFORMED, WRONG_TYPE)
+    return tagged.withColumn(RAW, F.when(F.col(REASON).isNotNull(), F.col(RAW))) if RAW in tagged.columns else tagged
+
+
 # Beside the predictions; readers of the folder skip names that begin with an underscore.
 COMMITS = "_commits"
 
@@ -118,9 +125,9 @@ def write_scored_batch(batch: DataFrame, batch_id: int, model: PipelineModel, ou
     if commits.done(batch_id):
         return  # a replay of a batch that is out already
     attempt = f"t{uuid.uuid4().hex}"  # a letter first: never read as a number
-    batch = batch.persist()
+    batch = outcome_columns(batch).persist()
     try:
-        for path, rows in zip((out_path, rejects_path), score_batch(batch, model, shape)):
+        for path, rows in zip((out_path, rejects_path), score_batch(batch, model, shape, None)):
             rows.write.mode("errorifexists").parquet(os.path.join(path, f"batch={batch_id}", f"attempt={attempt}"))
         commits.commit(batch_id, attempt, {"requests": batch.count()})
     finally:
