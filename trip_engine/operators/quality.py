@@ -162,7 +162,7 @@ def run_contract(df: DataFrame, contract: Sequence[tuple[Key, str]], table: str)
     tests = df.sparkSession.createDataFrame(
         [(i, table, ",".join(_cols(k)), t) for i, (k, t) in enumerate(expanded)],
         "test_no int, table_name string, column_name string, test string")
-    return (tests.join(failures, "test_no", "left")
+    return (tests.join(F.broadcast(failures), "test_no", "left")  # a row a test
             .select("table_name", "column_name", "test",
                     F.coalesce("failures", F.lit(0).cast("long")).alias("failures"))
             .withColumn("passed", F.col("failures") == 0))
