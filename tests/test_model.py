@@ -206,3 +206,16 @@ def test_rows_of_equal_bins_train_as_one_weighted_point(spark, monkeypatch):
     halves = train.withColumn("trip_duration", F.col("trip_duration") / 3)
     c = {r.id: r.prediction for r in train_duration_model(halves, **params).transform(train).collect()}
     assert all(abs(3 * c[i] - b[i]) < 1e-6 for i in b)
+
+
+def test_points_are_few_more_than_cells(spark):
+    """Cells somewhat above the mean stay one point; those far above it are cut, and no row is lost."""
+    from trip_engine.operators.model import weighted_points
+    rows = [4] * 30 + [1] * 60 + [60]  # rows of a cell
+    binned = spark.createDataFrame([(float(i), 10 * i + k) for i, n in enumerate(rows) for k in range(n)], "a double, t int")
+    points = weighted_points(binned, ["a"], "t", "w").collect()
+    assert sum(p.w for p in points) == sum(rows)
+    held = {i: [p.w for p in points if p.a == i] for i in range(len(rows))}
+    assert [sum(w) for w in held.values()] == rows
+    assert all(len(held[i]) == 1 for i in range(90)) and len(held[90]) > 5
+    assert len(points) <= 1.5 * len(rows)

@@ -179,3 +179,22 @@ def test_accepted_requests_are_kept_without_their_record(spark, model, tmp_dir):
     for ours, theirs in zip(score_batch(kept, model, "raw", None), score_batch(parsed, model)):
         assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
     assert validate_requests(kept, None)[1].count() == 2
+
+
+def test_every_field_is_cast_once_and_what_is_wrong_is_told_without_lambdas(spark):
+    from trip_engine.sources.requests import REQUEST_SCHEMA, parse_requests
+    from trip_engine.streaming.scoring import outcome_columns
+    good = {"id": "g", "vendor_id": 1, "passenger_count": 2, "store_and_fwd_flag": 0, "hour": 1, "day": 2, "month": 3,
+            "distance": 1.5}
+    lines = [json.dumps(x) for x in (good, {**good, "month": "x", "vendor_id": [1], "hour": None}, {**good, "id": ""}, {})]
+    df = spark.createDataFrame([(x,) for x in [*lines, "not json", "[]", None]], "value string")
+    parsed = parse_requests(df)
+    assert [r.wrong_type for r in parsed.collect()] == [[], ["vendor_id", "month"], [], [], [], [], []]
+    assert [r.reject_reason for r in outcome_columns(parsed).collect()] == [
+        None, "Wrong type: vendor_id; Missing feature or id: hour; Wrong type: month", None,
+        "; ".join(f"Missing feature or id: {k}" for k in (
+            "id", "vendor_id", "passenger_count", "store_and_fwd_flag", "day", "hour", "month", "distance")),
+        *["Malformed record"] * 3]
+    plan = outcome_columns(parsed)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+    assert plan.count("try_cast(") == sum(f.dataType.typeName() != "string" for f in REQUEST_SCHEMA.fields)

@@ -141,15 +141,16 @@ def weighted_points(binned: DataFrame, bins: Sequence[str], label: str, weight:
     ``weight``. Labels that are no integers have sums that depend on the order, so
     there equal labels alone are put together.
 
-    A cell with more rows than the mean cell is given as several points of that many
-    rows, so that a bin's share of the points stays near its share of the rows (a third
-    of it at least) and the library, which samples points, finds every boundary."""
+    A cell with more than twice the rows of the mean cell is given as several points of
+    that many rows, so that a bin's share of the points stays near its share of the rows (a
+    fifth of it at least) and the library, which samples points, finds every boundary. So
+    there are at most half as many points again as cells."""
     whole = isinstance(binned.schema[label].dataType, IntegralType)
     cells = (binned.groupBy(*bins).agg(F.avg(label).alias(label), F.count(F.lit(1)).alias(weight)) if whole else
              binned.groupBy(*bins, label).agg(F.count(F.lit(1)).alias(weight)))
     cells = write_scratch(cells, "cells")
     held = cells.agg(F.count(F.lit(1)).alias("cells"), F.sum(weight).alias("rows")).first()
-    most = F.lit(-(-held["rows"] // held["cells"]) if held["cells"] else 1).cast("long")
+    most = F.lit(-(-2 * held["rows"] // held["cells"]) if held["cells"] else 1).cast("long")
     parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(weight) - 1) / most))).alias("_part")
     return cells.select("*", parts).withColumn(
         weight, F.least(most, F.col(weight) - F.col("_part") * most).cast("double"))

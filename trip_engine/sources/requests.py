@@ -43,13 +43,15 @@ def parse_requests(df: DataFrame, value_col: str = "value",
     # valid JSON that starts so is an object
     is_object = F.try_parse_json(raw).isNotNull() & F.ltrim(raw, F.lit(" \t\r\n")).startswith("{")
     rows = df.select(raw.alias(RAW), text.alias("_r"), F.coalesce(is_object, F.lit(False)).alias("_ok"))
-    value = {f.name: F.when(F.col("_ok") & F.col("_r._bad").isNull(),
-                            F.col(f"_r.{f.name}").try_cast(f.dataType)) for f in schema.fields}
-    wrong = F.array_compact(F.array(*[
-        F.when(F.col(f"_r.{f.name}").isNotNull() & value[f.name].isNull(), F.lit(f.name)) for f in schema.fields]))
     bad = ~F.col("_ok") | F.col("_r._bad").isNotNull()
-    return rows.select(*[value[f.name].alias(f.name) for f in schema.fields], RAW, bad.alias(MALFORMED),
-                       F.when(bad, F.array().cast("array<string>")).otherwise(wrong).alias(WRONG_TYPE))
+    # the values in a step of their own: one cast each, read by what is told of them
+    rows = rows.select(*[F.when(~bad, F.col(f"_r.{f.name}").try_cast(f.dataType)).alias(f.name) for f in schema.fields],
+                       RAW, bad.alias(MALFORMED), "_r")
+    wrong = F.array_remove(F.array(*[
+        F.when(F.col(f"_r.{f.name}").isNotNull() & F.col(f.name).isNull(), F.lit(f.name)).otherwise("")
+        for f in schema.fields]), "")
+    return rows.select(*[f.name for f in schema.fields], RAW, MALFORMED,
+                       F.when(F.col(MALFORMED), F.array().cast("array<string>")).otherwise(wrong).alias(WRONG_TYPE))
 
 
 def read_requests(spark: SparkSession, path: str, streaming: bool = False,

@@ -43,9 +43,9 @@ def tag_requests(requests: DataFrame, keys=REQUIRED_KEYS, message: str = MISSING
     told from a missing one where the requests come from ``parse_requests``."""
     if MALFORMED not in requests.columns:
         return tag_required(requests, list(keys), message, REASON)
-    each = F.concat_ws("; ", F.array_compact(F.array(*[
+    each = F.concat_ws("; ", *[  # leaves out NULLs
         F.when(F.array_contains(WRONG_TYPE, k), F.lit(f"{WRONG_TYPE_MESSAGE}{k}"))
-         .when(F.col(k).isNull(), F.lit(message.format(key=k))) for k in keys])))
+         .when(F.col(k).isNull(), F.lit(message.format(key=k))) for k in keys])
     return requests.withColumn(REASON, F.when(F.col(MALFORMED), F.lit(MALFORMED_MESSAGE))
                                .when(each != "", each))
 
